@@ -41,6 +41,7 @@ def best_neighbour(neurons: DataFrame, half: float) -> DataFrame:
     """``neurons`` with ``neigh_exp``, the highest expression among overlapping
     cells of other tiles, or null where there is none.
     """
+    neurons = settle(neurons, "neurons")
     here = settle(sites(neurons), "sites")
     # The limit on the rank is applied before the exchange too, so a crowded place stays small.
     ranked = here.withColumn(
@@ -80,6 +81,7 @@ def flag_duplicates(neurons: DataFrame, half: float) -> DataFrame:
 
 def _neighbour_count(neurons: DataFrame, reach: float, keep: Column, name: str) -> DataFrame:
     """Number of cells of other tiles that pass ``keep``: all of them less those of the own tile."""
+    neurons = settle(neurons, "neurons")
     here = settle(sites(neurons), "sites")
     places = here.groupBy(*PLACE).agg(F.sum("n").alias("n"))
     far = [F.col("x").alias("nx"), F.col("y").alias("ny"), F.col("n").alias("nn")]
@@ -141,6 +143,7 @@ def overlap_components(neurons: DataFrame, half: float, max_rounds: int = 100) -
     Labels spread along the overlap edges and jump to the label of their label,
     so the rounds grow with the logarithm of the longest chain.
     """
+    neurons = settle(neurons, "neurons")
     here = sites(neurons).withColumn(
         "site", F.concat_ws("|", F.col("slice"), F.col("x"), F.col("y"), F.col("fov"))
     )

@@ -1,5 +1,7 @@
 """Queries over the derived inputs, grouped by subject."""
 
+from spotweave.plans.basecalls import basecalls
 from spotweave.plans.cells import cells
+from spotweave.plans.pixels import pixels
 
-REGISTRIES = [cells]
+REGISTRIES = [cells, pixels, basecalls]

@@ -30,7 +30,7 @@ N_CYCLES = 7
 N_BARCODE = 15
 TILE = 3200
 CELLS_PER_TILE = 256
-SIDE = 32  # pixel tiles are SIDE x SIDE
+HEIGHT, WIDTH = 20, 25  # of a pixel frame
 
 
 def _digit(number: str, place: int) -> str:
@@ -53,6 +53,10 @@ def _barcode(key: str, extra) -> str:
     return " || ".join(f"CAST({_barcode_digit(key, p, extra(p))} AS STRING)" for p in range(N_BARCODE))
 
 
+_PIXEL = (
+    f"CAST(k // {HEIGHT * WIDTH} AS INT) AS fov, CAST(k % {HEIGHT * WIDTH} // {WIDTH} AS INT) AS r, "
+    f"CAST(k % {WIDTH} AS INT) AS c"
+)
 _CENT_R = f"(({{k}}) * 7919) % 3203 % {TILE}"
 _CENT_C = f"(({{k}}) * 104729) % 3209 % {TILE}"
 
@@ -113,6 +117,7 @@ INPUTS: dict[str, str] = {
                {_letters(_GENE_CODE.format(g='500 + p_size % 7'), N_CYCLES)} AS sequence
         FROM part GROUP BY p_size % 7""",
     # ---- pixels --------------------------------------------------------------
+    # One order is one pixel; a frame of HEIGHT x WIDTH divides the table, so every frame is full.
     "fx_px": f"""
         SELECT fov, cycle, r, c,
                {', '.join(
@@ -123,29 +128,28 @@ INPUTS: dict[str, str] = {
                  CASE cycle {' '.join(f"WHEN {t} THEN {_digit(_GENE_CODE.format(g='gene'), t - 1)}"
                                       for t in range(1, N_CYCLES + 1))} END AS base
           FROM (
-            SELECT CAST(k // {SIDE * SIDE} AS INT) AS fov, CAST(k % {SIDE * SIDE} // {SIDE} AS INT) AS r,
-                   CAST(k % {SIDE} AS INT) AS c, custkey, custkey % {N_GENES} AS gene,
-                   CASE WHEN (k // {SIDE} * 7 + k % {SIDE} * 3 + k // {SIDE * SIDE}) % 11 = 0
+            SELECT {_PIXEL}, custkey, custkey % {N_GENES} AS gene,
+                   CASE WHEN (k // {WIDTH} * 7 + k % {WIDTH} * 3 + k // {HEIGHT * WIDTH}) % 11 = 0
                         THEN 140 + (custkey * 13) % 60 ELSE 0 END AS amp,
                    each(1, {N_CYCLES}) AS cycle
             FROM (SELECT o_orderkey AS k, o_custkey AS custkey FROM orders) o) p) q""",
     "fx_mask_px": f"""
-        SELECT CAST(o_orderkey // {SIDE * SIDE} AS INT) AS fov,
-               CAST(o_orderkey % {SIDE * SIDE} // {SIDE} AS INT) AS r, CAST(o_orderkey % {SIDE} AS INT) AS c,
-               CAST((o_orderkey % {SIDE * SIDE} // {SIDE}) // 8 * 4 + (o_orderkey % {SIDE}) // 8 + 1 AS BIGINT) AS label
-        FROM orders
-        WHERE (o_orderkey // {SIDE}) % 8 BETWEEN 1 AND 5 AND o_orderkey % 8 BETWEEN 1 AND 6""",
+        SELECT fov, r, c, CAST(r // 5 * 5 + c // 5 + 1 AS BIGINT) AS label
+        FROM (SELECT {_PIXEL} FROM (SELECT o_orderkey AS k FROM orders) o) p
+        WHERE r % 5 BETWEEN 1 AND 4 AND c % 5 BETWEEN 0 AND 3""",
     "fx_mask_nuc": f"""
-        SELECT CAST(o_orderkey // {SIDE * SIDE} AS INT) AS fov,
-               CAST(o_orderkey % {SIDE * SIDE} // {SIDE} AS INT) AS r, CAST(o_orderkey % {SIDE} AS INT) AS c,
-               CAST((o_orderkey % {SIDE * SIDE} // {SIDE}) // 16 * 2 + (o_orderkey % {SIDE}) // 16 + 1 AS BIGINT) AS label
-        FROM orders
-        WHERE (o_orderkey // {SIDE}) % 16 BETWEEN 2 AND 7 AND o_orderkey % 16 BETWEEN 3 AND 9""",
-    # Template of every tile and the same content moved by a shift known per tile and cycle.
-    "fx_moving": """
-        SELECT fov, cycle, CAST(r + (fov + cycle) % 5 - 2 AS INT) AS r, CAST(c + (fov * 2 + cycle) % 5 - 2 AS INT) AS c,
+        SELECT fov, r, c, CAST(r // 10 * 3 + c // 10 + 1 AS BIGINT) AS label
+        FROM (SELECT {_PIXEL} FROM (SELECT o_orderkey AS k FROM orders) o) p
+        WHERE r % 10 BETWEEN 2 AND 7 AND c % 10 BETWEEN 3 AND 8""",
+    # Summed channels of every cycle, moved by a shift that differs by tile and cycle.
+    "fx_moving": f"""
+        SELECT fov, cycle, r + (fov + cycle) % 5 - 2 AS r, c + (fov * 2 + cycle) % 5 - 2 AS c,
                CAST(ch_g + ch_t + ch_a + ch_c AS DOUBLE) AS v
-        FROM fx_px WHERE r + (fov + cycle) % 5 - 2 BETWEEN 0 AND 31 AND c + (fov * 2 + cycle) % 5 - 2 BETWEEN 0 AND 31""",
+        FROM fx_px WHERE r + (fov + cycle) % 5 - 2 BETWEEN 0 AND {HEIGHT - 1}
+                     AND c + (fov * 2 + cycle) % 5 - 2 BETWEEN 0 AND {WIDTH - 1}""",
+    "fx_flat": f"""
+        SELECT r, c, CAST(3 + (r + c) % 4 AS DOUBLE) AS dark, CAST(4 + (r * 3 + c) % 3 AS DOUBLE) / 4 AS flat
+        FROM (SELECT {_PIXEL} FROM (SELECT o_orderkey AS k FROM orders) o) p GROUP BY r, c""",
     # ---- barcodes ------------------------------------------------------------
     "fx_bc_spots": f"""
         SELECT l_orderkey // {CELLS_PER_TILE} * 10000 + l_orderkey % {CELLS_PER_TILE} + 1 AS cell_id,
