@@ -14,7 +14,9 @@ from pyspark.sql import types as T
 from spotweave.functions.vectors import as_col, call_score, called_channel, strongest
 from spotweave.operators.blocks import along, cut_blocks, keep_home
 from spotweave.operators.codebook import binary_codes, is_control
+from spotweave.operators.pixels import median_max, normalise_median, stack_cycles
 from spotweave.operators.ranking import exact_median
+from spotweave.session import settle
 
 # Base letters by call number, and hybridisation gene by channel index.
 CALL_LETTERS = "GTAC"
@@ -225,12 +227,12 @@ def decoded_peaks(decoded: DataFrame, reach: int = 1, block: int = 256) -> DataF
     return keep_home(work).where(is_peak).drop("_top")
 
 
-def sweep_thresholds(peaks: DataFrame, base: Column, span: float = 0.1, steps: int = 10) -> DataFrame:
+def sweep_thresholds(peaks: DataFrame, base: float, span: float = 0.1, steps: int = 10) -> DataFrame:
     """Control and other hits per tile at evenly spaced thresholds around the base.
 
     All thresholds are counted in one pass over the peaks.
     """
-    grid = [base + F.lit(-span + 2 * span * k / (steps - 1)) for k in range(steps)]
+    grid = [F.lit(base + (-span + 2 * span * k / (steps - 1))) for k in range(steps)]
     counts = []
     for k, t in enumerate(grid):
         counts.append(F.count_if((F.col("score") > t) & F.col("control")).alias(f"_err_{k}"))
@@ -256,6 +258,43 @@ def pick_threshold(curve: DataFrame, limit: float = 0.05) -> DataFrame:
     return curve.agg(F.min(F.when(F.col("fdr") < limit, F.col("threshold"))).alias("threshold"))
 
 
+def calibrate(
+    pixels: DataFrame,
+    channels: Sequence[str],
+    codebook: DataFrame,
+    n_cycles: int,
+    noise_first: float = 0.001,
+    noise_final: float = 0.005,
+    limit: float = 0.05,
+    block: int = 256,
+) -> DataFrame:
+    """One row of decoding parameters: threshold under the false-discovery limit,
+    noise floors and the normalising median of every plane.
+
+    The normalised signals are written once and read by both passes.  Only the
+    codebook, one threshold and the plane medians ever reach the driver.
+    """
+    medians = median_max(pixels, channels)
+    vectors = settle(stack_cycles(normalise_median(pixels, channels, medians), channels, n_cycles), "vectors")
+    table = code_table(codebook, n_cycles)
+    n_genes, n_controls = len(table[0]), int(table[2].sum())
+    base = base_threshold(control_maxima(vectors, table, noise_first)).first()["threshold"]
+    peaks = decoded_peaks(decode(vectors, table, noise_final), block=block)
+    picked = pick_threshold(fdr_curve(sweep_thresholds(peaks, base), n_genes, n_controls), limit)
+    planes = F.flatten(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("cycle", F.array(*[F.col(f"_med_{ch}") for ch in channels]).alias("m")))),
+            lambda row: row["m"],
+        )
+    )
+    return picked.select(
+        "threshold",
+        F.lit(noise_first).alias("noise_first"),
+        F.lit(noise_final).alias("noise_final"),
+        medians.agg(planes.alias("median_max")).scalar().alias("median_max"),
+    )
+
+
 def call_set_fdr(calls: DataFrame, n_genes: int, n_controls: int, by: Sequence[str] = ()) -> DataFrame:
     """False-discovery rate of a set of calls with a ``control`` flag."""
     share = F.try_divide(F.count_if("control").cast("double"), F.count(F.lit(1)))

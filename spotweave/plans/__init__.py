@@ -1,7 +1,9 @@
 """Queries over the derived inputs, grouped by subject."""
 
+from spotweave.plans.barcodes import barcodes
 from spotweave.plans.basecalls import basecalls
 from spotweave.plans.cells import cells
+from spotweave.plans.geometry import geometry
 from spotweave.plans.pixels import pixels
 
-REGISTRIES = [cells, pixels, basecalls]
+REGISTRIES = [cells, pixels, basecalls, barcodes, geometry]

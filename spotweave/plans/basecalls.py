@@ -9,6 +9,7 @@ from spotweave.operators import basecall, codebook as books, pixels as px
 from spotweave.plans.inputs import BASES, CHANNELS, N_CYCLES, N_GENES, N_UNUSED
 from spotweave.plans.pixels import BLOCK, MEDIANS, SPOT_PEAKS, first_cycle_peaks
 from spotweave.plans.registry import Inputs, Registry, rounded
+from spotweave.session import settle
 
 basecalls = Registry()
 CH = list(CHANNELS)
@@ -154,12 +155,12 @@ def soma_calls(i: Inputs) -> DataFrame:
 
 GOOD = f"""
     q AS (SELECT fov, r, c, cycle, score FROM (SELECT fov, r, c, cycle, {base_sql(CH, '0')} FROM fx_px) z),
-    good AS (SELECT fov, r, c FROM (SELECT fov, r, c, list_sort(list(score)) AS s FROM q GROUP BY fov, r, c) z WHERE s[least(3, len(s))] > 0.6)"""
+    good AS (SELECT fov, r, c FROM (SELECT fov, r, c, list_sort(list(score)) AS s FROM q GROUP BY fov, r, c) z WHERE s[least(3, len(s))] > 0.76)"""
 
 
 @basecalls.query(f"WITH {GOOD} SELECT * FROM good")
 def good_pixels(i: Inputs) -> DataFrame:
-    return basecall.good_pixels(i.px, CH, 0.6)
+    return basecall.good_pixels(i.px, CH, 0.76)
 
 
 @basecalls.query(
@@ -172,7 +173,7 @@ def good_pixels(i: Inputs) -> DataFrame:
       {', '.join(f'CASE WHEN n_good > 2 THEN round({ch}, 6) ELSE 0 END AS {ch}' for ch in CH)} FROM b"""
 )
 def soma_calls_good_pixels(i: Inputs) -> DataFrame:
-    called = basecall.call_somata_good(i.mask_px, i.px, CH, threshold=0.6, min_pixels=2)
+    called = basecall.call_somata_good(i.mask_px, i.px, CH, threshold=0.76, min_pixels=2)
     return rounded(called.select("fov", "label", "cycle", "n_good", "base", "score", *CH))
 
 
@@ -269,8 +270,11 @@ SWEEP = f"""{DECODED},{PEAK},
 
 
 def sweep(i: Inputs) -> DataFrame:
-    base = basecall.base_threshold(control_top(i)).scalar()
-    return basecall.sweep_thresholds(peaks(i), base)
+    vectors = settle(signal_vectors(i), "vectors")
+    table = basecall.code_table(i.codebook, N_CYCLES)
+    base = basecall.base_threshold(basecall.control_maxima(vectors, table, NOISE_FIRST)).first()["threshold"]
+    found = basecall.decoded_peaks(basecall.decode(vectors, table, NOISE_FINAL), block=BLOCK)
+    return basecall.sweep_thresholds(found, base)
 
 
 @basecalls.query(f"WITH {SWEEP} SELECT fov, step, round(threshold, 6) AS threshold, n_control, n_gene FROM sweep")
@@ -288,6 +292,18 @@ def picked_threshold(i: Inputs) -> DataFrame:
     return rounded(basecall.pick_threshold(basecall.fdr_curve(sweep(i), N_GENES, N_UNUSED)))
 
 
+@basecalls.query(
+    f"""WITH {SWEEP} SELECT round((SELECT min(threshold) FILTER (WHERE fdr < 0.05) FROM curve), 6) AS threshold,
+      {NOISE_FIRST}::DOUBLE AS noise_first, {NOISE_FINAL}::DOUBLE AS noise_final,
+      (SELECT string_agg(CAST(CAST(v AS INT) AS VARCHAR), ',' ORDER BY cycle, k) FROM (
+        {' UNION ALL '.join(f'SELECT cycle, {k} AS k, {ch} AS v FROM med' for k, ch in enumerate(CH))}) q) AS median_max"""
+)
+def decode_parameters(i: Inputs) -> DataFrame:
+    params = basecall.calibrate(i.px, CH, i.codebook, N_CYCLES, NOISE_FIRST, NOISE_FINAL, block=BLOCK)
+    whole = F.transform("median_max", lambda v: v.cast("int").cast("string"))
+    return rounded(params.withColumn("median_max", F.array_join(whole, ",")))
+
+
 def calls(i: Inputs) -> DataFrame:
     flags = i.codebook.select("gene_id", books.is_control().alias("control"))
     return i.spots.where("modality = 'geneseq'").join(flags, "gene_id").join(i.tiles.select("fov", "position"), "fov")

@@ -188,6 +188,27 @@ INPUTS: dict[str, str] = {
         SELECT barcode_id, sequence, area_id,
                CASE WHEN (ck * 5 + area_id * 3) % 4 = 0 AND ck % 6 <> 0 THEN (ck + area_id) % 9 + 1 ELSE 0 END AS n
         FROM fx_library""",
+    # ---- matches and points ----------------------------------------------------
+    "fx_matches": f"""
+        SELECT o_orderkey // {CELLS_PER_TILE} * 10000 + o_orderkey % {CELLS_PER_TILE} + 1 AS cell_id, o_custkey AS sunit_id FROM orders""",
+    "fx_units": """
+        SELECT c_custkey AS sunit_id, c_custkey * 10 + k AS unit_id, CAST(c_nationkey % 4 + 1 AS INT) AS scan_idx,
+               CAST(c_nationkey % 2 AS INT) AS stack_idx
+        FROM (SELECT c_custkey, c_nationkey, each(1, 3) AS k FROM customer) u WHERE k <= c_custkey % 4""",
+    "fx_points": """
+        SELECT c_custkey AS sunit_id, CAST(c_nationkey % 2 AS INT) AS stack_idx,
+               CAST((c_custkey * 37) % 1009 AS DOUBLE) / 4 AS sunit_x, CAST((c_custkey * 53) % 1013 AS DOUBLE) / 4 AS sunit_y,
+               CAST((c_custkey * 11) % 211 AS DOUBLE) AS sunit_z, CAST((c_custkey * 3) % 97 AS DOUBLE) AS depth
+        FROM customer""",
+    "fx_regions": """
+        SELECT s_suppkey AS region, CAST(s_suppkey * 100 AS DOUBLE) AS x, CAST(s_nationkey * 50 AS DOUBLE) AS y,
+               CAST(s_suppkey % 7 AS DOUBLE) AS z
+        FROM supplier""",
+    "fx_offsets": """
+        SELECT a.slice, a.fov AS tile_a, b.fov AS tile_b, b.px - a.px AS dx, b.py - a.py AS dy
+        FROM (SELECT *, pos_x + (fov * 7) % 11 * CAST(0.25 AS DOUBLE) AS px, pos_y + (fov * 5) % 13 * CAST(0.25 AS DOUBLE) AS py FROM fx_tforms) a
+        JOIN (SELECT *, pos_x + (fov * 7) % 11 * CAST(0.25 AS DOUBLE) AS px, pos_y + (fov * 5) % 13 * CAST(0.25 AS DOUBLE) AS py FROM fx_tforms) b
+        ON a.slice = b.slice AND (b.fov = a.fov + 4 OR (b.fov = a.fov + 1 AND a.fov % 4 < 3))""",
     # ---- files ---------------------------------------------------------------
     "fx_files": f"""
         SELECT CASE WHEN slot <= 7 THEN 'geneseq0' || CAST(slot AS STRING)
