@@ -3,7 +3,8 @@
 from spotweave.plans.barcodes import barcodes
 from spotweave.plans.basecalls import basecalls
 from spotweave.plans.cells import cells
+from spotweave.plans.files import files
 from spotweave.plans.geometry import geometry
 from spotweave.plans.pixels import pixels
 
-REGISTRIES = [cells, pixels, basecalls, barcodes, geometry]
+REGISTRIES = [cells, pixels, basecalls, barcodes, geometry, files]
