@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from spotweave.functions.vectors import as_col, call_score, called_channel, strongest
 from spotweave.operators.blocks import along, cut_blocks, keep_home
@@ -172,11 +171,19 @@ def code_table(codebook: DataFrame, n_cycles: int) -> tuple[np.ndarray, np.ndarr
     return ids, codes, np.array([row["control"] for row in rows], dtype=bool)
 
 
-def _evidence(sig: pd.Series, codes: np.ndarray, noise: float) -> np.ndarray:
-    """sum(signal * code) / ((|signal| + noise) * |code|) for a batch of pixels."""
-    s = np.stack(sig.to_numpy())
-    size = np.sqrt((s * s).sum(axis=1))[:, None] + noise
-    return np.round((s @ codes.T) / (size * np.sqrt(codes.sum(axis=1))[None, :]), 9)
+def evidence_function(codes: np.ndarray, noise: float) -> Callable[[pd.Series], np.ndarray]:
+    """Scores of a batch of pixels: sum(signal * code) / ((|signal| + noise) * |code|).
+
+    The function carries its codes and needs nothing but NumPy on the workers.
+    """
+    code_size = np.sqrt(codes.sum(axis=1))[None, :]
+
+    def evidence(sig: pd.Series) -> np.ndarray:
+        s = np.stack(sig.to_numpy())
+        size = np.sqrt((s * s).sum(axis=1))[:, None] + noise
+        return np.round((s @ codes.T) / (size * code_size), 9)
+
+    return evidence
 
 
 def decode(pixels: DataFrame, table: tuple[np.ndarray, np.ndarray, np.ndarray], noise: float) -> DataFrame:
@@ -186,10 +193,11 @@ def decode(pixels: DataFrame, table: tuple[np.ndarray, np.ndarray, np.ndarray],
     batch, so no row is ever multiplied by the codebook.
     """
     ids, codes, control = table
+    evidence = evidence_function(codes, noise)
 
-    @F.pandas_udf(T.StructType([T.StructField("gene_id", T.IntegerType()), T.StructField("score", T.DoubleType()), T.StructField("control", T.BooleanType())]))
+    @F.pandas_udf("gene_id int, score double, control boolean")
     def best(sig: pd.Series) -> pd.DataFrame:
-        e = _evidence(sig, codes, noise)
+        e = evidence(sig)
         top = e.argmax(axis=1)
         return pd.DataFrame({"gene_id": ids[top], "score": e[np.arange(len(e)), top], "control": control[top]})
 
@@ -199,11 +207,12 @@ def decode(pixels: DataFrame, table: tuple[np.ndarray, np.ndarray, np.ndarray],
 def control_maxima(pixels: DataFrame, table: tuple[np.ndarray, np.ndarray, np.ndarray], noise: float) -> DataFrame:
     """Highest evidence of every control code in every tile."""
     ids, codes, control = table
-    ids, codes = ids[control], codes[control]
+    ids = ids[control]
+    evidence = evidence_function(codes[control], noise)
 
     @F.pandas_udf("array<double>")
     def scores(sig: pd.Series) -> pd.Series:
-        return pd.Series(list(_evidence(sig, codes, noise)))
+        return pd.Series(list(evidence(sig)))
 
     wide = pixels.select("fov", scores("sig").alias("e"))
     top = wide.groupBy("fov").agg(*[F.max(F.get("e", F.lit(k))).alias(str(g)) for k, g in enumerate(ids)])

@@ -295,13 +295,13 @@ def picked_threshold(i: Inputs) -> DataFrame:
 @basecalls.query(
     f"""WITH {SWEEP} SELECT round((SELECT min(threshold) FILTER (WHERE fdr < 0.05) FROM curve), 6) AS threshold,
       {NOISE_FIRST}::DOUBLE AS noise_first, {NOISE_FINAL}::DOUBLE AS noise_final,
-      (SELECT string_agg(CAST(CAST(v AS INT) AS VARCHAR), ',' ORDER BY cycle, k) FROM (
+      (SELECT string_agg(CAST(CAST(v AS DECIMAL(10, 1)) AS VARCHAR), ',' ORDER BY cycle, k) FROM (
         {' UNION ALL '.join(f'SELECT cycle, {k} AS k, {ch} AS v FROM med' for k, ch in enumerate(CH))}) q) AS median_max"""
 )
 def decode_parameters(i: Inputs) -> DataFrame:
     params = basecall.calibrate(i.px, CH, i.codebook, N_CYCLES, NOISE_FIRST, NOISE_FINAL, block=BLOCK)
-    whole = F.transform("median_max", lambda v: v.cast("int").cast("string"))
-    return rounded(params.withColumn("median_max", F.array_join(whole, ",")))
+    text = F.transform("median_max", lambda v: v.cast("decimal(10,1)").cast("string"))
+    return rounded(params.withColumn("median_max", F.array_join(text, ",")))
 
 
 def calls(i: Inputs) -> DataFrame:

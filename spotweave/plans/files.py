@@ -293,7 +293,7 @@ def annotated_matrix(i: Inputs) -> DataFrame:
 def parameter_document(i: Inputs) -> DataFrame:
     """Parameters written as a JSON document and read back, one row per plane median."""
     path = fresh_path(i.spark, "params")
-    params = basecall.calibrate(i.px, list(CHANNELS), i.codebook, N_CYCLES, NOISE_FIRST, NOISE_FINAL, block=8)
+    params = basecall.calibrate(i.px, list(CHANNELS), i.codebook, N_CYCLES, NOISE_FIRST, NOISE_FINAL, block=16)
     sinks.write_params(params, path)
     return readers.read_params(i.spark, path).select(F.posexplode("median_max").alias("plane", "v"))
 
@@ -461,5 +461,5 @@ def block_function(i: Inputs) -> DataFrame:
         return home[["fov", "cycle", "r", "c"]].assign(top=top.astype("int32"))
 
     return tiles.map_blocks(
-        i.px.select(*px.KEYS, "ch_g"), filtered, "fov int, cycle int, r int, c int, top int", block=8, halo=1
+        i.px.select(*px.KEYS, "ch_g"), filtered, "fov int, cycle int, r int, c int, top int", block=16, halo=1
     )

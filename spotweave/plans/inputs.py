@@ -38,19 +38,29 @@ def _digit(number: str, place: int) -> str:
 
 
 _GENE_CODE = "((({g}) + 1) * 7919 % 16384)"
-_BARCODE = "((({k}) + 1) * 2654435761 % 1073741824)"
+_BARCODE = "((({k}) + 1) * 2654435761 % 1073741824)"  # 15 base-4 digits
 
 
 def _letters(number: str, n: int) -> str:
     return " || ".join(f"substr('{BASES}', CAST(1 + {_digit(number, p)} AS INT), 1)" for p in range(n))
 
 
-def _barcode_digit(key: str, p: int, extra: str = "0") -> str:
-    return f"(1 + (({_BARCODE.format(k=key)} // {4 ** p}) + {extra}) % 4)"
+def _weight(place: str) -> str:
+    """4 to the given power as a whole number."""
+    return f"CAST(pow(4, {place}) AS BIGINT)"
 
 
-def _barcode(key: str, extra) -> str:
-    return " || ".join(f"CAST({_barcode_digit(key, p, extra(p))} AS STRING)" for p in range(N_BARCODE))
+def _cycle_digit(number: str, cycle: str = "cycle") -> str:
+    return f"(({number}) // {_weight(f'{N_BARCODE} - {cycle}')} % 4)"
+
+
+def _spelled(columns: str, number: str, place: str, source: str) -> str:
+    """Barcode text of a number whose digit at a 0-based place, if there is one, is raised by 1."""
+    raised = "(bc // w % 4 + 1) % 4 - bc // w % 4"
+    return f"""
+        SELECT {columns}, translate(base4(bc + CASE WHEN place < {N_BARCODE} THEN ({raised}) * w ELSE 0 END), '0123', '1234') AS seq
+        FROM (SELECT *, {_weight(f'CASE WHEN place < {N_BARCODE} THEN {N_BARCODE - 1} - place ELSE 0 END')} AS w
+              FROM (SELECT *, {_BARCODE.format(k=number)} AS bc, {place} AS place FROM {source}) b) p"""
 
 
 _PIXEL = (
@@ -125,10 +135,9 @@ INPUTS: dict[str, str] = {
                    f"CASE WHEN base = {ch} THEN amp ELSE 0 END AS INT) AS {CHANNELS[ch]}" for ch in range(4))}
         FROM (
           SELECT fov, cycle, r, c, custkey, amp,
-                 CASE cycle {' '.join(f"WHEN {t} THEN {_digit(_GENE_CODE.format(g='gene'), t - 1)}"
-                                      for t in range(1, N_CYCLES + 1))} END AS base
+                 {_GENE_CODE.format(g='gene')} // {_weight('cycle - 1')} % 4 AS base
           FROM (
-            SELECT {_PIXEL}, custkey, custkey % {N_GENES} AS gene,
+            SELECT {_PIXEL}, custkey, custkey % {N_GENES - N_UNUSED} AS gene,
                    CASE WHEN (k // {WIDTH} * 7 + k % {WIDTH} * 3 + k // {HEIGHT * WIDTH}) % 11 = 0
                         THEN 140 + (custkey * 13) % 60 ELSE 0 END AS amp,
                    each(1, {N_CYCLES}) AS cycle
@@ -151,43 +160,35 @@ INPUTS: dict[str, str] = {
         SELECT r, c, CAST(3 + (r + c) % 4 AS DOUBLE) AS dark, CAST(4 + (r * 3 + c) % 3 AS DOUBLE) / 4 AS flat
         FROM (SELECT {_PIXEL} FROM (SELECT o_orderkey AS k FROM orders) o) p GROUP BY r, c""",
     # ---- barcodes ------------------------------------------------------------
-    "fx_bc_spots": f"""
-        SELECT l_orderkey // {CELLS_PER_TILE} * 10000 + l_orderkey % {CELLS_PER_TILE} + 1 AS cell_id,
-               ((l_orderkey * 8 + l_linenumber) * 200003 + l_partkey) * 1009 + l_suppkey AS spot_id,
-               {_barcode('l_orderkey', lambda p: f'CASE WHEN (l_partkey + {3 * p}) % 37 = 0 THEN 1 ELSE 0 END')} AS seq
-        FROM lineitem""",
+    # Positions p with (l_partkey + 3p) % 37 = 0 carry an error: at most one of the 15.
+    "fx_bc_spots": _spelled(
+        f"l_orderkey // {CELLS_PER_TILE} * 10000 + l_orderkey % {CELLS_PER_TILE} + 1 AS cell_id, "
+        "((l_orderkey * 8 + l_linenumber) * 200003 + l_partkey) * 1009 + l_suppkey AS spot_id",
+        "l_orderkey", "(37 - l_partkey % 37) * 25 % 37", "lineitem"),
     "fx_bc_signal": f"""
         SELECT spot_id, fov, cycle,
                {', '.join(f"CASE WHEN part % 29 = cycle THEN 0 ELSE 20 + (okey * 31 + part * 7 + cycle * 13 + {ch * 101}) % 61 "
-                          f"+ CASE WHEN base = {ch + 1} THEN 120 ELSE 0 END END AS s{ch + 1}" for ch in range(4))}
+                          f"+ CASE WHEN base = {ch} THEN 120 ELSE 0 END END AS s{ch + 1}" for ch in range(4))}
         FROM (
-          SELECT spot_id, fov, okey, part, cycle,
-                 CASE cycle {' '.join(f"WHEN {p + 1} THEN {_barcode_digit('okey', p)}" for p in range(N_BARCODE))} END AS base
+          SELECT spot_id, fov, okey, part, cycle, {_cycle_digit(_BARCODE.format(k='okey'))} AS base
           FROM (
             SELECT ((l_orderkey * 8 + l_linenumber) * 200003 + l_partkey) * 1009 + l_suppkey AS spot_id,
                    CAST(l_orderkey // {CELLS_PER_TILE} AS INT) AS fov, l_orderkey AS okey, l_partkey AS part,
                    each(1, {N_BARCODE}) AS cycle
             FROM lineitem) a) b""",
-    "fx_soma": f"""
-        SELECT o_orderkey // {CELLS_PER_TILE} * 10000 + o_orderkey % {CELLS_PER_TILE} + 1 AS cell_id,
-               each(1, {N_BARCODE}) AS cycle,
-               o_orderkey AS okey, o_custkey AS custkey
-        FROM orders WHERE o_orderstatus <> 'P'""",
     "fx_soma_cycles": f"""
-        SELECT cell_id, cycle,
-               CASE cycle {' '.join(f"WHEN {p + 1} THEN {_barcode_digit('okey', p)}" for p in range(N_BARCODE))} END AS base,
+        SELECT cell_id, cycle, {_cycle_digit(_BARCODE.format(k='okey'))} + 1 AS base,
                CAST(80 + (okey * 7 + cycle * 13) % 20 AS DOUBLE) / 100 AS score,
                CAST(120 + (custkey * 11 + cycle * 29) % 160 AS DOUBLE) AS peak
-        FROM fx_soma""",
-    "fx_library": f"""
-        SELECT c_custkey AS barcode_id,
-               {_barcode('(c_custkey * 7)', lambda p: f'CASE WHEN (c_custkey + {2 * p}) % 31 = 0 THEN 1 ELSE 0 END')} AS sequence,
-               each(0, 7) AS area_id, c_custkey AS ck
-        FROM customer""",
+        FROM (SELECT o_orderkey // {CELLS_PER_TILE} * 10000 + o_orderkey % {CELLS_PER_TILE} + 1 AS cell_id,
+                     each(1, {N_BARCODE}) AS cycle, o_orderkey AS okey, o_custkey AS custkey
+              FROM orders WHERE o_orderstatus <> 'P') s""",
+    # Positions p with (c_custkey + 2p) % 31 = 0 differ from the cell barcode of the same number.
+    "fx_library": _spelled("c_custkey", "c_custkey * 7", "(31 - c_custkey % 31) * 16 % 31", "customer"),
     "fx_library_counts": """
-        SELECT barcode_id, sequence, area_id,
-               CASE WHEN (ck * 5 + area_id * 3) % 4 = 0 AND ck % 6 <> 0 THEN (ck + area_id) % 9 + 1 ELSE 0 END AS n
-        FROM fx_library""",
+        SELECT c_custkey AS barcode_id, seq AS sequence, area_id,
+               CASE WHEN (c_custkey * 5 + area_id * 3) % 4 = 0 AND c_custkey % 6 <> 0 THEN (c_custkey + area_id) % 9 + 1 ELSE 0 END AS n
+        FROM (SELECT c_custkey, seq, each(0, 7) AS area_id FROM fx_library) l""",
     # ---- matches and points ----------------------------------------------------
     "fx_matches": f"""
         SELECT o_orderkey // {CELLS_PER_TILE} * 10000 + o_orderkey % {CELLS_PER_TILE} + 1 AS cell_id, o_custkey AS sunit_id FROM orders""",
@@ -237,10 +238,22 @@ def _closure(names: tuple[str, ...]) -> tuple[str, ...]:
     return tuple(done)
 
 
+def _call(sql: str, name: str, body) -> str:
+    """Replace every ``name(argument)``, the argument with balanced brackets, by ``body(argument)``."""
+    while (at := sql.find(f"{name}(")) >= 0:
+        depth, end = 1, at + len(name) + 1
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            end += 1
+        sql = sql[:at] + body(sql[at + len(name) + 1 : end - 1]) + sql[end:]
+    return sql
+
+
 def check_text(sql: str) -> str:
     """SQL for the checking database, with the inputs it names put before it."""
     out = re.sub(r"each\(([^,()]+), ([^,()]+)\)", r"CAST(unnest(range(\1, \2 + 1)) AS INT)", sql)
-    return out.replace("AS STRING", "AS VARCHAR")
+    out = out.replace("AS STRING", "AS VARCHAR")
+    return _call(out, "base4", lambda x: f"to_base({x}, 4, {N_BARCODE})")
 
 
 def oracle(sql: str) -> str:
@@ -258,11 +271,17 @@ def oracle(sql: str) -> str:
 
 def spark_text(sql: str) -> str:
     out = re.sub(r"each\(([^,()]+), ([^,()]+)\)", r"explode(sequence(\1, \2))", sql)
+    out = _call(out, "base4", lambda x: f"lpad(conv(CAST({x} AS STRING), 10, 4), {N_BARCODE}, '0')")
     return out.replace("//", " div ")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; one that is a single small file is spread over the cores,
+    because the inputs turn each of its rows into many.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -13,7 +13,7 @@ from spotweave.plans.registry import Inputs, Registry, rounded
 
 pixels = Registry()
 CH = list(CHANNELS)
-BLOCK = 8  # small, so that the frames of the derived data are cut into several blocks
+BLOCK = 16  # small, so that the frames of the derived data are cut into several blocks
 U16 = "CAST(least(greatest(round_even({}, 0), 0), 65535) AS INT)"
 
 
