@@ -11,12 +11,17 @@ from spotweave.operators.spatial import near_join
 def assign_by_mask(spots: DataFrame, mask: DataFrame, name: str = "cell_num") -> DataFrame:
     """Label of the pixel under each spot; 0 on background or outside the frame.
 
-    ``mask(fov, r, c, label)`` has at most one row per pixel, so a crowded
-    pixel only makes the spot side of the join heavy, and that side can be split.
+    ``mask(fov, r, c, label)`` has at most one row per pixel and is by far the
+    larger side, so it is only streamed: the distinct spot pixels, which spread
+    evenly however crowded one pixel is, are hashed and looked up in it without
+    sorting it.  The labels then go back to the spots.
     """
+    keys = ["fov", "r", "c"]
     at = spots.withColumn("r", F.rint("lroi_x").cast("int")).withColumn("c", F.rint("lroi_y").cast("int"))
-    hit = at.join(mask.select("fov", "r", "c", "label"), ["fov", "r", "c"], "left")
-    return hit.select(*spots.columns, F.coalesce("label", F.lit(0)).cast("long").alias(name))
+    pixels = at.select(*keys).distinct().hint("shuffle_hash")
+    hits = pixels.join(mask.select(*keys, "label"), keys)
+    found = at.join(hits, keys, "left")
+    return found.select(*spots.columns, F.coalesce("label", F.lit(0)).cast("long").alias(name))
 
 
 def global_cell_id(fov: str = "fov", label: str = "cell_num", start: int = 1, per_fov: int = 10_000) -> Column:
