@@ -82,7 +82,7 @@ def _collapse_by_rounds(uniq: DataFrame, length: int, errors: int, max_rounds: i
         F.min(F.struct("d", (-F.col("pn")).alias("pn"), "parent")).alias("_p")
     )
     return uniq.join(near, ["cell_id", "seq"], "left").select(
-        "cell_id", F.coalesce("_p.parent", "seq").alias("owner"), "n", (F.col("_p").isNull()).alias("_self")
+        "cell_id", F.coalesce("_p.parent", "seq").alias("owner"), "n"
     )
 
 
@@ -104,14 +104,19 @@ def _collapse_in_row(listed: Column, errors: int) -> Column:
     return F.aggregate(listed, empty, step)
 
 
-def collapse_barcodes(
-    spots: DataFrame,
+def collapse_barcodes(spots: DataFrame, length: int, errors: int = ERRORS_MAX, **how) -> DataFrame:
+    """Collapsed barcodes ``(cell_id, seq, n)`` of a table of barcode spots."""
+    return collapse_unique(settle(unique_barcodes(spots), "unique"), length, errors, **how)
+
+
+def collapse_unique(
+    uniq: DataFrame,
     length: int,
     errors: int = ERRORS_MAX,
     fold_limit: int = FOLD_LIMIT,
     max_rounds: int = 200,
 ) -> DataFrame:
-    """Collapsed barcodes ``(cell_id, seq, n)``, sequencing errors merged.
+    """Collapse distinct barcodes ``(cell_id, seq, n)``, sequencing errors merged.
 
     In order of (count down, sequence up) a barcode joins the nearest accepted
     one within ``errors`` positions, the earliest accepted on a tie, or is
@@ -121,7 +126,6 @@ def collapse_barcodes(
     """
     if not 0 <= errors <= 3:
         raise ValueError("errors must be between 0 and 3")
-    uniq = settle(unique_barcodes(spots), "unique")
     sizes = uniq.groupBy("cell_id").agg(F.count(F.lit(1)).alias("_k"))
     sized = uniq.join(sizes, "cell_id")
     # The longest list that is ever collected has ``fold_limit`` entries.
@@ -185,17 +189,15 @@ def dominant_barcode(spots: DataFrame, length: int, count_min: int = COUNT_MIN,
     such a cell are kept, the dominant one flagged (the earliest accepted on a
     tie, which is the one with the larger own count, then the lower sequence).
     """
-    enough = spots.groupBy("cell_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > count_min)
-    eligible = spots.join(enough, "cell_id", "left_semi")
-    merged = settle(collapse_barcodes(eligible, length, errors, **how), "merged")
-    own = unique_barcodes(eligible).withColumnRenamed("n", "own")
-    rank = F.struct(F.col("n"), F.col("own"))
-    merged = merged.join(own, ["cell_id", "seq"])
-    top = merged.groupBy("cell_id").agg(F.max(rank).alias("_top"), F.max("n").alias("_best"))
-    tied = merged.join(top, "cell_id").where(F.col("_best") > count_min)
-    first = tied.where(rank == F.col("_top")).groupBy("cell_id").agg(F.min("seq").alias("_dom"))
-    return tied.join(first, "cell_id").select(
-        "cell_id", "seq", F.col("n"), (F.col("seq") == F.col("_dom")).alias("dominant")
+    uniq = settle(unique_barcodes(spots), "unique")
+    enough = uniq.groupBy("cell_id").agg(F.sum("n").alias("_n")).where(F.col("_n") > count_min)
+    eligible = settle(uniq.join(enough, "cell_id", "left_semi"), "eligible")
+    merged = settle(collapse_unique(eligible, length, errors, **how), "merged")
+    merged = merged.join(eligible.withColumnRenamed("n", "own"), ["cell_id", "seq"])
+    rank = F.struct((-F.col("n")).alias("n"), (-F.col("own")).alias("own"), "seq")
+    top = merged.groupBy("cell_id").agg(F.min(rank).alias("_top")).where(-F.col("_top.n") > count_min)
+    return merged.join(top, "cell_id").select(
+        "cell_id", "seq", "n", (F.col("seq") == F.col("_top.seq")).alias("dominant")
     )
 
 

@@ -323,22 +323,26 @@ def measure_labels(mask: DataFrame) -> DataFrame:
 
 
 def expand_labels(mask: DataFrame, height: int, width: int, distance: int = 3) -> DataFrame:
-    """Background pixels within the distance take the nearest label, the lowest on a tie."""
-    disc = [
-        (dr, dc)
-        for dr in range(-distance, distance + 1)
-        for dc in range(-distance, distance + 1)
-        if dr * dr + dc * dc <= distance * distance
-    ]
-    offsets = F.array(*[F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc"), F.lit(dr * dr + dc * dc).alias("d2")) for dr, dc in disc])
-    spread = mask.withColumn("_o", F.explode(offsets)).select(
-        "fov",
-        (F.col("r") + F.col("_o.dr")).alias("r"),
-        (F.col("c") + F.col("_o.dc")).alias("c"),
-        F.struct(F.col("_o.d2").alias("d2"), F.col("label")).alias("_n"),
-    )
-    inside = F.col("r").between(0, height - 1) & F.col("c").between(0, width - 1)
-    return spread.where(inside).groupBy("fov", "r", "c").agg(F.min("_n").alias("_n")).select("fov", "r", "c", "_n.label")
+    """Background pixels within the distance take the nearest label, the lowest on a tie.
+
+    Labels spread along the rows first and the nearest one per pixel spreads
+    across them: for one line of the disc the nearest label is the same
+    whichever line it is, so two short sweeps replace the whole disc.
+    """
+    steps = range(-distance, distance + 1)
+
+    def spread(df: DataFrame, axis: str, size: int) -> DataFrame:
+        moves = F.array(*[F.struct(F.lit(d).alias("d"), F.lit(d * d).alias("d2")) for d in steps])
+        moved = df.withColumn("_m", F.explode(moves)).select(
+            "fov",
+            *[(F.col(a) + F.col("_m.d")).alias(a) if a == axis else F.col(a) for a in ("r", "c")],
+            F.struct((F.col("_n.d2") + F.col("_m.d2")).alias("d2"), F.col("_n.label").alias("label")).alias("_n"),
+        )
+        inside = F.col(axis).between(0, size - 1) & (F.col("_n.d2") <= distance * distance)
+        return moved.where(inside).groupBy("fov", "r", "c").agg(F.min("_n").alias("_n"))
+
+    start = mask.select("fov", "r", "c", F.struct(F.lit(0).alias("d2"), F.col("label")).alias("_n"))
+    return spread(spread(start, "c", width), "r", height).select("fov", "r", "c", "_n.label")
 
 
 def fuse_masks(nuclei: DataFrame, cyto: DataFrame) -> DataFrame:

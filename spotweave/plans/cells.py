@@ -77,6 +77,18 @@ def spot_cell_by_mask(i: Inputs) -> DataFrame:
     return assign.assign_by_mask(i.spots, i.mask).select("spot_id", "modality", "fov", "gene_id", "cell_num")
 
 
+@cells.query(
+    f"""WITH {HIT} SELECT b.spot_id, b.seq, h.cell_num AS cellidbc, CASE WHEN h.cell_num > 0 THEN h.cell_num + CAST(h.fov AS BIGINT) * 10000 END AS cell_id
+    FROM (SELECT DISTINCT spot_id, seq FROM fx_bc_spots) b JOIN (SELECT DISTINCT spot_id, fov, cell_num FROM hit) h USING (spot_id)"""
+)
+def barcode_spot_cells(i: Inputs) -> DataFrame:
+    """Cell of every barcode spot, local and global."""
+    spots = i.bc_spots.select("spot_id", "seq").distinct().join(i.spots.select("spot_id", "fov", "lroi_x", "lroi_y").distinct(), "spot_id")
+    found = assign.assign_by_mask(spots, i.mask, "cellidbc")
+    own = F.when(F.col("cellidbc") > 0, assign.global_cell_id(label="cellidbc"))
+    return found.select("spot_id", "seq", "cellidbc", own.alias("cell_id"))
+
+
 def outlined(i: Inputs) -> DataFrame:
     """Cells with a six-cornered outline around the centre."""
     x, y = F.col("cent_x"), F.col("cent_y")

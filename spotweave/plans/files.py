@@ -12,7 +12,7 @@ from spotweave.operators import assign, basecall, expression, pixels as px, tile
 from spotweave.operators.codebook import combine_codebooks
 from spotweave.plans.basecalls import NOISE_FINAL, NOISE_FIRST
 from spotweave.plans.cells import HIT, ALL_SPOTS, located
-from spotweave.plans.inputs import CHANNELS, N_CYCLES
+from spotweave.plans.inputs import CHANNELS, N_CYCLES, table
 from spotweave.plans.registry import Inputs, Registry, rounded
 from spotweave.session import fresh_path
 from spotweave.sources import manifest as mf
@@ -165,6 +165,12 @@ def position_numbers(i: Inputs) -> DataFrame:
     return mf.position_index(manifest(i).select(tile_name.alias("tile_name")).distinct())
 
 
+@files.query("SELECT fov, tile_name, CAST(dense_rank() OVER (ORDER BY CAST(substr(position, 4) AS INT)) + 2 AS BIGINT) AS slice FROM fx_tiles")
+def slice_numbers(i: Inputs) -> DataFrame:
+    numbered = mf.position_index(i.tiles)
+    return numbered.select("fov", "tile_name", expression.slice_number(F.col("position_index"), 3).alias("slice"))
+
+
 @files.query(
     f"""WITH {MANIFEST} SELECT path, col - 1 AS col, row, split_part(path, '/', 1) || '/MAX_Pos2_00' || CAST(col - 1 AS VARCHAR) || '_00' || CAST(row AS VARCHAR) || '.tif' AS target
     FROM manifest WHERE position = '2' AND col BETWEEN 1 AND 2 AND row BETWEEN 0 AND 2"""
@@ -216,14 +222,13 @@ def spot_tables(i: Inputs) -> DataFrame:
     return readers.read_spot_tables(i.spark, paths)
 
 
-@files.query("SELECT fov, cell_num, cent_x, cent_y FROM fx_cells")
+@files.query("SELECT vec_id, unnest(embedding) AS embedding, unnest(list_transform(embedding, lambda x: x * 2::FLOAT)) AS doubled FROM embeddings")
 def flattened_tiles(i: Inputs) -> DataFrame:
-    """Cells of a tile as parallel lists, as a run stores them, back to rows."""
-    cols = ["cell_num", "cent_x", "cent_y"]
-    # A tile lists its own cells: at most 255 in the derived data, fewer than 10,000 in a run.
-    listed = i.cells.groupBy("fov").agg(F.array_sort(F.collect_list(F.struct(*cols))).alias("_l"))
-    tile = listed.select("fov", *[F.col(f"_l.{c}").alias(c) for c in cols])
-    return readers.flatten_tiles(tile, "fov", cols)
+    """Parallel lists under one key, as a run stores the entries of a tile, back to rows."""
+    listed = table(i.spark, i.sf_dir, "embeddings").select(
+        "vec_id", "embedding", F.transform("embedding", lambda x: (x * 2).cast("float")).alias("doubled")
+    )
+    return readers.flatten_tiles(listed, "vec_id", ["embedding", "doubled"])
 
 
 @files.query("SELECT fov, scale, pos_x, pos_y FROM fx_tforms")

@@ -7,6 +7,7 @@ the directories of the mode), ``position``, ``col``, ``row`` and ``path``.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,14 +51,17 @@ def scan_manifest(
     # Cycles are the directories of a mode: dozens, whatever the number of files.
     dirs = named.select("mode", "dir").distinct()
     cycles = dirs.withColumn("cycle", F.row_number().over(Window.partitionBy("mode").orderBy("dir")) - 1)
-    matched = named.where(first_match("stem", tiles).isNotNull()).join(cycles, ["mode", "dir"])
+    follows = reduce(lambda a, b: a | b, [F.col("stem").rlike(t) for t in tiles])
+    matched = named.where(follows).join(cycles, ["mode", "dir"])
+    # Rows that got here follow one of the patterns, so a single pattern needs no second test.
+    part = lambda g: F.regexp_extract("stem", tiles[0], g) if len(tiles) == 1 else first_match("stem", tiles, g)
     if all("(" in t for t in tiles):
         return matched.select(
             "mode",
             "cycle",
-            F.trim(first_match("stem", tiles, 1)).alias("position"),
-            first_match("stem", tiles, 2).cast("int").alias("col"),
-            first_match("stem", tiles, 3).cast("int").alias("row"),
+            F.trim(part(1)).alias("position"),
+            part(2).cast("int").alias("col"),
+            part(3).cast("int").alias("row"),
             "path",
         )
     counted = number_within(matched.select("mode", "cycle", "path"), ["mode", "cycle"], ["path"], "col")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from spotweave.operators import assign, barcodes, basecall, codebook, expression, layout, overlaps, pixels, ranking, registration
 from spotweave.sources import manifest
 
-FEW = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+FEW = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 def frame(spark, rows, schema):
