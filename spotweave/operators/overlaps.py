@@ -148,10 +148,13 @@ def overlap_components(neurons: DataFrame, half: float, max_rounds: int = 100) -
         "site", F.concat_ws("|", F.col("slice"), F.col("x"), F.col("y"), F.col("fov"))
     )
     here = settle(here, "sites")
-    far = here.select(
+    # Three tiles per place are enough to hold its cells together: whatever tile a
+    # site is in, two of them differ from it and from each other.
+    first = Window.partitionBy(*PLACE).orderBy("fov")
+    far = here.withColumn("_rank", F.row_number().over(first)).where("_rank <= 3").select(
         "slice", F.col("x").alias("nx"), F.col("y").alias("ny"), F.col("fov").alias("nfov"), F.col("site").alias("nsite")
     )
-    edges = near_join(
+    met = near_join(
         here.select(*PLACE, "fov", "site"),
         far,
         ["slice"],
@@ -160,7 +163,8 @@ def overlap_components(neurons: DataFrame, half: float, max_rounds: int = 100) -
         ("nx", "ny"),
         boxes_overlap(half) & (F.col("fov") != F.col("nfov")),
     ).select("site", "nsite")
-    edges = settle(edges, "edges")
+    met = settle(met, "edges")
+    edges = settle(met.union(met.select(F.col("nsite"), F.col("site"))).distinct(), "edges")
     labels = settle(edges.select("site", F.col("site").alias("label")).distinct(), "labels")
     for _ in range(max_rounds):
         seen = edges.join(labels.select(F.col("site").alias("nsite"), "label"), "nsite").groupBy("site").agg(

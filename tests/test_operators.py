@@ -161,6 +161,24 @@ def test_components_chain(spark):
     assert {k for k, kept in got.items() if kept} == {4, 50, 51}
 
 
+@FEW
+@given(st.integers(0, 10**6), st.sampled_from([(8, 2), (40, 5), (200, 6)]))
+def test_components_against_all_pairs(spark, seed, shape):
+    spread, tiles = shape
+    rng = random.Random(seed)
+    cells = [(k, 0, rng.randrange(tiles), rng.randrange(spread) / 2, rng.randrange(spread) / 2, rng.randrange(9)) for k in range(40)]
+    group = {c[0]: c[0] for c in cells}
+    for _ in cells:
+        for a, b in itertools.permutations(cells, 2):
+            dx, dy = abs(a[3] - b[3]), abs(a[4] - b[4])
+            if a[2] != b[2] and 0 < dx < 4 and 0 < dy < 4:
+                group[a[0]] = group[b[0]] = min(group[a[0]], group[b[0]])
+    total = {c[0]: c[5] for c in cells}
+    best = {g: min((k for k in group if group[k] == g), key=lambda k: (-total[k], k)) for g in set(group.values())}
+    got = {r.id for r in overlaps.overlap_components(frame(spark, cells, NEURON), 2).where("kept").collect()}
+    assert got == set(best.values())
+
+
 # ---- barcodes ----------------------------------------------------------------------------
 
 
