@@ -24,6 +24,7 @@ HYB_ALL_GENES_CHANNEL = 2
 NO_CALL = 5
 
 MAX_CODES = 100_000  # rows of a codebook that may reach the driver
+MAX_SCORES = 4_000_000  # pixel times code scores held at once in a task
 
 
 # ---- spots ------------------------------------------------------------------
@@ -171,17 +172,16 @@ def code_table(codebook: DataFrame, n_cycles: int) -> tuple[np.ndarray, np.ndarr
     return ids, codes, np.array([row["control"] for row in rows], dtype=bool)
 
 
-def evidence_function(codes: np.ndarray, noise: float) -> Callable[[pd.Series], np.ndarray]:
-    """Scores of a batch of pixels: sum(signal * code) / ((|signal| + noise) * |code|).
+def evidence_function(codes: np.ndarray, noise: float) -> Callable[[np.ndarray], np.ndarray]:
+    """Scores of a few pixels: sum(signal * code) / ((|signal| + noise) * |code|).
 
     The function carries its codes and needs nothing but NumPy on the workers.
     """
     code_size = np.sqrt(codes.sum(axis=1))[None, :]
 
-    def evidence(sig: pd.Series) -> np.ndarray:
-        s = np.stack(sig.to_numpy())
-        size = np.sqrt((s * s).sum(axis=1))[:, None] + noise
-        return np.round((s @ codes.T) / (size * code_size), 9)
+    def evidence(signals: np.ndarray) -> np.ndarray:
+        size = np.sqrt((signals * signals).sum(axis=1))[:, None] + noise
+        return np.round((signals @ codes.T) / (size * code_size), 9)
 
     return evidence
 
@@ -189,17 +189,23 @@ def evidence_function(codes: np.ndarray, noise: float) -> Callable[[pd.Series],
 def decode(pixels: DataFrame, table: tuple[np.ndarray, np.ndarray, np.ndarray], noise: float) -> DataFrame:
     """Best code of every pixel ``(fov, r, c, sig)``: ``gene_id``, ``score`` and ``control``.
 
-    The product of all pixels and codes is a small matrix product per Arrow
-    batch, so no row is ever multiplied by the codebook.
+    The product of pixels and codes is a small matrix product per piece of an
+    Arrow batch, so no row is ever multiplied by the codebook.
     """
     ids, codes, control = table
     evidence = evidence_function(codes, noise)
+    step = max(1, MAX_SCORES // len(ids))
 
     @F.pandas_udf("gene_id int, score double, control boolean")
     def best(sig: pd.Series) -> pd.DataFrame:
-        e = evidence(sig)
-        top = e.argmax(axis=1)
-        return pd.DataFrame({"gene_id": ids[top], "score": e[np.arange(len(e)), top], "control": control[top]})
+        signals = np.stack(sig.to_numpy())
+        top, score = [], []
+        for start in range(0, len(signals), step):
+            e = evidence(signals[start : start + step])
+            top.append(e.argmax(axis=1))
+            score.append(e.max(axis=1))
+        top = np.concatenate(top)
+        return pd.DataFrame({"gene_id": ids[top], "score": np.concatenate(score), "control": control[top]})
 
     return pixels.select("fov", "r", "c", best("sig").alias("_b")).select("fov", "r", "c", "_b.*")
 
@@ -212,7 +218,7 @@ def control_maxima(pixels: DataFrame, table: tuple[np.ndarray, np.ndarray, np.nd
 
     @F.pandas_udf("array<double>")
     def scores(sig: pd.Series) -> pd.Series:
-        return pd.Series(list(evidence(sig)))
+        return pd.Series(list(evidence(np.stack(sig.to_numpy()))))
 
     wide = pixels.select("fov", scores("sig").alias("e"))
     top = wide.groupBy("fov").agg(*[F.max(F.get("e", F.lit(k))).alias(str(g)) for k, g in enumerate(ids)])

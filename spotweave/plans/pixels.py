@@ -60,7 +60,7 @@ def _pair(first: str, second: str, m) -> tuple[str, str]:
     )
 
 
-def _solved(matrix) -> list[str]:
+def solved_sql(matrix) -> list[str]:
     top = [row[:2] for row in matrix[:2]]
     low = [row[2:] for row in matrix[2:]]
     return [*_pair(CH[0], CH[1], top), *_pair(CH[2], CH[3], low)]
@@ -68,7 +68,7 @@ def _solved(matrix) -> list[str]:
 
 @pixels.query(
     "SELECT fov, cycle, r, c, "
-    + ", ".join(f"{U16.format(e)} AS {ch}" for e, ch in zip(_solved(px.BLEED_PROFILE), CH))
+    + ", ".join(f"{U16.format(e)} AS {ch}" for e, ch in zip(solved_sql(px.BLEED_PROFILE), CH))
     + " FROM fx_px"
 )
 def unmixed_pixels(i: Inputs) -> DataFrame:
@@ -77,7 +77,7 @@ def unmixed_pixels(i: Inputs) -> DataFrame:
 
 @pixels.query(
     "SELECT fov, cycle, r, c, "
-    + ", ".join(f"round(greatest({e}, 0), 6) AS {ch}" for e, ch in zip(_solved(px.MIXING), CH))
+    + ", ".join(f"round(greatest({e}, 0), 6) AS {ch}" for e, ch in zip(solved_sql(px.MIXING), CH))
     + " FROM fx_px"
 )
 def colour_corrected(i: Inputs) -> DataFrame:
@@ -111,7 +111,7 @@ def background_square(i: Inputs) -> DataFrame:
     return px.subtract_background(i.px, CH, size=3, shape="square", block=BLOCK)
 
 
-def _aligned(ch: str, shift: tuple[float, float]) -> str:
+def aligned_sql(ch: str, shift: tuple[float, float]) -> str:
     tx, ty = shift
     at = lambda dr, dc: f"coalesce(max(CAST({ch} AS DOUBLE)) FILTER (WHERE dr = {dr} AND dc = {dc}), 0)"
     x0, y0 = int(np.floor(-tx)), int(np.floor(-ty))
@@ -129,7 +129,7 @@ def _aligned(ch: str, shift: tuple[float, float]) -> str:
     f"""WITH px AS MATERIALIZED (SELECT * FROM fx_px),
     near AS (SELECT p.fov, p.cycle, p.r, p.c, q.r - p.r AS dr, q.c - p.c AS dc, {', '.join(f'q.{ch}' for ch in CH)}
       FROM px p JOIN px q ON q.fov = p.fov AND q.cycle = p.cycle AND abs(q.r - p.r) <= 2 AND abs(q.c - p.c) <= 2)
-    SELECT fov, cycle, r, c, {', '.join(_aligned(ch, s) for ch, s in zip(CH, px.CHANNEL_SHIFTS))} FROM near GROUP BY fov, cycle, r, c"""
+    SELECT fov, cycle, r, c, {', '.join(aligned_sql(ch, s) for ch, s in zip(CH, px.CHANNEL_SHIFTS))} FROM near GROUP BY fov, cycle, r, c"""
 )
 def aligned_channels(i: Inputs) -> DataFrame:
     return px.align_channels(i.px, CH, block=BLOCK)

@@ -24,6 +24,9 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
     return spark
 
 
+_LOCAL: dict[str, str] = {}  # temporary folder of a local session without a named one
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
     sc = spark.sparkContext
@@ -32,9 +35,9 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="spotweave-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if sc.applicationId not in _LOCAL:
+        _LOCAL[sc.applicationId] = tempfile.mkdtemp(prefix="spotweave-", dir="/tmp")
+    return _LOCAL[sc.applicationId]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -1,6 +1,9 @@
-"""Counts that follow arriving files."""
+"""Counts that follow arriving files, and the folder tables settle in."""
+
+import pytest
 
 from spotweave.operators import expression
+from spotweave.session import settle, shared_folder
 from spotweave.streaming.incremental import read_counts, update_counts
 
 SCHEMA = "fov int, cell_num bigint, gene_id int"
@@ -25,3 +28,32 @@ def test_restart_counts_every_file_once(spark, tmp_path):
     assert update() == {(0, 1, 5, 3)}
     arrive([(1, 1, 6), (0, 1, 5)])
     assert update() == {(0, 1, 5, 4), (1, 1, 6, 1)}
+
+
+class Session:
+    """Stands in for a session with or without a named folder."""
+
+    def __init__(self, master, named=None):
+        self.sparkContext = self
+        self.master, self.named, self.applicationId = master, named, f"{master}-{named}"
+        self.conf = self
+
+    def get(self, key, default=None):
+        return self.named or default
+
+    def getConf(self):
+        return self
+
+
+def test_named_folder_is_used_and_required_on_a_cluster():
+    assert shared_folder(Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session("yarn"))
+    local = Session("local[2]")
+    assert shared_folder(local) == shared_folder(local)
+
+
+def test_settled_tables_go_to_the_folder(spark):
+    table = settle(spark.range(10))
+    assert table.count() == 10
+    assert all(shared_folder(spark) in f for f in table.inputFiles())
