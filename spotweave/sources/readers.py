@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spotweave.schemas import TABLES
 
-CODEBOOK = "gene_id INT, gene STRING, sequence STRING"
 SPOT_CSV = "m1 DOUBLE, m2 DOUBLE, j INT"
 PARAMS = "threshold DOUBLE, noise_first DOUBLE, noise_final DOUBLE, median_max ARRAY<DOUBLE>"
 TILE_TEXT = "MAX_Pos\\d+_\\d+_\\d+"
@@ -22,7 +22,7 @@ def read_tsv(spark: SparkSession, path: str, schema: str, comment: str = "#") ->
 
 def read_codebook(spark: SparkSession, path: str) -> DataFrame:
     """Codebook whose index column is the gene id."""
-    return read_tsv(spark, path, CODEBOOK)
+    return read_tsv(spark, path, TABLES["codebook"])
 
 
 def read_matrix(spark: SparkSession, path: str, n_cols: int) -> DataFrame:

@@ -58,3 +58,15 @@ def write_params(params: DataFrame, path: str) -> None:
 def write_by_position(manifest: DataFrame, path: str) -> None:
     """Manifest partitioned by position, so that later reads prune."""
     manifest.write.partitionBy("position").parquet(path)
+
+
+def store_by_pixel(df: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
+    """Save a pixel, mask or spot table bucketed by pixel.
+
+    Tables stored with the same number of buckets join on the pixel without
+    moving either of them, which pays for images that many steps read.
+    """
+    writer = df.write.bucketBy(buckets, "fov", "r", "c").sortBy("fov", "r", "c")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)

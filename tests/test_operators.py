@@ -434,3 +434,33 @@ def test_tile_sets_pair_by_tile_not_by_order(spark):
     rows = [("geneseq", 0, "1", 0, 0, "g1/a"), ("geneseq", 0, "1", 0, 1, "g1/b"), ("hyb", 0, "1", 0, 1, "h1/b")]
     sets = manifest.file_sets(frame(spark, rows, "mode string, cycle int, position string, col int, row int, path string"), "tileset", ["geneseq", "hyb"])
     assert {(r.set_key, r.ordinal, r.path) for r in sets.collect()} == {("1/0/0", 0, "g1/a"), ("1/0/1", 0, "g1/b"), ("1/0/1", 1, "h1/b")}
+
+
+def test_bucketed_tables_join_in_place(spark, tmp_path):
+    from spotweave.sources.sinks import store_by_pixel
+
+    px = image(spark, [np.arange(60).reshape(1, 6, 10)])
+    mask = px.select("fov", "r", "c", (F.col("c") % 3 + 1).cast("long").alias("label"))
+    store_by_pixel(px, "px_stored", 4, str(tmp_path / "px"))
+    store_by_pixel(mask, "mask_stored", 4, str(tmp_path / "mask"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = pixels.label_signal(spark.table("mask_stored"), spark.table("px_stored"), ["k0"])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        # Only the final sums move.
+        assert plan.count("Exchange hashpartitioning") == 1
+        want = pixels.label_signal(mask, px, ["k0"])
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_schemas(spark):
+    from spotweave import schemas
+
+    df = frame(spark, [(1, 2.0, 3.0, 4, 5.0, "x")], "fov bigint, lroi_x double, lroi_y double, gene_id bigint, signal double, extra string")
+    assert schemas.conform(df, "spots").schema.simpleString() == "struct<fov:int,lroi_x:double,lroi_y:double,gene_id:int,signal:double>"
+    with pytest.raises(ValueError, match="missing columns: label"):
+        schemas.conform(df, "fov INT, label BIGINT")
+    assert schemas.pixels(["a", "b"]).endswith("c INT, a INT, b INT")
