@@ -273,6 +273,25 @@ def pick_threshold(curve: DataFrame, limit: float = 0.05) -> DataFrame:
     return curve.agg(F.min(F.when(F.col("fdr") < limit, F.col("threshold"))).alias("threshold"))
 
 
+def signal_vectors(pixels: DataFrame, channels: Sequence[str], n_cycles: int) -> DataFrame:
+    """Signals of all cycles per pixel, every plane divided by its median maximum; written once."""
+    normal = normalise_median(pixels, channels, median_max(pixels, channels))
+    return settle(stack_cycles(normal, channels, n_cycles), "vectors")
+
+
+def fdr_threshold(
+    vectors: DataFrame,
+    peaks: DataFrame,
+    table: tuple[np.ndarray, np.ndarray, np.ndarray],
+    noise_first: float = 0.001,
+    limit: float = 0.05,
+) -> DataFrame:
+    """One row with the lowest threshold under the false-discovery limit, or null."""
+    base = base_threshold(control_maxima(vectors, table, noise_first)).first()["threshold"]
+    curve = fdr_curve(sweep_thresholds(peaks, base), len(table[0]), int(table[2].sum()))
+    return pick_threshold(curve, limit)
+
+
 def calibrate(
     pixels: DataFrame,
     channels: Sequence[str],
@@ -286,27 +305,22 @@ def calibrate(
     """One row of decoding parameters: threshold under the false-discovery limit,
     noise floors and the normalising median of every plane.
 
-    The normalised signals are written once and read by both passes.  Only the
-    codebook, one threshold and the plane medians ever reach the driver.
+    Only the codebook and one threshold ever reach the driver.
     """
-    medians = median_max(pixels, channels)
-    vectors = settle(stack_cycles(normalise_median(pixels, channels, medians), channels, n_cycles), "vectors")
+    vectors = signal_vectors(pixels, channels, n_cycles)
     table = code_table(codebook, n_cycles)
-    n_genes, n_controls = len(table[0]), int(table[2].sum())
-    base = base_threshold(control_maxima(vectors, table, noise_first)).first()["threshold"]
     peaks = decoded_peaks(decode(vectors, table, noise_final), block=block)
-    picked = pick_threshold(fdr_curve(sweep_thresholds(peaks, base), n_genes, n_controls), limit)
     planes = F.flatten(
         F.transform(
             F.array_sort(F.collect_list(F.struct("cycle", F.array(*[F.col(f"_med_{ch}") for ch in channels]).alias("m")))),
             lambda row: row["m"],
         )
     )
-    return picked.select(
+    return fdr_threshold(vectors, peaks, table, noise_first, limit).select(
         "threshold",
         F.lit(noise_first).alias("noise_first"),
         F.lit(noise_final).alias("noise_final"),
-        medians.agg(planes.alias("median_max")).scalar().alias("median_max"),
+        median_max(pixels, channels).agg(planes.alias("median_max")).scalar().alias("median_max"),
     )
 
 

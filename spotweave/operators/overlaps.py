@@ -42,7 +42,7 @@ def best_neighbour(neurons: DataFrame, half: float) -> DataFrame:
     cells of other tiles, or null where there is none.
     """
     neurons = settle(neurons, "neurons")
-    here = settle(sites(neurons), "sites")
+    here = sites(neurons)
     # The limit on the rank is applied before the exchange too, so a crowded place stays small.
     ranked = here.withColumn(
         "_rank", F.row_number().over(Window.partitionBy(*PLACE).orderBy(F.col("top").desc(), "fov"))
@@ -82,7 +82,7 @@ def flag_duplicates(neurons: DataFrame, half: float) -> DataFrame:
 def _neighbour_count(neurons: DataFrame, reach: float, keep: Column, name: str) -> DataFrame:
     """Number of cells of other tiles that pass ``keep``: all of them less those of the own tile."""
     neurons = settle(neurons, "neurons")
-    here = settle(sites(neurons), "sites")
+    here = sites(neurons)
     places = here.groupBy(*PLACE).agg(F.sum("n").alias("n"))
     far = [F.col("x").alias("nx"), F.col("y").alias("ny"), F.col("n").alias("nn")]
     any_tile = (

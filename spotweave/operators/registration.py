@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,23 +28,27 @@ def displacement_votes(template: DataFrame, moving: DataFrame, reach: int, block
     )
     side = block + 2 * reach
 
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        r = pdf["r"].to_numpy() - pdf["_br"].iloc[0] * block + reach
-        c = pdf["c"].to_numpy() - pdf["_bc"].iloc[0] * block + reach
-        dense = lambda v: np.bincount(r * side + c, weights=pdf[v], minlength=side * side).reshape(side, side)
+    shifts = [(dr, dc) for dr in range(-reach, reach + 1) for dc in range(-reach, reach + 1)]
+
+    def score(key: tuple, rows: pa.Table) -> pa.Table:
+        fov, cycle, br, bc = (k.as_py() for k in key)
+        r = rows["r"].to_numpy() - br * block + reach
+        c = rows["c"].to_numpy() - bc * block + reach
+        dense = lambda v: np.bincount(r * side + c, weights=rows[v].to_numpy(), minlength=side * side).reshape(side, side)
         f, m = dense("f"), dense("m")
         inner = f[reach : reach + block, reach : reach + block]
-        rows = [
-            (dr, dc, float((inner * m[reach + dr : reach + dr + block, reach + dc : reach + dc + block]).sum()))
-            for dr in range(-reach, reach + 1)
-            for dc in range(-reach, reach + 1)
-        ]
-        out = pd.DataFrame(rows, columns=["dr", "dc", "vote"])
-        out.insert(0, "cycle", pdf["cycle"].iloc[0])
-        out.insert(0, "fov", pdf["fov"].iloc[0])
-        return out
-
-    blocks = placed.groupBy("fov", "cycle", "_br", "_bc").applyInPandas(score, VOTES)
+        votes = [(inner * m[reach + dr : reach + dr + block, reach + dc : reach + dc + block]).sum() for dr, dc in shifts]
+        return pa.table(
+            {
+                "fov": pa.array([fov] * len(shifts), pa.int32()),
+                "cycle": pa.array([cycle] * len(shifts), pa.int32()),
+                "dr": pa.array([dr for dr, _ in shifts], pa.int32()),
+                "dc": pa.array([dc for _, dc in shifts], pa.int32()),
+                "vote": pa.array(votes, pa.float64()),
+            }
+        )
+
+    blocks = placed.groupBy("fov", "cycle", "_br", "_bc").applyInArrow(score, VOTES)
     return blocks.groupBy("fov", "cycle", "dr", "dc").agg(F.sum("vote").alias("vote"))
 
 

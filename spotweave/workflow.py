@@ -51,17 +51,15 @@ def call_genes(
     limit: float = 0.05,
     block: int = 256,
 ) -> DataFrame:
-    """Gene spots above the threshold that keeps false discoveries under the limit."""
-    pixels = settle(pixels, "pixels")
-    params = settle(
-        basecall.calibrate(pixels, channels, codebook, n_cycles, noise_first, noise_final, limit, block), "params"
-    )
-    normal = px.normalise_median(pixels, channels, px.median_max(pixels, channels))
-    decoded = basecall.decode(
-        px.stack_cycles(normal, channels, n_cycles), basecall.code_table(codebook, n_cycles), noise_final
-    )
-    peaks = basecall.decoded_peaks(decoded, block=block)
-    called = peaks.where(F.col("score") > params.select("threshold").scalar())
+    """Gene spots above the threshold that keeps false discoveries under the limit.
+
+    The pixels are decoded once; threshold and spots come from the same peaks.
+    """
+    vectors = basecall.signal_vectors(settle(pixels, "pixels"), channels, n_cycles)
+    table = basecall.code_table(codebook, n_cycles)
+    peaks = settle(basecall.decoded_peaks(basecall.decode(vectors, table, noise_final), block=block), "peaks")
+    threshold = basecall.fdr_threshold(vectors, peaks, table, noise_first, limit).first()["threshold"]
+    called = peaks.where(F.col("score") > F.lit(threshold).cast("double"))
     return called.select(
         "fov", F.col("r").cast("double").alias("lroi_x"), F.col("c").cast("double").alias("lroi_y"), "gene_id", F.col("score").alias("signal")
     )
