@@ -60,6 +60,7 @@ def exact_groups(
 
     suspects = rows.where(F.col("_full").isNotNull())
     groups = suspects.groupBy("_size", "_full").agg(F.max("_id").alias("_keep"), F.count(F.lit(1)).alias("_n"))
+    groups = settle(groups, "groups")  # a table of its own, so that the join can split a group's rows
     # A text that no mark let through is alone; its length spreads it in the join.
     found = rows.join(groups, ["_size", "_full"], "left")
     single = F.col("_full").isNull()
