@@ -6,11 +6,16 @@ threshold if their prefixes share a shingle; such pairs go through the length,
 positional and suffix filters, and what is left is verified once on the whole
 sets.
 
-A large group of near copies would still make all its pairs.  So the sets are
-first linked to hubs found by minimum hashes, a linear number of verified
-pairs, and the join then only pairs sets of different components.  Links
-inside a component that is already connected add nothing to it, so no
-component is lost.
+A large group of near copies would still make all its pairs.  So sets are first
+tried against hubs, the commonest set among those that agree in some minimum
+hashes: a linear number of verified pairs that joins most of each group.  Pairs
+inside a component add nothing to it and are not made.  Other sets with the
+same hub h need no common prefix either: their overlap is at most the smaller
+part they share with h, plus the shingles outside h that both have.  So they
+can only be linked if both share enough with h (a join on hub and size) or have
+a shingle outside h in common (a join on hub and shingle).  What is left for
+the prefix join are pairs of sets with different hubs, and a shingle that only
+sets of one hub have is dropped before it.
 """
 
 from __future__ import annotations
@@ -31,8 +36,8 @@ WORDS = 5
 PERCENT = 75
 ORDER_BITS = 18  # shingle counts are kept in 2**18 bins, a table of fixed size
 BIN_BLOCK = 4096
-PIVOTS = 64  # slices of the suffix filter
-BANDS, ROWS = 4, 2  # hubs: sets that agree in a band of minimum hashes
+PER_SLICE = 4  # shingles in a slice of the suffix filter, about
+BANDS, ROWS = 8, 2  # hubs: sets that agree in a band of minimum hashes
 
 _SALTS = np.random.default_rng(7).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -83,15 +88,17 @@ def _described(counts, words: int, percent: int):
         for batch in batches:
             ids, hashes = batch.column(0), batch.column(2)
             for first, data, ends in wordbytes.slices(batch.column(1)):
-                keys, sizes, prefixes, pivots, hubs = [], [], [], [], []
+                keys, sizes, common, prefixes, pivots, hubs = [], [], [], [], [], []
                 for found in wordbytes.shingles_of(data, ends, words):
                     n = len(found)
                     keys.append(class_key(found))
                     sizes.append(n)
                     keep = n - -(-percent * n // 100) + 1 if n else 0
-                    order = np.argsort(rarity[_bins(found)], kind="stable")[:keep]
+                    seen = rarity[_bins(found)]
+                    common.append(int(seen.sum()) // n if n else 0)
+                    order = np.argsort(seen, kind="stable")[:keep]
                     prefixes.append(found[order].view(np.int64))
-                    pivots.append(np.bincount((found & np.uint64(PIVOTS - 1)).astype(np.int64), minlength=PIVOTS) if n else None)
+                    pivots.append(_slices(found) if n else None)
                     hubs.append(_bands(found) if n else None)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -99,11 +106,12 @@ def _described(counts, words: int, percent: int):
                         hashes.slice(first, len(ends)),
                         pa.array(keys, pa.int64()),
                         pa.array(sizes, pa.int64()),
+                        pa.array(common, pa.int64()),
                         pa.array(prefixes, pa.list_(pa.int64())),
                         pa.array(pivots, pa.list_(pa.int32())),
                         pa.array(hubs, pa.list_(pa.int64())),
                     ],
-                    ["id", "text_hash", "c", "n", "prefix", "pivots", "hubs"],
+                    ["id", "text_hash", "c", "n", "common", "prefix", "pivots", "hubs"],
                 )
 
     return describe
@@ -118,9 +126,23 @@ def hash_of(found: np.ndarray) -> np.int64:
     return np.frombuffer(hashlib.blake2b(found.tobytes(), digest_size=8).digest(), dtype=np.int64)[0]
 
 
+def _slices(found: np.ndarray) -> np.ndarray:
+    """Sizes of the slices of a set: a power of two of them, cut by the low bits of the shingles."""
+    count = 1 << max(4, (len(found) // PER_SLICE).bit_length())
+    return np.bincount((found & np.uint64(count - 1)).astype(np.int64), minlength=count)
+
+
+def _slice_bound(p: str, q: str) -> str:
+    """SQL for the largest overlap that the slices of two sets allow; sets of like size have as many slices or half."""
+    fold = "zip_with(slice({0}, 1, size({0}) div 2), slice({0}, size({0}) div 2 + 1, size({0}) div 2), (u, v) -> u + v)"
+    less = "zip_with({0}, {1}, (u, v) -> least(u, v))"
+    cases = f"CASE WHEN size({p}) > size({q}) THEN {less.format(fold.format(p), q)} WHEN size({p}) < size({q}) THEN {less.format(p, fold.format(q))} ELSE {less.format(p, q)} END"
+    return f"aggregate({cases}, 0, (s, v) -> s + v)"
+
+
 def _bands(found: np.ndarray) -> np.ndarray:
     """One key per band of minimum hashes."""
-    lows = np.array([wordbytes.mix(found ^ salt).min() for salt in _SALTS], dtype=np.uint64).reshape(BANDS, ROWS)
+    lows = (found[:, None] * _SALTS).min(axis=0).reshape(BANDS, ROWS)  # shingles are mixed already
     return wordbytes.mix(lows[:, 0] * _SALTS[0] + lows[:, 1] + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
@@ -155,11 +177,13 @@ def _shared(bitmap):
     return pick
 
 
-def verified(df: DataFrame, pairs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` of classes that reach the threshold, each decided once on the whole sets.
+def compared(df: DataFrame, pairs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
+    """The pairs ``a, b`` of classes with ``n_a, n_b, overlap`` and ``extra``, the shingles of b that a lacks.
 
-    Only texts that stand for a class in a pair are read again: a bitmap of
-    fixed size lets them through, and an exact join keeps the needed ones.
+    Each pair is compared once, on the whole sets.  Only texts that stand for a
+    class in a pair are read again: a bitmap of fixed size lets them through,
+    and an exact join keeps the needed ones.  ``extra`` is kept where b shares
+    at least half of its shingles.
     """
     spark = df.sparkSession
     ends = pairs.select(F.col("a").alias("c")).union(pairs.select(F.col("b").alias("c"))).distinct()
@@ -170,11 +194,11 @@ def verified(df: DataFrame, pairs: DataFrame, classes: DataFrame, words: int, pe
     left = sets.select(F.col("c").alias("a"), F.col("set").alias("set_a"))
     right = sets.select(F.col("c").alias("b"), F.col("set").alias("set_b"))
     both = pairs.join(left, "a").join(right, "b")
-    overlap = F.size(F.array_intersect("set_a", "set_b"))
-    enough = f"{100 + percent} * overlap >= {percent} * (size(set_a) + size(set_b))"
-    links = settle(both.withColumn("overlap", overlap).where(enough).select("a", "b"), "links")
+    both = both.select("a", "b", F.size("set_a").alias("n_a"), F.size("set_b").alias("n_b"), F.array_except("set_b", "set_a").alias("extra"))
+    both = both.withColumn("overlap", F.col("n_b") - F.size("extra"))
+    done = settle(both.withColumn("extra", F.when(F.expr("2 * overlap >= n_b"), F.col("extra"))), "compared")
     discard(sets)
-    return links
+    return done
 
 
 def near_components(
@@ -195,58 +219,82 @@ def near_components(
     texts = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     counts = spark.sparkContext.broadcast(shingle_counts(texts, "_text", words))
     id_type = texts.schema["_id"].dataType.simpleString()
-    schema = f"id {id_type}, text_hash long, c long, n long, prefix array<long>, pivots array<int>, hubs array<long>"
+    schema = f"id {id_type}, text_hash long, c long, n long, common long, prefix array<long>, pivots array<int>, hubs array<long>"
     described = settle(texts.withColumn("_hash", F.xxhash64("_text")).mapInArrow(_described(counts, words, percent), schema), "described")
     members = settle(described.select("id", "text_hash", "c", "n"), "members")
-    one_each = F.first(F.struct("n", "prefix", "pivots", "hubs")).alias("one")
+    one_each = F.first(F.struct("n", "common", "prefix", "pivots", "hubs")).alias("one")
     classes = described.where("n > 0").groupBy("c").agg(F.min("id").alias("_rep"), one_each)
     classes = settle(classes.select("c", F.xxhash64("_rep").alias("rep"), "one.*"), "classes")
     discard(described)
+    linked = f"{100 + percent} * overlap >= {percent} * (n_a + n_b)"
 
     # Hubs: a linear number of pairs joins most of each group.
-    keyed = classes.select("c", "n", F.posexplode("hubs").alias("band", "key"))
-    hubs = keyed.groupBy("band", "key").agg(F.min(F.struct("c", "n")).alias("hub"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    keyed = classes.select("c", "n", "common", F.posexplode("hubs").alias("band", "key"))
+    hubs = keyed.groupBy("band", "key").agg(F.max(F.struct("common", "c", "n")).alias("hub"), F.count(F.lit(1)).alias("m"))
+    hubs = settle(hubs.where("m > 1").select("band", "key", "hub"), "hubs")
     tried = keyed.join(hubs, ["band", "key"]).where("c <> hub.c")
     tried = tried.where(f"100 * least(n, hub.n) >= {percent} * greatest(n, hub.n)")
     tried = settle(tried.select(F.col("hub.c").alias("a"), F.col("c").alias("b")).distinct(), "tried")
-    links = verified(texts, tried, classes, words, percent)
+    done = compared(texts, tried, classes, words)
+    known = hubs.select(F.col("hub.c").alias("a"), F.col("hub.common").alias("known")).distinct()
+    links = done.where(linked).select("a", "b")
     comps = components(links)
 
-    # Prefix shingles that occur in more than one set, with the component of each.
+    # Each set tried keeps the commonest hub that has half of it, what both share and the shingles outside.
+    best = F.max_by(F.struct(F.col("a").alias("hub"), F.col("n_b").alias("n"), F.col("overlap").alias("shared"), "extra"), F.struct("known", "a"))
+    held = done.where("extra IS NOT NULL").join(known, "a").groupBy(F.col("b").alias("c")).agg(best.alias("h")).select("c", "h.*")
+    held = settle(_with_comp(held, comps), "held")
+    extra = settle(held.select("c", "n", "hub", "comp", F.explode("extra").alias("token")), "extra")
+
+    # Prefix shingles that occur in more than one set, each with its set's component and anchor.
     counted = classes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("m"))
     common = settle(counted.where("m > 1").select("token"), "common")
-    bitmap = spark.sparkContext.broadcast(marks.to_array(marks.marked(common, "token")))
+    bits = marks.MANY_BITS
+    bitmap = spark.sparkContext.broadcast(marks.to_array(marks.marked(common, "token", bits), bits))
     picked = classes.select("c", "n", "prefix").mapInArrow(_shared(bitmap), "token long, c long, n long, pos long")
-    placed = picked.join(comps.withColumnRenamed("node", "c"), "c", "left")
-    places = settle(placed.select("token", "c", "n", "pos", F.coalesce("comp", "c").alias("comp")), "places")
-    spread = places.groupBy("token").agg(F.min("comp").alias("_low"), F.max("comp").alias("_high")).where("_low < _high")
-    places = settle(places.join(spread.select("token"), "token", "left_semi"), "places")
+    picked = picked.join(common, "token", "left_semi")
+    outside = extra.select("c", "token", F.lit(True).alias("_outside"))
+    placed = picked.join(held.select("c", "hub"), "c", "left").join(outside, ["c", "token"], "left")
+    anchor = F.when(F.col("_outside"), F.col("c")).otherwise(F.coalesce("hub", "c"))  # the hub where the shingle is the hub's
+    places = settle(_with_comp(placed.withColumn("anchor", anchor).select("token", "c", "n", "pos", "anchor"), comps), "places")
+    places = _spread(places, ["token"], ["anchor", "comp"])
 
     # Prefix join with length and positional filters: the longer set probes, the shorter one is indexed.
-    x = places.select("token", *[F.col(k).alias(f"x_{k}") for k in ("c", "n", "pos", "comp")])
-    y = places.select("token", *[F.col(k).alias(f"y_{k}") for k in ("c", "n", "pos", "comp")])
+    x, y = _sides(places, ["token"], ["c", "n", "pos", "anchor", "comp"])
     y = y.where(f"y_pos <= y_n - {_least_overlap('y_n', 'y_n', percent)}")
-    joined = x.join(y, "token").where("x_comp <> y_comp AND (y_n < x_n OR (y_n = x_n AND y_c < x_c))")
-    joined = joined.where(f"100 * y_n >= {percent} * x_n")
     need = _least_overlap("x_n", "y_n", percent)
-    joined = joined.where(f"least(x_n - x_pos, y_n - y_pos) >= {need} - least(x_pos, y_pos)")
-    pairs = joined.select(F.col("x_c").alias("a"), F.col("y_c").alias("b")).distinct()
-    again = tried.union(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    joined = x.join(y, "token").where("x_comp <> y_comp AND x_anchor <> y_anchor AND (y_n < x_n OR (y_n = x_n AND y_c < x_c))")
+    joined = joined.where(f"100 * y_n >= {percent} * x_n AND least(x_n - x_pos, y_n - y_pos) >= {need} - least(x_pos, y_pos)")
+    pairs = joined.select(F.col("x_c").alias("a"), F.col("y_c").alias("b"))
+
+    # Sets with one hub that have a shingle outside it in common.
+    x, y = _sides(_spread(extra, ["hub", "token"], ["comp"]), ["hub", "token"], ["c", "n", "comp"])
+    joined = x.join(y, ["hub", "token"]).where("x_comp <> y_comp AND (y_n < x_n OR (y_n = x_n AND y_c < x_c))")
+    pairs = pairs.union(joined.where(f"100 * y_n >= {percent} * x_n").select(F.col("x_c").alias("a"), F.col("y_c").alias("b")))
+
+    # Sets with one hub that both share enough with it: each names the sizes its partner may have.
+    most = F.floor(F.lit(100 + percent) * F.col("shared") / percent).cast("long") - F.col("n")
+    sized = held.withColumn("most", most).where(f"100 * most >= {percent} * n").drop("extra")
+    sized = settle(_spread(sized, ["hub"], ["comp"]), "sized")
+    x, y = _sides(sized, ["hub"], ["c", "n", "most", "comp"])
+    x = x.withColumn("y_n", F.explode(F.sequence(F.ceil(F.col("x_n") * percent / 100), F.least("x_n", "x_most"))))
+    joined = x.join(y, ["hub", "y_n"]).where("x_comp <> y_comp AND x_n <= y_most AND (y_n < x_n OR y_c < x_c)")
+    pairs = pairs.union(joined.select(F.col("x_c").alias("a"), F.col("y_c").alias("b"))).distinct()
+    again = tried.select("a", "b").union(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
     pairs = pairs.join(again, ["a", "b"], "left_anti")
 
     # Suffix filter: pivots cut both sets into slices; the smaller slice bounds the overlap in each.
     side = classes.select("c", "n", "pivots")
     left = side.select(F.col("c").alias("a"), F.col("n").alias("n_a"), F.col("pivots").alias("p_a"))
     right = side.select(F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("pivots").alias("p_b"))
-    bound = "aggregate(zip_with(p_a, p_b, (p, q) -> least(p, q)), 0, (s, v) -> s + v)"
-    near = pairs.join(left, "a").join(right, "b").where(f"{bound} >= {_least_overlap('n_a', 'n_b', percent)}")
+    near = settle(pairs, "pairs").join(left, "a").join(right, "b")
+    near = near.where(f"{_slice_bound('p_a', 'p_b')} >= {_least_overlap('n_a', 'n_b', percent)}")
     near = settle(near.select("a", "b"), "near")
-    found = verified(texts, near, classes, words, percent)
-    comps = components(links.union(found))
+    found = compared(texts, near, classes, words).where(linked)
+    comps = components(links.union(found.select("a", "b")))
 
-    placed = members.join(comps.withColumnRenamed("node", "c"), "c", "left")
-    placed = settle(placed.select("id", "text_hash", "n", F.coalesce("comp", "c").alias("comp")), "placed")
-    firsts = placed.where("comp IS NOT NULL").groupBy("comp").agg(F.min("id").alias("_first"))
+    placed = settle(_with_comp(members, comps), "placed")
+    firsts = settle(placed.where("comp IS NOT NULL").groupBy("comp").agg(F.min("id").alias("_first")), "firsts")
     return placed.join(firsts, "comp", "left").select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
@@ -255,6 +303,24 @@ def near_components(
     )
 
 
+def _with_comp(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    """Rows of classes ``c`` with their component; a class without links is its own."""
+    found = rows.join(comps.select(F.col("node").alias("c"), "comp"), "c", "left")
+    return found.select(*rows.columns, F.coalesce("comp", "c").alias("comp"))
+
+
+def _spread(rows: DataFrame, keys: list[str], of: list[str]) -> DataFrame:
+    """The rows whose key has more than one value in each column of ``of``."""
+    ends = [f(c).alias(f"_{n}_{c}") for c in of for n, f in (("low", F.min), ("high", F.max))]
+    mixed = rows.groupBy(*keys).agg(*ends).where(" AND ".join(f"_low_{c} < _high_{c}" for c in of))
+    return settle(rows.join(settle(mixed.select(*keys), "mixed"), keys, "left_semi"), "spread")
+
+
+def _sides(rows: DataFrame, keys: list[str], values: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a self-join, with prefixes."""
+    return tuple(rows.select(*keys, *[F.col(v).alias(f"{side}_{v}") for v in values]) for side in "xy")
+
+
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows whose id is the smallest of their component, with all columns.
 

@@ -12,17 +12,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BITS = 22  # 2**22 bits are 512 KB, whatever the number of keys
+MANY_BITS = 25  # 2**25 bits are 4 MB, for keys that are as many as shingles
 _ROW_BITS = 32_768  # bits in one row of Spark's bitmap functions
 
 
-def position(key: Column) -> Column:
+def position(key: Column, bits: int = BITS) -> Column:
     """Bit position, from 1, of a 64-bit key."""
-    return F.pmod(key, F.lit(1 << BITS)) + 1
+    return F.pmod(key, F.lit(1 << bits)) + 1
 
 
-def marked(keys: DataFrame, key: str) -> DataFrame:
-    """At most 2**BITS / 32768 = 128 rows (bucket, bits) that note the keys of a table."""
-    at = keys.select(position(F.col(key)).alias("_at"))
+def marked(keys: DataFrame, key: str, bits: int = BITS) -> DataFrame:
+    """Rows (bucket, bits) that note the keys of a table: at most 2**bits / 32768, 128 for ``BITS``."""
+    at = keys.select(position(F.col(key), bits).alias("_at"))
     rows = at.select(F.bitmap_bucket_number("_at").alias("_bucket"), F.bitmap_bit_position("_at").alias("_bit"))
     return rows.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
 
@@ -41,11 +42,11 @@ def with_marks(df: DataFrame, key: str, marks: DataFrame) -> DataFrame:
     return joined.withColumn("_passes", is_marked(F.col("_bits"), F.col(key))).drop("_bucket", "_bits")
 
 
-def to_array(marks: DataFrame) -> np.ndarray:
-    """The marks as one array of bytes for use inside tasks."""
-    out = np.zeros((1 << BITS) // 8, dtype=np.uint8)
+def to_array(marks: DataFrame, bits: int = BITS) -> np.ndarray:
+    """The marks as one array of 2**bits bits for use inside tasks."""
+    out = np.zeros((1 << bits) // 8, dtype=np.uint8)
     width = _ROW_BITS // 8
-    for row in marks.collect():  # at most 128 rows of 4 KB
+    for row in marks.collect():  # rows of 4 KB, 2**bits / 8 bytes in all
         start = (row["_bucket"] - 1) * width
         out[start : start + width] = np.frombuffer(row["_bits"], dtype=np.uint8)
     return out
@@ -53,5 +54,5 @@ def to_array(marks: DataFrame) -> np.ndarray:
 
 def test(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Whether the bits of signed 64-bit keys are set."""
-    at = keys.astype(np.int64) & ((1 << BITS) - 1)
+    at = keys.astype(np.int64) & (8 * len(bitmap) - 1)
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
