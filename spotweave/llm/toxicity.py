@@ -87,7 +87,7 @@ def _one_of_copies(table):
         own = set(bands.tolist())
         keep.append(not own & seen)
         seen |= own
-    return table[keep].reset_index(drop=True)
+    return table[np.array(keep, dtype=bool)].reset_index(drop=True)
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:

@@ -254,7 +254,7 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     Blocks of main text are joined by a line feed.  A null or empty page has an
     empty text; a null url counts as an empty host.  Pages that repeat are
     pages of their own.  Text that never changes over a host is template only
-    where a slot occurs at least twice, and never inside a marked article.
+    where a slot occurs in pages that differ, and never inside a marked article.
     Other columns are ignored.
     """
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url_col), r"(?s)^.*?://([^/?#]*)", 1), F.lit("")))
@@ -272,18 +272,20 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     nodes = settle(meetings.mapInArrow(_aligned, kinds), "nodes")
 
     # What the text of a slot does over all pages of the host.
-    texts = parsed.select("host", "key", F.explode("blocks").alias("b"))
+    page = F.xxhash64(F.col("blocks.text"))  # copies of a page say nothing about what its template is
+    texts = parsed.select("host", "key", page.alias("page"), F.explode("blocks").alias("b"))
     text = F.xxhash64("b.text")
     texts = texts.groupBy("host", "key", F.col("b.node").alias("node")).agg(
-        F.min(text).alias("low"), F.max(text).alias("high"), F.count(F.lit(1)).alias("n"),
+        F.min(text).alias("low"), F.max(text).alias("high"), F.min("page").alias("page_low"), F.max("page").alias("page_high"),
         F.sum("b.linked").alias("linked"), F.sum(F.length("b.text")).alias("chars"),
     )
     placed = settle(nodes.join(texts, ["host", "key", "node"]), "placed")
     slots = placed.groupBy("host", "slot").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"), (F.sum("linked") / F.sum("chars")).alias("share")
-    )
-    varies = F.expr(f"(low <> high OR n < 2) AND share < {LINKED}")
-    kept = placed.drop("low", "high", "n").join(slots, ["host", "slot"]).where(F.coalesce("marked", F.col("open") & varies))
+        F.min("low").alias("low"), F.max("high").alias("high"), F.min("page_low").alias("page_low"), F.max("page_high").alias("page_high"),
+        (F.sum("linked") / F.sum("chars")).alias("share"),
+    )
+    varies = F.expr(f"(low <> high OR page_low = page_high) AND share < {LINKED}")
+    kept = placed.drop("low", "high", "page_low", "page_high").join(slots, ["host", "slot"]).where(F.coalesce("marked", F.col("open") & varies))
     kept = kept.groupBy("host", "key").agg(F.collect_set("node").alias("kept"))  # nodes of one tree
 
     main = F.filter("blocks", lambda b: F.array_contains("kept", b["node"]))
