@@ -50,7 +50,7 @@ def _close_pairs(uniq: DataFrame, length: int, errors: int) -> DataFrame:
     return pairs.withColumn("d", hamming("seq", "parent"))
 
 
-def _collapse_by_rounds(uniq: DataFrame, length: int, errors: int, max_rounds: int) -> DataFrame:
+def _collapse_by_rounds(uniq: DataFrame, length: int, errors: int) -> DataFrame:
     """Owner of every barcode, decided in rounds over all cells together.
 
     A barcode with an accepted earlier neighbour is merged; one whose earlier
@@ -59,7 +59,7 @@ def _collapse_by_rounds(uniq: DataFrame, length: int, errors: int, max_rounds: i
     """
     pairs = settle(_close_pairs(uniq, length, errors), "pairs")
     state = settle(uniq.select("cell_id", "seq", F.lit("open").alias("state")), "state")
-    for _ in range(max_rounds):
+    while True:  # every round decides at least the first open barcode of each cell
         seen = pairs.join(
             state.select("cell_id", F.col("seq").alias("parent"), F.col("state").alias("_ps")), ["cell_id", "parent"]
         ).groupBy("cell_id", "seq").agg(
@@ -74,8 +74,6 @@ def _collapse_by_rounds(uniq: DataFrame, length: int, errors: int, max_rounds: i
         state = settle(state.join(seen, ["cell_id", "seq"], "left").select("cell_id", "seq", nxt.alias("state")), "state")
         if state.where("state = 'open'").isEmpty():
             break
-    else:
-        raise RuntimeError(f"barcodes not collapsed after {max_rounds} rounds")
     kept = state.where("state = 'kept'").select("cell_id", F.col("seq").alias("parent"))
     # Nearest kept neighbour; the one accepted first on a tie.
     near = pairs.join(kept, ["cell_id", "parent"]).groupBy("cell_id", "seq").agg(
@@ -91,7 +89,8 @@ def _collapse_in_row(listed: Column, errors: int) -> Column:
     empty = F.array().cast("array<struct<owner:string,n:bigint>>")
 
     def step(kept: Column, item: Column) -> Column:
-        dist = F.transform(kept, lambda k: hamming(k["owner"], item["seq"]))
+        near = lambda k: F.when(F.length(k["owner"]) == F.length(item["seq"]), hamming(k["owner"], item["seq"]))
+        dist = F.transform(kept, lambda k: F.coalesce(near(k), F.lit(errors + 1)))
         best = F.array_min(dist)
         at = F.array_position(dist, best).cast("int") - 1
         merged = F.transform(
@@ -114,13 +113,12 @@ def collapse_unique(
     length: int,
     errors: int = ERRORS_MAX,
     fold_limit: int = FOLD_LIMIT,
-    max_rounds: int = 200,
 ) -> DataFrame:
     """Collapse distinct barcodes ``(cell_id, seq, n)``, sequencing errors merged.
 
     In order of (count down, sequence up) a barcode joins the nearest accepted
     one within ``errors`` positions, the earliest accepted on a tie, or is
-    accepted itself.  Cells with few distinct barcodes are folded inside one
+    accepted itself.  Barcodes of unequal length never join.  Cells with few distinct barcodes are folded inside one
     row.  Cells with many are decided in rounds through masked keys, spread
     over the cluster, with the same result.
     """
@@ -141,7 +139,8 @@ def collapse_unique(
     large = sized.where(F.col("_k") > fold_limit).select("cell_id", "seq", "n")
     if large.isEmpty():
         return folded
-    owned = _collapse_by_rounds(settle(large, "large"), length, errors, max_rounds)
+    longest = large.agg(F.max(F.length("seq")).alias("k")).first()["k"]
+    owned = _collapse_by_rounds(settle(large, "large"), max(length, longest), errors)
     spread = owned.groupBy("cell_id", F.col("owner").alias("seq")).agg(F.sum("n").alias("n"))
     return folded.unionByName(spread)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -87,7 +89,7 @@ def expand_regions(regions: DataFrame, xtiles: int, ytiles: int, tile_size: floa
     )
 
 
-def place_tiles(offsets: DataFrame, max_rounds: int = 500) -> DataFrame:
+def place_tiles(offsets: DataFrame) -> DataFrame:
     """Tile positions of each slice from pairwise offsets, smallest position at 0.
 
     ``offsets(slice, tile_a, tile_b, dx, dy)`` says b lies (dx, dy) from a.  The
@@ -114,7 +116,7 @@ def place_tiles(offsets: DataFrame, max_rounds: int = 500) -> DataFrame:
         .select("slice", "tile", F.lit(0.0).alias("pos_x"), F.lit(0.0).alias("pos_y"), F.lit(0).alias("round"))
     )
     placed = settle(start, "placed")
-    for step in range(1, max_rounds + 1):
+    for step in count(1):
         edge = placed.where(F.col("round") == step - 1)
         reach = both.join(
             edge.select("slice", F.col("tile").alias("tile_a"), "pos_x", "pos_y"), ["slice", "tile_a"]
@@ -137,8 +139,6 @@ def place_tiles(offsets: DataFrame, max_rounds: int = 500) -> DataFrame:
         if new.isEmpty():
             break
         placed = settle(placed.unionByName(new), "placed")
-    else:
-        raise RuntimeError(f"tiles not placed after {max_rounds} rounds")
     low = placed.groupBy("slice").agg(F.min("pos_x").alias("_lx"), F.min("pos_y").alias("_ly"))
     return placed.join(low, "slice").select(
         "slice", "tile", (F.col("pos_x") - F.col("_lx")).alias("pos_x"), (F.col("pos_y") - F.col("_ly")).alias("pos_y")

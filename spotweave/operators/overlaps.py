@@ -136,7 +136,7 @@ def overlap_report(neurons: DataFrame, half: float) -> DataFrame:
     )
 
 
-def overlap_components(neurons: DataFrame, half: float, max_rounds: int = 100) -> DataFrame:
+def overlap_components(neurons: DataFrame, half: float) -> DataFrame:
     """``neurons`` with ``component`` (a site number) and ``kept``: the strongest
     member of every group of mutually reachable overlapping cells, lowest id on a tie.
 
@@ -166,7 +166,7 @@ def overlap_components(neurons: DataFrame, half: float, max_rounds: int = 100) -
     met = settle(met, "edges")
     edges = settle(met.union(met.select(F.col("nsite"), F.col("site"))).distinct(), "edges")
     labels = settle(edges.select("site", F.col("site").alias("label")).distinct(), "labels")
-    for _ in range(max_rounds):
+    while True:
         seen = edges.join(labels.select(F.col("site").alias("nsite"), "label"), "nsite").groupBy("site").agg(
             F.min("label").alias("_near")
         )
@@ -182,8 +182,6 @@ def overlap_components(neurons: DataFrame, half: float, max_rounds: int = 100) -
         labels = after.select("site", "label")
         if after.where(F.col("_old") != F.col("label")).isEmpty():
             break
-    else:
-        raise RuntimeError(f"components not settled after {max_rounds} rounds")
     member = neurons.withColumn("site", F.concat_ws("|", F.col("slice"), F.col("x"), F.col("y"), F.col("fov"))).join(
         labels, "site", "left"
     )

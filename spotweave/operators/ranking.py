@@ -1,9 +1,9 @@
 """Row numbers and medians that never put a whole table or group into one task.
 
 A window without partition keys, or with a hot key, sorts all its rows in one
-task.  Here the rows are range-sorted on the full order instead: the sort
-splits hot keys by itself, every task numbers its own rows, and only one count
-per partition is added up.
+task.  Here the rows are range-sorted on the full order instead:
+rows with one key and different places in the order go to different tasks, every
+task numbers its own rows, and only one count per partition is added up.
 """
 
 from __future__ import annotations
@@ -49,11 +49,19 @@ def dense_number(df: DataFrame, cols: Sequence[str], order: Sequence[str | Colum
 
 
 def exact_median(df: DataFrame, value: str, name: str = "median") -> DataFrame:
-    """One row with the exact median of a column of any size."""
-    values = df.where(F.col(value).isNotNull()).select(value)
-    rows = number_rows(values, [F.col(value)], "_row")
-    count = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
-    middle = rows.where(
-        (F.col("_row") == F.floor((count - 1) / 2)) | (F.col("_row") == F.floor(count / 2))
-    )
-    return middle.agg(F.avg(value).alias(name))
+    """One row with the exact median of a column of any size.
+
+    Equal values are counted first, so a value that most rows have is one row
+    when the distinct values are sorted.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+    spread = settle(counts.orderBy(value).withColumn("_pid", F.spark_partition_id()), "counted")
+    sums = spread.groupBy("_pid").agg(F.sum("_n").alias("_all"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per sort partition
+    starts = sums.select("_pid", F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_start"))
+    end = F.col("_start") + F.sum("_n").over(Window.partitionBy("_pid").orderBy(value))
+    total = spread.agg(F.sum("_n")).first()[0] or 0
+    placed = spread.join(starts, "_pid").withColumn("_end", end)
+    holds = [((F.col("_end") > at) & (F.col("_end") - F.col("_n") <= at)).cast("int") for at in ((total - 1) // 2, total // 2)]
+    middle = placed.withColumn("_times", holds[0] + holds[1]).where("_times > 0")
+    return middle.agg((F.sum(F.col(value) * F.col("_times")) / F.sum("_times")).alias(name))

@@ -11,8 +11,7 @@ from spotweave.plans.inputs import N_BARCODE
 from spotweave.plans.registry import Inputs, Registry, rounded
 
 barcodes = Registry()
-# Names of the library areas of the derived data.
-AREAS = ("OB", "ACA30", "LD", "dLG", "LP", "TRN", "Amg", "SC")
+AREAS = tuple(f"area{i}" for i in range(8))  # library areas of the derived data
 
 USAGE = [
     f"len(list_distinct(list_transform(range(1, {N_BARCODE - k + 2}), lambda p: substr(seq, p, {k})))) / CAST({min(4 ** k, N_BARCODE - k + 1)} AS DOUBLE)"

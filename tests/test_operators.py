@@ -464,3 +464,24 @@ def test_schemas(spark):
     with pytest.raises(ValueError, match="missing columns: label"):
         schemas.conform(df, "fov INT, label BIGINT")
     assert schemas.pixels(["a", "b"]).endswith("c INT, a INT, b INT")
+
+
+def test_collapse_does_not_depend_on_the_size_of_a_cell(spark):
+
+
+    draw = random.Random(3)
+    reads = ["".join(draw.choice("AC") for _ in range(draw.choice([4, 4, 6, 8]))) for _ in range(60)]
+    rows = [(cell, seq) for cell in (1, 2) for seq in draw.choices(reads, k=150)] + [(3, "ACGTACGT")] * 3 + [(3, "ACGT")] * 2
+    spots = spark.createDataFrame(rows, "cell_id long, seq string")
+    few, many = (barcodes.collapse_barcodes(spots, 4, 1, fold_limit=limit).collect() for limit in (64, 0))
+    assert sorted(few) == sorted(many)
+    assert sorted(r["seq"] for r in few if r["cell_id"] == 3) == ["ACGT", "ACGTACGT"]
+
+
+def test_median_of_mostly_equal_values(spark):
+    from spotweave.operators.ranking import exact_median
+
+    for values in ([5.0] * 90 + [1.0, 9.0, 7.5], [1.0, 2.0], [3.0], [1.0] * 4 + [2.0] * 4):
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+        assert exact_median(df, "v").first()["median"] == float(np.median(values))
+    assert exact_median(spark.createDataFrame([], "v double"), "v").first()["median"] is None

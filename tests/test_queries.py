@@ -5,11 +5,12 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as entry
+from spotweave.plans import REGISTRIES
 from spotweave.plans.inputs import TABLES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = {name: query for registry in REGISTRIES for name, query in registry.queries.items()}
+SQL = {name: sql for registry in REGISTRIES for name, sql in registry.sql.items()}
 
 
 @pytest.fixture(scope="module")
@@ -37,8 +38,7 @@ def test_every_query_has_sql():
 
 
 def test_no_name_is_registered_twice():
-    from spotweave.plans import REGISTRIES
-
+    assert QUERIES.items() <= entry.queries().items()
     assert sum(len(r.queries) for r in REGISTRIES) == len(QUERIES)
 
 
