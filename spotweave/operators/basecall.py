@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spotweave.functions.vectors import as_col, call_score, called_channel, strongest
-from spotweave.operators.blocks import along, cut_blocks, keep_home
+from spotweave.operators.blocks import Grid, is_first_highest, over_blocks
 from spotweave.operators.codebook import binary_codes, is_control
 from spotweave.operators.pixels import median_max, normalise_median, stack_cycles
 from spotweave.operators.ranking import exact_median
@@ -31,9 +32,15 @@ MAX_SCORES = 4_000_000  # pixel times code scores held at once in a task
 
 
 def read_signal(spots: DataFrame, pixels: DataFrame, channels: Sequence[str]) -> DataFrame:
-    """Channel signals of every cycle at each spot's pixel, one row per spot and cycle."""
-    at = pixels.select("fov", "cycle", "r", "c", *channels)
-    return spots.join(at, ["fov", "r", "c"])
+    """Channel signals of every cycle at each spot's pixel, one row per spot and cycle.
+
+    The pixel table is by far the larger side: the distinct spot pixels are
+    hashed and it is not sorted.
+    """
+    keys = ["fov", "r", "c"]
+    spot_pixels = spots.select(*keys).distinct().hint("shuffle_hash")
+    seen = spot_pixels.join(pixels.select("fov", "cycle", "r", "c", *channels), keys)
+    return spots.join(seen, keys)
 
 
 def call_cycles(signal: DataFrame, channels: Sequence[str]) -> DataFrame:
@@ -215,16 +222,22 @@ def control_maxima(pixels: DataFrame, table: tuple[np.ndarray, np.ndarray, np.nd
     ids, codes, control = table
     ids = ids[control]
     evidence = evidence_function(codes[control], noise)
+    step = max(1, MAX_SCORES // max(1, len(ids)))
 
-    @F.pandas_udf("array<double>")
-    def scores(sig: pd.Series) -> pd.Series:
-        return pd.Series(list(evidence(np.stack(sig.to_numpy()))))
+    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row per batch, tile and control code."""
+        for batch in batches:
+            fovs, place = np.unique(batch.column(0).to_numpy(), return_inverse=True)
+            signals = np.stack(batch.column(1).to_numpy(zero_copy_only=False))
+            top = np.full((len(fovs), len(ids)), -np.inf)
+            for start in range(0, len(signals), step):
+                np.maximum.at(top, place[start : start + step], evidence(signals[start : start + step]))
+            columns = [np.repeat(fovs, len(ids)).astype(np.int64), np.tile(ids, len(fovs)), top.ravel()]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["fov", "gene_id", "evidence"])
 
-    wide = pixels.select("fov", scores("sig").alias("e"))
-    top = wide.groupBy("fov").agg(*[F.max(F.get("e", F.lit(k))).alias(str(g)) for k, g in enumerate(ids)])
-    return top.unpivot(["fov"], [str(g) for g in ids], "gene_id", "evidence").withColumn(
-        "gene_id", F.col("gene_id").cast("int")
-    )
+    seen = pixels.select("fov", "sig").mapInArrow(per_batch, "fov long, gene_id int, evidence double")
+    kind = pixels.schema["fov"].dataType
+    return seen.groupBy(F.col("fov").cast(kind).alias("fov"), "gene_id").agg(F.max("evidence").alias("evidence"))
 
 
 def base_threshold(maxima: DataFrame) -> DataFrame:
@@ -234,12 +247,11 @@ def base_threshold(maxima: DataFrame) -> DataFrame:
 
 def decoded_peaks(decoded: DataFrame, reach: int = 1, block: int = 256) -> DataFrame:
     """Decoded pixels that score highest within (2*reach+1)-squares, first in (r, c) order on a tie."""
-    ranked = decoded.withColumn("_top", F.struct("score", (-F.col("r")).alias("r"), (-F.col("c")).alias("c")))
-    work = cut_blocks(ranked, ["fov"], block, reach)
-    for axis in ("c", "r"):
-        work = work.withColumn("_top", F.max("_top").over(along(["fov"], axis, -reach, reach)))
-    is_peak = (F.col("_top.r") == -F.col("r")) & (F.col("_top.c") == -F.col("c"))
-    return keep_home(work).where(is_peak).drop("_top")
+
+    def kernel(grid: Grid) -> pa.Table:
+        return grid.kept({}, is_first_highest(grid.array("score", -np.inf), reach) & grid.present)
+
+    return over_blocks(decoded, ["fov"], block, reach, kernel, decoded.schema)
 
 
 def sweep_thresholds(peaks: DataFrame, base: float, span: float = 0.1, steps: int = 10) -> DataFrame:

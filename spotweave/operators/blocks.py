@@ -1,17 +1,21 @@
 """Neighbourhood work on pixel tables, one shuffle and no hot tile.
 
 A frame is cut into square blocks.  Pixels near a block edge are also sent to
-the neighbouring blocks (the halo), so any chain of windows that reaches no
+the neighbouring blocks (the halo), so any chain of kernels that reaches no
 further than the halo can run inside a block.  A tile of any size, or one that
 holds a large part of all pixels, spreads over many tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 HOME = "_home"
 
@@ -28,25 +32,83 @@ def cut_blocks(df: DataFrame, plane: Sequence[str], block: int, halo: int) -> Da
 
     spread = df.withColumn("_br", F.explode(homes("r"))).withColumn("_bc", F.explode(homes("c")))
     home = (F.floor(F.col("r") / block) == F.col("_br")) & (F.floor(F.col("c") / block) == F.col("_bc"))
-    # The windows below cluster on these keys plus one axis; this exchange serves them all.
+    # This exchange serves all kernels of a block.
     return spread.withColumn(HOME, home).repartition(*plane, "_br", "_bc")
 
 
-def keep_home(df: DataFrame) -> DataFrame:
-    return df.where(F.col(HOME)).drop(HOME, "_br", "_bc")
+class Grid:
+    """The pixels of one block with its halo, for kernels on square arrays."""
 
+    def __init__(self, rows: pa.Table, row: int, col: int, side: int):
+        self.rows, self.side = rows, side
+        self.at = rows["r"].to_numpy() - row, rows["c"].to_numpy() - col
+        self.present = np.zeros((side, side), dtype=bool)
+        self.present[self.at] = True
 
-def along(plane: Sequence[str], axis: str, low: int, high: int):
-    """Window over the pixels whose ``axis`` lies low..high from the current one."""
-    other = "c" if axis == "r" else "r"
-    return (
-        Window.partitionBy(*plane, "_br", "_bc", other).orderBy(F.col(axis).cast("long")).rangeBetween(low, high)
-    )
+    def array(self, name: str, outside: float) -> np.ndarray:
+        """Values of a column as floats; ``outside`` where there is no pixel or its value is null."""
+        values = self.rows[name].to_numpy().astype(float)
+        out = np.full((self.side, self.side), float(outside))
+        out[self.at] = np.where(np.isnan(values), outside, values)
+        return out
 
+    def kept(self, columns: Mapping[str, np.ndarray], wanted: np.ndarray | None = None) -> pa.Table:
+        """Home rows (of ``wanted`` pixels), with the given columns replaced by the arrays' values."""
+        keep = self.rows[HOME].to_numpy()
+        if wanted is not None:
+            keep = keep & wanted[self.at]
+        rows = self.rows.filter(pa.array(keep))
+        at = tuple(a[keep] for a in self.at)
+        for name, values in columns.items():
+            rows = rows.set_column(rows.column_names.index(name), name, pa.array(values[at]))
+        return rows
 
-def box(df: DataFrame, plane: Sequence[str], cols: Sequence[str], reach: int, agg) -> DataFrame:
-    """Apply ``agg`` (min or max) over a (2*reach+1)-square as two line passes."""
-    for axis in ("c", "r"):
-        w = along(plane, axis, -reach, reach)
-        df = df.withColumns({name: agg(F.col(name)).over(w) for name in cols})
-    return df
+
+def over_blocks(
+    df: DataFrame, plane: Sequence[str], block: int, halo: int, kernel: Callable[[Grid], pa.Table], schema: StructType
+) -> DataFrame:
+    """Run a kernel on every block with its halo; one exchange, and no more than a block in a task at a time."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        row, col = (k.as_py() * block - halo for k in key[-2:])
+        found = kernel(Grid(rows, row, col, block + 2 * halo))
+        return pa.table([found[name].cast(kind) for name, kind in zip(target.names, target.types)], schema=target)
+
+    target = to_arrow_schema(schema)
+    return cut_blocks(df, plane, block, halo).groupBy(*plane, "_br", "_bc").applyInArrow(run, schema)
+
+
+def moved(values: np.ndarray, down: int, right: int, outside: float) -> np.ndarray:
+    """The value ``down`` rows and ``right`` columns on, ``outside`` beyond the array."""
+    height, width = values.shape
+    out = np.full_like(values, outside)
+    out[max(0, -down) : height - max(0, down), max(0, -right) : width - max(0, right)] = values[
+        max(0, down) : height + min(0, down), max(0, right) : width + min(0, right)
+    ]
+    return out
+
+
+def swept(values: np.ndarray, spans: Mapping[int, int], pick: np.ufunc, outside: float) -> np.ndarray:
+    """Lowest or highest value under an element given as the half width of each of its lines."""
+    wide, lines = values, {0: values}
+    for w in range(1, max(spans.values()) + 1):
+        wide = pick(wide, pick(moved(values, 0, w, outside), moved(values, 0, -w, outside)))
+        lines[w] = wide
+    out = np.full_like(values, outside)
+    for down, w in spans.items():
+        out = pick(out, moved(lines[w], down, 0, outside))
+    return out
+
+
+def is_first_highest(values: np.ndarray, reach: int) -> np.ndarray:
+    """Whether a pixel is the highest of its (2*reach+1)-square, the first in (r, c) order on a tie."""
+    own = np.arange(values.size).reshape(values.shape)
+    top, who = values, own
+    for axis in ((0, 1), (1, 0)):
+        start, first = top, who
+        for step in (d for k in range(1, reach + 1) for d in (-k, k)):
+            other = moved(start, axis[0] * step, axis[1] * step, -np.inf)
+            index = moved(first, axis[0] * step, axis[1] * step, values.size)
+            better = (other > top) | ((other == top) & (index < who))
+            top, who = np.where(better, other, top), np.where(better, index, who)
+    return who == own

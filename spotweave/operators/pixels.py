@@ -11,11 +11,13 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from spotweave.functions.vectors import similarity, to_uint16
-from spotweave.operators.blocks import along, box, cut_blocks, keep_home
+from spotweave.operators.blocks import Grid, is_first_highest, moved, over_blocks, swept
 from spotweave.operators.ranking import number_rows
 
 KEYS = ("fov", "cycle", "r", "c")
@@ -113,20 +115,38 @@ def ellipse_spans(size: int) -> dict[int, int]:
     return {dy: round(half * math.sqrt((half * half - dy * dy) / (half * half))) for dy in range(-half, half + 1)}
 
 
-def _sweep(df: DataFrame, plane: Sequence[str], cols: Sequence[str], spans: Mapping[int, int], agg, pick) -> DataFrame:
-    """``agg`` over an element given as lines: one pass along the rows, one across them."""
-    lines = {
-        f"_{name}_{w}": agg(F.col(name)).over(along(plane, "c", -w, w)) for w in set(spans.values()) for name in cols
-    }
-    df = df.withColumns(lines)
-    shifted = {}
-    for name in cols:
-        parts = [
-            agg(F.col(f"_{name}_{w}")).over(along(plane, "r", dy, dy)) if dy else F.col(f"_{name}_{w}")
-            for dy, w in spans.items()
-        ]
-        shifted[name] = pick(*parts)
-    return df.withColumns(shifted).drop(*lines)
+def element_spans(size: int, shape: str) -> dict[int, int]:
+    if shape == "square":
+        half = size // 2
+        return dict.fromkeys(range(-half, half + 1), half)
+    if shape == "ellipse":
+        return ellipse_spans(size)
+    raise ValueError(f"unknown shape {shape}")
+
+
+def _without_background(grid: Grid, name: str, spans: Mapping[int, int]) -> np.ndarray:
+    low = swept(grid.array(name, np.inf), spans, np.minimum, np.inf)
+    opened = swept(np.where(grid.present, low, -np.inf), spans, np.maximum, -np.inf)
+    return np.where(grid.present, grid.array(name, 0) - opened, 0.0)
+
+
+def _bilinear(values: np.ndarray, shift: tuple[float, float]) -> np.ndarray:
+    """Content moved by (x, y), along the rows first, 0 from outside the frame."""
+    for by, (down, right) in zip(shift, ((0, 1), (1, 0))):
+        if by:
+            low = math.floor(-by)
+            part = -by - low
+            near, far = (moved(values, down * k, right * k, 0.0) for k in (low, low + 1))
+            values = near * (1 - part) + far * part
+    return values
+
+
+def _shift_reach(shifts: Sequence[tuple[float, float]]) -> int:
+    return math.ceil(max(max(abs(x), abs(y)) for x, y in shifts)) + 1
+
+
+def _as_double(schema: StructType, channels: Sequence[str]) -> StructType:
+    return StructType([StructField(f.name, DoubleType() if f.name in channels else f.dataType) for f in schema])
 
 
 def subtract_background(
@@ -138,21 +158,12 @@ def subtract_background(
     plane: Sequence[str] = PLANE,
 ) -> DataFrame:
     """Subtract the grey opening (lowest then highest value under the element) of each channel."""
-    half = size // 2
-    opened = {f"_bg_{ch}": F.col(ch) for ch in channels}
-    names = list(opened)
-    work = cut_blocks(pixels.withColumns(opened), plane, block, 2 * half)
-    if shape == "square":
-        work = box(work, plane, names, half, F.min)
-        work = box(work, plane, names, half, F.max)
-    elif shape == "ellipse":
-        spans = ellipse_spans(size)
-        work = _sweep(work, plane, names, spans, F.min, F.least)
-        work = _sweep(work, plane, names, spans, F.max, F.greatest)
-    else:
-        raise ValueError(f"unknown shape {shape}")
-    work = keep_home(work)
-    return work.withColumns({ch: F.col(ch) - F.col(f"_bg_{ch}") for ch in channels}).drop(*names)
+    spans = element_spans(size, shape)
+
+    def kernel(grid: Grid) -> pa.Table:
+        return grid.kept({ch: _without_background(grid, ch, spans) for ch in channels})
+
+    return over_blocks(pixels, plane, block, 2 * (size // 2), kernel, pixels.schema)
 
 
 def align_channels(
@@ -163,30 +174,43 @@ def align_channels(
     plane: Sequence[str] = PLANE,
 ) -> DataFrame:
     """Move each channel's content by its (x, y) shift, bilinear, 0 outside the frame, to 16 bits."""
-    reach = math.ceil(max(max(abs(x), abs(y)) for x, y in shifts)) + 1
-    work = cut_blocks(pixels, plane, block, reach)
-    for axis, pick in (("c", 0), ("r", 1)):
-        moved = {}
-        for ch, shift in zip(channels, shifts):
-            if shift[pick] == 0:
-                continue
-            low = math.floor(-shift[pick])
-            part = -shift[pick] - low
-            at = lambda step: F.coalesce(F.max(ch).over(along(plane, axis, step, step)).cast("double"), F.lit(0.0))  # noqa: E731,B023
-            moved[ch] = at(low) * F.lit(1 - part) + at(low + 1) * F.lit(part)
-        work = work.withColumns(moved)
-    work = keep_home(work)
-    return work.withColumns({ch: to_uint16(ch) for ch in channels}).select(*pixels.columns)
+
+    def kernel(grid: Grid) -> pa.Table:
+        return grid.kept({ch: _bilinear(grid.array(ch, 0), shift) for ch, shift in zip(channels, shifts)})
+
+    work = over_blocks(pixels, plane, block, _shift_reach(shifts), kernel, _as_double(pixels.schema, channels))
+    return work.withColumns({ch: to_uint16(ch) for ch in channels})
+
+
+def flatten_and_align(
+    pixels: DataFrame,
+    channels: Sequence[str],
+    size: int = 31,
+    shape: str = "ellipse",
+    shifts: Sequence[tuple[float, float]] = CHANNEL_SHIFTS,
+    block: int = 256,
+    plane: Sequence[str] = PLANE,
+) -> DataFrame:
+    """Background, then alignment, under one halo of the summed reach: the pixels move once."""
+    spans = element_spans(size, shape)
+
+    def kernel(grid: Grid) -> pa.Table:
+        flat = {ch: _without_background(grid, ch, spans) for ch in channels}
+        return grid.kept({ch: _bilinear(flat[ch], shift) for ch, shift in zip(channels, shifts)})
+
+    halo = 2 * (size // 2) + _shift_reach(shifts)
+    work = over_blocks(pixels, plane, block, halo, kernel, _as_double(pixels.schema, channels))
+    return work.withColumns({ch: to_uint16(ch) for ch in channels})
 
 
 def apply_shift(pixels: DataFrame, shifts: DataFrame, height: int, width: int) -> DataFrame:
     """Move all channels by the (dr, dc) of their tile and cycle; pixels leaving the frame are lost."""
-    moved = pixels.join(shifts.select("fov", "cycle", "dr", "dc"), ["fov", "cycle"])
-    moved = moved.withColumn("r", (F.col("r") + F.col("dr")).cast("int")).withColumn(
+    placed = pixels.join(shifts.select("fov", "cycle", "dr", "dc"), ["fov", "cycle"])
+    placed = placed.withColumn("r", (F.col("r") + F.col("dr")).cast("int")).withColumn(
         "c", (F.col("c") + F.col("dc")).cast("int")
     )
     inside = F.col("r").between(0, height - 1) & F.col("c").between(0, width - 1)
-    return moved.where(inside).select(*pixels.columns)
+    return placed.where(inside).select(*pixels.columns)
 
 
 def segmentation_input(
@@ -275,29 +299,22 @@ def find_peaks(
     highest pixel of its (2*reach+1)-square, the first in (r, c) order on a
     tie, above the threshold and at least the prominence over the lowest one.
     """
-    tops, lows = [f"_top_{ch}" for ch in channels], [f"_low_{ch}" for ch in channels]
-    ranked = pixels.withColumns(
-        {f"_top_{ch}": F.struct(F.col(ch).alias("v"), (-F.col("r")).alias("r"), (-F.col("c")).alias("c")) for ch in channels}
-        | {f"_low_{ch}": F.col(ch) for ch in channels}
-    )
-    work = cut_blocks(ranked, plane, block, reach)
-    for axis in ("c", "r"):
-        w = along(plane, axis, -reach, reach)
-        work = work.withColumns({n: F.max(n).over(w) for n in tops} | {n: F.min(n).over(w) for n in lows})
-    work = keep_home(work)
-    found = []
-    for number, (ch, (threshold, prominence)) in enumerate(channels.items()):
-        is_peak = (
-            (F.col(f"_top_{ch}.r") == -F.col("r"))
-            & (F.col(f"_top_{ch}.c") == -F.col("c"))
-            & (F.col(ch) > threshold)
-            & (F.col(ch) - F.col(f"_low_{ch}") >= prominence)
-        )
-        found.append(
-            F.when(is_peak, F.struct(F.lit(number).alias("channel"), F.col(ch).cast("double").alias("v")))
-        )
-    hits = work.withColumn("_hit", F.explode(F.filter(F.array(*found), lambda h: h.isNotNull())))
-    return hits.select(*plane, "r", "c", F.col("_hit.channel").alias("channel"), F.col("_hit.v").alias("v"))
+    around = element_spans(2 * reach + 1, "square")
+
+    def kernel(grid: Grid) -> pa.Table:
+        found = []
+        for number, (ch, (threshold, prominence)) in enumerate(channels.items()):
+            values = grid.array(ch, -np.inf)
+            lowest = swept(grid.array(ch, np.inf), around, np.minimum, np.inf)
+            is_peak = is_first_highest(values, reach) & (values > threshold) & (values - lowest >= prominence)
+            hits = grid.kept({}, is_peak & grid.present)
+            hits = hits.append_column("channel", pa.array(np.full(hits.num_rows, number)))
+            found.append(hits.append_column("v", hits[ch].cast(pa.float64())).select([*plane, "r", "c", "channel", "v"]))
+        return pa.concat_tables(found)
+
+    keys = [pixels.schema[name] for name in (*plane, "r", "c")]
+    schema = StructType([*keys, StructField("channel", IntegerType()), StructField("v", DoubleType())])
+    return over_blocks(pixels, plane, block, reach, kernel, schema)
 
 
 def suppress_adjacent(peaks: DataFrame) -> DataFrame:

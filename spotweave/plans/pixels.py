@@ -106,6 +106,12 @@ def background_ellipse(i: Inputs) -> DataFrame:
     return px.subtract_background(i.px, CH, size=5, block=BLOCK)
 
 
+@pixels.query(_opening("abs(q.r - p.r) <= 15 AND abs(q.c - p.c) <= round_even(15 * sqrt((225 - (q.r - p.r) * (q.r - p.r)) / 225), 0)"))
+def background_full_size(i: Inputs) -> DataFrame:
+    """The element of 31 pixels that a run uses."""
+    return px.subtract_background(i.px, CH, block=32)
+
+
 @pixels.query(_opening("abs(q.r - p.r) <= 1 AND abs(q.c - p.c) <= 1"))
 def background_square(i: Inputs) -> DataFrame:
     return px.subtract_background(i.px, CH, size=3, shape="square", block=BLOCK)

@@ -25,8 +25,8 @@ def preprocess(
     block: int = 256,
 ) -> DataFrame:
     """Background, channel alignment and bleed-through, in this order."""
-    flat = px.subtract_background(pixels, channels, size=background, block=block)
-    return px.unmix(px.align_channels(flat, channels, shifts, block=block), channels, profile)
+    aligned = px.flatten_and_align(pixels, channels, size=background, shifts=shifts, block=block)
+    return px.unmix(aligned, channels, profile)
 
 
 def register_cycles(
@@ -54,11 +54,14 @@ def call_genes(
     """Gene spots above the threshold that keeps false discoveries under the limit.
 
     The pixels are decoded once; threshold and spots come from the same peaks.
+    Without a threshold that meets the limit this is an error.
     """
-    vectors = basecall.signal_vectors(settle(pixels, "pixels"), channels, n_cycles)
+    vectors = basecall.signal_vectors(pixels, channels, n_cycles)
     table = basecall.code_table(codebook, n_cycles)
     peaks = settle(basecall.decoded_peaks(basecall.decode(vectors, table, noise_final), block=block), "peaks")
     threshold = basecall.fdr_threshold(vectors, peaks, table, noise_first, limit).first()["threshold"]
+    if threshold is None:
+        raise ValueError(f"no threshold keeps the false-discovery rate under {limit}")
     called = peaks.where(F.col("score") > F.lit(threshold).cast("double"))
     return called.select(
         "fov", F.col("r").cast("double").alias("lroi_x"), F.col("c").cast("double").alias("lroi_y"), "gene_id", F.col("score").alias("signal")
