@@ -21,7 +21,7 @@ import pyarrow.compute as pc  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
 TOKENIZER = "word_bpe_49k.json"
-SLICE_BYTES = 16 << 20  # bytes of text encoded at once; a longer text makes a slice of its own
+SLICE_BYTES = 4 << 20  # bytes of text encoded at once; a longer text makes a slice of its own
 CACHE = 600_000  # words kept; a full cache is emptied, which only costs time
 LONGEST = 64  # longer words are not kept
 
@@ -80,6 +80,7 @@ class WordEncoder:
             stop = max(row + 1, int(np.searchsorted(ends, done + SLICE_BYTES, side="right")))
             yield row, *self._encoded(texts.slice(row, stop - row))
             row = stop
+        pa.default_memory_pool().release_unused()  # the worker may serve other stages of an executor next
 
     def _encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if self.short:
