@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from spotweave.functions.vectors import as_col, call_score, called_channel, strongest
 from spotweave.operators.blocks import Grid, is_first_highest, over_blocks
-from spotweave.operators.codebook import binary_codes, is_control
+from spotweave.operators.codebook import binary_codes, is_control, short_rows
 from spotweave.operators.pixels import median_max, normalise_median, stack_cycles
 from spotweave.operators.ranking import exact_median
 from spotweave.session import settle
@@ -24,7 +24,6 @@ HYB_GENE_OF_CHANNEL = {0: 0, 1: 1, 3: 2}
 HYB_ALL_GENES_CHANNEL = 2
 NO_CALL = 5
 
-MAX_CODES = 100_000  # rows of a codebook that may reach the driver
 MAX_SCORES = 4_000_000  # pixel times code scores held at once in a task
 
 
@@ -161,19 +160,8 @@ def call_somata_relative(
 
 
 def code_table(codebook: DataFrame, n_cycles: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Gene ids, 0/1 codes and control flags, in gene order.
-
-    A codebook is a short list; its size is checked before it reaches the driver.
-    """
-    rows = (
-        binary_codes(codebook, n_cycles)
-        .withColumn("control", is_control())
-        .orderBy("gene_id")
-        .limit(MAX_CODES + 1)
-        .collect()
-    )
-    if len(rows) > MAX_CODES:
-        raise ValueError(f"codebook has more than {MAX_CODES} rows")
+    """Gene ids, 0/1 codes and control flags, in gene order."""
+    rows = short_rows(binary_codes(codebook, n_cycles).withColumn("control", is_control()))
     ids = np.array([row["gene_id"] for row in rows], dtype=np.int32)
     codes = np.array([row["code"] for row in rows], dtype=float)
     return ids, codes, np.array([row["control"] for row in rows], dtype=bool)
@@ -355,11 +343,15 @@ def decode_summary(calls: DataFrame, positions: DataFrame, by: str = "position")
     return out.withColumn("error_rate", F.coalesce(F.try_divide(F.col("n_control").cast("double"), F.col("n_spots")), F.lit(0.0)))
 
 
-def accumulate_calls(parts: Sequence[tuple[DataFrame, int]], tiles: DataFrame) -> DataFrame:
-    """Union of call tables with codebook offsets and the number of calls per tile, 0 for empty tiles."""
+def union_calls(parts: Sequence[tuple[DataFrame, int]]) -> DataFrame:
+    """All rows of call tables, each gene number raised by its table's codebook offset."""
     shifted = [calls.withColumn("gene_id", F.col("gene_id") + offset) for calls, offset in parts]
-    every = reduce(lambda a, b: a.unionByName(b), shifted)
-    counts = every.groupBy("fov").agg(F.count(F.lit(1)).alias("n_calls"), F.sum("gene_id").alias("id_sum"))
+    return reduce(lambda a, b: a.unionByName(b), shifted)
+
+
+def accumulate_calls(parts: Sequence[tuple[DataFrame, int]], tiles: DataFrame) -> DataFrame:
+    """Number of calls per tile over call tables with codebook offsets, 0 for empty tiles."""
+    counts = union_calls(parts).groupBy("fov").agg(F.count(F.lit(1)).alias("n_calls"), F.sum("gene_id").alias("id_sum"))
     return tiles.select("fov").join(counts, "fov", "left").select(
         "fov", F.coalesce("n_calls", F.lit(0)).alias("n_calls"), F.coalesce("id_sum", F.lit(0)).alias("id_sum")
     )

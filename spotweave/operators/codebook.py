@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from spotweave.functions.vectors import one_hot
@@ -16,6 +16,17 @@ CODE_BASES = ("G", "T", "A", "C")
 CONTROL_PREFIX = "unused"
 
 
+MAX_CODES = 100_000  # rows of a codebook that may reach the driver
+
+
+def short_rows(codebook: DataFrame) -> list[Row]:
+    """Rows in gene order.  A codebook is a short list; its size is checked before it reaches the driver."""
+    rows = codebook.orderBy("gene_id").limit(MAX_CODES + 1).collect()
+    if len(rows) > MAX_CODES:
+        raise ValueError(f"codebook has more than {MAX_CODES} rows")
+    return rows
+
+
 def binary_codes(codebook: DataFrame, n_cycles: int = 7, bases: Sequence[str] = CODE_BASES) -> DataFrame:
     """0/1 code of every gene, one slot per cycle and channel."""
     return codebook.select("gene_id", "gene", one_hot("sequence", bases, n_cycles).alias("code"))

@@ -336,3 +336,10 @@ def accumulated_calls(i: Inputs) -> DataFrame:
     spots = i.spots.select("fov", "modality", "gene_id")
     parts = [(spots.where("modality = 'geneseq'"), 0), (spots.where("modality = 'hyb'"), N_GENES)]
     return basecall.accumulate_calls(parts, i.tiles)
+
+
+@basecalls.query(f"SELECT spot_id, fov, CASE WHEN modality = 'hyb' THEN gene_id + {N_GENES} ELSE gene_id END AS gene_id FROM fx_spots WHERE modality IN ('geneseq', 'hyb')")
+def united_calls(i: Inputs) -> DataFrame:
+    spots = i.spots.select("spot_id", "fov", "modality", "gene_id")
+    parts = [(spots.where("modality = 'geneseq'"), 0), (spots.where("modality = 'hyb'"), N_GENES)]
+    return basecall.union_calls(parts).drop("modality")

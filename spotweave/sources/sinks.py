@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spotweave.operators.assign import global_cell_id
+from spotweave.operators.codebook import short_rows
 from spotweave.operators.expression import wide_matrix
 from spotweave.operators.ranking import number_rows
 
@@ -30,7 +31,7 @@ def write_matrix(expr: DataFrame, cells: DataFrame, codebook: DataFrame, path: s
 
     The codebook names the columns of the file, so its short list is read first.
     """
-    genes = codebook.select("gene_id", F.lower("gene").alias("gene")).orderBy("gene_id").collect()
+    genes = short_rows(codebook.select("gene_id", F.lower("gene").alias("gene")))
     wide = wide_matrix(expr, cells, [g["gene_id"] for g in genes], [g["gene"] for g in genes])
     wide.write.csv(path, sep="\t", header=True)
 
