@@ -26,6 +26,7 @@ KEPT = 300  # words a category's model looks at
 LEAST = 3  # texts a word must occur in
 BEYOND_CHANCE = 20.0  # chi-squared a word must reach; chance gives it to about one word in 100,000
 BANDS, ROWS = 4, 6  # labelled texts that agree in a band of minimum hashes count once
+AT_ONCE = 1024  # rows multiplied at once in a Newton step
 THRESHOLD = 0.35  # probability from which a document counts as toxic
 CATEGORIES = ("quality", "toxic")
 _SALTS = np.random.default_rng(3).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64)
@@ -94,12 +95,14 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
 
-def _dense(rows: np.ndarray, features: np.ndarray, kept: np.ndarray, n: int) -> np.ndarray:
-    """0/1 matrix of the kept features."""
+def _dense(rows: np.ndarray, features: np.ndarray, kept: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """A column of ones, a 0/1 column per kept feature, and the columns of the categories before."""
     at = np.searchsorted(kept, features)
     hit = (at < len(kept)) & (kept[np.minimum(at, len(kept) - 1)] == features) if len(kept) else np.zeros(len(features), bool)
-    out = np.zeros((n, len(kept)))
-    out[rows[hit], at[hit]] = 1
+    out = np.zeros((len(before), 1 + len(kept) + before.shape[1]))
+    out[:, 0] = 1
+    out[rows[hit], 1 + at[hit]] = 1
+    out[:, 1 + len(kept) :] = before
     return out
 
 
@@ -116,8 +119,11 @@ def _telling(rows: np.ndarray, features: np.ndarray, y: np.ndarray) -> np.ndarra
 
 
 def _fit(x: np.ndarray, y: np.ndarray, penalty: float = 0.1, steps: int = 25) -> np.ndarray:
-    """Intercept and weights of a logistic regression by Newton steps; the intercept is not penalised."""
-    x = np.hstack([np.ones((len(x), 1)), x])
+    """Intercept and weights of a logistic regression by Newton steps; the intercept is not penalised.
+
+    The first column of ``x`` is all ones.  Products are added up over a few
+    rows at a time, so that no second matrix of that size is held.
+    """
     ridge = np.full(x.shape[1], penalty)
     ridge[0] = 1e-6
     w = np.zeros(x.shape[1])
@@ -126,7 +132,10 @@ def _fit(x: np.ndarray, y: np.ndarray, penalty: float = 0.1, steps: int = 25) ->
     for _ in range(steps):
         p = _sigmoid(x @ w)
         slope = x.T @ (p - y) + ridge * w
-        bend = (x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge)
+        bend, spread = np.diag(ridge), p * (1 - p)
+        for at in range(0, len(x), AT_ONCE):
+            part = x[at : at + AT_ONCE]
+            bend += (part * spread[at : at + AT_ONCE, None]).T @ part
         move = np.linalg.solve(bend, slope)
         w -= np.clip(move, -4, 4)
         if np.abs(move).max() < 1e-6:
@@ -136,7 +145,7 @@ def _fit(x: np.ndarray, y: np.ndarray, penalty: float = 0.1, steps: int = 25) ->
 
 def _link(rows, features, before: np.ndarray, y: np.ndarray) -> Link:
     kept = _telling(rows, features, y)
-    w = _fit(np.hstack([_dense(rows, features, kept, len(y)), before]), y)
+    w = _fit(_dense(rows, features, kept, before), y)
     return Link(w[0], kept, w[1 : 1 + len(kept)], w[1 + len(kept) :])
 
 
@@ -167,8 +176,8 @@ def fit_chain(table, categories: Sequence[str]) -> Chain:
     """The chain from a table of 0/1 categories and lists of features."""
     n = len(table)
     sizes = np.array([len(f) for f in table["features"]], dtype=np.int64)
-    rows = np.repeat(np.arange(n), sizes)
-    features = np.concatenate([np.asarray(f, dtype=np.int64) for f in table["features"]]) if n else np.zeros(0, np.int64)
+    rows = np.repeat(np.arange(n, dtype=np.int32), sizes)
+    features = np.concatenate([np.asarray(f, dtype=np.int32) for f in table["features"]]) if n else np.zeros(0, np.int32)
     fold = np.arange(n) % FOLDS
     chain, before = Chain(tuple(categories)), np.zeros((n, 0))
     for category in categories:
@@ -181,11 +190,11 @@ def fit_chain(table, categories: Sequence[str]) -> Chain:
         out = np.zeros(n)
         for k in range(FOLDS):
             inside, outside = fold != k, fold == k
-            place = np.cumsum(inside) - 1
+            place = np.cumsum(inside, dtype=np.int32) - 1
             own = inside[rows]
             part = _link(place[rows[own]], features[own], before[inside], y[inside]) if inside.any() else None
             if part is not None and outside.any():
-                place = np.cumsum(outside) - 1
+                place = np.cumsum(outside, dtype=np.int32) - 1
                 rest = outside[rows]
                 out[outside] = _probability(part, place[rows[rest]], features[rest], before[outside], int(outside.sum()))
         chain.links.append(_link(rows, features, before, y))
