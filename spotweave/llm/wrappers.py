@@ -3,9 +3,9 @@
 Each page becomes a small tree: siblings with the same tag and classes are one
 node.  The tree that most pages of a host share is its template, and every
 other tree of the host is aligned with it by simple tree matching.  Over all
-pages of the host, a slot of the template whose text never changes is template
-text; one whose text changes is content, unless its tag or classes say that it
-is a menu, a footer, an advert or the like.  Where a page marks its article,
+pages of the host, a text that a slot of the template holds on most pages is
+template text, also among others in one slot; the rest is content, unless its
+tag or classes say that it is a menu, a footer, an advert or the like.  Where a page marks its article,
 the article's slots are content and all others are not.
 """
 
@@ -245,6 +245,7 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names)
 
 
+REPEATED = 0.5  # share of a slot's differing pages, besides the page itself, that hold a text from which it is template
 LINKED = 0.7  # share of a slot's characters inside links from which it is a list of links
 
 
@@ -253,8 +254,8 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
 
     Blocks of main text are joined by a line feed.  A null or empty page has an
     empty text; a null url counts as an empty host.  Pages that repeat are
-    pages of their own.  Text that never changes over a host is template only
-    where a slot occurs in pages that differ, and never inside a marked article.
+    pages of their own.  A text that a slot repeats over a host is template only
+    where the slot occurs in pages that differ, and never inside a marked article.
     Other columns are ignored.
     """
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url_col), r"(?s)^.*?://([^/?#]*)", 1), F.lit("")))
@@ -271,24 +272,30 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     kinds = "host string, key long, node int, slot string, marked boolean, open boolean"
     nodes = settle(meetings.mapInArrow(_aligned, kinds), "nodes")
 
-    # What the text of a slot does over all pages of the host.
-    page = F.xxhash64(F.col("blocks.text"))  # copies of a page say nothing about what its template is
-    texts = parsed.select("host", "key", page.alias("page"), F.explode("blocks").alias("b"))
-    text = F.xxhash64("b.text")
-    texts = texts.groupBy("host", "key", F.col("b.node").alias("node")).agg(
-        F.min(text).alias("low"), F.max(text).alias("high"), F.min("page").alias("page_low"), F.max("page").alias("page_high"),
-        F.sum("b.linked").alias("linked"), F.sum(F.length("b.text")).alias("chars"),
+    # What the texts of a slot do over all pages of the host; copies of a page say nothing about what its template is.
+    block = F.transform("blocks", lambda b: F.struct(b["node"], F.xxhash64(b["text"]).alias("text"), b["linked"], F.length(b["text"]).alias("chars")))
+    hashed = parsed.select("host", "key", F.xxhash64(F.col("blocks.text")).alias("page"), block.alias("b"))
+    one = hashed.groupBy("host", "page").agg(F.min("key").alias("key"))
+    seen = hashed.join(one, ["host", "page", "key"], "left_semi").select("host", "key", "page", F.explode("b").alias("b")).select("host", "key", "page", "b.*")
+    seen = settle(seen, "seen")
+    sizes = seen.groupBy("host", "key", "node").agg(
+        F.count_distinct("page").alias("pages"), F.sum("linked").alias("linked"), F.sum("chars").alias("chars")
     )
-    placed = settle(nodes.join(texts, ["host", "key", "node"]), "placed")
-    slots = placed.groupBy("host", "slot").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), F.min("page_low").alias("page_low"), F.max("page_high").alias("page_high"),
-        (F.sum("linked") / F.sum("chars")).alias("share"),
+    slots = nodes.join(sizes, ["host", "key", "node"]).groupBy("host", "slot").agg(
+        F.sum("pages").alias("pages"), (F.sum("linked") / F.sum("chars")).alias("share")
     )
-    varies = F.expr(f"(low <> high OR page_low = page_high) AND share < {LINKED}")
-    kept = placed.drop("low", "high", "page_low", "page_high").join(slots, ["host", "slot"]).where(F.coalesce("marked", F.col("open") & varies))
-    kept = kept.groupBy("host", "key").agg(F.collect_set("node").alias("kept"))  # nodes of one tree
-
-    main = F.filter("blocks", lambda b: F.array_contains("kept", b["node"]))
+    slots = settle(slots, "slots")
+    texts = seen.groupBy("host", "key", "node", "text").agg(F.count_distinct("page").alias("on"))
+    texts = texts.join(nodes, ["host", "key", "node"]).groupBy("host", "slot", "text").agg(F.sum("on").alias("on"))
+    template = texts.where("on > 1").join(slots, ["host", "slot"]).where(f"on - 1 >= {REPEATED} * pages").select("host", "slot", "text")
+
+    kept = nodes.join(slots, ["host", "slot"]).where(F.coalesce("marked", F.col("open") & (F.col("share") < LINKED)))
+    fixed = kept.where("marked IS NULL").join(template, ["host", "slot"])
+    fixed = fixed.groupBy("host", "key").agg(F.collect_set(F.struct("node", "text")).alias("fixed"))  # at most a few for each block of a page
+    kept = kept.groupBy("host", "key").agg(F.collect_set("node").alias("kept")).join(fixed, ["host", "key"], "left")  # nodes of one tree
+
+    changes = lambda b: ~F.coalesce(F.array_contains("fixed", F.struct(b["node"], F.xxhash64(b["text"]).alias("text"))), F.lit(False))
+    main = F.filter("blocks", lambda b: F.array_contains("kept", b["node"]) & changes(b))
     found = parsed.join(kept, ["host", "key"], "left")
     joined = F.coalesce(F.concat_ws("\n", F.transform(main, lambda b: b["text"])), F.lit(""))
     return found.select(F.col("id").alias(id_col), F.col("url").alias(url_col), joined.alias("text"), F.length(joined).cast("long").alias("n_chars"))

@@ -302,6 +302,14 @@ def test_main_text(spark):
     assert wrappers.main_text(df.limit(0)).count() == 0
 
 
+def test_constant_siblings_are_template(spark):
+    html = "<body><div><p>Copyright</p><p>Terms</p></div><ul><li>One</li><li>Two</li></ul><div class=body><p>Story {0}</p><p>Read more soon</p><p>End {0}</p></div></body>"
+    rows = [(i, f"http://c.d/{i}", html.format(i)) for i in range(5)] + [(9, "http://x.y/", html.format(9))]
+    got = {r["page_id"]: r["text"] for r in listed(wrappers.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")))}
+    assert [got[i] for i in range(5)] == [f"Story {i}\nEnd {i}" for i in range(5)]
+    assert got[9].startswith("Copyright\nTerms\nOne")  # one page says nothing about its host
+
+
 def test_align_keeps_order():
     tree = lambda *labels: [[-1, "html"], *[[0, x] for x in labels]]
     assert wrappers.align(tree("a", "b", "c"), tree("a", "x", "c")) == {0: 0, 1: 1, 3: 3}
