@@ -5,8 +5,10 @@ node.  The tree that most pages of a host share is its template, and every
 other tree of the host is aligned with it by simple tree matching.  Over all
 pages of the host, a text that a slot of the template holds on most pages is
 template text, also among others in one slot; the rest is content, unless its
-tag or classes say that it is a menu, a footer, an advert or the like.  Where a page marks its article,
-the article's slots are content and all others are not.
+tag or classes say that it is a menu, a footer, an advert or the like.  An
+<article> or <main> mark is evidence, not a verdict: what is inside needs no
+other, and its repeated texts are template while they are the lesser part of
+the host's marked text, else the marked text itself is what pages share.
 """
 
 from __future__ import annotations
@@ -192,19 +194,12 @@ def align(template: list, tree: list) -> dict[int, int]:
     return found
 
 
-def article_nodes(tree: list) -> dict[int, bool] | None:
-    """For each node whether it is main text by the page's own marks; None if the page marks no article.
-
-    Inside the article everything is, but for dropped elements and what they hold.
-    """
-    for marks in ({"article"}, {"main"}):
-        tops = {i for i, (_, label) in enumerate(tree) if label.split(".")[0] in marks and not _is_dropped(label)}
-        if tops:
-            inside = {}
-            for i, (parent, label) in enumerate(tree):  # parents come first
-                inside[i] = (inside.get(parent, False) or i in tops) and not _is_dropped(label)
-            return inside
-    return None
+def article_nodes(tree: list) -> dict[int, bool]:
+    """For each node whether it is in an <article> or <main> that the page marks, and not in a dropped element."""
+    inside = {}
+    for i, (parent, label) in enumerate(tree):  # parents come first
+        inside[i] = (inside.get(parent, False) or label.split(".")[0] in ("article", "main")) and not _is_dropped(label)
+    return inside
 
 
 def unmarked_nodes(tree: list) -> dict[int, bool]:
@@ -240,7 +235,7 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for node in range(len(own)):
                 # A node without a slot has a name of its own, so it is compared over the pages of this tree only.
                 slot = f"{slots[node]}" if node in slots else f"{key}:{node}"
-                out.append((host, key, node, slot, None if inside is None else inside[node], free[node]))
+                out.append((host, key, node, slot, inside[node], free[node]))
         kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.bool_(), pa.bool_()]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names)
 
@@ -255,7 +250,8 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     Blocks of main text are joined by a line feed.  A null or empty page has an
     empty text; a null url counts as an empty host.  Pages that repeat are
     pages of their own.  A text that a slot repeats over a host is template only
-    where the slot occurs in pages that differ, and never inside a marked article.
+    where the slot occurs in pages that differ, and in marked articles only
+    while such texts are the lesser part of them.
     Other columns are ignored.
     """
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url_col), r"(?s)^.*?://([^/?#]*)", 1), F.lit("")))
@@ -282,15 +278,20 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
         F.count_distinct("page").alias("pages"), F.sum("linked").alias("linked"), F.sum("chars").alias("chars")
     )
     slots = nodes.join(sizes, ["host", "key", "node"]).groupBy("host", "slot").agg(
-        F.sum("pages").alias("pages"), (F.sum("linked") / F.sum("chars")).alias("share")
+        F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), (F.sum("linked") / F.sum("chars")).alias("share"), F.max("marked").alias("marked")
     )
     slots = settle(slots, "slots")
-    texts = seen.groupBy("host", "key", "node", "text").agg(F.count_distinct("page").alias("on"))
-    texts = texts.join(nodes, ["host", "key", "node"]).groupBy("host", "slot", "text").agg(F.sum("on").alias("on"))
-    template = texts.where("on > 1").join(slots, ["host", "slot"]).where(f"on - 1 >= {REPEATED} * pages").select("host", "slot", "text")
+    texts = seen.groupBy("host", "key", "node", "text").agg(F.count_distinct("page").alias("on"), F.sum("chars").alias("chars"))
+    texts = texts.join(nodes, ["host", "key", "node"]).groupBy("host", "slot", "text").agg(F.sum("on").alias("on"), F.sum("chars").alias("same"))
+    template = texts.where("on > 1").join(slots, ["host", "slot"]).where(f"on - 1 >= {REPEATED} * pages")
+    template = settle(template.select("host", "slot", "text", "same"), "template")
+
+    # Where most of the marked text repeats, the pages share their articles.
+    same = template.groupBy("host", "slot").agg(F.sum("same").alias("same"))
+    marks = slots.where("marked").join(same, ["host", "slot"], "left").groupBy("host").agg((F.sum("same") * 2 > F.sum("chars")).alias("shared"))
 
-    kept = nodes.join(slots, ["host", "slot"]).where(F.coalesce("marked", F.col("open") & (F.col("share") < LINKED)))
-    fixed = kept.where("marked IS NULL").join(template, ["host", "slot"])
+    kept = nodes.join(slots.drop("marked"), ["host", "slot"]).where(F.col("marked") | F.col("open") & (F.col("share") < LINKED))
+    fixed = kept.join(template, ["host", "slot"]).join(marks, "host", "left").where("NOT (marked AND coalesce(shared, false))")
     fixed = fixed.groupBy("host", "key").agg(F.collect_set(F.struct("node", "text")).alias("fixed"))  # at most a few for each block of a page
     kept = kept.groupBy("host", "key").agg(F.collect_set("node").alias("kept")).join(fixed, ["host", "key"], "left")  # nodes of one tree
 

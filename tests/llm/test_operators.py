@@ -310,6 +310,16 @@ def test_constant_siblings_are_template(spark):
     assert got[9].startswith("Copyright\nTerms\nOne")  # one page says nothing about its host
 
 
+def test_marks_do_not_replace_the_slots(spark):
+    cards = "<body><div class=text><p>Long story number {0}</p></div><div><article><p>Card {0}</p></article></div></body>"
+    above = "<body><main><h1>Title {0}</h1><article><p>A story of {0} and what came of it</p><div><p>Read on soon</p></div></article></main></body>"
+    rows = [(i, f"http://c.d/{i}", cards.format(i)) for i in range(5)] + [(10 + i, f"http://x.y/{i}", above.format(i)) for i in range(5)]
+    got = {r["page_id"]: r["text"] for r in listed(wrappers.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")))}
+    for i in range(5):
+        assert got[i] == f"Long story number {i}\nCard {i}"
+        assert got[10 + i] == f"Title {i}\nA story of {i} and what came of it"
+
+
 def test_align_keeps_order():
     tree = lambda *labels: [[-1, "html"], *[[0, x] for x in labels]]
     assert wrappers.align(tree("a", "b", "c"), tree("a", "x", "c")) == {0: 0, 1: 1, 3: 3}
