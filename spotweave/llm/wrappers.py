@@ -37,6 +37,12 @@ _DROPPED_WORDS = frozenset(
     "newsletter subscribe subscription signup login share sharing social related recommended comment comments reply replies "
     "respond disqus widget toolbar pagination pager search legal complementary contentinfo header topbar form".split()
 )
+#: Words that may stand beside those in one class, as in site-footer; a class with any other word (has-comments) says something else.
+_AROUND_WORDS = frozenset(
+    "site page main top bottom left right list box bar block area container wrapper wrap inner section slot unit item link links button "
+    "buttons icons panel".split()
+)
+_TALK_WORDS = frozenset("comment comments reply replies respond disqus".split())
 _ARTICLE_WORDS = frozenset("article post entry story".split())
 _BLOCKS = frozenset(
     "address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -53,21 +59,28 @@ _ROOT = [-1, "html"]
 
 
 def _label(tag: str, attributes: str) -> str:
-    """Tag with the words of its class, id and role."""
+    """Tag with its classes, id and role, each as its words without numbers."""
     if not attributes or attributes.isspace():
         return tag
-    words = [w.lower() for m in _ATTRIBUTE.finditer(attributes) for w in _WORD.findall(m[2] or m[3] or m[4] or "") if not w.isdigit()]
-    return ".".join([tag, *sorted(set(words))])
+    tokens = [t.lower() for m in _ATTRIBUTE.finditer(attributes) for t in (m[2] or m[3] or m[4] or "").split()]
+    names = {"-".join(w for w in _WORD.findall(t) if not w.isdigit()) for t in tokens}
+    return ".".join([tag, *sorted(names - {""})])
 
 
 @lru_cache(maxsize=10_000)
+def _named_dropped(label: str) -> frozenset[str]:
+    """The words by which a whole class, id or role says that an element holds no main text; never for an article."""
+    tag, *names = label.split(".")
+    if tag in ("article", "main"):
+        return frozenset()
+    parts = [frozenset(name.split("-")) for name in names]
+    marked = frozenset().union(*(p & _DROPPED_WORDS for p in parts if p <= _DROPPED_WORDS | _AROUND_WORDS))
+    return marked - {"header"} if _ARTICLE_WORDS.intersection(names) else marked
+
+
 def _is_dropped(label: str) -> bool:
-    """Whether an element of this label never holds main text (a header may, inside an article)."""
-    tag, *words = label.split(".")
-    if tag in _DROPPED_TAGS:
-        return True
-    marked = _DROPPED_WORDS.intersection(words)
-    return bool(marked - {"header"} if _ARTICLE_WORDS.intersection(words) else marked)
+    """Whether the tag or a name of an element says that it holds no main text (a header may, inside an article)."""
+    return label.split(".")[0] in _DROPPED_TAGS or bool(_named_dropped(label))
 
 
 def parse(page: str | None) -> tuple[list, list[tuple[int, str, int]]]:
@@ -195,18 +208,27 @@ def align(template: list, tree: list) -> dict[int, int]:
 
 
 def article_nodes(tree: list) -> dict[int, bool]:
-    """For each node whether it is in an <article> or <main> that the page marks, and not in a dropped element."""
+    """For each node whether it is in an <article> or <main> that the page marks, and not in an element dropped by tag."""
     inside = {}
     for i, (parent, label) in enumerate(tree):  # parents come first
-        inside[i] = (inside.get(parent, False) or label.split(".")[0] in ("article", "main")) and not _is_dropped(label)
+        tag = label.split(".")[0]
+        inside[i] = (inside.get(parent, False) or tag in ("article", "main")) and tag not in _DROPPED_TAGS
     return inside
 
 
 def unmarked_nodes(tree: list) -> dict[int, bool]:
-    """For each node whether neither it nor what holds it is a dropped element; headers hold no main text here."""
+    """For each node whether neither it nor what holds it is dropped by tag; headers hold no main text here."""
     out = {}
     for i, (parent, label) in enumerate(tree):
-        out[i] = out.get(parent, True) and not _is_dropped(label) and label.split(".")[0] != "header"
+        out[i] = out.get(parent, True) and label.split(".")[0] not in _DROPPED_TAGS | {"header"}
+    return out
+
+
+def named_nodes(tree: list) -> dict[int, list[int]]:
+    """For each node the elements dropped by name that hold it, itself among them."""
+    out = {}
+    for i, (parent, label) in enumerate(tree):
+        out[i] = out.get(parent, []) + [i] * bool(_named_dropped(label))
     return out
 
 
@@ -225,18 +247,19 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (host, tree key, tree, template) to one row per node: its slot and what its marks say."""
-    names = ["host", "key", "node", "slot", "marked", "open"]
+    """Rows (host, tree key, tree, template) to one row per node: its slot, what marks and tags say, and the slots dropped by name that hold it."""
+    names = ["host", "key", "node", "slot", "marked", "open", "named", "talk"]
     for batch in batches:
         out = []
         for host, key, tree, template in zip(*(c.to_pylist() for c in batch.columns)):
             own = json.loads(tree)
-            slots, inside, free = align(json.loads(template), own), article_nodes(own), unmarked_nodes(own)
+            slots, inside, free, named = align(json.loads(template), own), article_nodes(own), unmarked_nodes(own), named_nodes(own)
+            # A node without a slot has a name of its own, so it is compared over the pages of this tree only.
+            slot = [f"{slots[node]}" if node in slots else f"{key}:{node}" for node in range(len(own))]
             for node in range(len(own)):
-                # A node without a slot has a name of its own, so it is compared over the pages of this tree only.
-                slot = f"{slots[node]}" if node in slots else f"{key}:{node}"
-                out.append((host, key, node, slot, inside[node], free[node]))
-        kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.bool_(), pa.bool_()]
+                talk = any(_named_dropped(own[n][1]) & _TALK_WORDS for n in named[node])
+                out.append((host, key, node, slot[node], inside[node], free[node], [slot[n] for n in named[node]], talk))
+        kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.bool_(), pa.bool_(), pa.list_(pa.string()), pa.bool_()]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names)
 
 
@@ -251,7 +274,9 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     empty text; a null url counts as an empty host.  Pages that repeat are
     pages of their own.  A text that a slot repeats over a host is template only
     where the slot occurs in pages that differ, and in marked articles only
-    while such texts are the lesser part of them.
+    while such texts are the lesser part of them.  An element with a class, id or
+    role that names a menu, an advert or the like is left out, unless it holds most
+    of what varies over a host without marked articles.
     Other columns are ignored.
     """
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url_col), r"(?s)^.*?://([^/?#]*)", 1), F.lit("")))
@@ -265,7 +290,7 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     trees = settle(trees, "trees")
     templates = trees.groupBy("host").agg(F.max_by("tree", F.struct("pages", "key")).alias("template"))
     meetings = trees.join(templates, "host").select("host", "key", "tree", "template")
-    kinds = "host string, key long, node int, slot string, marked boolean, open boolean"
+    kinds = "host string, key long, node int, slot string, marked boolean, open boolean, named array<string>, talk boolean"
     nodes = settle(meetings.mapInArrow(_aligned, kinds), "nodes")
 
     # What the texts of a slot do over all pages of the host; copies of a page say nothing about what its template is.
@@ -278,7 +303,7 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
         F.count_distinct("page").alias("pages"), F.sum("linked").alias("linked"), F.sum("chars").alias("chars")
     )
     slots = nodes.join(sizes, ["host", "key", "node"]).groupBy("host", "slot").agg(
-        F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), (F.sum("linked") / F.sum("chars")).alias("share"), F.max("marked").alias("marked")
+        F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), (F.sum("linked") / F.sum("chars")).alias("share"), F.max(F.col("marked") & (F.size("named") == 0)).alias("marked"),
     )
     slots = settle(slots, "slots")
     texts = seen.groupBy("host", "key", "node", "text").agg(F.count_distinct("page").alias("on"), F.sum("chars").alias("chars"))
@@ -290,6 +315,17 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     same = template.groupBy("host", "slot").agg(F.sum("same").alias("same"))
     marks = slots.where("marked").join(same, ["host", "slot"], "left").groupBy("host").agg((F.sum("same") * 2 > F.sum("chars")).alias("shared"))
 
+    # An element dropped by name is not if, of the text that varies over the host, it holds most and no marked article holds any.
+    varying = F.col("chars") - F.coalesce("same", F.lit(0))
+    loads = slots.where(f"share < {LINKED}").join(same, ["host", "slot"], "left").select("host", "slot", "marked", "pages", varying.alias("load"))
+    allowed = nodes.where("(marked OR open) AND NOT talk").select("host", "slot", "named").distinct()
+    loads = allowed.groupBy("host", "slot").agg(F.array_distinct(F.flatten(F.collect_set("named"))).alias("named")).join(loads, ["host", "slot"])
+    whole = loads.groupBy("host").agg(F.max("pages").alias("pages"), F.sum("load").alias("whole"), F.coalesce(F.sum(F.when(F.col("marked"), F.col("load"))), F.lit(0)).alias("in_marks"))
+    held = loads.select("host", "load", F.explode("named").alias("holder")).groupBy("host", "holder").agg(F.sum("load").alias("load"))
+    cleared = held.join(whole.where("in_marks = 0 AND pages > 1"), "host").where("load * 2 > whole").groupBy("host").agg(F.collect_set("holder").alias("cleared"))
+    named = F.size(F.array_except("named", F.coalesce("cleared", F.array().cast("array<string>")))) > 0
+    nodes = nodes.join(cleared, "host", "left").where(~named).drop("named", "talk", "cleared")
+
     kept = nodes.join(slots.drop("marked"), ["host", "slot"]).where(F.col("marked") | F.col("open") & (F.col("share") < LINKED))
     fixed = kept.join(template, ["host", "slot"]).join(marks, "host", "left").where("NOT (marked AND coalesce(shared, false))")
     fixed = fixed.groupBy("host", "key").agg(F.collect_set(F.struct("node", "text")).alias("fixed"))  # at most a few for each block of a page

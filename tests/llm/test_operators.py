@@ -320,6 +320,15 @@ def test_marks_do_not_replace_the_slots(spark):
         assert got[10 + i] == f"Title {i}\nA story of {i} and what came of it"
 
 
+def test_names_do_not_drop_articles(spark):
+    kinds = ["<article class='post has-comments'>{0}</article>", "<article class='hentry category-legal comments'>{0}</article>", "<div id=content class='with-sidebar'>{0}</div>"]
+    kinds += ["<div class='legal notice'><p>{0}</p></div><div class='ad-slot'>Buy {1}</div>"]
+    rows = [(10 * k + i, f"http://h{k}/{i}", html.format(f"<p>A long story of {i}</p>", i)) for k, html in enumerate(kinds) for i in range(4)]
+    rows += [(90, "http://one/", "<article>a</article><div class=ad>Buy what you never wanted</div><div class='site-footer'>us</div>")]
+    got = {r["page_id"]: r["text"] for r in listed(wrappers.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")))}
+    assert all(got[10 * k + i] == f"A long story of {i}" for k in range(4) for i in range(4)) and got[90] == "a"
+
+
 def test_align_keeps_order():
     tree = lambda *labels: [[-1, "html"], *[[0, x] for x in labels]]
     assert wrappers.align(tree("a", "b", "c"), tree("a", "x", "c")) == {0: 0, 1: 1, 3: 3}
