@@ -174,45 +174,54 @@ def mix(
     ignored.
     """
     sized, plan = source_plan(df, id_col, text_col, source_col, seed)
-    if not plan:
-        plan = [{"source": None, "source_size": 0, "target": 0.0, "passes": 0, "last": -1, "blocks": 1}]
-    shards = max(1, round(sum(p["target"] for p in plan) / shard_words))
-    blocks = df.sparkSession.range(shards).mapInPandas(_dealt(plan, shards, seed), "nth int, pass int, block long, shard int")
-    entry = F.struct("pass", "shard")
-    blocks = blocks.groupBy("nth", "block").agg(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["shard"]).alias("all"))
-    known = _of_source(sized, _plan_table(df, plan))
-    copies = F.col("passes") + (F.col("place") <= F.col("last")).cast("int")
-    known = known.withColumn("copies", copies).withColumn("block", _block(F.col("place"), F.col("blocks")))
-    shards_of = F.slice(F.coalesce("all", F.array().cast("array<int>")), F.lit(1), F.col("copies"))
-    return known.join(blocks, ["nth", "block"], "left").select(
+    return _sharded(sized, F.col("source"), F.col("place"), plan, seed, shard_words).select(
         F.col("id").alias(id_col),
         "size",
         "source_size",
         "target",
-        (F.col("size") * F.col("copies")).alias("taken"),
-        "copies",
-        shards_of.alias("shards"),
+        (F.col("size") * F.size("shards")).alias("taken"),
+        F.size("shards").alias("copies"),
+        "shards",
         "place",
     )
 
 
-def mixed(df: DataFrame, id_col="doc_id", text_col="text", source_col="source", seed: int = SEED) -> DataFrame:
-    """The rows the mix takes, each as often as it is taken, with the columns of ``df``.
+def _sharded(df: DataFrame, source: Column, place_: Column, plan: list[dict], seed: int, shard_words: int) -> DataFrame:
+    """``df`` with its source's entry and ``shards``, the output shard of each copy, from the blocks that the splitting tree deals."""
+    if not plan:
+        plan = [{"source": None, "source_size": 0, "target": 0.0, "passes": 0, "last": -1, "blocks": 1}]
+    shards = max(1, round(sum(p["target"] for p in plan) / shard_words))
+    blocks = df.sparkSession.range(shards).mapInPandas(_dealt(plan, shards, seed), "nth int, pass int, block long, shard int")
+    entry = F.struct("pass", "shard")
+    blocks = blocks.groupBy("nth", "block").agg(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["shard"]).alias("all"))
+    blocks = settle(blocks, "blocks")  # one row per block: its true size shows that the texts need not move for it
+    table = _plan_table(df, plan)
+    known = df.join(table, source.cast("string").eqNullSafe(table["src"])).withColumn("block", _block(place_, F.col("blocks")))
+    upto = F.col("passes") + (place_ <= F.col("last")).cast("int")
+    shards_of = F.slice(F.coalesce("all", F.array().cast("array<int>")), F.lit(1), upto)
+    return known.join(blocks, ["nth", "block"], "left").withColumn("shards", shards_of)
+
 
-    The plan has one row per source, so the texts need not move.
-    """
+def _in_shards(df: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, shard_words: int) -> DataFrame:
+    """Struct ``row`` and ``shard``: a row per copy that the mix takes, a shard in one partition and shuffled on its own."""
     _, plan = source_plan(df, id_col, text_col, source_col, seed)
-    table = _plan_table(df, plan).select("src", "passes", "last")
-    joined = df.join(table, df[source_col].cast("string").eqNullSafe(table["src"]))
-    copies = table["passes"] + (place(df[id_col], df[text_col], seed) <= table["last"]).cast("int")
-    kept = joined.where(copies > 0).select(*[df[c] for c in df.columns], F.sequence(F.lit(1), copies).alias("__copies__"))
-    return kept.withColumn("__copies__", F.explode("__copies__")).drop("__copies__")
-
-
-def write_shards(df: DataFrame, path: str, id_col="doc_id", text_col="text", source_col="source", seed: int = SEED) -> None:
-    """Write the mix as Parquet folders ``shard=n``, each shuffled on its own; ids must be unique."""
-    plan = mix(df, id_col, text_col, source_col, seed).select(F.col(id_col).alias("mix_id"), "place", F.posexplode("shards").alias("nth", "shard"))
-    rows = df.join(plan, df[id_col].eqNullSafe(plan["mix_id"]))
-    key = F.xxhash64("shard", "nth", "place")
-    placed = rows.repartition("shard").sortWithinPartitions("shard", key)
-    placed.select(*[df[c] for c in df.columns], "shard").write.partitionBy("shard").parquet(path)
+    rows = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), place(df[id_col], df[text_col], seed).alias("place"))
+    dealt = _sharded(rows, F.col("row")[source_col], F.col("place"), plan, seed, shard_words)
+    copies = dealt.select("row", "place", F.posexplode("shards").alias("copy", "shard"))
+    key = F.xxhash64("shard", "copy", "place")
+    return copies.repartition("shard").sortWithinPartitions("shard", key).select("row", "shard")
+
+
+def mixed(
+    df: DataFrame, id_col="doc_id", text_col="text", source_col="source", seed: int = SEED, shard_words: int = SHARD_WORDS
+) -> DataFrame:
+    """The rows the mix takes, each as often as it is taken, with the columns of ``df``, in the shards and order of ``mix``."""
+    return _in_shards(df, id_col, text_col, source_col, seed, shard_words).select("row.*")
+
+
+def write_shards(
+    df: DataFrame, path: str, id_col="doc_id", text_col="text", source_col="source", seed: int = SEED, shard_words: int = SHARD_WORDS
+) -> None:
+    """Write the mix as Parquet folders ``shard=n``, each shuffled on its own."""
+    placed = _in_shards(df, id_col, text_col, source_col, seed, shard_words)
+    placed.select("row.*", "shard").write.partitionBy("shard").parquet(path)

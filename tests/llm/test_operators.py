@@ -217,6 +217,24 @@ def test_mixing(docs, none):
     assert mixing.mix(none).count() == 0 and mixing.mixed(none).count() == 0
 
 
+def test_mixed_rows_stand_in_the_shards_of_the_mix(spark, docs, tmp_path):
+    plan = mixing.mix(docs, shard_words=2000).withColumn("text_size", F.col("size"))
+    dealt = plan.select("doc_id", "place", F.posexplode("shards").alias("copy", "shard"))
+    want = sorted((r["shard"], r["key"], r["doc_id"]) for r in listed(dealt.select("shard", F.xxhash64("shard", "copy", "place").alias("key"), F.coalesce("doc_id", F.lit(-1)).alias("doc_id"))))
+    by_shard = {s: [d for t, _, d in want if t == s] for s in {w[0] for w in want}}
+    named = lambda rows: [-1 if r["doc_id"] is None else r["doc_id"] for r in rows]
+    mixing.write_shards(docs, f"{tmp_path}/w", shard_words=2000)
+    for shard, ids in by_shard.items():
+        assert named(listed(spark.read.parquet(f"{tmp_path}/w/shard={shard}").coalesce(1))) == ids
+    assert len(by_shard) > 2
+    parts = mixing.mixed(docs, shard_words=2000).withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id())
+    got = pd.DataFrame(listed(parts.select("doc_id", "part", "at"))).sort_values("at")
+    runs = [named(g.astype(object).where(g.notna(), None).to_dict("records")) for _, g in got.groupby("part")]
+    flat = [x for run in runs for x in run]
+    starts = lambda ids: any(flat[i : i + len(ids)] == ids for i in range(len(flat)))
+    assert len(flat) == len(want) and all(starts(ids) for ids in by_shard.values())
+
+
 def test_targets():
     assert mixing.targets([10, 10, 10], [1, 2, 3]) == [5, 10, 15]
     assert mixing.targets([100, 1, 0], [1, 2, 3]) == [98, 3, 0]
