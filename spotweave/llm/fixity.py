@@ -45,13 +45,20 @@ def records(df: DataFrame, id_col="page_id", url_col="url", body_col="html", per
     is the byte offset.  Rows that repeat an id are records of their own.
     Other columns are ignored.
     """
+    hashed = settle(digests(df, id_col, url_col, body_col), "records")
+    return in_files(hashed.withColumn("file", F.pmod("deal", F.lit(file_count(hashed.count(), per_file)))).drop("deal"))
+
+
+def digests(df: DataFrame, id_col="page_id", url_col="url", body_col="html") -> DataFrame:
+    """Records wherever they stand: ``id, deal, digest, size``."""
     record = warc_record(F.col(url_col), F.col(body_col), F.col(id_col))
     rows = df.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), record.alias("record"))
     size = (F.octet_length("record") + len(_GAP)).cast("long")
-    hashed = rows.select("id", F.xxhash64("id", "url", size).alias("deal"), F.unhex(F.sha2("record", 256)).alias("digest"), size.alias("size"))
-    hashed = settle(hashed, "records")
-    files = max(1, -(-hashed.count() // per_file))
-    return in_files(hashed.withColumn("file", F.pmod("deal", F.lit(files))).drop("deal"))
+    return rows.select("id", F.xxhash64("id", "url", size).alias("deal"), F.unhex(F.sha2("record", 256)).alias("digest"), size.alias("size"))
+
+
+def file_count(rows: int, per_file: int = RECORDS) -> int:
+    return max(1, -(-rows // per_file))
 
 
 def in_files(hashed: DataFrame) -> DataFrame:
@@ -155,13 +162,59 @@ def audit(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     return differ.withColumnRenamed("node", "nth")
 
 
+def laid_out(ours: DataFrame, theirs: DataFrame, files: int) -> DataFrame:
+    """A replica on our manifest: ``file, nth, start, id, size, digest, their_size, their_digest``.
+
+    ``ours`` has places, ``theirs`` is ``id, deal, digest, size``.  Records are
+    paired by id, among those that repeat an id equal ones first.  A record
+    that the replica lacks has null in their columns; one that only the replica
+    has is null in ours and stands after the manifest's records of a file.
+    """
+
+    def pairs(a: DataFrame, b: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+        sides = []
+        for side, own in ((a, "a"), (b, "b")):
+            nth = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+            sides.append(side.withColumn("_turn", nth).select(*[F.col(c).alias(f"{own}_{c}") for c in [*side.columns, "_turn"]]))
+        same = [F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}")) for c in [*by, "_turn"]]
+        return sides[0].join(sides[1], same, "full_outer").drop("a__turn", "b__turn")
+
+    places, records_ = ["file", "nth", "start", "id", "size", "digest"], ["id", "deal", "digest", "size"]
+    equal = settle(pairs(ours.select(*places), theirs.select(*records_), ["id", "digest"], ["size"]), "paired")
+    left = equal.where("b_digest IS NULL").select(*[F.col(f"a_{c}").alias(c) for c in places])
+    right = equal.where("a_digest IS NULL").select(*[F.col(f"b_{c}").alias(c) for c in records_])
+    rest = settle(pairs(left, right, ["id"], ["digest"]), "paired")
+    known = equal.where("a_digest IS NOT NULL AND b_digest IS NOT NULL").unionByName(rest.where("a_digest IS NOT NULL"))
+    their = [F.col("b_size").alias("their_size"), F.col("b_digest").alias("their_digest")]
+    known = known.select(*[F.col(f"a_{c}").alias(c) for c in places], *their)
+
+    extra = rest.where("a_digest IS NULL").select(F.pmod("b_deal", F.lit(files)).alias("file"), F.col("b_id").alias("id"), *their)
+    ends = ours.groupBy("file").agg((F.max("nth") + 1).alias("records"), F.max(F.col("start") + F.col("size")).alias("bytes"))
+    order = Window.partitionBy("file").orderBy("id", "their_digest")
+    before = F.coalesce(F.sum("their_size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    extra = extra.withColumn("nth", F.row_number().over(order) - 1).withColumn("start", before).join(ends, "file", "left")
+    nth = (F.col("nth") + F.coalesce("records", F.lit(0))).cast("long").alias("nth")
+    start = (F.col("start") + F.coalesce("bytes", F.lit(0))).cast("long").alias("start")
+    none = [F.lit(None).cast("long").alias("size"), F.lit(None).cast("binary").alias("digest")]
+    return known.unionByName(extra.select("file", nth, start, "id", *none, "their_size", "their_digest"))
+
+
 def audited(df: DataFrame, replica: DataFrame, id_col="page_id", url_col="url", body_col="html") -> DataFrame:
-    """Each record of ``df`` with ``damaged``: whether the replica's record at its place differs.
+    """Each record of ``df`` and each that only the replica has, with ``damaged``: whether the replica's record of that id differs.
 
-    Columns: ``id_col, file, nth, start, size, digest`` (lowercase hex), ``damaged``.
+    Columns: ``id_col, file, nth, start, size, digest`` (lowercase hex),
+    ``damaged``, ``state`` (intact, changed, missing or extra).  Both sides stand
+    on the manifest of ``df``, so a record of another length, a lost or an added
+    one moves no other.  Extra records show the replica's size and digest.
     """
-    ours = settle(records(df, id_col, url_col, body_col), "ours")
-    theirs = settle(records(replica, id_col, url_col, body_col), "theirs")
-    found = audit(ours, theirs).withColumn("_found", F.lit(True))
-    shown = [F.col("id").alias(id_col), "file", "nth", "start", "size", F.lower(F.hex("digest")).alias("digest")]
-    return ours.join(found, ["file", "nth"], "left").select(*shown, F.coalesce("_found", F.lit(False)).alias("damaged"))
+    hashed = settle(digests(df, id_col, url_col, body_col), "records")
+    files = file_count(hashed.count())
+    ours = settle(in_files(hashed.withColumn("file", F.pmod("deal", F.lit(files))).drop("deal")), "ours")
+    theirs = settle(digests(replica, id_col, url_col, body_col), "theirs")
+    laid = settle(laid_out(ours, theirs, files), "laid")
+    held = laid.where("their_digest IS NOT NULL").select("file", "nth", "start", F.col("their_size").alias("size"), F.col("their_digest").alias("digest"))
+    found = audit(ours, held).withColumn("_found", F.lit(True))
+    state = F.when(F.col("_found").isNull(), "intact").when(F.col("digest").isNull(), "extra").when(F.col("their_digest").isNull(), "missing").otherwise("changed")
+    size, digest = F.coalesce("size", "their_size").alias("size"), F.lower(F.hex(F.coalesce("digest", "their_digest"))).alias("digest")
+    shown = [F.col("id").alias(id_col), "file", "nth", "start", size, digest, F.coalesce("_found", F.lit(False)).alias("damaged"), state.alias("state")]
+    return laid.join(found, ["file", "nth"], "left").select(*shown)

@@ -35,11 +35,15 @@ def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_fixity_audit(spark: SparkSession, folder: str) -> DataFrame:
-    """The pages as WARC records against a replica in which the first character of every 97th page has rotted."""
+    """The pages as WARC records against a replica with rotten, truncated, grown, missing and extra ones, each every 97th page."""
     pages = table(spark, folder, "pages")
     rotten = F.concat(F.lit("~"), F.substring("html", 2, 2**31 - 1))
-    replica = pages.withColumn("html", F.when((F.col("page_id") % 97 == 5) & (F.length("html") > 0), rotten).otherwise(F.col("html")))
-    return fixity.audited(pages, replica)
+    nth, some = F.col("page_id") % 97, F.length("html") > 0
+    half = F.substring("html", F.lit(1), F.floor(F.length("html") / 2).cast("int"))
+    html = F.when((nth == 5) & some, rotten).when((nth == 23) & some, half).when(nth == 41, F.concat(F.coalesce("html", F.lit("")), F.lit("~")))
+    replica = pages.withColumn("html", html.otherwise(F.col("html"))).where(~(F.coalesce(nth, F.lit(0)) == 59))
+    extra = pages.where(nth == 77).withColumn("page_id", -1 - F.col("page_id"))
+    return fixity.audited(pages, replica.unionByName(extra))
 
 
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:

@@ -296,6 +296,21 @@ def test_audit_finds_what_brute_force_finds(spark, tmp_path):
     assert read == Counter((r["id"], r["digest"]) for r in listed(fixity.records(pages)))
 
 
+def test_audited_with_all_kinds_of_damage(spark):
+    rows = [(i, f"http://h{i % 5}/{i}", f"<p>{i}</p>" * (1 + i % 9)) for i in range(2001)] + [(None, None, None), (7, "http://h/", "again"), (7, "http://h/", "again")]
+    schema = "page_id long, url string, html string"
+    other = [(i, u, {3: "<q>3</p>", 50: "<p>", 51: "<p>51</p>" * 20}.get(i, h)) for i, u, h in rows if i not in (0, 1999)]
+    other = [r for r in other if r != (7, "http://h2/7", "<p>7</p>" * 8)] + [(7, "http://h2/7", "~"), (-4, "http://new/", "x"), (9000, None, None)]
+    got = listed(fixity.audited(spark.createDataFrame(rows, schema), spark.createDataFrame(other, schema)))
+    found = sorted((r["page_id"], r["state"]) for r in got if r["damaged"])
+    assert found == [(-4, "extra"), (0, "missing"), (3, "changed"), (7, "changed"), (50, "changed"), (51, "changed"), (1999, "missing"), (9000, "extra")]
+    assert len(got) == len(rows) + 2 and all(r["state"] == "intact" for r in got if not r["damaged"])
+    assert len({(r["file"], r["nth"]) for r in got}) == len(got) and {r["file"] for r in got} == {0, 1, 2}
+    none = spark.createDataFrame([], schema)
+    assert {r["state"] for r in listed(fixity.audited(none, spark.createDataFrame(rows, schema)))} == {"extra"}
+    assert {r["state"] for r in listed(fixity.audited(spark.createDataFrame(rows, schema), none))} == {"missing"}
+
+
 def page(title, body, extra=""):
     return (
         f"<!DOCTYPE html><html><head><title>{title}</title><script>var t='</p>';</script></head><body><header>Site</header><nav><ul><li><a href='/'>{title} menu</a></li></ul></nav>"
