@@ -1,7 +1,7 @@
 """URL filter: rules first, then gradient-boosted trees on lexical features.
 
 The trees are trained on labelled URLs, a bounded sample; suffix statistics are
-counted over all URLs and kept in a table of fixed size.
+counted over all URLs, one row per suffix, and joined to the rows.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spotweave.session import settle
+
 #: Fixed values: (verdict, rule), a rule being a host and a path.
 RULES = (
     ("allow", "org/"),
@@ -28,7 +30,6 @@ RULES = (
 UNWANTED = ("ads", "adult", "bet", "bets", "casino", "cheap", "farm", "pills", "poker", "porn", "spam", "track", "win", "xxx")
 
 SAMPLE = 20_000  # labelled URLs the trees are trained on at most
-SUFFIX_BITS = 12  # suffixes are counted in 2**12 bins
 TREES, DEPTH, RATE, BINS = 60, 3, 0.3, 32
 FEATURES = (
     "url_length", "host_length", "path_length", "depth", "labels", "longest_label", "hyphens", "digit_ratio", "host_digit_ratio",
@@ -57,9 +58,9 @@ def rule_for(host: Column, path: Column, rules=RULES) -> Column:
     return found
 
 
-def suffix_bin(host: Column) -> Column:
-    """Bin of the last two labels of a host."""
-    return F.pmod(F.xxhash64(F.substring_index(host, ".", -2)), F.lit(1 << SUFFIX_BITS)).cast("int")
+def suffix_of(host: Column) -> Column:
+    """The last two labels of a host."""
+    return F.substring_index(host, ".", -2)
 
 
 def weak_label(host: Column) -> Column:
@@ -73,10 +74,10 @@ def _entropy(text: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(text).values()) if n else 0.0
 
 
-def features(urls: list[str | None], hosts: list[str], paths: list[str], bins: list[int], counts, rates) -> np.ndarray:
+def features(urls: list[str | None], hosts: list[str], paths: list[str], counts: list[int], rates: list[float]) -> np.ndarray:
     """One row of ``FEATURES`` per URL; a null URL counts as empty."""
     rows = np.zeros((len(urls), len(FEATURES)))
-    for i, (url, host, path, place) in enumerate(zip(urls, hosts, paths, bins)):
+    for i, (url, host, path, count, rate) in enumerate(zip(urls, hosts, paths, counts, rates)):
         url = url or ""
         labels = host.split(".")
         query = url.partition("#")[0].partition("?")[2]
@@ -84,7 +85,7 @@ def features(urls: list[str | None], hosts: list[str], paths: list[str], bins: l
         rows[i] = (
             len(url), len(host), len(path), path.count("/"), len(labels), max(map(len, labels)), host.count("-"),
             digits / max(1, len(url)), sum(c.isdigit() for c in host) / max(1, len(host)), _entropy(host), _entropy(url),
-            len([p for p in query.split("&") if p]), sum(not c.isalnum() for c in url), math.log1p(counts[place]), rates[place],
+            len([p for p in query.split("&") if p]), sum(not c.isalnum() for c in url), math.log1p(count), rate,
         )
     return rows
 
@@ -152,20 +153,20 @@ def _best_split(binned: np.ndarray, slope: np.ndarray, bend: np.ndarray, edges)
     return found
 
 
-def suffix_table(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Over all URLs: how many fall in each suffix bin, and the smoothed rate of label 1 there."""
-    grouped = rows.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.count("label").alias("known"), F.sum("label").alias("bad"))
-    counts, known, bad = (np.zeros(1 << SUFFIX_BITS) for _ in range(3))
-    for r in grouped.collect():  # at most 2**SUFFIX_BITS rows
-        counts[r["bin"]], known[r["bin"]], bad[r["bin"]] = r["n"], r["known"], r["bad"] or 0
-    rate = bad.sum() / max(1.0, known.sum())
-    return counts, (bad + 20 * rate) / (known + 20)
+def suffix_table(rows: DataFrame) -> DataFrame:
+    """Over all URLs, one row per suffix: ``suffix, count`` and ``rate``, the smoothed rate of label 1."""
+    grouped = rows.groupBy("suffix").agg(F.count(F.lit(1)).alias("count"), F.count("label").alias("known"), F.coalesce(F.sum("label"), F.lit(0)).alias("bad"))
+    grouped = settle(grouped, "suffixes")
+    total = grouped.agg(F.sum("known").alias("known"), F.sum("bad").alias("bad")).first()
+    rate = (total["bad"] or 0) / max(1, total["known"] or 0)
+    return grouped.select("suffix", "count", ((F.col("bad") + 20 * rate) / (F.col("known") + 20)).alias("rate"))
 
 
-def train(rows: DataFrame, table: tuple[np.ndarray, np.ndarray], sample: int = SAMPLE) -> Trees:
-    """Trees from rows ``url, host, path, bin, label``; at most ``sample`` labelled ones, by hash of the URL, reach the driver."""
-    some = rows.where("label IS NOT NULL").orderBy(F.xxhash64("url"), "url").limit(sample).toArrow().to_pylist()
-    x = features(*([r[k] for r in some] for k in ("url", "host", "path", "bin")), *table)
+def train(rows: DataFrame, table: DataFrame, sample: int = SAMPLE) -> Trees:
+    """Trees from rows ``url, host, path, suffix, label``; at most ``sample`` labelled ones, by hash of the URL, reach the driver."""
+    order = [F.xxhash64("url"), "url"]
+    some = rows.where("label IS NOT NULL").orderBy(*order).limit(sample).join(table, "suffix").orderBy(*order).toArrow().to_pylist()
+    x = features(*([r[k] for r in some] for k in ("url", "host", "path", "count", "rate")))
     return boost(x, np.array([r["label"] for r in some], dtype=float))
 
 
@@ -183,17 +184,17 @@ def judge(
     url = F.col(url_col)
     host = host_of(url)
     rows = df.select(F.col(id_col), url.alias("url"), host.alias("host"), path_of(url).alias("path"), (weak_label(host) if label is None else label).alias("label"))
-    rows = rows.withColumn("bin", suffix_bin(F.col("host")))
+    rows = rows.withColumn("suffix", suffix_of(F.col("host")))
     table = suffix_table(rows)
-    sent = df.sparkSession.sparkContext.broadcast((train(rows, table), table))
+    sent = df.sparkSession.sparkContext.broadcast(train(rows, table))
 
     @F.pandas_udf("double")
     def blocked(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        trees, counts = sent.value
         for part in parts:
-            yield pd.Series(trees.probability(features(*(c.tolist() for c in part), *counts)))
+            yield pd.Series(sent.value.probability(features(*(c.tolist() for c in part))))
 
-    ruled = rows.withColumn("_rule", rule_for(F.col("host"), F.col("path"), rules)).withColumn("p_block", blocked("url", "host", "path", "bin"))
+    rows = rows.join(table, "suffix")  # a hot suffix has one row there, so its split partitions repeat little
+    ruled = rows.withColumn("_rule", rule_for(F.col("host"), F.col("path"), rules)).withColumn("p_block", blocked("url", "host", "path", "count", "rate"))
     method = F.when(F.col("p_block") >= threshold, "block").otherwise("allow")
     return ruled.select(
         id_col, "host", "path", F.col("_rule.rule").alias("rule"), F.coalesce(F.col("_rule.verdict"), method).alias("verdict"), "p_block"

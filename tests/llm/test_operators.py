@@ -388,6 +388,17 @@ def test_url_rules_and_trees(spark):
     assert url_filter.judge(df.limit(0)).count() == 0
 
 
+def test_suffixes_do_not_share_counts(spark):
+    own = [f"d{i}.com" for i in range(6000)]
+    rows = [(h, int(k % 2 == 0)) for k, h in enumerate(own)] + [("big.net", 1)] * 500 + [("new.org", None)]
+    df = spark.createDataFrame([(f"http://a.{h}/", f"a.{h}", h, y) for h, y in rows], "url string, host string, suffix string, label int")
+    got = {r["suffix"]: r for r in listed(url_filter.suffix_table(df.withColumn("suffix", url_filter.suffix_of(F.col("host")))))}
+    rate = 3500 / 6500
+    assert got.keys() == set(own) | {"big.net", "new.org"}
+    assert all(got[h]["count"] == 1 and abs(got[h]["rate"] - ((k % 2 == 0) + 20 * rate) / 21) < 1e-9 for k, h in enumerate(own))
+    assert got["big.net"]["count"] == 500 and got["new.org"]["rate"] == pytest.approx(rate)
+
+
 def test_boosting_learns_held_out_rows():
     rng = np.random.default_rng(4)
     x = rng.normal(size=(3000, 4))
