@@ -21,7 +21,6 @@ from spotweave.llm import wordbytes
 
 SAMPLE = 20_000  # labelled rows a model is trained on at most, taken by hash
 FOLDS = 5
-WORD_BITS = 20  # words are hashed to 2**20 features
 KEPT = 300  # words a category's model looks at
 LEAST = 3  # texts a word must occur in
 BEYOND_CHANCE = 20.0  # chi-squared a word must reach; chance gives it to about one word in 100,000
@@ -30,7 +29,6 @@ AT_ONCE = 1024  # rows multiplied at once in a Newton step
 THRESHOLD = 0.35  # probability from which a document counts as toxic
 CATEGORIES = ("quality", "toxic")
 _SALTS = np.random.default_rng(3).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64)
-_MASK = np.uint64((1 << WORD_BITS) - 1)
 
 
 @dataclass
@@ -52,13 +50,17 @@ class Chain:
 def word_features(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
     """Per slice of rows: (row, feature) of the distinct words of whole texts, first row, number of rows.
 
-    Words are lower-cased runs of letters and digits.
+    Words are lower-cased runs of letters and digits; a feature is a word's whole 64-bit fingerprint.
     """
     for first, data, ends in wordbytes.slices(texts):
         hashed, stops = wordbytes.words(data, ends, wordbytes.MARKS)
         rows = np.repeat(np.arange(len(ends)), np.diff(stops, prepend=0))
-        both = np.unique((rows.astype(np.uint64) << np.uint64(WORD_BITS)) | (hashed & _MASK))
-        yield (both >> np.uint64(WORD_BITS)).astype(np.int64), (both & _MASK).astype(np.int64), first, len(ends)
+        features = hashed.view(np.int64)
+        order = np.lexsort((features, rows))
+        rows, features = rows[order], features[order]
+        new = np.ones(len(rows), dtype=bool)
+        new[1:] = (rows[1:] != rows[:-1]) | (features[1:] != features[:-1])
+        yield rows[new], features[new], first, len(ends)
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,7 +68,7 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels = batch.drop_columns(["text"])
         for rows, features, first, n in word_features(batch.column("text")):
             offsets = np.searchsorted(rows, np.arange(n + 1)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(features.astype(np.int32)))
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(features))
             bands = [_bands(features[a:b]) for a, b in zip(offsets, offsets[1:])]
             part = labels.slice(first, n)
             columns = [*part.columns, lists, pa.array(bands, pa.list_(pa.int64()))]
@@ -77,7 +79,7 @@ def _bands(features: np.ndarray) -> np.ndarray:
     """One key per band of minimum hashes of a set of words."""
     if not len(features):
         return np.zeros(0, dtype=np.int64)
-    lows = wordbytes.mix(features.astype(np.uint64)[:, None] ^ _SALTS).min(axis=0).reshape(BANDS, ROWS)
+    lows = wordbytes.mix(features.view(np.uint64)[:, None] ^ _SALTS).min(axis=0).reshape(BANDS, ROWS)
     return wordbytes.mix(lows @ _SALTS[:ROWS] + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
@@ -109,8 +111,8 @@ def _dense(rows: np.ndarray, features: np.ndarray, kept: np.ndarray, before: np.
 def _telling(rows: np.ndarray, features: np.ndarray, y: np.ndarray) -> np.ndarray:
     """The words whose presence tells most about ``y`` (chi-squared), in order of feature."""
     n, positive = len(y), y.sum()
-    seen = np.bincount(features, minlength=1 << WORD_BITS).astype(float)
-    both = np.bincount(features, weights=y[rows], minlength=1 << WORD_BITS)
+    seen = np.bincount(features).astype(float)
+    both = np.bincount(features, weights=y[rows])
     expected = seen * positive / n
     spread = expected * (1 - positive / n) * (1 - seen / n)
     score = np.where((seen >= LEAST) & (spread > 0), (both - expected) ** 2 / np.maximum(spread, 1e-12), 0)
@@ -166,18 +168,31 @@ def train(labelled: DataFrame, categories: Sequence[str] = CATEGORIES, sample: i
     """
     known = labelled.dropna(subset=["text", *categories]).withColumn("_hash", F.xxhash64("text"))
     picked = known.select("text", "_hash", *[F.col(c).cast("double").alias(c) for c in categories])
-    schema = "_hash long, " + ", ".join(f"`{c}` double" for c in categories) + ", features array<int>, bands array<long>"
+    schema = "_hash long, " + ", ".join(f"`{c}` double" for c in categories) + ", features array<long>, bands array<long>"
     table = picked.mapInArrow(_listed, schema).limit(sample).toArrow().to_pandas()
     table = table.sort_values(["_hash", *categories]).drop_duplicates("_hash")
     return fit_chain(_one_of_copies(table), categories)
 
 
+def numbered(lists) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The words in ``LEAST`` texts or more, in order, and each list as its words' numbers; no model looks at others."""
+    known, seen = np.unique(np.concatenate([np.zeros(0, np.int64), *lists]), return_counts=True)
+    known = known[seen >= LEAST]
+    out = []
+    for words in lists:
+        at = np.searchsorted(known, words).astype(np.int32)
+        held = at < len(known)
+        held[held] = known[at[held]] == np.asarray(words)[held]
+        out.append(at[held])
+    return known, out
+
+
 def fit_chain(table, categories: Sequence[str]) -> Chain:
     """The chain from a table of 0/1 categories and lists of features."""
     n = len(table)
-    sizes = np.array([len(f) for f in table["features"]], dtype=np.int64)
-    rows = np.repeat(np.arange(n, dtype=np.int32), sizes)
-    features = np.concatenate([np.asarray(f, dtype=np.int32) for f in table["features"]]) if n else np.zeros(0, np.int32)
+    known, features = numbered(table["features"])
+    rows = np.repeat(np.arange(n, dtype=np.int32), [len(f) for f in features])
+    features = np.concatenate([np.zeros(0, np.int32), *features])
     fold = np.arange(n) % FOLDS
     chain, before = Chain(tuple(categories)), np.zeros((n, 0))
     for category in categories:
@@ -197,7 +212,9 @@ def fit_chain(table, categories: Sequence[str]) -> Chain:
                 place = np.cumsum(outside, dtype=np.int32) - 1
                 rest = outside[rows]
                 out[outside] = _probability(part, place[rows[rest]], features[rest], before[outside], int(outside.sum()))
-        chain.links.append(_link(rows, features, before, y))
+        link = _link(rows, features, before, y)
+        link.words = known[link.words]  # in order, as the numbers are
+        chain.links.append(link)
         before = np.hstack([before, out[:, None]])
     return chain
 

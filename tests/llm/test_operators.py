@@ -271,6 +271,19 @@ def test_toxicity_on_held_out_rows(spark, none):
     assert toxicity.toxic_documents(none, labels).count() == 0
 
 
+def test_words_that_share_low_bits_stay_apart():
+    words = toxicity.wordbytes.words(np.frombuffer(" ".join(f"w{i}" for i in range(5000)).encode(), np.uint8), np.array([28889]), toxicity.wordbytes.MARKS)[0]
+    low = np.unique(words & np.uint64((1 << 20) - 1), return_counts=True)
+    twin = low[0][low[1] > 1][0]
+    one, two = (f"w{i}" for i in np.flatnonzero((words & np.uint64((1 << 20) - 1)) == twin)[:2])
+    found = [f.tolist() for _, f, _, _ in toxicity.word_features(toxicity.pa.array([one, two, f"{one} {two} {one}"]))][0]
+    assert len(set(found)) == 2 and len(found) == 4
+    table = pd.DataFrame({"a": [1, 0] * 200, "features": [np.array([found[0], 5]), np.array([4, 5])] * 200})
+    link = toxicity.fit_chain(table, ["a"])
+    apart = toxicity.probabilities(link, np.array([0, 1]), np.array([found[0], found[1]]), 2)[:, 0]
+    assert apart[0] > 0.9 and apart[1] < 0.6
+
+
 def test_chain_uses_earlier_categories():
     rng = np.random.default_rng(0)
     first = rng.integers(0, 2, 400)
