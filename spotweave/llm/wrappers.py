@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spotweave.session import settle
+from spotweave.session import discard, settle
 
 #: Elements that never hold main text.
 _DROPPED_TAGS = frozenset(
@@ -292,6 +292,7 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     meetings = trees.join(templates, "host").select("host", "key", "tree", "template")
     kinds = "host string, key long, node int, slot string, marked boolean, open boolean, named array<string>, talk boolean"
     nodes = settle(meetings.mapInArrow(_aligned, kinds), "nodes")
+    discard(trees)
 
     # What the texts of a slot do over all pages of the host; copies of a page say nothing about what its template is.
     block = F.transform("blocks", lambda b: F.struct(b["node"], F.xxhash64(b["text"]).alias("text"), b["linked"], F.length(b["text"]).alias("chars")))
@@ -310,6 +311,7 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     texts = texts.join(nodes, ["host", "key", "node"]).groupBy("host", "slot", "text").agg(F.sum("on").alias("on"), F.sum("chars").alias("same"))
     template = texts.where("on > 1").join(slots, ["host", "slot"]).where(f"on - 1 >= {REPEATED} * pages")
     template = settle(template.select("host", "slot", "text", "same"), "template")
+    discard(seen)
 
     # Where most of the marked text repeats, the pages share their articles.
     same = template.groupBy("host", "slot").agg(F.sum("same").alias("same"))
@@ -330,6 +332,7 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     fixed = kept.join(template, ["host", "slot"]).join(marks, "host", "left").where("NOT (marked AND coalesce(shared, false))")
     fixed = fixed.groupBy("host", "key").agg(F.collect_set(F.struct("node", "text")).alias("fixed"))  # at most a few for each block of a page
     kept = kept.groupBy("host", "key").agg(F.collect_set("node").alias("kept")).join(fixed, ["host", "key"], "left")  # nodes of one tree
+    kept = settle(kept, "kept")  # its true size shows whether the texts must move
 
     changes = lambda b: ~F.coalesce(F.array_contains("fixed", F.struct(b["node"], F.xxhash64(b["text"]).alias("text"))), F.lit(False))
     main = F.filter("blocks", lambda b: F.array_contains("kept", b["node"]) & changes(b))
