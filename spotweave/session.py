@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and the bench; a cluster brings its own settings."""
+    warehouse = tempfile.mkdtemp(prefix="spotweave-warehouse-")
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("spotweave")
@@ -18,7 +20,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="spotweave-warehouse-"))
+        .config("spark.sql.warehouse.dir", warehouse)
+        .config("spark.checkpoint.dir", f"{warehouse}/settled")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -26,9 +29,17 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; without one, a folder of the session's warehouse."""
+    """Folder named by ``spark.checkpoint.dir``.
+
+    Only a session inside one process may do without: it uses a folder of its
+    own warehouse.  On a cluster the machines share no folder unless one is named.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/settled").rstrip("/")
+    if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("name a folder that driver and executors share in spark.checkpoint.dir")
+        named = f"{spark.conf.get('spark.sql.warehouse.dir')}/settled"
+    return named.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
