@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotweave.llm import exact_dedup, fixity, jaccard_join, mixing, packing, token_files, topk_search, toxicity, url_filter, wrappers
+from spotweave.llm import exact_dedup, fixity, hard_negatives, jaccard_join, mixing, packing, token_files, topk_search, toxicity, url_filter, wrappers
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -62,11 +62,18 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages"))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Every seventh label is wrong by one, as in a noisy set."""
+    vectors = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.where("vec_id % 50 = 0"), vectors, label=label)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_topk_search, op3_token_files, op4_toxicity, op5_jaccard_join,
-        op6_fixity_audit, op7_mixing, op8_wrapper_induction, op9_packing, op10_url_filter,
+        op6_fixity_audit, op7_mixing, op8_wrapper_induction, op9_packing, op10_url_filter, op12_hard_negatives,
     )
 }
 
@@ -82,4 +89,16 @@ SQL = {
           FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
         r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op12_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+          FROM v a JOIN v c ON c.vec_id <> a.vec_id WHERE a.vec_id % 50 = 0),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        r AS (SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+            CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+          FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM r WHERE rank <= 3""",
 }
