@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotweave.llm import exact_dedup, fixity, hard_negatives, jaccard_join, mixing, packing, token_files, topk_search, toxicity, url_filter, wrappers
+from spotweave.llm import exact_dedup, fixity, hard_negatives, jaccard_join, mixing, packing, phrases, token_files, topk_search, toxicity, url_filter, wrappers
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages"))
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     """Every seventh label is wrong by one, as in a noisy set."""
     vectors = table(spark, folder, "embeddings")
@@ -73,7 +77,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_topk_search, op3_token_files, op4_toxicity, op5_jaccard_join,
-        op6_fixity_audit, op7_mixing, op8_wrapper_induction, op9_packing, op10_url_filter, op12_hard_negatives,
+        op6_fixity_audit, op7_mixing, op8_wrapper_induction, op9_packing, op10_url_filter, op11_phrases, op12_hard_negatives,
     )
 }
 
@@ -89,6 +93,25 @@ SQL = {
           FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
         r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_phrases": """
+        WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+        p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d),
+        w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM p),
+        s AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+        g AS (SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase FROM s, (SELECT unnest([1, 2, 3]) AS m) WHERE i + m - 1 <= len(ws)),
+        f AS (SELECT lang, m, phrase, count(*) AS a FROM g GROUP BY ALL),
+        c AS (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE m > 1 AND a >= 10),
+        k AS (SELECT c.lang, c.m, c.phrase, c.a, k, array_to_string(ws[:k], ' ') AS x, array_to_string(ws[k + 1:], ' ') AS y
+          FROM c, (SELECT unnest([1, 2]) AS k) WHERE k < c.m),
+        z AS (SELECT k.lang, k.phrase, k.a, k.k, fx.a AS l, fy.a AS r,
+            CAST((1000000::HUGEINT * k.a * k.a) // (fx.a::HUGEINT * fy.a) AS BIGINT) AS score
+          FROM k JOIN f fx ON fx.lang = k.lang AND fx.phrase = k.x JOIN f fy ON fy.lang = k.lang AND fy.phrase = k.y),
+        b AS (SELECT * FROM z QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        i AS (SELECT lang, array_to_string(ws[j:j + 1], ' ') AS phrase, max(a) AS longer FROM c, (SELECT unnest([1, 2]) AS j) WHERE m = 3 GROUP BY ALL),
+        kept AS (SELECT b.* FROM b LEFT JOIN i ON i.lang = b.lang AND i.phrase = b.phrase WHERE i.longer IS NULL OR 100 * i.longer < 50 * b.a),
+        t AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang)
+        SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, t.n, score
+        FROM kept JOIN t ON t.lang = kept.lang QUALIFY rank <= 2000""",
     "op12_hard_negatives": """
         WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
             list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings

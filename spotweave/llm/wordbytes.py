@@ -49,7 +49,7 @@ class _Powers:
 _up, _down = _Powers(_BASE), _Powers(_INVERSE)
 
 
-def slices(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Cut a string array into slices of rows: (first row, bytes, row ends); null counts as empty."""
     texts = texts.cast(pa.large_binary())
     lengths = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -57,20 +57,17 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     row = 0
     while row < len(texts):
         done = ends[row - 1] if row else 0
-        stop = max(row + 1, int(np.searchsorted(ends, done + SLICE_BYTES, side="right")))
+        stop = max(row + 1, int(np.searchsorted(ends, done + size, side="right")))
         joined = b"".join(x or b"" for x in texts.slice(row, stop - row).to_pylist())
         yield row, np.frombuffer(joined, dtype=np.uint8), ends[row:stop] - done
         row = stop
 
 
-def words(data: np.ndarray, ends: np.ndarray, breaks: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of all words of a slice, and for each row the index where its words end.
-
-    ``breaks`` says for each byte whether it ends words.
-    """
+def bounds(data: np.ndarray, ends: np.ndarray, breaks: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Where all words of a slice begin and end; ``breaks`` says for each byte whether it ends words."""
     n = len(data)
     if not n:
-        return np.zeros(0, dtype=np.uint64), np.zeros(len(ends), dtype=np.int64)
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     inside = ~breaks[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -79,11 +76,30 @@ def words(data: np.ndarray, ends: np.ndarray, breaks: np.ndarray = SPACE) -> tup
     cuts = np.unique(ends[(ends > 0) & (ends < n)])  # a word also ends where its row ends
     first[cuts] = inside[cuts]
     last[cuts - 1] = inside[cuts - 1]
-    begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[data] * _up.upto(n), out=sums[1:])
-    hashed = mix((sums[end] - sums[begin]) * _down.upto(n)[begin] + (end - begin).astype(np.uint64) * _PLACE[63])
-    return hashed, np.searchsorted(begin, ends)
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Fingerprints of the byte runs from ``begin`` to ``end``."""
+    if not len(data):
+        return np.zeros(0, dtype=np.uint64)
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[data] * _up.upto(len(data)), out=sums[1:])
+    return mix((sums[end] - sums[begin]) * _down.upto(len(data))[begin] + (end - begin).astype(np.uint64) * _PLACE[63])
+
+
+def words(data: np.ndarray, ends: np.ndarray, breaks: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of all words of a slice, and for each row the index where its words end."""
+    begin, end = bounds(data, ends, breaks)
+    return hashes(data, begin, end), np.searchsorted(begin, ends)
+
+
+def sequences(hashed: np.ndarray, size: int) -> np.ndarray:
+    """Fingerprints of all runs of ``size`` words, whatever lies between them."""
+    grams = np.zeros(max(0, len(hashed) - size + 1), dtype=np.uint64)
+    for k in range(size if len(grams) else 0):
+        grams += hashed[k : k + len(grams)] * _PLACE[k]
+    return mix(grams)
 
 
 def shingles_of(data: np.ndarray, ends: np.ndarray, size: int) -> Iterator[np.ndarray]:
@@ -94,12 +110,7 @@ def shingles_of(data: np.ndarray, ends: np.ndarray, size: int) -> Iterator[np.nd
     """
     empty = np.zeros(0, dtype=np.uint64)
     hashed, stops = words(data, ends)
-    grams = empty
-    if len(hashed) >= size:
-        grams = np.zeros(len(hashed) - size + 1, dtype=np.uint64)
-        for k in range(size):
-            grams += hashed[k : k + len(grams)] * _PLACE[k]
-        grams = mix(grams)
+    grams = sequences(hashed, size)
     start = 0
     for stop in stops:
         if stop - start >= size:
