@@ -5,9 +5,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and the bench; a cluster brings its own settings."""
@@ -46,15 +50,28 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def short_lived_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query end with it, not with the next garbage collection of the driver."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the table.
 
     Cuts the lineage of iterative jobs, survives the loss of executors, and
-    gives the optimizer true sizes for its broadcast decisions.
+    gives the optimizer true sizes for its broadcast decisions.  The shuffle
+    files behind the table are deleted as soon as it is written.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    with short_lived_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
