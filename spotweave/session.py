@@ -10,8 +10,6 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and the bench; a cluster brings its own settings."""
@@ -51,26 +49,32 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 @contextmanager
-def short_lived_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of a query end with it, not with the next garbage collection of the driver."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+def configured(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings of the session for the queries that run inside."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def settle(df: DataFrame, label: str = "settled") -> DataFrame:
+def settle(df: DataFrame, label: str = "settled", batch: int | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the table.
 
     Cuts the lineage of iterative jobs, survives the loss of executors, and
     gives the optimizer true sizes for its broadcast decisions.  The shuffle
-    files behind the table are deleted as soon as it is written.
+    files behind the table are deleted as soon as it is written.  ``batch``
+    bounds the rows that reach a Python task at once, for rows that are large.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    with short_lived_shuffles(spark):
+    settings = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    if batch:
+        settings["spark.sql.execution.arrow.maxRecordsPerBatch"] = str(batch)
+    with configured(spark, settings):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
