@@ -22,7 +22,8 @@ from spotweave.llm import textslices, wordbytes
 from spotweave.operators.ranking import number_within
 from spotweave.session import discard, settle
 
-SLICE = 8 << 20  # bytes of text folded at once
+SLICE = 256 << 10  # bytes of text in a slice, about; Spark moves slices as rows
+FOLD = 2 << 20  # bytes of slices folded at once
 PAGE = 4 << 20  # bytes of text whose n-grams fill a page, about: some millions of entries, however large the corpus
 WORDS, LEAST, INSIDE, TOP, SCALE = 3, 10, 50, 2000, 1_000_000
 _PIECE = np.zeros(256, dtype=bool)  # ends a piece, and a word
@@ -57,14 +58,18 @@ def word_numbers(data: np.ndarray, begin: np.ndarray, end: np.ndarray, hashed: n
     return np.array([seen.setdefault(whole[b:e], len(seen)) for b, e in zip(begin.tolist(), end.tolist())])
 
 
-def folded(data, ends, langs, words: int):
-    """Fingerprint, count and pointer (4 * first word + size) of all n-grams of a slice."""
+def folded(data, ends, langs, lasts, words: int):
+    """Fingerprint, count, slice and pointer (4 * first word + size) of all n-grams of some slices.
+
+    ``ends`` and ``langs`` are those of the texts, ``lasts`` the bytes where slices end.
+    """
     data = _LOWER[data]
     begin, end = wordbytes.bounds(data, ends, _BREAK)
+    stops = np.searchsorted(begin, lasts)  # words up to the end of each slice
     hashed = wordbytes.hashes(data, begin, end)
     number = word_numbers(data, begin, end, hashed)
     row = np.searchsorted(np.searchsorted(begin, ends), np.arange(len(begin)), side="right")
-    piece = np.cumsum(_PIECE[data])[begin] + row if len(begin) else row
+    piece = np.searchsorted(np.flatnonzero(_PIECE[data]), begin) + row
     lang = langs.view(np.uint64)[row]
     out = []
     for size in range(1, words + 1):
@@ -78,56 +83,82 @@ def folded(data, ends, langs, words: int):
         for k in range(size):
             new[1:] |= number[start[1:] + k] != number[start[:-1] + k]
         at = np.flatnonzero(new)
-        out.append((marks[at], np.diff(np.append(at, len(marks))), start[at] * 4 + size))
+        first = start[at]
+        own = np.searchsorted(stops, first, side="right")
+        pointers = (first - np.append(0, stops)[own]) * 4 + size
+        out.append((marks[at], np.diff(np.append(at, len(marks))), own, pointers))
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
 def _entries(words: int, pages: int):
-    """Task function: the slice's entries, one row per page."""
+    """Task function: the entries of slices folded together, one row per page and slice."""
+
+    def fold(numbers: list[int], langs: list, ends: list, data: list) -> pa.RecordBatch:
+        lasts = np.cumsum([len(d) for d in data])
+        ends = np.concatenate([e + last - len(d) for e, last, d in zip(ends, lasts, data)])
+        marks, counts, own, pointers = folded(np.concatenate(data), ends, np.concatenate(langs), lasts, words)
+        page = ((marks >> np.uint64(32)) % np.uint64(pages)).astype(np.int64)
+        order = np.lexsort((pointers, own, page))  # pointers ascend, so their steps are small
+        marks, page, counts, own, pointers = marks[order], page[order], counts[order], own[order], pointers[order]
+        new = np.ones(len(page), dtype=bool)
+        new[1:] = (page[1:] != page[:-1]) | (own[1:] != own[:-1])
+        at = np.flatnonzero(new)
+        steps = np.diff(pointers, prepend=0)
+        steps[at] = pointers[at]
+        packed = [marks.astype("<u4"), (marks >> np.uint64(32)).astype(np.uint8), counts.astype("<i4"), steps.astype("<i4")]
+        packed = [rows_of(c, np.append(at, len(page))) for c in packed]
+        return pa.RecordBatch.from_arrays([pa.array(page[at]), pa.array(np.array(numbers)[own[at]]), *packed], ["page", "slice", "low", "high", "n", "step"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
         for batch in batches:
             for number, langs, ends, data in zip(*(batch.column(c) for c in range(4))):
-                marks, counts, pointers = folded(
-                    np.frombuffer(data.as_buffer(), np.uint8), ends.values.to_numpy(), langs.values.to_numpy(), words
-                )
-                page = ((marks >> np.uint64(32)) % np.uint64(pages)).astype(np.int64)
-                order = np.argsort(page, kind="stable")
-                marks, page = marks[order], page[order]
-                at = np.flatnonzero(np.append(True, page[1:] != page[:-1])) if len(page) else page
-                offsets = pa.array(np.append(at, len(page)).astype(np.int32))
-                lists = [
-                    (marks & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32),
-                    (marks >> np.uint64(32)).astype(np.uint8).view(np.int8),
-                    counts[order].astype(np.int32),
-                    pointers[order].astype(np.int32),
-                ]
-                lists = [pa.ListArray.from_arrays(offsets, pa.array(c)) for c in lists]
-                slices = pa.array(np.full(len(at), number.as_py()))
-                yield pa.RecordBatch.from_arrays([pa.array(page[at]), slices, *lists], ["page", "slice", "low", "high", "n", "pointer"])
+                held.append((number.as_py(), langs.values.to_numpy().copy(), ends.values.to_numpy().copy(), np.frombuffer(data.as_py(), np.uint8)))
+                if sum(len(d) for *_, d in held) >= FOLD:
+                    yield fold(*zip(*held))
+                    held = []
+        if held:
+            yield fold(*zip(*held))
+        pa.default_memory_pool().release_unused()  # the worker may serve other stages next
 
     return run
 
 
+def rows_of(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Binary rows that hold the values between offsets; Spark moves them whole."""
+    places = (offsets * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(places), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def values_of(rows: pa.Array | pa.ChunkedArray, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All values of binary rows, and how many each row has."""
+    kind, parts, lengths = np.dtype(kind), [], []
+    for chunk in rows.chunks if isinstance(rows, pa.ChunkedArray) else [rows]:
+        places = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset : chunk.offset + len(chunk) + 1] if len(chunk) else np.zeros(1, int)
+        parts.append(np.frombuffer((chunk.buffers()[2] or b"") if len(chunk) else b"", np.uint8)[places[0] : places[-1]])
+        lengths.append(np.diff(places) // kind.itemsize)
+    return np.concatenate([*parts, np.zeros(0, np.uint8)]).view(kind), np.concatenate([*lengths, np.zeros(0, int)]).astype(np.int64)
+
+
 def _frequent(least: int):
     """Group function: the pointers of a page whose fingerprints are frequent, by slice."""
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        low, high, counts, pointers = (table[c].combine_chunks() for c in ("low", "high", "n", "pointer"))
-        lengths = np.diff(low.offsets.to_numpy())
-        low, high, counts, pointers = (c.flatten().to_numpy() for c in (low, high, counts, pointers))
-        marks = high.view(np.uint8).astype(np.uint64) << np.uint64(32) | low.view(np.uint32)
+        low, lengths = values_of(table["low"], "<u4")
+        high, counts, steps = (values_of(table[c], kind)[0] for c, kind in (("high", "u1"), ("n", "<i4"), ("step", "<i4")))
+        first = np.cumsum(lengths) - lengths
+        reach = np.append(0, np.cumsum(steps, dtype=np.int64))
+        pointers = (reach[1:] - np.repeat(reach[first], lengths)).astype("<i4")
+        marks = high.astype(np.uint64) << np.uint64(32) | low
         order = np.argsort(marks, kind="stable")
         at = np.flatnonzero(np.append(True, marks[order][1:] != marks[order][:-1])) if len(marks) else order
         sums = np.add.reduceat(counts[order].astype(np.int64), at) if len(at) else at
         keep = np.zeros(len(marks), dtype=bool)
         keep[order] = np.repeat(sums >= least, np.diff(np.append(at, len(marks))))
-        held = np.add.reduceat(np.append(keep, False).astype(np.int32), np.cumsum(lengths) - lengths) * (lengths > 0)
-        offsets = pa.array(np.append(0, np.cumsum(held)).astype(np.int32))
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(c[keep])) for c in (pointers, counts)]
-        found = pa.table([table["slice"], *lists], ["slice", "pointer", "n"])
-        return found.filter(pa.array(held > 0))
+        held = np.diff(np.append(0, np.cumsum(keep))[np.append(first, len(keep))])
+        offsets = np.append(0, np.cumsum(held))
+        columns = [table["slice"].combine_chunks(), rows_of(pointers[keep], offsets), rows_of(counts[keep], offsets)]
+        return pa.table(columns, ["slice", "pointer", "n"]).filter(pa.array(held > 0))
 
     return run
 
@@ -146,7 +177,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([part.column("lang"), zero, pa.nulls(part.num_rows, pa.string()), part.column("n_sum")], _COUNTED)
             if not pointers.is_valid:
                 continue
-            pointers, counts = pointers.values.to_numpy(), counts.values.to_numpy()
+            (pointers, _), (counts, _) = values_of(pointers.values, "<i4"), values_of(counts.values, "<i4")
             for at in range(0, len(pointers), 50_000):
                 part = pointers[at : at + 50_000]
                 first, size = part >> 2, part & 3
@@ -190,13 +221,13 @@ def frequent_phrases(df: DataFrame, text_col: str = "text", lang: str | Column =
     slices = textslices.sliced(df, F.col(text_col), {"lang": lang}, SLICE)
     pages = textslices.pages_for(slices, PAGE)
     keyed = slices.select("slice", F.transform("lang", lambda x: F.xxhash64(x)).alias("langs"), "ends", "data")
-    entries = keyed.mapInArrow(_entries(words, pages), "page long, slice long, low array<int>, high array<tinyint>, n array<int>, pointer array<int>")
-    found = settle(entries.groupBy("page").applyInArrow(_frequent(least), "slice long, pointer array<int>, n array<int>"), "pointers")
-    of_slice = found.groupBy("slice").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("pointer", "n")])  # one slice's n-grams at most
-    looked = slices.join(of_slice, "slice", "left").select("lang", "ends", "data", "pointer", "n")
+    entries = keyed.mapInArrow(_entries(words, pages), "page long, slice long, low binary, high binary, n binary, step binary")
+    found = settle(entries.groupBy("page").applyInArrow(_frequent(least), "slice long, pointer binary, n binary"), "pointers", textslices.SLICES)
+    of_slice = found.groupBy("slice").agg(F.collect_list(F.struct("pointer", "n")).alias("held"))  # one slice's n-grams at most
+    looked = slices.join(of_slice, "slice", "left").select("lang", "ends", "data", F.col("held.pointer").alias("pointer"), F.col("held.n").alias("n"))
     texts = looked.mapInArrow(_texts, "lang string, size int, phrase string, n long")
     counted = texts.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")).where((F.col("size") == 0) | (F.col("n") >= least))
-    out = settle(counted, "phrases")
+    out = settle(counted, "phrases", textslices.SLICES)
     discard(slices)
     discard(found)
     return out

@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from spotweave.llm import wordbytes
 from spotweave.session import settle
 
+TEXTS = 1000  # texts that reach a task at once
+SLICES = 16  # slices that reach a task at once
+
 
 def sliced(df: DataFrame, text: Column, of: dict[str, Column], size: int) -> DataFrame:
     """``slice, n_bytes, ends, data`` and one array per column of ``of``, written to the shared folder.
@@ -37,7 +40,7 @@ def sliced(df: DataFrame, text: Column, of: dict[str, Column], size: int) -> Dat
                 number += 1
 
     kinds = "".join(f", {f.name} array<{f.dataType.simpleString()}>" for f in rows.schema.fields[1:])
-    return settle(rows.mapInArrow(cut, f"slice long, n_bytes long, ends array<long>, data binary{kinds}"), "slices")
+    return settle(rows.mapInArrow(cut, f"slice long, n_bytes long, ends array<long>, data binary{kinds}"), "slices", TEXTS)
 
 
 def pages_for(slices: DataFrame, page_bytes: int) -> int:

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 2 << 20  # bytes hashed at once; a longer text makes a slice of its own
+HASHED = 1 << 20  # bytes whose powers are held; a longer word takes as many as it has
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -79,13 +80,20 @@ def bounds(data: np.ndarray, ends: np.ndarray, breaks: np.ndarray = SPACE) -> tu
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Fingerprints of the byte runs from ``begin`` to ``end``."""
-    if not len(data):
-        return np.zeros(0, dtype=np.uint64)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[data] * _up.upto(len(data)), out=sums[1:])
-    return mix((sums[end] - sums[begin]) * _down.upto(len(data))[begin] + (end - begin).astype(np.uint64) * _PLACE[63])
+def hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, step: int = HASHED) -> np.ndarray:
+    """Fingerprints of the byte runs from ``begin`` to ``end``, in order; ``step`` bytes are hashed at once."""
+    out = np.zeros(len(begin), dtype=np.uint64)
+    i = 0
+    while i < len(begin):
+        base = begin[i]
+        j = max(i + 1, int(np.searchsorted(end, base + step, side="right")))
+        part = data[base : end[j - 1]]
+        sums = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE[part] * _up.upto(len(part)), out=sums[1:])
+        first, last = begin[i:j] - base, end[i:j] - base
+        out[i:j] = (sums[last] - sums[first]) * _down.upto(len(part))[first] + (last - first).astype(np.uint64) * _PLACE[63]
+        i = j
+    return mix(out)
 
 
 def words(data: np.ndarray, ends: np.ndarray, breaks: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
