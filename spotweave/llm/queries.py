@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotweave.llm import exact_dedup, fixity, hard_negatives, jaccard_join, mixing, packing, phrases, token_files, topk_search, toxicity, url_filter, wrappers
+from spotweave.llm import exact_dedup, fixity, hard_negatives, jaccard_join, mixing, packing, phrases, suffixes, token_files, topk_search, toxicity, url_filter, wrappers
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -73,11 +73,15 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.hard_negatives(vectors.where("vec_id % 50 = 0"), vectors, label=label)
 
 
+def op13_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.without_repeats(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_topk_search, op3_token_files, op4_toxicity, op5_jaccard_join,
-        op6_fixity_audit, op7_mixing, op8_wrapper_induction, op9_packing, op10_url_filter, op11_phrases, op12_hard_negatives,
+        op6_fixity_audit, op7_mixing, op8_wrapper_induction, op9_packing, op10_url_filter, op11_phrases, op12_hard_negatives, op13_suffix_dedup,
     )
 }
 
