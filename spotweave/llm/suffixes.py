@@ -38,7 +38,7 @@ from spotweave.session import discard, settle
 
 LENGTH = 50
 GRAM = 20
-SLICE = 256 << 10  # bytes of text whose suffixes are sorted at once
+SLICE = 512 << 10  # bytes of text whose suffixes are sorted at once
 PAGE = 16 << 20  # bytes of text whose grams fill a page
 RANGE = 1 << 16  # suffixes merged by one task at a time, about
 HOT = 1 << 16  # occurrences of a gram beyond which its windows are sorted one by one
@@ -254,8 +254,9 @@ def _runs(length: int, pages: int, starts: list[bytes]):
                 offsets = np.append(at_range, len(fold))
                 shared, tails = front_coded(keys[fold], at_range)
                 ends_of = np.append(0, np.cumsum(contexts.width - shared.astype(np.int64)))[offsets]
-                packed = [rows_of(shared, offsets), rows_of(tails, ends_of), rows_of(np.arange(len(fold), dtype="<i4"), offsets)]
-                packed += [rows_of(f.reduceat(of, fold).astype("<i8"), offsets) for f in (np.minimum, np.maximum)]
+                packed = [rows_of(shared, offsets), rows_of(tails, ends_of), rows_of(at_range.astype("<i4"), np.arange(len(at_range) + 1))]
+                least, most = (f.reduceat(of, fold).astype("<i8") for f in (np.minimum, np.maximum))
+                packed += [rows_of(c, offsets) for c in (least, most - least)]
                 empty = pa.nulls(len(at_range), pa.binary())
                 columns = [pa.array(place[at_range].astype(np.int32)), pa.array(np.full(len(at_range), number)), *packed, empty]
                 yield pa.RecordBatch.from_arrays(columns, names)
@@ -341,8 +342,10 @@ def _merged(length: int):
         for shared, tails, *others in zip(*(table[c] for c in ("shared", "tails", "numbers", "least", "most"))):
             lengths = np.frombuffer(shared.as_py(), np.uint8)
             runs.append((decoded(lengths, tails.as_py(), width), lengths.tolist()))
-            for held, value, kind in zip((numbers, least, most), others, ("<i4", "<i8", "<i8")):
-                held.append(np.frombuffer(value.as_py(), kind))
+            first, low, more = (np.frombuffer(value.as_py(), kind) for value, kind in zip(others, ("<i4", "<i8", "<i8")))
+            numbers.append(first[0] + np.arange(len(lengths)))
+            least.append(low)
+            most.append(low + more)
         origin, common = (np.array(x, dtype=np.int64) for x in merge(runs, width))
         # The nth key of a run in merged order is its nth key.
         sizes = np.array([len(k) for k, _ in runs])
@@ -472,7 +475,7 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     of_slice = shared.groupBy("slice").agg(F.collect_list("keys").alias("keys"))  # one slice's grams at most
     looked = read.join(of_slice, "slice").select("slice", "ids", "ends", "data", "keys")
     schema = "range int, slice long, shared binary, tails binary, numbers binary, least binary, most binary, places binary"
-    runs = settle(looked.mapInArrow(_runs(length, pages, starts), schema), "runs", textslices.SLICES)
+    runs = settle(looked.mapInArrow(_runs(length, pages, starts), schema), "runs", textslices.SLICES, "zstd")
     discard(shared)
     merged = runs.where("range >= 0").groupBy("range").applyInArrow(_merged(length), "slice long, numbers binary, first binary, last binary, low binary")
     verdicts = settle(merged, "verdicts")

@@ -40,7 +40,7 @@ def sliced(df: DataFrame, text: Column, of: dict[str, Column], size: int) -> Dat
                 number += 1
 
     kinds = "".join(f", {f.name} array<{f.dataType.simpleString()}>" for f in rows.schema.fields[1:])
-    return settle(rows.mapInArrow(cut, f"slice long, n_bytes long, ends array<long>, data binary{kinds}"), "slices", TEXTS)
+    return settle(rows.mapInArrow(cut, f"slice long, n_bytes long, ends array<long>, data binary{kinds}"), "slices", TEXTS, "zstd")
 
 
 def pages_for(slices: DataFrame, page_bytes: int) -> int:
