@@ -15,7 +15,7 @@ UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def test_names():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 14))
     assert queries.QUERIES.keys() | {"pipeline"} <= entry.queries().keys() and queries.SQL.keys() <= entry.oracle_sql().keys()
 
 
