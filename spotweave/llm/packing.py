@@ -11,8 +11,8 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -101,29 +101,32 @@ def _cut(name: str, end: int, window: int):
 
 
 def _packed(window: int):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["doc_id", "doc_tokens", "salt"], na_position="first", kind="stable").reset_index(drop=True)
-        full = (group["doc_tokens"] // window).to_numpy()
-        rest = (group["doc_tokens"] % window).to_numpy()
+    """Group function; ids stay in Arrow, which keeps null and large ones as they are."""
+
+    def run(group: pa.Table) -> pa.Table:
+        keys = [(c, "ascending") for c in ("doc_id", "doc_tokens", "salt")]
+        group = group.take(pc.sort_indices(group, sort_keys=keys, null_placement="at_start")).combine_chunks()
+        tokens_of = group["doc_tokens"].to_numpy()
+        full, rest = tokens_of // window, tokens_of % window
         order = np.argsort(-rest, kind="stable")
         order = order[rest[order] > 0]
         places, offsets = best_fit(rest[order].tolist(), window)
         # Pieces: the full windows of each document, then its remainder.
-        row = np.concatenate([np.repeat(np.arange(len(group)), full), order])
+        row = np.concatenate([np.repeat(np.arange(len(full)), full), order])
         nth = np.concatenate([np.arange(full.sum()) - np.repeat(np.cumsum(full) - full, full), full[order]])
-        windows = np.concatenate([np.arange(full.sum()) + (max(places) + 1 if places else 0), places])
-        sums = group["sums"].to_numpy()
-        return pd.DataFrame(
-            {
-                "doc_id": group["doc_id"].iloc[row].to_numpy(),
-                "start": nth * window,
-                "length": np.concatenate([np.full(full.sum(), window), rest[order]]),
-                "ids_crc32": [int(sums[r][n]) for r, n in zip(row, nth)],
-                "doc_tokens": group["doc_tokens"].to_numpy()[row],
-                "sequence_id": (group["pack"].iloc[0] << 40) + windows.astype(np.int64),
-                "offset": np.concatenate([np.zeros(full.sum(), dtype=np.int64), offsets]),
-            }
-        )
+        windows = np.concatenate([np.arange(full.sum()) + (max(places) + 1 if places else 0), places]).astype(np.int64)
+        sums = group["sums"].combine_chunks()
+        first = sums.offsets.to_numpy()[:-1] - sums.offsets[0].as_py()
+        columns = {
+            "doc_id": group["doc_id"].take(pa.array(row)),
+            "start": nth * window,
+            "length": np.concatenate([np.full(full.sum(), window), rest[order]]),
+            "ids_crc32": sums.flatten().to_numpy()[first[row] + nth],
+            "doc_tokens": tokens_of[row],
+            "sequence_id": (group["pack"][0].as_py() << 40) + windows,
+            "offset": np.concatenate([np.zeros(full.sum(), dtype=np.int64), offsets]).astype(np.int64),
+        }
+        return pa.table(columns)
 
     return run
 
@@ -151,7 +154,7 @@ def pack_documents(
     groups = max(1, -(-cut.count() // GROUP))
     dealt = cut.withColumn("pack", F.pmod(F.xxhash64("doc_id", "salt"), F.lit(groups)))
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return dealt.groupBy("pack").applyInPandas(_packed(window), schema)
+    return dealt.groupBy("pack").applyInArrow(_packed(window), schema)
 
 
 def sequences(df: DataFrame, pieces: DataFrame, id_col="doc_id", text_col="text", tokenizer=tokens.TOKENIZER, end=END) -> DataFrame:
