@@ -175,38 +175,66 @@ def _children(nodes: list) -> list[list[int]]:
 
 
 def align(template: list, tree: list) -> dict[int, int]:
-    """Node of ``tree`` to node of ``template`` by simple tree matching (largest order-keeping match of equal labels)."""
-    ours, theirs = _children(template), _children(tree)
-
-    @lru_cache(maxsize=None)
-    def score(a: int, b: int) -> int:
-        return 0 if template[a][1] != tree[b][1] else 1 + table(a, b)[-1][-1]
+    """Node of ``tree`` to node of ``template`` by simple tree matching (largest order-keeping match of equal labels).
 
-    def table(a: int, b: int) -> list[list[int]]:
-        rows = [[0] * (len(theirs[b]) + 1)]
-        for x in ours[a]:
-            row = [0]
-            for j, y in enumerate(theirs[b]):
-                row.append(max(row[j], rows[-1][j + 1], rows[-1][j] + score(x, y)))
-            rows.append(row)
-        return rows
-
-    found, todo = {}, [(0, 0)] if template[0][1] == tree[0][1] else []
+    Siblings differ in label, so a node has one partner at most and the best
+    order-keeping match of two rows of children is their heaviest increasing
+    run.  Neither depth nor width is bounded: no recursion, no table of pairs.
+    """
+    if template[0][1] != tree[0][1]:
+        return {}
+    ours, theirs = _children(template), _children(tree)
+    partners, pairs = {}, [(0, 0)]
+    for a, b in pairs:  # grows while it is read: parents come before children
+        by_label = {tree[y][1]: (j, y) for j, y in enumerate(theirs[b])}
+        partners[b] = [(x, *by_label[template[x][1]]) for x in ours[a] if template[x][1] in by_label]
+        pairs += [(x, y) for x, _, y in partners[b]]
+    score, chosen = {}, {}
+    for _, b in reversed(pairs):
+        places, weights = [j for _, j, _ in partners[b]], [score[y] for _, _, y in partners[b]]
+        run = heaviest_increasing(places, weights)
+        chosen[b] = [partners[b][i] for i in run]
+        score[b] = 1 + sum(weights[i] for i in run)
+    found, todo = {}, [(0, 0)]
     while todo:
         a, b = todo.pop()
         found[b] = a
-        rows, i, j = table(a, b), len(ours[a]), len(theirs[b])
-        while i and j:
-            if rows[i][j] == rows[i - 1][j]:
-                i -= 1
-            elif rows[i][j] == rows[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                todo.append((ours[a][i], theirs[b][j]))
+        todo += [(x, y) for x, _, y in chosen[b]]
     return found
 
 
+def heaviest_increasing(places: list[int], weights: list[int]) -> list[int]:
+    """Positions of the heaviest run whose places increase, by a tree of the best end below each place."""
+    if all(x < y for x, y in zip(places, places[1:])):
+        return list(range(len(places)))
+    size = max(places) + 2
+    best: list[tuple[int, int]] = [(0, -1)] * size  # weight and position of its last one
+    before = []
+    for i, (place, weight) in enumerate(zip(places, weights)):
+        at, low = place, (0, -1)  # places below this one
+        while at:
+            low = max(low, best[at])
+            at -= at & -at
+        before.append(low[1])
+        at = place + 1
+        while at < size:
+            best[at] = max(best[at], (low[0] + weight, i))
+            at += at & -at
+    at, last = size - 1, (0, -1)
+    while at:
+        last = max(last, best[at])
+        at -= at & -at
+    run, i = [], last[1]
+    while i >= 0:
+        run.append(i)
+        i = before[i]
+    return run[::-1]
+
+
+def heading_nodes(tree: list) -> list[bool]:
+    return [re.fullmatch(r"h[1-6]", label.split(".")[0]) is not None for _, label in tree]
+
+
 def article_nodes(tree: list) -> dict[int, bool]:
     """For each node whether it is in an <article> or <main> that the page marks, and not in an element dropped by tag."""
     inside = {}
@@ -248,7 +276,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (host, tree key, tree, template) to one row per node: its slot, what marks and tags say, and the slots dropped by name that hold it."""
-    names = ["host", "key", "node", "slot", "marked", "open", "named", "talk"]
+    names = ["host", "key", "node", "slot", "marked", "open", "named", "talk", "heading"]
     for batch in batches:
         out = []
         for host, key, tree, template in zip(*(c.to_pylist() for c in batch.columns)):
@@ -256,10 +284,11 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             slots, inside, free, named = align(json.loads(template), own), article_nodes(own), unmarked_nodes(own), named_nodes(own)
             # A node without a slot has a name of its own, so it is compared over the pages of this tree only.
             slot = [f"{slots[node]}" if node in slots else f"{key}:{node}" for node in range(len(own))]
+            heading = heading_nodes(own)
             for node in range(len(own)):
                 talk = any(_named_dropped(own[n][1]) & _TALK_WORDS for n in named[node])
-                out.append((host, key, node, slot[node], inside[node], free[node], [slot[n] for n in named[node]], talk))
-        kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.bool_(), pa.bool_(), pa.list_(pa.string()), pa.bool_()]
+                out.append((host, key, node, slot[node], inside[node], free[node], [slot[n] for n in named[node]], talk, heading[node]))
+        kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.bool_(), pa.bool_(), pa.list_(pa.string()), pa.bool_(), pa.bool_()]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names)
 
 
@@ -274,7 +303,8 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     empty text; a null url counts as an empty host.  Pages that repeat are
     pages of their own.  A text that a slot repeats over a host is template only
     where the slot occurs in pages that differ, and in marked articles only
-    while such texts are the lesser part of them.  An element with a class, id or
+    while such texts are the lesser part of them; a heading there stays with
+    the text after it.  An element with a class, id or
     role that names a menu, an advert or the like is left out, unless it holds most
     of what varies over a host without marked articles.
     Other columns are ignored.
@@ -290,7 +320,7 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     trees = settle(trees, "trees")
     templates = trees.groupBy("host").agg(F.max_by("tree", F.struct("pages", "key")).alias("template"))
     meetings = trees.join(templates, "host").select("host", "key", "tree", "template")
-    kinds = "host string, key long, node int, slot string, marked boolean, open boolean, named array<string>, talk boolean"
+    kinds = "host string, key long, node int, slot string, marked boolean, open boolean, named array<string>, talk boolean, heading boolean"
     nodes = settle(meetings.mapInArrow(_aligned, kinds), "nodes")
     discard(trees)
 
@@ -331,11 +361,16 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     kept = nodes.join(slots.drop("marked"), ["host", "slot"]).where(F.col("marked") | F.col("open") & (F.col("share") < LINKED))
     fixed = kept.join(template, ["host", "slot"]).join(marks, "host", "left").where("NOT (marked AND coalesce(shared, false))")
     fixed = fixed.groupBy("host", "key").agg(F.collect_set(F.struct("node", "text")).alias("fixed"))  # at most a few for each block of a page
-    kept = kept.groupBy("host", "key").agg(F.collect_set("node").alias("kept")).join(fixed, ["host", "key"], "left")  # nodes of one tree
+    heads = F.collect_set(F.when(F.col("marked") & F.col("heading"), F.col("node"))).alias("heads")
+    kept = kept.groupBy("host", "key").agg(F.collect_set("node").alias("kept"), heads).join(fixed, ["host", "key"], "left")  # nodes of one tree
     kept = settle(kept, "kept")  # its true size shows whether the texts must move
 
     changes = lambda b: ~F.coalesce(F.array_contains("fixed", F.struct(b["node"], F.xxhash64(b["text"]).alias("text"))), F.lit(False))
-    main = F.filter("blocks", lambda b: F.array_contains("kept", b["node"]) & changes(b))
+    shows = lambda b: F.array_contains("kept", b["node"]) & changes(b)
+    # In a marked article a repeated heading belongs to the text that comes next, if that is shown.
+    following = lambda i: F.get("blocks", i + 1)
+    heads_text = lambda b, i: F.array_contains("heads", b["node"]) & F.coalesce(shows(following(i)), F.lit(False))
+    main = F.filter("blocks", lambda b, i: shows(b) | heads_text(b, i))
     found = parsed.join(kept, ["host", "key"], "left")
     joined = F.coalesce(F.concat_ws("\n", F.transform(main, lambda b: b["text"])), F.lit(""))
     return found.select(F.col("id").alias(id_col), F.col("url").alias(url_col), joined.alias("text"), F.length(joined).cast("long").alias("n_chars"))
