@@ -153,19 +153,38 @@ def _best_split(binned: np.ndarray, slope: np.ndarray, bend: np.ndarray, edges)
     return found
 
 
-def suffix_table(rows: DataFrame) -> DataFrame:
-    """Over all URLs, one row per suffix: ``suffix, count`` and ``rate``, the smoothed rate of label 1."""
-    grouped = rows.groupBy("suffix").agg(F.count(F.lit(1)).alias("count"), F.count("label").alias("known"), F.coalesce(F.sum("label"), F.lit(0)).alias("bad"))
-    grouped = settle(grouped, "suffixes")
-    total = grouped.agg(F.sum("known").alias("known"), F.sum("bad").alias("bad")).first()
+FOLDS = 5  # parts of the labelled URLs; a part's suffix rates come from the others
+
+
+def fold_of(url: Column) -> Column:
+    return F.pmod(F.xxhash64(F.coalesce(url, F.lit(""))), F.lit(FOLDS)).cast("int")
+
+
+def with_suffix(rows: DataFrame) -> DataFrame:
+    """The rows with ``count``, all URLs of the suffix, and ``rate``, its smoothed rate of label 1.
+
+    A labelled row's rate leaves out the labels of its own fold, so that no
+    label reaches its own row; without other labels the rate is -1, missing.
+    """
+    fold = fold_of(F.col("url"))
+    parts = rows.groupBy("suffix", fold.alias("fold")).agg(F.count(F.lit(1)).alias("count"), F.count("label").alias("known"), F.coalesce(F.sum("label"), F.lit(0)).alias("bad"))
+    by_fold = F.map_from_entries(F.collect_list(F.struct("fold", F.struct("known", "bad"))))  # FOLDS entries
+    table = parts.groupBy("suffix").agg(F.sum("count").alias("count"), F.sum("known").alias("known"), F.sum("bad").alias("bad"), by_fold.alias("by_fold"))
+    table = settle(table, "suffixes")
+    total = table.agg(F.sum("known").alias("known"), F.sum("bad").alias("bad")).first()
     rate = (total["bad"] or 0) / max(1, total["known"] or 0)
-    return grouped.select("suffix", "count", ((F.col("bad") + 20 * rate) / (F.col("known") + 20)).alias("rate"))
+    joined = rows.join(table, "suffix")  # a hot suffix has one row there, so its split partitions repeat little
+    own = F.when(F.col("label").isNotNull(), F.element_at("by_fold", fold))
+    known = F.col("known") - F.coalesce(own["known"], F.lit(0))
+    bad = F.col("bad") - F.coalesce(own["bad"], F.lit(0))
+    smoothed = F.when(known > 0, (bad + 20 * rate) / (known + 20)).otherwise(-1.0)
+    return joined.withColumn("rate", smoothed).drop("known", "bad", "by_fold")
 
 
-def train(rows: DataFrame, table: DataFrame, sample: int = SAMPLE) -> Trees:
-    """Trees from rows ``url, host, path, suffix, label``; at most ``sample`` labelled ones, by hash of the URL, reach the driver."""
+def train(rows: DataFrame, sample: int = SAMPLE) -> Trees:
+    """Trees from rows of ``with_suffix``; at most ``sample`` labelled ones, by hash of the URL, reach the driver."""
     order = [F.xxhash64("url"), "url"]
-    some = rows.where("label IS NOT NULL").orderBy(*order).limit(sample).join(table, "suffix").orderBy(*order).toArrow().to_pylist()
+    some = rows.where("label IS NOT NULL").orderBy(*order).limit(sample).toArrow().to_pylist()
     x = features(*([r[k] for r in some] for k in ("url", "host", "path", "count", "rate")))
     return boost(x, np.array([r["label"] for r in some], dtype=float))
 
@@ -185,15 +204,14 @@ def judge(
     host = host_of(url)
     rows = df.select(F.col(id_col), url.alias("url"), host.alias("host"), path_of(url).alias("path"), (weak_label(host) if label is None else label).alias("label"))
     rows = rows.withColumn("suffix", suffix_of(F.col("host")))
-    table = suffix_table(rows)
-    sent = df.sparkSession.sparkContext.broadcast(train(rows, table))
+    rows = with_suffix(rows)
+    sent = df.sparkSession.sparkContext.broadcast(train(rows))
 
     @F.pandas_udf("double")
     def blocked(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for part in parts:
             yield pd.Series(sent.value.probability(features(*(c.tolist() for c in part))))
 
-    rows = rows.join(table, "suffix")  # a hot suffix has one row there, so its split partitions repeat little
     ruled = rows.withColumn("_rule", rule_for(F.col("host"), F.col("path"), rules)).withColumn("p_block", blocked("url", "host", "path", "count", "rate"))
     method = F.when(F.col("p_block") >= threshold, "block").otherwise("allow")
     return ruled.select(
