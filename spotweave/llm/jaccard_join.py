@@ -1,7 +1,8 @@
 """Near duplicates: a Jaccard self-join of shingle sets with rare-first prefix, length, positional and suffix filters.
 
 Every distinct set is one class, so copies are never compared.  All sets are
-sorted by one global order, rarest shingle first.  Two sets can only reach the
+sorted by one global order, rarest shingle first: shingles are counted over all
+texts, and those that several texts hold go back to the slices that have them.  Two sets can only reach the
 threshold if their prefixes share a shingle; such pairs go through the length,
 positional and suffix filters, and what is left is verified once on the whole
 sets.
@@ -28,14 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spotweave.llm import marks, wordbytes
+from spotweave.llm import marks, textslices, wordbytes
 from spotweave.llm.components import components
+from spotweave.llm.textslices import paged, rows_of, values_of
 from spotweave.session import discard, settle
 
 WORDS = 5
 PERCENT = 75
-ORDER_BITS = 18  # shingle counts are kept in 2**18 bins, a table of fixed size
-BIN_BLOCK = 4096
+SLICE = 512 << 10  # bytes of text whose shingles are counted at once
+PAGE = 8 << 20  # bytes of text whose shingles fill a page
 PER_SLICE = 4  # shingles in a slice of the suffix filter, about
 BANDS, ROWS = 8, 2  # hubs: sets that agree in a band of minimum hashes
 
@@ -51,59 +53,85 @@ def _least_overlap(n_x: str, n_y: str, percent: int) -> str:
     return f"(({percent} * ({n_x} + {n_y}) + {99 + percent}) div {100 + percent})"
 
 
-def _bins(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - ORDER_BITS)).astype(np.int64)
+def _entries(words: int, pages: int):
+    """Task function: each slice's shingles, with how many of its texts hold them, one row per page."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, ends, data in zip(*(batch.column(c) for c in ("slice", "ends", "data"))):
+                found = list(wordbytes.shingles_of(np.frombuffer(data.as_py(), np.uint8), ends.values.to_numpy(), words))
+                key, counts = np.unique(paged(np.concatenate(found), pages)[1], return_counts=True)
+                page = key >> 39
+                at = np.flatnonzero(np.append(True, page[1:] != page[:-1])) if len(page) else page
+                offsets = np.append(at, len(page))
+                packed = [rows_of(c, offsets) for c in (key.astype("<u4"), (key >> 32 & 127).astype("u1"), counts.astype("<i4"))]
+                yield pa.RecordBatch.from_arrays([pa.array(page[at]), pa.array(np.full(len(at), number.as_py())), *packed], ["page", "slice", "low", "high", "n"])
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
+def _several(table: pa.Table) -> pa.Table:
+    """The shingles of a page that more than one text holds, with their counts over all texts, by slice."""
+    low, lengths = values_of(table["low"], "<u4")
+    high, counts = values_of(table["high"], "u1")[0], values_of(table["n"], "<i4")[0]
+    key = high.astype(np.int64) << 32 | low
+    order = np.argsort(key, kind="stable")
+    at = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
+    total = np.empty(len(key), dtype=np.int64)
+    total[order] = np.repeat(np.add.reduceat(counts[order].astype(np.int64), at), np.diff(np.append(at, len(key))))
+    key |= np.repeat(table["page"].to_numpy(), lengths) << 39
+    keep = total > 1
+    offsets = np.append(0, np.cumsum(keep))[np.append(np.cumsum(lengths) - lengths, len(keep))]
+    packed = [rows_of(c[keep], offsets) for c in (key, total)]
+    return pa.table([table["slice"].combine_chunks(), *packed], ["slice", "keys", "totals"]).filter(pa.array(np.diff(offsets) > 0))
+
+
+def with_counts(slices: DataFrame, words: int, pages: int) -> DataFrame:
+    """The slices with ``held``: the shingles of theirs that several texts hold, and how many texts; others have one.
+
+    A shingle is one row per slice at most, however many texts hold it.
+    """
+    entries = slices.select("slice", "ends", "data").mapInArrow(_entries(words, pages), "page long, slice long, low binary, high binary, n binary")
+    several = entries.groupBy("page").applyInArrow(_several, "slice long, keys binary, totals binary")
+    several = settle(several, "several", textslices.SLICES)
+    of_slice = several.groupBy("slice").agg(F.collect_list(F.struct("keys", "totals")).alias("held"))  # one slice's shingles at most
+    return slices.join(of_slice, "slice", "left")
 
-def shingle_counts(df: DataFrame, text_col: str, words: int) -> np.ndarray:
-    """How many texts hold a shingle of each bin, over all texts: one array of fixed size."""
-    size = 1 << ORDER_BITS
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, pending, held = np.zeros(size, dtype=np.int64), [], 0
-        for batch in batches:
-            for found in wordbytes.shingles(batch.column(0), words):
-                pending.append(_bins(found))
-                held += len(found)
-                if held > size:
-                    total += np.bincount(np.concatenate(pending), minlength=size)
-                    pending, held = [], 0
-        if pending:
-            total += np.bincount(np.concatenate(pending), minlength=size)
-        for first in range(0, size, BIN_BLOCK):
-            bins = np.flatnonzero(total[first : first + BIN_BLOCK]) + first
-            yield pa.RecordBatch.from_arrays([pa.array(bins), pa.array(total[bins])], ["bin", "n"])
-
-    rows = df.select(text_col).mapInArrow(count, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).toArrow().to_pandas()
-    counts = np.zeros(size, dtype=np.int64)
-    counts[rows["bin"].to_numpy()] = rows["n"].to_numpy()
-    return counts
-
-
-def _described(counts, words: int, percent: int):
+def _described(words: int, percent: int, pages: int):
     """Task function: one row per text with its class key, size, prefix, slice sizes and hub keys."""
 
+    def rarity(found: np.ndarray, keys: np.ndarray, totals: np.ndarray) -> np.ndarray:
+        if not len(keys):
+            return np.ones(len(found), dtype=np.int64)
+        own = paged(found, pages)[1]
+        at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+        return np.where(keys[at] == own, totals[at], 1)
+
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rarity = counts.value
         for batch in batches:
-            ids, hashes = batch.column(0), batch.column(2)
-            for first, data, ends in wordbytes.slices(batch.column(1)):
+            for ids, hashes, ends, data, held in zip(*(batch.column(c) for c in ("ids", "hashes", "ends", "data", "held"))):
+                own_keys = own_totals = np.zeros(0, dtype=np.int64)
+                if held.is_valid:
+                    own_keys, own_totals = (values_of(held.values.field(c), "<i8")[0] for c in ("keys", "totals"))
+                    order = np.argsort(own_keys)
+                    own_keys, own_totals = own_keys[order], own_totals[order]
                 keys, sizes, common, prefixes, pivots, hubs = [], [], [], [], [], []
-                for found in wordbytes.shingles_of(data, ends, words):
+                for found in wordbytes.shingles_of(np.frombuffer(data.as_py(), np.uint8), ends.values.to_numpy(), words):
                     n = len(found)
                     keys.append(class_key(found))
                     sizes.append(n)
                     keep = n - -(-percent * n // 100) + 1 if n else 0
-                    seen = rarity[_bins(found)]
+                    seen = rarity(found, own_keys, own_totals)
                     common.append(int(seen.sum()) // n if n else 0)
-                    order = np.argsort(seen, kind="stable")[:keep]
-                    prefixes.append(found[order].view(np.int64))
+                    prefixes.append(found[np.argsort(seen, kind="stable")[:keep]].view(np.int64))
                     pivots.append(_slices(found) if n else None)
                     hubs.append(_bands(found) if n else None)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.slice(first, len(ends)),
-                        hashes.slice(first, len(ends)),
+                        ids.values,
+                        hashes.values,
                         pa.array(keys, pa.int64()),
                         pa.array(sizes, pa.int64()),
                         pa.array(common, pa.int64()),
@@ -113,6 +141,7 @@ def _described(counts, words: int, percent: int):
                     ],
                     ["id", "text_hash", "c", "n", "common", "prefix", "pivots", "hubs"],
                 )
+        pa.default_memory_pool().release_unused()  # the worker may serve other stages next
 
     return describe
 
@@ -156,6 +185,7 @@ def _sets(bitmap, words: int):
                 found = list(wordbytes.shingles_of(data, ends, words))
                 arrays = [pa.array([class_key(x) for x in found], pa.int64()), pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(arrays, ["c", "set"])
+        pa.default_memory_pool().release_unused()
 
     return read
 
@@ -173,6 +203,7 @@ def _shared(bitmap):
                 [pa.array(tokens[at]), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array(at - ends[row])],
                 ["token", "c", "n", "pos"],
             )
+        pa.default_memory_pool().release_unused()
 
     return pick
 
@@ -190,7 +221,7 @@ def compared(df: DataFrame, pairs: DataFrame, classes: DataFrame, words: int) ->
     needed = settle(classes.select("c", "rep").join(ends, "c", "left_semi"), "needed")
     bitmap = spark.sparkContext.broadcast(marks.to_array(marks.marked(needed, "rep")))
     read = df.select(F.xxhash64("_id").alias("rep"), "_text").mapInArrow(_sets(bitmap, words), "c long, set array<long>")
-    sets = settle(read.join(needed.select("c"), "c", "left_semi").groupBy("c").agg(F.first("set").alias("set")), "sets")
+    sets = settle(read.join(needed.select("c"), "c", "left_semi").groupBy("c").agg(F.first("set").alias("set")), "sets", textslices.TEXTS)
     left = sets.select(F.col("c").alias("a"), F.col("set").alias("set_a"))
     right = sets.select(F.col("c").alias("b"), F.col("set").alias("set_b"))
     both = pairs.join(left, "a").join(right, "b")
@@ -217,10 +248,13 @@ def near_components(
     """
     spark = df.sparkSession
     texts = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    counts = spark.sparkContext.broadcast(shingle_counts(texts, "_text", words))
+    slices = textslices.sliced(texts, F.col("_text"), {"ids": F.col("_id"), "hashes": F.xxhash64("_text")}, SLICE)
+    pages = textslices.pages_for(slices, PAGE)
     id_type = texts.schema["_id"].dataType.simpleString()
     schema = f"id {id_type}, text_hash long, c long, n long, common long, prefix array<long>, pivots array<int>, hubs array<long>"
-    described = settle(texts.withColumn("_hash", F.xxhash64("_text")).mapInArrow(_described(counts, words, percent), schema), "described")
+    known = with_counts(slices, words, pages).select("ids", "hashes", "ends", "data", "held")
+    described = settle(known.mapInArrow(_described(words, percent, pages), schema), "described", textslices.SLICES)
+    discard(slices)
     members = settle(described.select("id", "text_hash", "c", "n"), "members")
     one_each = F.first(F.struct("n", "common", "prefix", "pivots", "hubs")).alias("one")
     classes = described.where("n > 0").groupBy("c").agg(F.min("id").alias("_rep"), one_each)
@@ -256,7 +290,7 @@ def near_components(
     outside = extra.select("c", "token", F.lit(True).alias("_outside"))
     placed = picked.join(held.select("c", "hub"), "c", "left").join(outside, ["c", "token"], "left")
     anchor = F.when(F.col("_outside"), F.col("c")).otherwise(F.coalesce("hub", "c"))  # the hub where the shingle is the hub's
-    places = settle(_with_comp(placed.withColumn("anchor", anchor).select("token", "c", "n", "pos", "anchor"), comps), "places")
+    places = settle(_with_comp(placed.withColumn("anchor", anchor).select("token", "c", "n", "pos", "anchor"), comps), "places", textslices.TEXTS)
     places = _spread(places, ["token"], ["anchor", "comp"])
 
     # Prefix join with length and positional filters: the longer set probes, the shorter one is indexed.

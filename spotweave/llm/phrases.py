@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spotweave.llm import textslices, wordbytes
+from spotweave.llm.textslices import rows_of, values_of
 from spotweave.operators.ranking import number_within
 from spotweave.session import discard, settle
 
@@ -124,22 +125,6 @@ def _entries(words: int, pages: int):
     return run
 
 
-def rows_of(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    """Binary rows that hold the values between offsets; Spark moves them whole."""
-    places = (offsets * values.itemsize).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(places), pa.py_buffer(np.ascontiguousarray(values))])
-
-
-def values_of(rows: pa.Array | pa.ChunkedArray, kind: str) -> tuple[np.ndarray, np.ndarray]:
-    """All values of binary rows, and how many each row has."""
-    kind, parts, lengths = np.dtype(kind), [], []
-    for chunk in rows.chunks if isinstance(rows, pa.ChunkedArray) else [rows]:
-        places = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset : chunk.offset + len(chunk) + 1] if len(chunk) else np.zeros(1, int)
-        parts.append(np.frombuffer((chunk.buffers()[2] or b"") if len(chunk) else b"", np.uint8)[places[0] : places[-1]])
-        lengths.append(np.diff(places) // kind.itemsize)
-    return np.concatenate([*parts, np.zeros(0, np.uint8)]).view(kind), np.concatenate([*lengths, np.zeros(0, int)]).astype(np.int64)
-
-
 def _frequent(least: int):
     """Group function: the pointers of a page whose fingerprints are frequent, by slice."""
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spotweave.llm import textslices, wordbytes
-from spotweave.llm.phrases import rows_of, values_of
+from spotweave.llm.textslices import paged, rows_of, values_of
 from spotweave.session import discard, settle
 
 LENGTH = 50
@@ -100,12 +100,6 @@ def _appended(left: np.ndarray, right: np.ndarray, size: int, more: int) -> np.n
     return left[:n] * np.uint64(pow(int(_BASE), more, 2**64)) + right[size : size + n]
 
 
-def _paged(mark: np.ndarray, pages: int) -> tuple[np.ndarray, np.ndarray]:
-    """Page of each fingerprint, and its key: the page and the low 39 bits."""
-    page = ((mark >> np.uint64(40)) % np.uint64(pages)).astype(np.int64)
-    return page, page << 39 | (mark & np.uint64(2**39 - 1)).astype(np.int64)
-
-
 def _slices_of(batch: pa.RecordBatch) -> Iterator[tuple]:
     """Number, ids (null as ``NO_ID``), ends and bytes of the first four columns."""
     for number, ids, ends, data in zip(*(batch.column(c) for c in range(4))):
@@ -119,7 +113,7 @@ def _grams(length: int, pages: int):
         for batch in batches:
             for number, ids, ends, data in _slices_of(batch):
                 anchors = Anchors(data, ends, length)
-                page, key = _paged(anchors.mark, pages)
+                page, key = paged(anchors.mark, pages)
                 order = np.argsort(key, kind="stable")  # by page, then by gram
                 page, key, own = page[order], key[order], ids[anchors.row[order]]
                 new = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else order
@@ -226,7 +220,7 @@ def _runs(length: int, pages: int, starts: list[bytes]):
                 wanted = values_of(held.values, "<i8")[0]
                 often = np.sort(-1 - wanted[wanted < 0])
                 anchors = Anchors(data, ends, length)
-                key = _paged(anchors.mark, pages)[1]
+                key = paged(anchors.mark, pages)[1]
                 hot = np.isin(key, often)
                 anchors.take(hot | np.isin(key, wanted))
                 hot = hot[hot | np.isin(key, wanted)]

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -46,3 +47,25 @@ def sliced(df: DataFrame, text: Column, of: dict[str, Column], size: int) -> Dat
 def pages_for(slices: DataFrame, page_bytes: int) -> int:
     """Number of pages when the fingerprints of so many bytes of text go to one page."""
     return max(1, -(-(slices.agg(F.sum("n_bytes")).first()[0] or 0) // page_bytes))
+
+
+def paged(marks: np.ndarray, pages: int) -> tuple[np.ndarray, np.ndarray]:
+    """Page of each 64-bit fingerprint, and its key: the page and the low 39 bits."""
+    page = ((marks >> np.uint64(40)) % np.uint64(pages)).astype(np.int64)
+    return page, page << 39 | (marks & np.uint64(2**39 - 1)).astype(np.int64)
+
+
+def rows_of(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Binary rows that hold the values between offsets; Spark moves them whole."""
+    places = (offsets * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(places), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def values_of(rows: pa.Array | pa.ChunkedArray, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All values of binary rows, and how many each row has."""
+    kind, parts, lengths = np.dtype(kind), [], []
+    for chunk in rows.chunks if isinstance(rows, pa.ChunkedArray) else [rows]:
+        places = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset : chunk.offset + len(chunk) + 1] if len(chunk) else np.zeros(1, int)
+        parts.append(np.frombuffer((chunk.buffers()[2] or b"") if len(chunk) else b"", np.uint8)[places[0] : places[-1]])
+        lengths.append(np.diff(places) // kind.itemsize)
+    return np.concatenate([*parts, np.zeros(0, np.uint8)]).view(kind), np.concatenate([*lengths, np.zeros(0, int)]).astype(np.int64)
