@@ -3,80 +3,83 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spotweave.functions.vectors import complexity_score, hamming, kth_lowest
-from spotweave.session import settle
+from spotweave.session import discard, settle
 
 # Fixed values of the default run.
 COMPLEXITY_MIN, SCORE_MIN, SIGNAL_MIN = -0.9, 0.85, 150
 COUNT_MIN, ERRORS_MAX = 3, 2
 
-FOLD_LIMIT = 64  # distinct barcodes of a cell that are collapsed inside one row
-MASK = "_"
-
 
 def unique_barcodes(spots: DataFrame) -> DataFrame:
     """Distinct barcodes of every cell with their number of spots."""
     return spots.groupBy("cell_id", "seq").agg(F.count(F.lit(1)).alias("n"))
 
 
-def masked(seq: str | Column, length: int, errors: int) -> Column:
-    """All copies of a sequence with ``errors`` positions blanked.
+def segments(seq: str | Column, errors: int) -> Column:
+    """``errors`` + 1 parts of a sequence, of like size.
 
-    Two sequences of this length differ in at most ``errors`` positions exactly
-    when they share such a copy, and at most alphabet^errors sequences do.
+    Two sequences of one length that differ in at most ``errors`` positions
+    have at least one part in common, since every difference lies in one part.
     """
     s = F.col(seq) if isinstance(seq, str) else seq
-    copies = []
-    for places in combinations(range(1, length + 1), min(errors, length)):
-        parts, start = [], 1
-        for p in places:
-            parts += [F.substr(s, F.lit(start), F.lit(p - start)), F.lit(MASK)]
-            start = p + 1
-        copies.append(F.concat(*parts, F.substr(s, F.lit(start), F.lit(length))))
-    return F.array(*copies)
-
-
-def _close_pairs(uniq: DataFrame, length: int, errors: int) -> DataFrame:
-    """Pairs of one cell within the distance, the earlier one (in collapse order) as ``parent``."""
-    side = uniq.select("cell_id", "seq", "n", F.explode(masked("seq", length, errors)).alias("_key"))
-    other = side.select("cell_id", F.col("seq").alias("parent"), F.col("n").alias("pn"), "_key")
+    cut = lambda i: F.floor(F.length(s) * F.lit(i) / F.lit(errors + 1)).cast("int")
+    return F.array(*[F.substr(s, cut(i) + 1, cut(i + 1) - cut(i)) for i in range(errors + 1)])
+
+
+def _close_pairs(uniq: DataFrame, errors: int) -> DataFrame:
+    """Pairs of one cell within the distance, the earlier one (in collapse order) as ``parent``.
+
+    Barcodes meet where a segment agrees; a pair is measured at its first such
+    segment only, so it comes out once.
+    """
+    side = uniq.select("cell_id", "seq", "n", F.length("seq").alias("_len"), segments("seq", errors).alias("_parts"))
+    side = side.select("*", F.posexplode("_parts").alias("_nth", "_key"))
+    other = side.select("cell_id", "_len", "_nth", "_key", F.col("seq").alias("parent"), F.col("n").alias("pn"), F.col("_parts").alias("_theirs"))
     earlier = (F.col("pn") > F.col("n")) | ((F.col("pn") == F.col("n")) & (F.col("parent") < F.col("seq")))
-    pairs = side.join(other, ["cell_id", "_key"]).where(earlier).select("cell_id", "seq", "parent", "pn").distinct()
-    return pairs.withColumn("d", hamming("seq", "parent"))
+    first = F.array_position(F.zip_with("_parts", "_theirs", lambda x, y: x == y), F.lit(True)) == F.col("_nth") + 1
+    met = side.join(other, ["cell_id", "_len", "_nth", "_key"]).where(earlier & first)
+    return met.select("cell_id", "seq", "parent", "pn", hamming("seq", "parent").alias("d")).where(F.col("d") <= errors)
+
+
+def _decided(pairs: DataFrame, state: DataFrame) -> DataFrame:
+    """States after one round; it decides at least the first open barcode of each cell."""
+    waiting = state.where("state = 'open'").select("cell_id", "seq")
+    seen = pairs.join(waiting, ["cell_id", "seq"], "left_semi").join(
+        state.select("cell_id", F.col("seq").alias("parent"), F.col("state").alias("_ps")), ["cell_id", "parent"]
+    ).groupBy("cell_id", "seq").agg(
+        F.bool_or(F.col("_ps") == "kept").alias("_hit"), F.bool_or(F.col("_ps") == "open").alias("_wait")
+    )
+    decided = F.when(F.col("_hit"), "merged").when(F.col("_wait"), "open").otherwise("kept")
+    return state.join(seen, ["cell_id", "seq"], "left").select(
+        "cell_id", "seq", F.when(F.col("state") == "open", decided).otherwise(F.col("state")).alias("state")
+    )
 
 
-def _collapse_by_rounds(uniq: DataFrame, length: int, errors: int) -> DataFrame:
+def _owners(uniq: DataFrame, errors: int) -> DataFrame:
     """Owner of every barcode, decided in rounds over all cells together.
 
     A barcode with an accepted earlier neighbour is merged; one whose earlier
     neighbours are all merged is accepted; the others wait.  The first
     undecided barcode of a cell can always be decided, so the rounds end.
+    Barcodes without an earlier neighbour are accepted from the start, and a
+    round only looks at pairs whose later barcode still waits.
     """
-    pairs = settle(_close_pairs(uniq, length, errors), "pairs")
-    state = settle(uniq.select("cell_id", "seq", F.lit("open").alias("state")), "state")
-    while True:  # every round decides at least the first open barcode of each cell
-        seen = pairs.join(
-            state.select("cell_id", F.col("seq").alias("parent"), F.col("state").alias("_ps")), ["cell_id", "parent"]
-        ).groupBy("cell_id", "seq").agg(
-            F.bool_or(F.col("_ps") == "kept").alias("_hit"), F.bool_or(F.col("_ps") == "open").alias("_wait")
-        )
-        nxt = (
-            F.when(F.col("state") != "open", F.col("state"))
-            .when(F.coalesce("_hit", F.lit(False)), "merged")
-            .when(F.coalesce("_wait", F.lit(False)), "open")
-            .otherwise("kept")
-        )
-        state = settle(state.join(seen, ["cell_id", "seq"], "left").select("cell_id", "seq", nxt.alias("state")), "state")
-        if state.where("state = 'open'").isEmpty():
-            break
+    pairs = settle(_close_pairs(uniq, errors), "pairs")
+    waiting = pairs.select("cell_id", "seq").distinct().withColumn("state", F.lit("open"))
+    first = pairs.select("cell_id", F.col("parent").alias("seq")).distinct().join(waiting, ["cell_id", "seq"], "left_anti")
+    state = settle(waiting.unionByName(first.withColumn("state", F.lit("kept"))), "state")
+    while not state.where("state = 'open'").isEmpty():
+        before, state = state, settle(_decided(pairs, _decided(pairs, state)), "state")  # two rounds a table
+        discard(before)
     kept = state.where("state = 'kept'").select("cell_id", F.col("seq").alias("parent"))
-    # Nearest kept neighbour; the one accepted first on a tie.
-    near = pairs.join(kept, ["cell_id", "parent"]).groupBy("cell_id", "seq").agg(
+    # Nearest kept neighbour of a merged one; the one accepted first on a tie.
+    merged = pairs.join(state.where("state = 'merged'").select("cell_id", "seq"), ["cell_id", "seq"], "left_semi")
+    near = merged.join(kept, ["cell_id", "parent"]).groupBy("cell_id", "seq").agg(
         F.min(F.struct("d", (-F.col("pn")).alias("pn"), "parent")).alias("_p")
     )
     return uniq.join(near, ["cell_id", "seq"], "left").select(
@@ -84,65 +87,22 @@ def _collapse_by_rounds(uniq: DataFrame, length: int, errors: int) -> DataFrame:
     )
 
 
-def _collapse_in_row(listed: Column, errors: int) -> Column:
-    """The same collapse folded over one cell's short, ordered list of (n, seq)."""
-    empty = F.array().cast("array<struct<owner:string,n:bigint>>")
-
-    def step(kept: Column, item: Column) -> Column:
-        near = lambda k: F.when(F.length(k["owner"]) == F.length(item["seq"]), hamming(k["owner"], item["seq"]))
-        dist = F.transform(kept, lambda k: F.coalesce(near(k), F.lit(errors + 1)))
-        best = F.array_min(dist)
-        at = F.array_position(dist, best).cast("int") - 1
-        merged = F.transform(
-            kept,
-            lambda k, j: F.struct(k["owner"].alias("owner"), F.when(j == at, k["n"] + item["n"]).otherwise(k["n"]).alias("n")),
-        )
-        added = F.concat(kept, F.array(F.struct(item["seq"].alias("owner"), item["n"].alias("n"))))
-        return F.when(best <= errors, merged).otherwise(added)
-
-    return F.aggregate(listed, empty, step)
-
-
-def collapse_barcodes(spots: DataFrame, length: int, errors: int = ERRORS_MAX, **how) -> DataFrame:
+def collapse_barcodes(spots: DataFrame, errors: int = ERRORS_MAX) -> DataFrame:
     """Collapsed barcodes ``(cell_id, seq, n)`` of a table of barcode spots."""
-    return collapse_unique(settle(unique_barcodes(spots), "unique"), length, errors, **how)
+    return collapse_unique(settle(unique_barcodes(spots), "unique"), errors)
 
 
-def collapse_unique(
-    uniq: DataFrame,
-    length: int,
-    errors: int = ERRORS_MAX,
-    fold_limit: int = FOLD_LIMIT,
-) -> DataFrame:
+def collapse_unique(uniq: DataFrame, errors: int = ERRORS_MAX) -> DataFrame:
     """Collapse distinct barcodes ``(cell_id, seq, n)``, sequencing errors merged.
 
     In order of (count down, sequence up) a barcode joins the nearest accepted
     one within ``errors`` positions, the earliest accepted on a tie, or is
-    accepted itself.  Barcodes of unequal length never join.  Cells with few distinct barcodes are folded inside one
-    row.  Cells with many are decided in rounds through masked keys, spread
-    over the cluster, with the same result.
+    accepted itself.  Barcodes of unequal length never join.  All cells go the
+    same way: close pairs from an index of segments, then rounds.
     """
-    if not 0 <= errors <= 3:
-        raise ValueError("errors must be between 0 and 3")
-    sizes = uniq.groupBy("cell_id").agg(F.count(F.lit(1)).alias("_k"))
-    sized = uniq.join(sizes, "cell_id")
-    # The longest list that is ever collected has ``fold_limit`` entries.
-    small = sized.where(F.col("_k") <= fold_limit)
-    ordered = F.transform(
-        F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("_neg"), "seq", "n"))),
-        lambda x: F.struct(x["seq"].alias("seq"), x["n"].alias("n")),
-    )
-    folded = small.groupBy("cell_id").agg(ordered.alias("_l"))
-    folded = folded.select("cell_id", F.explode(_collapse_in_row(F.col("_l"), errors)).alias("_k")).select(
-        "cell_id", F.col("_k.owner").alias("seq"), F.col("_k.n").alias("n")
-    )
-    large = sized.where(F.col("_k") > fold_limit).select("cell_id", "seq", "n")
-    if large.isEmpty():
-        return folded
-    longest = large.agg(F.max(F.length("seq")).alias("k")).first()["k"]
-    owned = _collapse_by_rounds(settle(large, "large"), max(length, longest), errors)
-    spread = owned.groupBy("cell_id", F.col("owner").alias("seq")).agg(F.sum("n").alias("n"))
-    return folded.unionByName(spread)
+    if errors < 0:
+        raise ValueError("errors may not be negative")
+    return _owners(uniq, errors).groupBy("cell_id", F.col("owner").alias("seq")).agg(F.sum("n").alias("n"))
 
 
 def attach_soma_barcodes(cells: DataFrame, soma: DataFrame, n_cycles: int) -> DataFrame:
@@ -180,7 +140,7 @@ def is_barcoded(
     )
 
 
-def dominant_barcode(spots: DataFrame, length: int, count_min: int = COUNT_MIN, errors: int = ERRORS_MAX, **how) -> DataFrame:
+def dominant_barcode(spots: DataFrame, count_min: int = COUNT_MIN, errors: int = ERRORS_MAX) -> DataFrame:
     """Barcodes of the cells with one dominant barcode, long form.
 
     Cells with more than ``count_min`` spots are collapsed; a cell counts when
@@ -191,7 +151,7 @@ def dominant_barcode(spots: DataFrame, length: int, count_min: int = COUNT_MIN,
     uniq = settle(unique_barcodes(spots), "unique")
     enough = uniq.groupBy("cell_id").agg(F.sum("n").alias("_n")).where(F.col("_n") > count_min)
     eligible = settle(uniq.join(enough, "cell_id", "left_semi"), "eligible")
-    merged = settle(collapse_unique(eligible, length, errors, **how), "merged")
+    merged = settle(collapse_unique(eligible, errors), "merged")
     merged = merged.join(eligible.withColumnRenamed("n", "own"), ["cell_id", "seq"])
     rank = F.struct((-F.col("n")).alias("n"), (-F.col("own")).alias("own"), "seq")
     top = merged.groupBy("cell_id").agg(F.min(rank).alias("_top")).where(-F.col("_top.n") > count_min)
@@ -230,14 +190,14 @@ def library_summary(counts: DataFrame, areas: Sequence[str], length: int = 15) -
 def match_library(cells: DataFrame, library: DataFrame, length: int = 15, errors: int = 1) -> DataFrame:
     """Library row of each cell barcode within ``errors`` positions; the last row wins.
 
-    Both sides are reduced to distinct sequences and meet on masked copies, so
-    a barcode shared by many cells or library rows is compared once.
+    Both sides are reduced to distinct sequences and meet where a segment
+    agrees, so a barcode shared by many cells or library rows is compared once.
     """
     wanted = cells.select("seq").where(F.length("seq") == length).distinct()
     rows = library.where(F.length("sequence") == length).groupBy("sequence").agg(F.max("barcode_id").alias("barcode_id"))
-    left = wanted.select("seq", F.explode(masked("seq", length, errors)).alias("_key"))
-    right = rows.select("barcode_id", F.explode(masked("sequence", length, errors)).alias("_key"))
-    best = left.join(right, "_key").groupBy("seq").agg(F.max("barcode_id").alias("barcode_id"))
+    left = wanted.select("seq", F.posexplode(segments("seq", errors)).alias("_nth", "_key"))
+    right = rows.select("barcode_id", "sequence", F.posexplode(segments("sequence", errors)).alias("_nth", "_key"))
+    best = left.join(right, ["_nth", "_key"]).where(hamming("seq", "sequence") <= errors).groupBy("seq").agg(F.max("barcode_id").alias("barcode_id"))
     return cells.join(best, "seq").select(*cells.columns, "barcode_id")
 
 

@@ -68,13 +68,13 @@ def collapsed(source: str, errors: int) -> str:
 
 @barcodes.query(f"WITH RECURSIVE {collapsed('fx_bc_spots', 2)} SELECT cell_id, seq, n FROM merged")
 def collapsed_barcodes(i: Inputs) -> DataFrame:
-    return bc.collapse_barcodes(i.bc_spots, N_BARCODE, errors=2)
+    return bc.collapse_barcodes(i.bc_spots, errors=2)
 
 
 @barcodes.query(f"WITH RECURSIVE {collapsed('fx_bc_spots', 1)} SELECT cell_id, seq, n FROM merged")
 def collapsed_barcodes_in_rounds(i: Inputs) -> DataFrame:
-    """The same collapse with every cell decided by the distributed rounds."""
-    return bc.collapse_barcodes(i.bc_spots, N_BARCODE, errors=1, fold_limit=0)
+    """The same collapse with one error allowed."""
+    return bc.collapse_barcodes(i.bc_spots, errors=1)
 
 
 SOMA = f"""
@@ -110,7 +110,7 @@ def barcoded_cells(i: Inputs) -> DataFrame:
     FROM merged m JOIN top t USING (cell_id)"""
 )
 def dominant_barcodes(i: Inputs) -> DataFrame:
-    return bc.dominant_barcode(i.bc_spots, N_BARCODE)
+    return bc.dominant_barcode(i.bc_spots)
 
 
 @barcodes.query(f"WITH {SOMA} SELECT cell_id, seq, 1::BIGINT AS n, TRUE AS dominant FROM att")

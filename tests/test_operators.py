@@ -196,20 +196,18 @@ def brute_collapse(seqs, errors):
 
 @FEW
 @given(st.integers(0, 10**6), st.sampled_from([1, 2, 3]))
-def test_collapse_both_ways_against_brute_force(spark, seed, errors):
+def test_collapse_against_brute_force(spark, seed, errors):
     rng = random.Random(seed)
     cells = {c: ["".join(rng.choice("12") for _ in range(6)) for _ in range(rng.randrange(1, 60))] for c in range(3)}
     spots = frame(spark, [(c, s) for c, seqs in cells.items() for s in seqs], "cell_id bigint, seq string")
     want = {(c, *k) for c, seqs in cells.items() for k in brute_collapse(seqs, errors)}
-    for limit in (0, 10, 64):
-        got = {(r.cell_id, r.seq, r.n) for r in barcodes.collapse_barcodes(spots, 6, errors, fold_limit=limit).collect()}
-        assert got == want
+    assert {(r.cell_id, r.seq, r.n) for r in barcodes.collapse_barcodes(spots, errors).collect()} == want
 
 
 def test_dominant_needs_more_than_the_count(spark):
     rows = [(1, "1111")] * 4 + [(1, "2222")] * 4 + [(2, "1111")] * 3 + [(3, "1111")] * 3 + [(3, "3333")]
     spots = frame(spark, rows, "cell_id bigint, seq string")
-    got = {tuple(r) for r in barcodes.dominant_barcode(spots, 4, count_min=3, errors=1).collect()}
+    got = {tuple(r) for r in barcodes.dominant_barcode(spots, count_min=3, errors=1).collect()}
     # Cell 1 ties and the lower sequence leads; cell 2 has too few spots; cell 3 no barcode with enough.
     assert got == {(1, "1111", 4, True), (1, "2222", 4, False)}
 
@@ -466,16 +464,36 @@ def test_schemas(spark):
     assert schemas.pixels(["a", "b"]).endswith("c INT, a INT, b INT")
 
 
-def test_collapse_does_not_depend_on_the_size_of_a_cell(spark):
-
-
+def test_collapse_of_unequal_and_long_barcodes(spark):
     draw = random.Random(3)
-    reads = ["".join(draw.choice("AC") for _ in range(draw.choice([4, 4, 6, 8]))) for _ in range(60)]
-    rows = [(cell, seq) for cell in (1, 2) for seq in draw.choices(reads, k=150)] + [(3, "ACGTACGT")] * 3 + [(3, "ACGT")] * 2
+    long = "".join(draw.choice("ACGT") for _ in range(300))
+    near = long[:150] + ("A" if long[150] != "A" else "C") + long[151:]
+    far = near[:20] + ("G" if near[20] != "G" else "T") * 3 + near[23:]
+    rows = [(3, "ACGTACGT")] * 3 + [(3, "ACGT")] * 2 + [(4, long)] * 5 + [(4, near)] * 2 + [(4, far)] + [(5, "A")] * 2 + [(5, "C"), (5, "")]
     spots = spark.createDataFrame(rows, "cell_id long, seq string")
-    few, many = (barcodes.collapse_barcodes(spots, 4, 1, fold_limit=limit).collect() for limit in (64, 0))
-    assert sorted(few) == sorted(many)
-    assert sorted(r["seq"] for r in few if r["cell_id"] == 3) == ["ACGT", "ACGTACGT"]
+    apart = sum(x != y for x, y in zip(long, far)) > 2
+    got = {tuple(r) for r in barcodes.collapse_barcodes(spots, 2).collect()}
+    assert got == {(3, "ACGTACGT", 3), (3, "ACGT", 2), (4, long, 7 if apart else 8), (5, "A", 3), (5, "", 1)} | ({(4, far, 1)} if apart else set())
+
+
+@pytest.mark.parametrize("reach, block", [(40, 16), (256, 256)])
+def test_shifts_far_beyond_a_block(spark, reach, block):
+    rng = np.random.default_rng(11)
+    image = rng.integers(0, 50, (60, 50))
+    down, right = -37, 29
+    at = [(int(r), int(c)) for r in range(60) for c in range(50)]
+    still = frame(spark, [(1, r + 300, c + 300, float(image[r, c])) for r, c in at], "fov int, r int, c int, v double")
+    other = frame(spark, [(1, 2, r + 300 + down, c + 300 + right, float(image[r, c])) for r, c in at], "fov int, cycle int, r int, c int, v double")
+    best = registration.estimate_shift(still, other, reach, block=block).first()
+    assert (best.dr, best.dc, best.vote) == (down, right, float((image**2).sum()))
+
+
+def test_votes_of_all_shifts_against_products():
+    rng = np.random.default_rng(12)
+    fixed, moving = (rng.integers(0, 9, (14, 14)).astype(float) for _ in range(2))
+    votes = registration.correlated(fixed, moving, 3, 8)
+    want = [[(fixed[3:11, 3:11] * moving[3 + dr : 11 + dr, 3 + dc : 11 + dc]).sum() for dc in range(-3, 4)] for dr in range(-3, 4)]
+    assert (votes == np.array(want)).all() and registration.good_size(13) == 15
 
 
 def test_median_of_mostly_equal_values(spark):
