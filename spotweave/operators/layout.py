@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from itertools import count
-
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spotweave.session import settle
+from spotweave.session import discard, settle
 
 
 def to_global(
@@ -90,59 +88,98 @@ def expand_regions(regions: DataFrame, xtiles: int, ytiles: int, tile_size: floa
 
 
 def place_tiles(offsets: DataFrame) -> DataFrame:
-    """Tile positions of each slice from pairwise offsets, smallest position at 0.
+    """``slice, part, tile, pos_x, pos_y``: tile positions from pairwise offsets, smallest position of a part at 0.
+
+    ``offsets(slice, tile_a, tile_b, dx, dy)`` says b lies (dx, dy) from a; an
+    optional ``weight`` says how far that is to be trusted.  Positions follow
+    the spanning tree of the heaviest links (the lowest pair of tiles on a tie,
+    an unknown weight last).  Tiles that no links join are parts of their own,
+    named by their lowest tile; links without an offset do not count.
 
-    ``offsets(slice, tile_a, tile_b, dx, dy)`` says b lies (dx, dy) from a.  The
-    lowest tile of a slice is the anchor; each round places the neighbours of
-    the tiles placed last, through the lowest placed neighbour.  All slices
-    advance together, and each round is settled so its lineage stays short.
+    All groups of tiles join along their heaviest link out at the same time,
+    then one row stands for a group, so links and groups shrink with each round
+    and the rounds grow with the logarithm of the tiles.
     """
-    both = settle(
-        offsets.select("slice", "tile_a", "tile_b", "dx", "dy").unionByName(
-            offsets.select(
+    weight = F.col("weight").cast("double") if "weight" in offsets.columns else F.lit(0.0)
+    tiles = offsets.select("slice", F.explode(F.array("tile_a", "tile_b")).alias("tile")).where("tile IS NOT NULL").distinct()
+    turn = F.when(F.col("tile_a") < F.col("tile_b"), 1.0).otherwise(-1.0)
+    one_way = offsets.where("tile_a <> tile_b AND dx IS NOT NULL AND dy IS NOT NULL").select(
+        "slice",
+        F.least("tile_a", "tile_b").alias("a"),
+        F.greatest("tile_a", "tile_b").alias("b"),
+        (F.col("dx") * turn).alias("dx"),
+        (F.col("dy") * turn).alias("dy"),
+        (-F.coalesce(weight, F.lit(float("-inf")))).alias("_light"),
+    ).withColumn("key", F.struct("_light", "a", "b", "dx", "dy"))
+    back = one_way.select("slice", F.col("b").alias("a"), F.col("a").alias("b"), (-F.col("dx")).alias("dx"), (-F.col("dy")).alias("dy"), "key")
+    links = settle(one_way.select(*back.columns).unionByName(back), "links")
+    levels = []
+    while not links.isEmpty():
+        levels.append(merged_groups(links))
+        held = levels[-1].select("slice", F.col("node").alias("a"), F.col("head").alias("_a"), F.col("x").alias("_xa"), F.col("y").alias("_ya"))
+        other = held.toDF("slice", "b", "_b", "_xb", "_yb")
+        outer = links.join(held, ["slice", "a"]).join(other, ["slice", "b"]).where("_a <> _b")
+        outer = outer.select(
+            "slice",
+            F.col("_a").alias("a"),
+            F.col("_b").alias("b"),
+            (F.col("_xa") + F.col("dx") - F.col("_xb")).alias("dx"),
+            (F.col("_ya") + F.col("dy") - F.col("_yb")).alias("dy"),
+            "key",
+        )
+        outer = settle(outer, "links")
+        discard(links)
+        links = outer
+    placed = tiles.select("slice", "tile", F.col("tile").alias("head"), F.lit(0.0).alias("pos_x"), F.lit(0.0).alias("pos_y"))
+    if levels:
+        whole = levels[-1]
+        for level in reversed(levels[:-1]):  # each level is a fraction of the one before
+            above = whole.select("slice", F.col("node").alias("head"), F.col("head").alias("_top"), F.col("x").alias("_x"), F.col("y").alias("_y"))
+            whole = level.join(above, ["slice", "head"], "left").select(
                 "slice",
-                F.col("tile_b").alias("tile_a"),
-                F.col("tile_a").alias("tile_b"),
-                (-F.col("dx")).alias("dx"),
-                (-F.col("dy")).alias("dy"),
+                "node",
+                F.coalesce("_top", "head").alias("head"),
+                (F.col("x") + F.coalesce("_x", F.lit(0.0))).alias("x"),
+                (F.col("y") + F.coalesce("_y", F.lit(0.0))).alias("y"),
             )
-        ),
-        "offsets",
+        found = whole.select("slice", F.col("node").alias("tile"), F.col("head").alias("_top"), "x", "y")
+        placed = tiles.join(found, ["slice", "tile"], "left").select(
+            "slice", "tile", F.coalesce("_top", "tile").alias("head"), F.coalesce("x", F.lit(0.0)).alias("pos_x"), F.coalesce("y", F.lit(0.0)).alias("pos_y")
+        )
+    placed = settle(placed, "placed")
+    low = placed.groupBy("slice", "head").agg(F.min("tile").alias("part"), F.min("pos_x").alias("_lx"), F.min("pos_y").alias("_ly"))
+    return placed.join(low, ["slice", "head"]).select(
+        "slice", "part", "tile", (F.col("pos_x") - F.col("_lx")).alias("pos_x"), (F.col("pos_y") - F.col("_ly")).alias("pos_y")
     )
-    every = both.select("slice", F.col("tile_a").alias("tile")).distinct()
-    start = (
-        every.groupBy("slice")
-        .agg(F.min("tile").alias("tile"))
-        .select("slice", "tile", F.lit(0.0).alias("pos_x"), F.lit(0.0).alias("pos_y"), F.lit(0).alias("round"))
+
+
+def merged_groups(links: DataFrame) -> DataFrame:
+    """``slice, node, head, x, y``: the group every node joins along its heaviest link, and its position seen from the head.
+
+    ``links(slice, a, b, dx, dy, key)`` go both ways with one key, so two nodes
+    that choose the same link close no ring; the lower of them is the head.
+    """
+    best = links.groupBy("slice", "a").agg(F.min(F.struct("key", "b", "dx", "dy")).alias("_e")).select("slice", "a", "_e.*")
+    other = best.select("slice", F.col("a").alias("b"), F.col("key").alias("_key"))
+    is_head = (F.col("key") == F.col("_key")) & (F.col("a") < F.col("b"))
+    chosen = best.join(other, ["slice", "b"]).select(
+        "slice",
+        F.col("a").alias("node"),
+        F.when(is_head, F.col("a")).otherwise(F.col("b")).alias("head"),
+        F.when(is_head, 0.0).otherwise(-F.col("dx")).alias("x"),
+        F.when(is_head, 0.0).otherwise(-F.col("dy")).alias("y"),
     )
-    placed = settle(start, "placed")
-    for step in count(1):
-        edge = placed.where(F.col("round") == step - 1)
-        reach = both.join(
-            edge.select("slice", F.col("tile").alias("tile_a"), "pos_x", "pos_y"), ["slice", "tile_a"]
-        ).select(
-            "slice",
-            F.col("tile_b").alias("tile"),
-            F.struct(
-                "tile_a",
-                (F.col("pos_x") + F.col("dx")).alias("x"),
-                (F.col("pos_y") + F.col("dy")).alias("y"),
-            ).alias("via"),
-        )
-        new = (
-            reach.join(placed.select("slice", "tile"), ["slice", "tile"], "left_anti")
-            .groupBy("slice", "tile")
-            .agg(F.min("via").alias("via"))
-            .select("slice", "tile", F.col("via.x").alias("pos_x"), F.col("via.y").alias("pos_y"), F.lit(step).alias("round"))
+    group = settle(chosen, "groups")
+    while True:
+        up = group.select("slice", F.col("node").alias("head"), F.col("head").alias("_top"), F.col("x").alias("_x"), F.col("y").alias("_y"))
+        doubled = group.join(up, ["slice", "head"]).select(
+            "slice", "node", F.col("_top").alias("head"), (F.col("x") + F.col("_x")).alias("x"), (F.col("y") + F.col("_y")).alias("y"), (F.col("_top") != F.col("head")).alias("_moved")
         )
-        new = settle(new, "placed")
-        if new.isEmpty():
-            break
-        placed = settle(placed.unionByName(new), "placed")
-    low = placed.groupBy("slice").agg(F.min("pos_x").alias("_lx"), F.min("pos_y").alias("_ly"))
-    return placed.join(low, "slice").select(
-        "slice", "tile", (F.col("pos_x") - F.col("_lx")).alias("pos_x"), (F.col("pos_y") - F.col("_ly")).alias("pos_y")
-    )
+        doubled = settle(doubled, "groups")
+        discard(group)
+        group = doubled.drop("_moved")
+        if doubled.where("_moved").isEmpty():
+            return group
 
 
 def consensus_shift(shifts: DataFrame) -> DataFrame:

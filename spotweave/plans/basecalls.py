@@ -81,8 +81,8 @@ def hyb_gene_by_channel(i: Inputs) -> DataFrame:
 
 # ---- barcode spots --------------------------------------------------------------
 
-ROLONY = f"""{SPOT_PEAKS},
-    sig AS (SELECT r.fov, r.r, r.c, p.cycle, p.ch_g, p.ch_t, p.ch_a, p.ch_c FROM rolony r JOIN fx_px p ON p.fov = r.fov AND p.r = r.r AND p.c = r.c)"""
+ROLONY = f"""{SPOT_PEAKS}, every AS MATERIALIZED (SELECT * FROM fx_px),
+    sig AS MATERIALIZED (SELECT r.fov, r.r, r.c, p.cycle, p.ch_g, p.ch_t, p.ch_a, p.ch_c FROM rolony r JOIN every p ON p.fov = r.fov AND p.r = r.r AND p.c = r.c)"""
 
 
 def base_sql(cols, none="0.5") -> str:

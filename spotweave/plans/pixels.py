@@ -333,8 +333,8 @@ def prominent_peaks(i: Inputs) -> DataFrame:
 
 
 SPOT_PEAKS = f"""
-    px AS MATERIALIZED (SELECT * FROM fx_px WHERE cycle = 1), peaks AS (SELECT DISTINCT fov, r, c FROM ({PEAK_SQL}) u),
-    rolony AS (SELECT * FROM peaks p WHERE NOT EXISTS (SELECT 1 FROM peaks q WHERE q.fov = p.fov
+    px AS MATERIALIZED (SELECT * FROM fx_px WHERE cycle = 1), peaks AS MATERIALIZED (SELECT DISTINCT fov, r, c FROM ({PEAK_SQL}) u),
+    rolony AS MATERIALIZED (SELECT * FROM peaks p WHERE NOT EXISTS (SELECT 1 FROM peaks q WHERE q.fov = p.fov
       AND ((q.c = p.c + 1 AND abs(q.r - p.r) <= 1) OR (q.c = p.c AND q.r = p.r - 1))))"""
 
 

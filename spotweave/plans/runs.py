@@ -32,7 +32,7 @@ PREPROCESSED = f"""
     low AS MATERIALIZED (SELECT p.fov, p.cycle, p.r, p.c, {_all('min(q.{ch}) AS {ch}')} FROM raw p JOIN raw q ON {_near(ELLIPSE)} GROUP BY p.fov, p.cycle, p.r, p.c),
     flat AS MATERIALIZED (SELECT p.fov, p.cycle, p.r, p.c, {_all('any_value(p.{ch}) - max(q.{ch}) AS {ch}')} FROM raw p JOIN low q ON {_near(ELLIPSE)}
       GROUP BY p.fov, p.cycle, p.r, p.c),
-    near AS (SELECT p.fov, p.cycle, p.r, p.c, q.r - p.r AS dr, q.c - p.c AS dc, {_all('q.{ch}')} FROM flat p JOIN flat q ON {_near('abs(q.r - p.r) <= 2 AND abs(q.c - p.c) <= 2')}),
+    near AS MATERIALIZED (SELECT p.fov, p.cycle, p.r, p.c, q.r - p.r AS dr, q.c - p.c AS dc, {_all('q.{ch}')} FROM flat p JOIN flat q ON {_near('abs(q.r - p.r) <= 2 AND abs(q.c - p.c) <= 2')}),
     aligned AS MATERIALIZED (SELECT {PIXEL}, {', '.join(aligned_sql(ch, s) for ch, s in zip(CH, px.CHANNEL_SHIFTS))} FROM near GROUP BY {PIXEL}),
     clean AS MATERIALIZED (SELECT {PIXEL}, {', '.join(f'{U16.format(e)} AS {ch}' for e, ch in zip(solved_sql(px.BLEED_PROFILE), CH))} FROM aligned)"""
 
@@ -46,7 +46,7 @@ def preprocessed_pixels(i: Inputs) -> DataFrame:
     f"""WITH {PREPROCESSED},
     m AS MATERIALIZED (SELECT {PIXEL}, CAST(ch_g + ch_t + ch_a + ch_c AS DOUBLE) AS v FROM clean),
     t AS MATERIALIZED (SELECT fov, r, c, v FROM m WHERE cycle = 1),
-    votes AS ({VOTE.format(t='t', m='m', reach=2)}), best AS ({BEST.format(keys='fov, cycle')})
+    votes AS MATERIALIZED ({VOTE.format(t='t', m='m', reach=2)}), best AS MATERIALIZED ({BEST.format(keys='fov, cycle')})
     SELECT p.fov, p.cycle, p.r - b.dr AS r, p.c - b.dc AS c, {_all('p.{ch}')} FROM clean p JOIN best b USING (fov, cycle)
     WHERE p.r - b.dr BETWEEN 0 AND {HEIGHT - 1} AND p.c - b.dc BETWEEN 0 AND {WIDTH - 1}"""
 )
