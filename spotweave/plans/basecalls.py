@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spotweave import workflow
 from spotweave.operators import basecall, codebook as books, pixels as px
 from spotweave.plans.inputs import BASES, CHANNELS, N_CYCLES, N_GENES, N_UNUSED
-from spotweave.plans.pixels import BLOCK, MEDIANS, SPOT_PEAKS, first_cycle_peaks
+from spotweave.plans.pixels import BLOCK, MEDIANS, PLATEAUS, SPOT_PEAKS, first_cycle_peaks, unpivoted
 from spotweave.plans.registry import Inputs, Registry, rounded
 from spotweave.session import settle
 
@@ -129,6 +130,34 @@ def hyb_calls(i: Inputs) -> DataFrame:
     return basecall.call_hyb(signal, CH).select("fov", "r", "c", "cycle", "gene_id", "signal")
 
 
+HYB_LIMITS = {"ch_g": (50, 15), "ch_t": (55, 20), "ch_a": (50, 15), "ch_c": (60, 15)}
+HYB_SHOWN = {ch: limits for ch, limits in HYB_LIMITS.items() if ch != "ch_a"}
+HYB_SPOTS = f"""v AS MATERIALIZED ({unpivoted('fx_hyb_px', {ch: ch for ch in CH}, HYB_SHOWN)}), {PLATEAUS},
+    hyb AS MATERIALIZED (SELECT p.fov, p.channel, p.first_r, p.first_c, p.r AS lroi_x, p.c AS lroi_y, p.v AS signal,
+        CASE WHEN h.ch_g = greatest(h.ch_g, h.ch_t, h.ch_c) THEN 0 WHEN h.ch_t = greatest(h.ch_t, h.ch_c) THEN 1 ELSE 2 END AS gene_id
+      FROM plateau p JOIN fx_hyb_px h ON h.fov = p.fov AND h.cycle = p.cycle AND h.r = p.first_r AND h.c = p.first_c)"""
+
+
+def hyb_chain(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    limits = {ch: tuple(map(float, pair)) for ch, pair in HYB_LIMITS.items()}
+    return workflow.call_hyb_spots(i.hyb_px, limits, block=BLOCK)
+
+
+@basecalls.query(f"WITH RECURSIVE {HYB_SPOTS} SELECT fov, round(lroi_x, 6) AS lroi_x, round(lroi_y, 6) AS lroi_y, gene_id, signal FROM hyb")
+def hyb_image_spots(i: Inputs) -> DataFrame:
+    """Peaks of the hybridisation images with their genes."""
+    return rounded(hyb_chain(i)[0])
+
+
+@basecalls.query(
+    f"""WITH RECURSIVE {HYB_SPOTS}
+    SELECT fov, CAST(round_even(lroi_x, 0) AS INT) AS r, CAST(round_even(lroi_y, 0) AS INT) AS c,
+      max_by(gene_id, struct_pack(k := channel, r := first_r, c := first_c)) + 1 AS value FROM hyb GROUP BY ALL"""
+)
+def hyb_gene_map(i: Inputs) -> DataFrame:
+    return hyb_chain(i)[1]
+
+
 @basecalls.query(
     """SELECT fov, CAST(round_even(lroi_x, 0) AS INT) AS r, CAST(round_even(lroi_y, 0) AS INT) AS c, max_by(gene_id, spot_id) + 1 AS value
     FROM fx_spots WHERE modality = 'hyb' GROUP BY 1, 2, 3"""

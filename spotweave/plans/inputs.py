@@ -142,6 +142,13 @@ INPUTS: dict[str, str] = {
                         THEN 140 + (custkey * 13) % 60 ELSE 0 END AS amp,
                    each(1, {N_CYCLES}) AS cycle
             FROM (SELECT o_orderkey AS k, o_custkey AS custkey FROM orders) o) p) q""",
+    # Images of the hybridisation cycle, one customer a pixel: broad spots with flat tops.
+    "fx_hyb_px": f"""
+        SELECT fov, CAST(1 AS INT) AS cycle, r, c,
+               {', '.join(
+                   f"CAST((r * 5 + c * 11 + fov * 3 + {ch * 17}) % 23 + CASE WHEN (r // 3 * 5 + c // 4 * 3 + fov) % 7 = {ch} "
+                   f"THEN 60 + 20 * ((r + c * 2 + fov) % 3) ELSE 0 END AS INT) AS {CHANNELS[ch]}" for ch in range(4))}
+        FROM (SELECT {_PIXEL} FROM (SELECT c_custkey AS k FROM customer) o) p""",
     "fx_mask_px": f"""
         SELECT fov, r, c, CAST(r // 5 * 5 + c // 5 + 1 AS BIGINT) AS label
         FROM (SELECT {_PIXEL} FROM (SELECT o_orderkey AS k FROM orders) o) p

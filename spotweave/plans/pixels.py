@@ -309,23 +309,36 @@ def signal_peaks(i: Inputs) -> DataFrame:
 STEP, OVER, PROMINENCE = 24, 20, 24
 
 
-@pixels.query(
-    f"""WITH RECURSIVE v AS MATERIALIZED ({" UNION ALL ".join(f"SELECT fov, cycle, {k} AS channel, r, c, CAST({ch} - {ch} % {STEP} AS DOUBLE) AS v FROM fx_px" for k, ch in enumerate(CH))}),
-    low AS (SELECT fov, cycle, channel, min(CASE WHEN v > {OVER} THEN v ELSE 0 END) AS low FROM v GROUP BY ALL),
+# From ``v(fov, cycle, channel, r, c, v, thr, prom)``: floods of all pixels, the pixels that meet nothing higher, their plateaus.
+PLATEAUS = """
+    low AS (SELECT fov, cycle, channel, min(CASE WHEN v > thr THEN v ELSE 0 END) AS low FROM v GROUP BY ALL),
     near AS MATERIALIZED (SELECT p.*, q.r AS r2, q.c AS c2, q.v AS v2 FROM v p, (VALUES (-1), (0), (1)) a(dr), (VALUES (-1), (0), (1)) b(dc), v q
-      WHERE q.fov = p.fov AND q.cycle = p.cycle AND q.channel = p.channel AND q.r = p.r + dr AND q.c = p.c + dc AND p.v > {OVER} AND q.v > {OVER}),
-    reach AS (SELECT fov, cycle, channel, r AS r0, c AS c0, v AS v0, r, c, v FROM v WHERE v > {OVER}
-      UNION SELECT p.fov, p.cycle, p.channel, p.r0, p.c0, p.v0, n.r2, n.c2, n.v2 FROM reach p JOIN near n
-        ON n.fov = p.fov AND n.cycle = p.cycle AND n.channel = p.channel AND n.r = p.r AND n.c = p.c AND n.v2 > p.v0 - {PROMINENCE}),
+      WHERE q.fov = p.fov AND q.cycle = p.cycle AND q.channel = p.channel AND q.r = p.r + dr AND q.c = p.c + dc AND p.v > p.thr AND q.v > q.thr),
+    reach AS (SELECT fov, cycle, channel, r AS r0, c AS c0, v AS v0, prom, r, c, v FROM v WHERE v > thr
+      UNION SELECT p.fov, p.cycle, p.channel, p.r0, p.c0, p.v0, p.prom, n.r2, n.c2, n.v2 FROM reach p JOIN near n
+        ON n.fov = p.fov AND n.cycle = p.cycle AND n.channel = p.channel AND n.r = p.r AND n.c = p.c AND n.v2 > p.v0 - p.prom),
     hit AS MATERIALIZED (SELECT fov, cycle, channel, r0 AS r, c0 AS c, v0 AS v FROM reach JOIN low USING (fov, cycle, channel)
-      GROUP BY ALL HAVING max(reach.v) <= v0 AND v0 - any_value(low) >= {PROMINENCE}),
+      GROUP BY ALL HAVING max(reach.v) <= v0 AND v0 - any_value(low) >= any_value(prom)),
     joined AS (SELECT fov, cycle, channel, r AS r0, c AS c0, r, c FROM hit
       UNION SELECT p.fov, p.cycle, p.channel, p.r0, p.c0, n.r2, n.c2 FROM joined p JOIN near n
         ON n.fov = p.fov AND n.cycle = p.cycle AND n.channel = p.channel AND n.r = p.r AND n.c = p.c
         JOIN hit h ON h.fov = n.fov AND h.cycle = n.cycle AND h.channel = n.channel AND h.r = n.r2 AND h.c = n.c2),
-    first AS (SELECT fov, cycle, channel, r0 AS r, c0 AS c, min(struct_pack(r := r, c := c)) AS f FROM joined GROUP BY ALL)
-    SELECT fov, cycle, channel, f.r AS first_r, f.c AS first_c, round(avg(r), 6) AS r, round(avg(c), 6) AS c, count(*) AS area, max(v) AS v
-    FROM first JOIN hit USING (fov, cycle, channel, r, c) GROUP BY ALL"""
+    first AS (SELECT fov, cycle, channel, r0 AS r, c0 AS c, min(struct_pack(r := r, c := c)) AS f FROM joined GROUP BY ALL),
+    plateau AS (SELECT fov, cycle, channel, f.r AS first_r, f.c AS first_c, avg(r) AS r, avg(c) AS c, count(*) AS area, max(v) AS v
+      FROM first JOIN hit USING (fov, cycle, channel, r, c) GROUP BY ALL)"""
+
+
+def unpivoted(source: str, values: dict[str, str], limits: dict[str, tuple]) -> str:
+    """The rows ``v`` of the channels' values (as SQL) with their threshold and prominence."""
+    return " UNION ALL ".join(
+        f"SELECT fov, cycle, {k} AS channel, r, c, CAST({values[ch]} AS DOUBLE) AS v, {t} AS thr, {h} AS prom FROM {source}"
+        for k, (ch, (t, h)) in enumerate(limits.items())
+    )
+
+
+@pixels.query(
+    f"""WITH RECURSIVE v AS MATERIALIZED ({unpivoted('fx_px', {ch: f'{ch} - {ch} % {STEP}' for ch in CH}, {ch: (OVER, PROMINENCE) for ch in CH})}), {PLATEAUS}
+    SELECT fov, cycle, channel, first_r, first_c, round(r, 6) AS r, round(c, 6) AS c, area, v FROM plateau"""
 )
 def prominent_peaks(i: Inputs) -> DataFrame:
     coarse = i.px.select("fov", "cycle", "r", "c", *[(F.col(ch) - F.col(ch) % STEP).alias(ch) for ch in CH])

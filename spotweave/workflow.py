@@ -6,13 +6,13 @@ written to the shared folder once.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spotweave.operators import assign, basecall, expression, layout, overlaps, pixels as px, registration
+from spotweave.operators import assign, basecall, expression, layout, overlaps, peaks as pk, pixels as px, registration
 from spotweave.session import settle
 
 
@@ -68,6 +68,35 @@ def call_genes(
     )
 
 
+def call_hyb_spots(
+    pixels: DataFrame,
+    limits: Mapping[str, tuple[float | None, float]],
+    genes: Mapping[int, int] = basecall.HYB_GENE_OF_CHANNEL,
+    blank: int = basecall.HYB_ALL_GENES_CHANNEL,
+    block: int = 256,
+) -> tuple[DataFrame, DataFrame]:
+    """Spots of hybridisation images, and the picture of gene_id + 1 at their pixels.
+
+    ``limits`` maps every channel, in order, to (threshold, prominence).  The
+    all-genes channel has no peaks and counts as 0.  A spot lies at the
+    centroid of a plateau; the strongest channel at the plateau's first pixel
+    gives the gene.  Where spots share a pixel the last channel wins, then the
+    last plateau in (r, c) order.
+    """
+    names = list(limits)
+    shown = {number: ch for number, ch in enumerate(names) if number != blank}
+    found = pk.prominent_peaks(pixels, {ch: limits[ch] for ch in shown.values()}, block=block)
+    plateau = found.select(
+        "fov", "cycle", "channel", F.col("first_r").alias("r"), F.col("first_c").alias("c"), F.col("r").alias("lroi_x"), F.col("c").alias("lroi_y"), F.col("v").alias("_top")
+    )
+    # Peaks are few beside the pixels, which are hashed against and never sorted.
+    met = plateau.hint("shuffle_hash").join(pixels.select("fov", "cycle", "r", "c", *names), ["fov", "cycle", "r", "c"])
+    called = basecall.call_hyb(met, names, genes, blank).withColumn("signal", F.col("_top"))
+    called = settle(called.withColumn("place", F.struct("channel", "r", "c")).drop("_top", *names), "hyb")
+    spots = called.select("fov", "lroi_x", "lroi_y", "gene_id", "signal")
+    return spots, basecall.gene_raster(called, "place")
+
+
 def finish_neurons(spots: DataFrame, mask: DataFrame, cells: DataFrame, tforms: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Neurons counted once, and their long cells x genes matrix."""
     expr = settle(expression.cell_gene_counts(assign.assign_by_mask(spots, mask), cells), "expression")

@@ -80,3 +80,17 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(300)] + [(900, 901), (7, 7)], "a long, b long")
     got = {r.node: r.root for r in components(links).collect()}
     assert got == {k: 0 for k in range(301)} | {900: 900, 901: 900}
+
+
+def test_hyb_spots_blank_the_all_genes_channel(spark):
+    from spotweave.workflow import call_hyb_spots
+
+    image = np.zeros((4, 12, 12))
+    image[0, 2, 2:5] = 90  # a plateau of three pixels in two blocks
+    image[1, 8, 8], image[3, 8, 8] = 70, 80  # the stronger channel names both
+    image[2, 5, 5] = 99  # all genes
+    rows = [(0, 1, r, c, *map(int, image[:, r, c])) for r, c in np.ndindex(12, 12)]
+    px = spark.createDataFrame(rows, "fov int, cycle int, r int, c int, g int, t int, a int, c4 int")
+    spots, picture = call_hyb_spots(px, {k: (50.0, 10.0) for k in ("g", "t", "a", "c4")}, block=4)
+    assert sorted(map(tuple, spots.collect())) == [(0, 2.0, 3.0, 0, 90.0), (0, 8.0, 8.0, 2, 70.0), (0, 8.0, 8.0, 2, 80.0)]
+    assert sorted(map(tuple, picture.collect())) == [(0, 2, 3, 1), (0, 8, 8, 3)]
