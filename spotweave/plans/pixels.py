@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spotweave.functions.vectors import to_uint16
-from spotweave.operators import layout, peaks, pixels as px, registration
+from spotweave.operators import brightness, layout, peaks, pixels as px, registration
 from spotweave.plans.inputs import CHANNELS, HEIGHT, WIDTH
 from spotweave.plans.registry import Inputs, Registry, rounded
 
@@ -190,6 +190,57 @@ def reference_channel_shift(i: Inputs) -> DataFrame:
     return registration.best_shift(rounded(votes))
 
 
+# The moved images with another brightness curve, as whole levels, and the template's levels.
+MATCHED = """
+    raw AS MATERIALIZED (SELECT fov, cycle, r, c, floor(v * v / 64) AS v FROM fx_moving),
+    m0 AS MATERIALIZED (SELECT fov, cycle, r, c, floor(v / max(v) OVER (PARTITION BY fov, cycle) * 255) AS v FROM raw),
+    t0 AS MATERIALIZED (SELECT fov, r, c, floor(v / max(v) OVER (PARTITION BY fov) * 255) AS v
+      FROM (SELECT fov, r, c, CAST(ch_g + ch_t + ch_a + ch_c AS DOUBLE) AS v FROM fx_px WHERE cycle = 1) z),
+    mq AS MATERIALIZED (SELECT fov, cycle, v, sum(n) OVER (PARTITION BY fov, cycle ORDER BY v) / CAST(sum(n) OVER (PARTITION BY fov, cycle) AS DOUBLE) AS q
+      FROM (SELECT fov, cycle, v, count(*) AS n FROM m0 GROUP BY ALL) z),
+    tq AS MATERIALIZED (SELECT fov, v, sum(n) OVER (PARTITION BY fov ORDER BY v) / CAST(sum(n) OVER (PARTITION BY fov) AS DOUBLE) AS q
+      FROM (SELECT fov, v, count(*) AS n FROM t0 GROUP BY ALL) z),
+    pair AS (SELECT m.fov, m.cycle, m.v, m.q, max(t.q) FILTER (WHERE t.q <= m.q) AS lq, max_by(t.v, t.q) FILTER (WHERE t.q <= m.q) AS lv,
+        min(t.q) FILTER (WHERE t.q >= m.q) AS hq, min_by(t.v, t.q) FILTER (WHERE t.q >= m.q) AS hv
+      FROM mq m JOIN tq t ON t.fov = m.fov GROUP BY m.fov, m.cycle, m.v, m.q),
+    matched AS MATERIALIZED (SELECT m0.fov, m0.cycle, r, c, CASE WHEN lq IS NULL THEN hv WHEN lq = hq THEN lv ELSE lv + (q - lq) / (hq - lq) * (hv - lv) END AS v
+      FROM m0 JOIN pair p ON p.fov = m0.fov AND p.cycle = m0.cycle AND p.v = m0.v)"""
+
+
+def matched_images(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    template = brightness.grey_levels(summed(i, 1).drop("cycle"), ["fov"])
+    curved = i.moving.withColumn("v", F.floor(F.col("v") * F.col("v") / 64).cast("double"))
+    return template, brightness.match_brightness(brightness.grey_levels(curved, ["fov", "cycle"]), template)
+
+
+@pixels.query(f"WITH {MATCHED} SELECT fov, cycle, r, c, round(v, 6) AS v FROM matched")
+def matched_brightness(i: Inputs) -> DataFrame:
+    return rounded(matched_images(i)[1])
+
+
+def dog_sql(source: str) -> str:
+    def blurred(sigma: float) -> str:
+        weight = f"exp(-((q.r - p.r) * (q.r - p.r) + (q.c - p.c) * (q.c - p.c)) / {2 * sigma * sigma}::DOUBLE)"
+        return f"sum({weight} * q.v) / sum({weight})"
+
+    return f"""SELECT p.fov, p.cycle, p.r, p.c, {blurred(0.5)} - {blurred(1.0)} AS v FROM {source} p
+      JOIN {source} q ON q.fov = p.fov AND q.cycle = p.cycle AND abs(q.r - p.r) <= 2 AND abs(q.c - p.c) <= 2 GROUP BY ALL"""
+
+
+@pixels.query(
+    f"""WITH {MATCHED}, t1 AS (SELECT *, 1 AS cycle FROM t0),
+    t AS MATERIALIZED (SELECT fov, r, c, v FROM ({dog_sql('t1')}) z), m AS MATERIALIZED ({dog_sql('matched')}),
+    votes AS (SELECT fov, cycle, dr, dc, round(vote, 3) AS vote FROM ({VOTE.format(t='t', m='m', reach=2)}) q)
+    {BEST.format(keys='fov, cycle')}"""
+)
+def matched_shift(i: Inputs) -> DataFrame:
+    """Shift after the images were given one brightness and reduced to their details."""
+    template, matched = matched_images(i)
+    sharp = lambda image, plane: brightness.difference_of_gaussians(image, 0.5, 1.0, plane, block=BLOCK, reach=2)
+    votes = registration.displacement_votes(sharp(template, ["fov"]), sharp(matched, ["fov", "cycle"]), 2, block=BLOCK)
+    return registration.best_shift(rounded(votes, 3))
+
+
 @pixels.query(
     f"""WITH t AS MATERIALIZED (SELECT fov, r, c, 1.0::DOUBLE AS v FROM fx_mask_px),
     m AS MATERIALIZED (SELECT fov, CAST(2 AS INT) AS cycle, r, c, 1.0::DOUBLE AS v FROM fx_mask_nuc),
