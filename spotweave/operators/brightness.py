@@ -17,12 +17,11 @@ from spotweave.operators.blocks import HOME, Grid, moved, over_blocks
 
 
 def grey_levels(image: DataFrame, plane: Sequence[str], levels: int = 256) -> DataFrame:
-    """``v`` scaled by the plane's maximum to whole levels from 0 to ``levels`` - 1; 0 where no pixel is above 0."""
+    """``v`` scaled by the plane's maximum to whole levels from 0 to ``levels`` - 1; 0 where no pixel is above 0, null stays null."""
     top = image.groupBy(*plane).agg(F.max("v").alias("_top"))
     scaled = F.floor(F.greatest(F.col("v"), F.lit(0.0)) / F.col("_top") * (levels - 1))
-    return image.join(top, list(plane)).select(
-        *plane, "r", "c", F.when(F.col("_top") > 0, scaled).otherwise(F.when(F.col("v").isNotNull(), 0)).cast("double").alias("v")
-    )
+    level = F.when(F.col("_top") > 0, scaled).otherwise(F.lit(0))  # ``greatest`` would make a null 0
+    return image.join(top, list(plane)).select(*plane, "r", "c", F.when(F.col("v").isNotNull(), level).cast("double").alias("v"))
 
 
 def level_ranks(image: DataFrame, plane: Sequence[str]) -> DataFrame:
