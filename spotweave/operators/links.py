@@ -15,7 +15,9 @@ def components(links: DataFrame) -> DataFrame:
     along the links and jump to the label of their label, so the rounds grow
     with the logarithm of the longest chain.  Tables of past rounds are dropped.
     """
-    edges = settle(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
+    # Both ways from one reading of the links, which may be a costly join.
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    edges = settle(links.select(F.explode(ways).alias("_w")).select("_w.a", "_w.b").distinct(), "edges")
     labels = settle(edges.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct(), "labels")
     while True:
         reached = labels.select(F.col("node").alias("b"), "root")

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spotweave.operators.links import components
 from spotweave.operators.spatial import near_join
 from spotweave.session import settle
 
@@ -140,8 +141,7 @@ def overlap_components(neurons: DataFrame, half: float) -> DataFrame:
     """``neurons`` with ``component`` (a site number) and ``kept``: the strongest
     member of every group of mutually reachable overlapping cells, lowest id on a tie.
 
-    Labels spread along the overlap edges and jump to the label of their label,
-    so the rounds grow with the logarithm of the longest chain.
+    The rounds grow with the logarithm of the longest chain, see ``components``.
     """
     neurons = settle(neurons, "neurons")
     here = sites(neurons).withColumn(
@@ -163,25 +163,7 @@ def overlap_components(neurons: DataFrame, half: float) -> DataFrame:
         ("nx", "ny"),
         boxes_overlap(half) & (F.col("fov") != F.col("nfov")),
     ).select("site", "nsite")
-    met = settle(met, "edges")
-    edges = settle(met.union(met.select(F.col("nsite"), F.col("site"))).distinct(), "edges")
-    labels = settle(edges.select("site", F.col("site").alias("label")).distinct(), "labels")
-    while True:
-        seen = edges.join(labels.select(F.col("site").alias("nsite"), "label"), "nsite").groupBy("site").agg(
-            F.min("label").alias("_near")
-        )
-        stepped = labels.join(seen, "site").select(
-            "site", "label", F.least("label", "_near").alias("_next")
-        )
-        stepped = settle(stepped, "labels")
-        jump = stepped.select(F.col("site").alias("_next"), F.col("_next").alias("_far"))
-        after = settle(
-            stepped.join(jump, "_next").select("site", F.least("_next", "_far").alias("label"), F.col("label").alias("_old")),
-            "labels",
-        )
-        labels = after.select("site", "label")
-        if after.where(F.col("_old") != F.col("label")).isEmpty():
-            break
+    labels = components(met.toDF("a", "b")).toDF("site", "label")
     member = neurons.withColumn("site", F.concat_ws("|", F.col("slice"), F.col("x"), F.col("y"), F.col("fov"))).join(
         labels, "site", "left"
     )
