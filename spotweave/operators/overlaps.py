@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spotweave.operators.links import components
+from spotweave.operators.nearcounts import Shape, disc, open_box, other_tile_counts
 from spotweave.operators.spatial import near_join
 from spotweave.session import settle
 
@@ -43,7 +44,11 @@ def best_neighbour(neurons: DataFrame, half: float) -> DataFrame:
     cells of other tiles, or null where there is none.
     """
     neurons = settle(neurons, "neurons")
-    here = sites(neurons)
+    best = _best_at_sites(sites(neurons), half)
+    return neurons.join(best, [*PLACE, "fov"], "left").select(*neurons.columns, "neigh_exp")
+
+
+def _best_at_sites(here: DataFrame, half: float) -> DataFrame:
     # The limit on the rank is applied before the exchange too, so a crowded place stays small.
     ranked = here.withColumn(
         "_rank", F.row_number().over(Window.partitionBy(*PLACE).orderBy(F.col("top").desc(), "fov"))
@@ -60,8 +65,7 @@ def best_neighbour(neurons: DataFrame, half: float) -> DataFrame:
         ("nx", "ny"),
         boxes_overlap(half) & (F.col("fov") != F.col("nfov")),
     )
-    best = met.groupBy(*PLACE, "fov").agg(F.max("ntop").alias("neigh_exp"))
-    return neurons.join(best, [*PLACE, "fov"], "left").select(*neurons.columns, "neigh_exp")
+    return met.groupBy(*PLACE, "fov").agg(F.max("ntop").alias("neigh_exp"))
 
 
 def removed_cells(neurons: DataFrame, half: float) -> DataFrame:
@@ -80,50 +84,31 @@ def flag_duplicates(neurons: DataFrame, half: float) -> DataFrame:
     return marked.withColumn("kept", F.coalesce(F.col("neigh_exp") <= F.col("total"), F.lit(True))).drop("neigh_exp")
 
 
-def _neighbour_count(neurons: DataFrame, reach: float, keep: Column, name: str) -> DataFrame:
-    """Number of cells of other tiles that pass ``keep``: all of them less those of the own tile."""
+def _neighbour_count(neurons: DataFrame, shape: Shape, name: str) -> DataFrame:
     neurons = settle(neurons, "neurons")
-    here = sites(neurons)
-    places = here.groupBy(*PLACE).agg(F.sum("n").alias("n"))
-    far = [F.col("x").alias("nx"), F.col("y").alias("ny"), F.col("n").alias("nn")]
-    any_tile = (
-        near_join(places.select(*PLACE), places.select("slice", *far), ["slice"], (reach, reach), ("x", "y"), ("nx", "ny"), keep)
-        .groupBy(*PLACE)
-        .agg(F.sum("nn").alias("_all"))
-    )
-    own_tile = (
-        near_join(
-            here.select(*PLACE, "fov"),
-            here.select("slice", "fov", *far),
-            ["slice", "fov"],
-            (reach, reach),
-            ("x", "y"),
-            ("nx", "ny"),
-            keep,
-        )
-        .groupBy(*PLACE, "fov")
-        .agg(F.sum("nn").alias("_own"))
-    )
-    counted = neurons.join(any_tile, PLACE, "left").join(own_tile, [*PLACE, "fov"], "left")
-    count = F.coalesce("_all", F.lit(0)) - F.coalesce("_own", F.lit(0))
-    return counted.select(*neurons.columns, count.cast("long").alias(name))
+    counted = neurons.join(other_tile_counts(sites(neurons), shape, name), [*PLACE, "fov"], "left")
+    return counted.select(*neurons.columns, F.coalesce(name, F.lit(0)).cast("long").alias(name))
 
 
 def radius_neighbours(neurons: DataFrame, radius: float) -> DataFrame:
     """Number of cells of other tiles within ``radius`` of each cell."""
-    dx, dy = F.col("x") - F.col("nx"), F.col("y") - F.col("ny")
-    return _neighbour_count(neurons, radius, dx * dx + dy * dy <= float(radius) ** 2, "n_near")
+    return _neighbour_count(neurons, disc(radius), "n_near")
 
 
 def overlap_counts(neurons: DataFrame, half: float) -> DataFrame:
     """Number of cells of other tiles whose box overlaps each cell's box."""
-    return _neighbour_count(neurons, 2 * half, boxes_overlap(half), "n_overlap")
+    return _neighbour_count(neurons, open_box(2 * half), "n_overlap")
 
 
 def overlap_report(neurons: DataFrame, half: float) -> DataFrame:
     """Per slice: cells, cells in pairs, pairs in both directions, removed, kept percent."""
-    counted = overlap_counts(neurons, half)
-    marked = best_neighbour(counted, half)
+    neurons = settle(neurons, "neurons")
+    here = sites(neurons)
+    keys = [*PLACE, "fov"]
+    counts = other_tile_counts(here, open_box(2 * half), "n_overlap")
+    # Counts and best neighbours have one row per site, so the cells meet both at once.
+    found = counts.join(_best_at_sites(here, half), keys, "left")
+    marked = neurons.join(found, keys, "left").withColumn("n_overlap", F.coalesce("n_overlap", F.lit(0)))
     removed = F.count_if(F.col("neigh_exp") > F.col("total"))
     paired = F.count_if(F.col("n_overlap") > 0)
     total = F.count(F.lit(1))
