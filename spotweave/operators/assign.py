@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spotweave.operators.spatial import near_join
-
 
 def assign_by_mask(spots: DataFrame, mask: DataFrame, name: str = "cell_num") -> DataFrame:
     """Label of the pixel under each spot; 0 on background or outside the frame.
@@ -34,52 +32,68 @@ def label_overflow(cells: DataFrame, per_fov: int = 10_000) -> DataFrame:
     return cells.where(F.col("cell_num") >= per_fov)
 
 
-def inside_outline(px: Column, py: Column, xs: Column, ys: Column) -> Column:
-    """Whether a point lies in a polygon; a point on an edge counts as inside."""
-    n = F.size(xs)
+BUCKET = 64  # columns of a span's lookup bucket
+
 
-    def edge(i: Column) -> tuple[Column, Column, Column, Column]:
-        j = F.when(i == n - 1, F.lit(0)).otherwise(i + 1)
-        return F.get(xs, i), F.get(ys, i), F.get(xs, j), F.get(ys, j)
+def outline_spans(cells: DataFrame) -> DataFrame:
+    """``fov, cell_num, row, from, to``: the whole-number positions in each outline, edges included.
 
-    def crossing(i: Column) -> Column:
-        x1, y1, x2, y2 = edge(i)
-        straddles = (y1 > py) != (y2 > py)
-        at = x1 + F.try_divide((py - y1) * (x2 - x1), y2 - y1)
-        return (straddles & (px < at)).cast("int")
+    A row is a whole number on the second axis (``ys``); ``from`` and ``to``
+    bound a run on the first (``xs``).  Between crossings of its outline a row
+    lies inside by turns; a position on an edge or corner is inside as well.
+    Outlines without corners bound nothing; corners that are null or not a number are left out.
+    """
+    known = lambda v: v.isNotNull() & ~F.isnan(v)
+    corners = F.filter(F.arrays_zip("xs", "ys"), lambda p: known(p["xs"]) & known(p["ys"]))
+    shapes = cells.select("fov", "cell_num", corners.alias("_p")).where("size(_p) > 0")
+    low, high = F.ceil(F.array_min("_p.ys")), F.floor(F.array_max("_p.ys"))
+    rows = shapes.where(low <= high).withColumn("row", F.explode(F.sequence(low, high)))
+    n, y = F.size("_p"), F.col("row")
+
+    def edge(i: Column) -> Column:
+        a, b = F.get("_p", i), F.get("_p", F.when(i == n - 1, F.lit(0)).otherwise(i + 1))
+        return F.struct(a["xs"].alias("x1"), a["ys"].alias("y1"), b["xs"].alias("x2"), b["ys"].alias("y2"))
+
+    rows = rows.withColumn("_e", F.transform(F.sequence(F.lit(0), n - 1), edge)).drop("_p")
+    met = F.filter("_e", lambda e: (e["y1"] > y) != (e["y2"] > y))
+    at = F.transform(met, lambda e: e["x1"] + F.try_divide((y - e["y1"]) * (e["x2"] - e["x1"]), e["y2"] - e["y1"]))
+    rows = rows.withColumn("_x", F.array_sort(at))
+    turns = F.sequence(F.lit(0), F.greatest(F.floor(F.size("_x") / 2).cast("int") - 1, F.lit(0)))
+    inside = F.transform(
+        F.when(F.size("_x") > 0, turns).otherwise(F.array().cast("array<int>")),
+        lambda i: F.struct(F.ceil(F.get("_x", 2 * i)).alias("from"), (F.ceil(F.get("_x", 2 * i + 1)) - 1).alias("to")),
+    )
 
-    def touches(i: Column) -> Column:
-        x1, y1, x2, y2 = edge(i)
-        on_line = (x2 - x1) * (py - y1) == (y2 - y1) * (px - x1)
-        in_box = px.between(F.least(x1, x2), F.greatest(x1, x2)) & py.between(F.least(y1, y2), F.greatest(y1, y2))
-        return on_line & in_box
+    def touching(e: Column) -> Column:
+        """The part of an edge on the row: all of a level one, else the whole number that it meets exactly, if any."""
+        left, right = F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])
+        point = F.rint(e["x1"] + F.try_divide((y - e["y1"]) * (e["x2"] - e["x1"]), e["y2"] - e["y1"]))
+        exact = (e["x2"] - e["x1"]) * (y - e["y1"]) == (e["y2"] - e["y1"]) * (point - e["x1"])
+        exact = exact & point.between(left, right)
+        level = e["y1"] == e["y2"]
+        return F.struct(
+            F.when(level, F.ceil(left)).when(exact, point.cast("long")).alias("from"),
+            F.when(level, F.floor(right)).when(exact, point.cast("long")).alias("to"),
+        )
 
-    around = F.sequence(F.lit(0), n - 1)
-    crossings = F.aggregate(around, F.lit(0), lambda k, i: k + F.coalesce(crossing(i), F.lit(0)))
-    return F.exists(around, touches) | (crossings % 2 == 1)
+    reached = F.filter("_e", lambda e: y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])))
+    spans = rows.select("fov", "cell_num", "row", F.explode(F.concat(inside, F.transform(reached, touching))).alias("_s"))
+    return spans.select("fov", "cell_num", "row", "_s.from", "_s.to").where("`from` <= `to`")
 
 
-def assign_by_outline(
-    spots: DataFrame, cells: DataFrame, half_rows: int = 20, half_cols: int = 30
-) -> DataFrame:
+def assign_by_outline(spots: DataFrame, cells: DataFrame) -> DataFrame:
     """Cell whose outline holds the spot's whole-number position.
 
-    ``cells(fov, cell_num, cent_x, cent_y, xs, ys)`` carries the outline as
-    vertex arrays.  Only cells whose centre lies within the half window are
-    tried; where several outlines hold a spot the largest cell number wins.
-    Spots are tested once per distinct pixel, so crowded pixels cost nothing extra.
+    ``cells(fov, cell_num, xs, ys)`` carries the outline, of any size, as vertex
+    arrays.  Outlines become runs per row, and a spot looks up the runs of its
+    row; where several outlines hold a spot the largest cell number wins.
+    Spots are looked up once per distinct pixel, so crowded pixels cost nothing extra.
     """
     at = spots.withColumn("_px", F.col("lroi_x").cast("int")).withColumn("_py", F.col("lroi_y").cast("int"))
-    pixels = at.select("fov", "_px", "_py").distinct()
-    close = (
-        (F.abs(F.col("_px") - F.col("cent_x")) < half_rows)
-        & (F.abs(F.col("_py") - F.col("cent_y")) < half_cols)
-        & inside_outline(F.col("_px").cast("double"), F.col("_py").cast("double"), F.col("xs"), F.col("ys"))
-    )
-    shapes = cells.select("fov", "cell_num", "cent_x", "cent_y", "xs", "ys")
-    held = near_join(
-        pixels, shapes, ["fov"], (half_rows, half_cols), ("_px", "_py"), ("cent_x", "cent_y"), close
-    )
+    pixels = at.select("fov", "_px", "_py").distinct().withColumn("_bucket", F.floor(F.col("_px") / BUCKET))
+    buckets = F.sequence(F.floor(F.col("from") / BUCKET), F.floor(F.col("to") / BUCKET))
+    spans = outline_spans(cells).withColumn("_bucket", F.explode(buckets)).withColumnRenamed("row", "_py")
+    held = pixels.join(spans, ["fov", "_py", "_bucket"]).where(F.col("_px").between(F.col("from"), F.col("to")))
     owner = held.groupBy("fov", "_px", "_py").agg(F.max("cell_num").alias("cell_num"))
     out = at.join(owner, ["fov", "_px", "_py"], "left")
     return out.select(*spots.columns, F.coalesce("cell_num", F.lit(0)).cast("long").alias("cell_num"))

@@ -20,13 +20,14 @@ from pyspark.sql.types import StructType
 HOME = "_home"
 
 
-def cut_blocks(df: DataFrame, plane: Sequence[str], block: int, halo: int) -> DataFrame:
-    """Add ``_br``, ``_bc`` and ``_home`` and place every pixel in its blocks."""
+def cut_blocks(df: DataFrame, plane: Sequence[str], block: int, halo: int, signed: bool = False) -> DataFrame:
+    """Add ``_br``, ``_bc`` and ``_home`` and place every pixel in its blocks; ``signed`` where pixels may lie before 0."""
     if halo > block:
         raise ValueError("the halo may not exceed the block")
 
     def homes(axis: str) -> Column:
-        low = F.greatest(F.floor((F.col(axis) - halo) / block), F.lit(0))
+        low = F.floor((F.col(axis) - halo) / block)
+        low = low if signed else F.greatest(low, F.lit(0))
         high = F.floor((F.col(axis) + halo) / block)
         return F.sequence(low, high)
 
@@ -65,7 +66,13 @@ class Grid:
 
 
 def over_blocks(
-    df: DataFrame, plane: Sequence[str], block: int, halo: int, kernel: Callable[[Grid], pa.Table], schema: StructType
+    df: DataFrame,
+    plane: Sequence[str],
+    block: int,
+    halo: int,
+    kernel: Callable[[Grid], pa.Table],
+    schema: StructType,
+    signed: bool = False,
 ) -> DataFrame:
     """Run a kernel on every block with its halo; one exchange, and no more than a block in a task at a time."""
 
@@ -75,7 +82,7 @@ def over_blocks(
         return pa.table([found[name].cast(kind) for name, kind in zip(target.names, target.types)], schema=target)
 
     target = to_arrow_schema(schema)
-    return cut_blocks(df, plane, block, halo).groupBy(*plane, "_br", "_bc").applyInArrow(run, schema)
+    return cut_blocks(df, plane, block, halo, signed).groupBy(*plane, "_br", "_bc").applyInArrow(run, schema)
 
 
 def moved(values: np.ndarray, down: int, right: int, outside: float) -> np.ndarray:

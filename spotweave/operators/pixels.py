@@ -213,6 +213,40 @@ def apply_shift(pixels: DataFrame, shifts: DataFrame, height: int, width: int) -
     return placed.where(inside).select(*pixels.columns)
 
 
+def apply_fine_shift(
+    pixels: DataFrame, shifts: DataFrame, channels: Sequence[str], height: int, width: int, block: int = 256
+) -> DataFrame:
+    """Move ``channels`` by the fractional (dr, dc) of their tile and cycle, as doubles.
+
+    The whole part moves the pixels; the rest, in [0, 1), weighs each pixel
+    with the one before it on both axes.  Nothing (0) comes in from outside the
+    frame, and places that no pixel's whole part reaches have no row, as in
+    ``apply_shift``.  ``pixels`` keep their other columns.
+    """
+    parts = shifts.select(
+        "fov",
+        "cycle",
+        *[F.floor(d).cast("int").alias(f"_whole_{d}") for d in ("dr", "dc")],
+        *[(F.col(d) - F.floor(d)).cast("double").alias(f"_rest_{d}") for d in ("dr", "dc")],
+    )
+    placed = pixels.withColumns({ch: F.col(ch).cast("double") for ch in channels}).join(parts, ["fov", "cycle"])
+    placed = placed.withColumn("r", F.col("r") + F.col("_whole_dr")).withColumn("c", F.col("c") + F.col("_whole_dc"))
+    placed = placed.where(F.col("r").between(-1, height - 1) & F.col("c").between(-1, width - 1))
+
+    def kernel(grid: Grid) -> pa.Table:
+        down, right = (grid.rows[f"_rest_{d}"][0].as_py() for d in ("dr", "dc"))
+
+        def resampled(ch: str) -> np.ndarray:
+            v = grid.array(ch, 0.0)
+            v = (1 - down) * v + down * moved(v, -1, 0, 0.0)
+            return (1 - right) * v + right * moved(v, 0, -1, 0.0)
+
+        return grid.kept({ch: resampled(ch) for ch in channels})
+
+    work = over_blocks(placed, ["fov", "cycle"], block, 1, kernel, placed.schema, signed=True)
+    return work.where("r >= 0 AND c >= 0").select(*pixels.columns)
+
+
 def segmentation_input(
     gene_pixels: DataFrame, gene_channels: Sequence[str], hyb_pixels: DataFrame, cyto: Sequence[str], nuclear: str
 ) -> DataFrame:

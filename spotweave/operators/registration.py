@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from spotweave.operators.blocks import HOME, cut_blocks
 
 VOTES = "fov int, cycle int, part int, votes array<double>"
+EXACT = 2.0**42  # products of whole images up to this norm leave transforms exact
+DIGIT = 2.0**12  # larger ones are cut into digits of this size
 
 
 def vote_arrays(template: DataFrame, moving: DataFrame, reach: int, block: int = 256) -> DataFrame:
@@ -21,13 +23,14 @@ def vote_arrays(template: DataFrame, moving: DataFrame, reach: int, block: int =
     a halo, is correlated at all shifts at once by Fourier transforms; a block
     is one array, and arrays are added along rows of blocks and then over these,
     so no frame is ever whole in one task.  Images of whole numbers give whole
-    votes, which tie exactly; others are exact to about 1e-12 of the largest.
+    votes, which tie exactly while they fit 53 bits; others are exact to about
+    1e-12 of the largest.  Pixels may lie before 0.
     """
     cycles = moving.select("fov", "cycle").distinct()
     fixed = template.join(cycles, "fov").select("fov", "cycle", "r", "c", F.col("v").alias("f"), F.lit(0.0).alias("m"))
     both = fixed.unionByName(moving.select("fov", "cycle", "r", "c", F.lit(0.0).alias("f"), F.col("v").alias("m")))
     block = max(block, reach)  # a halo reaches the next blocks only
-    placed = cut_blocks(both, ["fov", "cycle"], block, reach).select(
+    placed = cut_blocks(both, ["fov", "cycle"], block, reach, signed=True).select(
         "fov", "cycle", "_br", "_bc", "r", "c", "m", F.when(F.col(HOME), F.col("f")).otherwise(0.0).alias("f")
     )
     side = block + 2 * reach
@@ -61,10 +64,27 @@ def correlated(fixed: np.ndarray, moving: np.ndarray, reach: int, block: int) ->
     (top, left), (low, right) = ([h[i] for h in held] for i in (0, -1))
     inner = inner[top : low + 1, left : right + 1]
     moving = moving[top : low + 1 + 2 * reach, left : right + 1 + 2 * reach]
+    return _whole_votes(inner, moving, reach) if whole else _votes(inner, moving, reach)
+
+
+def _whole_votes(inner: np.ndarray, moving: np.ndarray, reach: int) -> np.ndarray:
+    """Exact votes of whole images: crowded pixels are cut into digits, so that each transform is exact after rounding."""
+    if np.linalg.norm(inner) * np.linalg.norm(moving) <= EXACT:
+        return np.rint(_votes(inner, moving, reach))
+    larger = inner if np.abs(inner).max() >= np.abs(moving).max() else moving
+    if np.abs(larger).max() < DIGIT:  # many pixels, none of them crowded
+        return np.rint(_votes(inner, moving, reach))
+    high = np.trunc(larger / DIGIT)
+    parts = (high, DIGIT), (larger - high * DIGIT, 1.0)
+    if larger is inner:
+        return sum(scale * _whole_votes(part, moving, reach) for part, scale in parts)
+    return sum(scale * _whole_votes(inner, part, reach) for part, scale in parts)
+
+
+def _votes(inner: np.ndarray, moving: np.ndarray, reach: int) -> np.ndarray:
     shape = [good_size(n) for n in moving.shape]
     product = np.conj(np.fft.rfft2(inner, shape)) * np.fft.rfft2(moving, shape)
-    votes = np.fft.irfft2(product, shape)[: 2 * reach + 1, : 2 * reach + 1]
-    return np.rint(votes) if whole else votes
+    return np.fft.irfft2(product, shape)[: 2 * reach + 1, : 2 * reach + 1]
 
 
 def good_size(n: int) -> int:
@@ -109,25 +129,63 @@ def mask_shift(template: DataFrame, moving: DataFrame, reach: int, block: int =
     return estimate_shift(ones(template), ones(moving), reach, block)
 
 
-def spot_votes(a: DataFrame, b: DataFrame, reach: int) -> DataFrame:
-    """Votes of spot pairs for each offset (dr, dc) from ``a`` to ``b`` within ``reach``.
+def estimate_fine_shift(template: DataFrame, moving: DataFrame, reach: int, block: int = 256) -> DataFrame:
+    """``fov, cycle, dr, dc, vote`` with fractions: the best whole shift, moved to the top of the surface of second
+    degree through its vote and the eight around it.
 
-    Spots are counted per pixel first; a pixel of ``a`` then looks at the pixels
-    it can reach, each of which is one row of ``b``, so a crowded pixel weighs
-    more but never multiplies rows.
+    Where that surface has no top within a pixel, each axis uses the parabola
+    through its three votes, and an axis on which the best shift is at the edge
+    of the reach, or beside equal votes, stays whole.
     """
-    per_pixel = lambda s, n: s.groupBy("fov", "r", "c").agg(F.count(F.lit(1)).alias(n))
-    steps = F.sequence(F.lit(-reach), F.lit(reach))
-    looking = (
-        per_pixel(a, "na")
-        .withColumn("dr", F.explode(steps))
-        .withColumn("dc", F.explode(steps))
-        .withColumn("r", F.col("r") + F.col("dr"))
-        .withColumn("c", F.col("c") + F.col("dc"))
+    width = 2 * reach + 1
+    best = vote_arrays(template, moving, reach, block).withColumn("vote", F.array_max("votes"))
+    best = best.withColumn("_at", (F.array_position("votes", F.col("vote")) - 1).cast("int"))
+    row, col = F.floor(F.col("_at") / width).cast("int"), F.col("_at") % width
+    beside = lambda down, right: F.get("votes", F.col("_at") + down * width + right)
+    inside = lambda place: (place > 0) & (place < width - 1)
+    best = best.select(
+        "fov",
+        "cycle",
+        "vote",
+        (row - reach).alias("_dr"),
+        (col - reach).alias("_dc"),
+        F.when(inside(row), (beside(1, 0) - beside(-1, 0)) / 2).alias("_r"),
+        F.when(inside(row), beside(1, 0) - 2 * F.col("vote") + beside(-1, 0)).alias("_rr"),
+        F.when(inside(col), (beside(0, 1) - beside(0, -1)) / 2).alias("_c"),
+        F.when(inside(col), beside(0, 1) - 2 * F.col("vote") + beside(0, -1)).alias("_cc"),
+        F.when(
+            inside(row) & inside(col), (beside(1, 1) - beside(1, -1) - beside(-1, 1) + beside(-1, -1)) / 4
+        ).alias("_rc"),
     )
-    met = looking.join(per_pixel(b, "nb"), ["fov", "r", "c"])
-    return met.groupBy("fov", "dr", "dc").agg(F.sum(F.col("na") * F.col("nb")).alias("vote"))
+    r, rr, c, cc, rc = (F.col(n) for n in ("_r", "_rr", "_c", "_cc", "_rc"))
+    bent = rr * cc - rc * rc
+    best = best.withColumn("_down", F.when(bent > 0, (rc * c - cc * r) / bent))
+    best = best.withColumn("_right", F.when(bent > 0, (rc * r - rr * c) / bent))
+    joint = F.coalesce((rr < 0) & (F.abs("_down") <= 1) & (F.abs("_right") <= 1), F.lit(False))
+
+    def top(whole: str, together: str, slope, bend):
+        return F.col(whole) + F.when(joint, F.col(together)).when(bend < 0, -slope / bend).otherwise(0.0)
+
+    return best.select("fov", "cycle", top("_dr", "_down", r, rr).alias("dr"), top("_dc", "_right", c, cc).alias("dc"), "vote")
+
+
+def _spot_images(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Spots counted per pixel, as template and moved image."""
+    counted = lambda s: s.groupBy("fov", "r", "c").agg(F.count(F.lit(1)).cast("double").alias("v"))
+    return counted(a), counted(b).withColumn("cycle", F.lit(0))
+
+
+def spot_votes(a: DataFrame, b: DataFrame, reach: int, block: int = 256) -> DataFrame:
+    """Votes of spot pairs for each offset (dr, dc) from ``a`` to ``b`` within ``reach``; offsets without a pair are left out.
+
+    Spots are counted per pixel and the counts correlated as images, so no spot
+    or pixel is repeated per offset and a reach of hundreds of pixels is served.
+    """
+    votes = displacement_votes(*_spot_images(a, b), reach, block).where("vote > 0")
+    return votes.select("fov", "dr", "dc", F.col("vote").cast("long").alias("vote"))
 
 
-def spot_shift(a: DataFrame, b: DataFrame, reach: int) -> DataFrame:
-    return best_shift(spot_votes(a, b, reach), ("fov",))
+def spot_shift(a: DataFrame, b: DataFrame, reach: int, block: int = 256) -> DataFrame:
+    """``fov, dr, dc, vote`` of the offset with the most spot pairs; the smallest (dr, dc) on a tie, no row without pairs."""
+    best = estimate_shift(*_spot_images(a, b), reach, block).where("vote > 0")
+    return best.select("fov", "dr", "dc", F.col("vote").cast("long").alias("vote"))

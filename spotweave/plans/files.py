@@ -17,7 +17,7 @@ from spotweave.plans.registry import Inputs, Registry, rounded
 from spotweave.session import fresh_path
 from spotweave.sources import manifest as mf
 from spotweave.sources import readers, sinks
-from spotweave.streaming.incremental import read_counts, update_counts
+from spotweave.streaming.incremental import read_counts, rows_of_tiles, update_counts
 
 files = Registry()
 MODES = ["geneseq", "hyb", "bcseq"]
@@ -430,10 +430,11 @@ def incremental_counts(i: Inputs) -> DataFrame:
         i.spark,
         source,
         both.schema,
-        lambda batch: expression.cell_gene_counts(assign.assign_by_mask(batch, mask), cells),
+        lambda batch: expression.cell_gene_counts(assign.assign_by_mask(batch, rows_of_tiles(mask, batch)), cells),
         counts,
         fresh_path(i.spark, "stream"),
-        files_per_batch=2,
+        files_per_batch=1,
+        merge_every=3,
     )
     return read_counts(i.spark, counts, ["fov", "cell_num", "gene_id"])
 

@@ -173,6 +173,53 @@ def cycle_shift(i: Inputs) -> DataFrame:
     return registration.estimate_shift(summed(i, 1).drop("cycle"), i.moving, 2, block=BLOCK)
 
 
+BESIDE = ", ".join(
+    f"max(v.vote) FILTER (WHERE v.dr = b.dr + ({dr}) AND v.dc = b.dc + ({dc})) AS {name}"
+    for name, dr, dc in (
+        ("n", -1, 0), ("s", 1, 0), ("w", 0, -1), ("e", 0, 1), ("nw", -1, -1), ("ne", -1, 1), ("sw", 1, -1), ("se", 1, 1)
+    )
+)
+
+
+@pixels.query(
+    f"""WITH t AS MATERIALIZED (SELECT fov, r, c, CAST(ch_g + ch_t + ch_a + ch_c AS DOUBLE) AS v FROM fx_px WHERE cycle = 1),
+    m AS MATERIALIZED (SELECT * FROM fx_moving), votes AS MATERIALIZED ({VOTE.format(t='t', m='m', reach=2)}),
+    best AS ({BEST.format(keys='fov, cycle')}),
+    beside AS (SELECT b.fov, b.cycle, b.dr, b.dc, b.vote, abs(b.dr) < 2 AS row_in, abs(b.dc) < 2 AS col_in, {BESIDE}
+      FROM best b JOIN votes v USING (fov, cycle) GROUP BY ALL),
+    bend AS (SELECT *, CASE WHEN row_in THEN (s - n) / 2 END AS r, CASE WHEN row_in THEN s - 2 * vote + n END AS rr,
+        CASE WHEN col_in THEN (e - w) / 2 END AS c, CASE WHEN col_in THEN e - 2 * vote + w END AS cc,
+        CASE WHEN row_in AND col_in THEN (se - sw - ne + nw) / 4 END AS rc FROM beside),
+    tops AS (SELECT *, CASE WHEN rr * cc - rc * rc > 0 THEN (rc * c - cc * r) / (rr * cc - rc * rc) END AS down,
+        CASE WHEN rr * cc - rc * rc > 0 THEN (rc * r - rr * c) / (rr * cc - rc * rc) END AS rgt FROM bend),
+    picked AS (SELECT *, coalesce(rr < 0 AND abs(down) <= 1 AND abs(rgt) <= 1, false) AS joint FROM tops)
+    SELECT fov, cycle, vote, round(dr + CASE WHEN joint THEN down WHEN rr < 0 THEN -r / rr ELSE 0 END, 6) AS dr,
+      round(dc + CASE WHEN joint THEN rgt WHEN cc < 0 THEN -c / cc ELSE 0 END, 6) AS dc FROM picked"""
+)
+def fine_cycle_shift(i: Inputs) -> DataFrame:
+    """Shift between cycles in fractions of a pixel."""
+    return rounded(registration.estimate_fine_shift(summed(i, 1).drop("cycle"), i.moving, 2, block=BLOCK))
+
+
+FINE = "fov, cycle, ((fov + cycle) % 5 - 2) * 0.75::DOUBLE AS dr, ((fov * 2 + cycle) % 5 - 2) * 0.25::DOUBLE AS dc"
+
+
+@pixels.query(
+    f"""WITH q AS MATERIALIZED (SELECT fov, cycle, r + CAST(floor(dr) AS INT) AS r, c + CAST(floor(dc) AS INT) AS c, dr - floor(dr) AS fr, dc - floor(dc) AS fc,
+        CAST(ch_g AS DOUBLE) AS ch_g, CAST(ch_a AS DOUBLE) AS ch_a FROM (SELECT {FINE}, r, c, ch_g, ch_a FROM fx_px) z),
+    w AS (SELECT fov, cycle, r + dy AS r, c + dx AS c, (CASE WHEN dy = 1 THEN fr ELSE 1 - fr END) * (CASE WHEN dx = 1 THEN fc ELSE 1 - fc END) AS w, ch_g, ch_a
+      FROM q, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) d(dy, dx))
+    SELECT q.fov, q.cycle, q.r, q.c, sum(w.w * w.ch_g) AS ch_g, sum(w.w * w.ch_a) AS ch_a
+    FROM q JOIN w USING (fov, cycle, r, c) WHERE q.r BETWEEN 0 AND {HEIGHT - 1} AND q.c BETWEEN 0 AND {WIDTH - 1} GROUP BY q.fov, q.cycle, q.r, q.c"""
+)
+def finely_shifted_pixels(i: Inputs) -> DataFrame:
+    images = i.px.select("fov", "cycle", "r", "c", "ch_g", "ch_a")
+    shifts = images.select("fov", "cycle").distinct().select(
+        "fov", "cycle", (((F.col("fov") + F.col("cycle")) % 5 - 2) * 0.75).alias("dr"), (((F.col("fov") * 2 + F.col("cycle")) % 5 - 2) * 0.25).alias("dc")
+    )
+    return px.apply_fine_shift(images, shifts, ["ch_g", "ch_a"], HEIGHT, WIDTH, block=BLOCK)
+
+
 @pixels.query(
     f"""WITH n AS (SELECT fov, cycle, r, c, (ch_g - min(ch_g) OVER w) / CAST(max(ch_g) OVER w - min(ch_g) OVER w AS DOUBLE) AS v
       FROM fx_px WINDOW w AS (PARTITION BY fov, cycle)),

@@ -1,9 +1,13 @@
 """Counts that follow arriving files, and the folder tables settle in."""
 
+import os
+
 import pytest
+from pyspark.sql import functions as F
 
 from spotweave.operators import expression
 from spotweave.session import settle, shared_folder
+from spotweave.streaming import incremental
 from spotweave.streaming.incremental import read_counts, update_counts
 
 SCHEMA = "fov int, cell_num bigint, gene_id int"
@@ -57,3 +61,54 @@ def test_settled_tables_go_to_the_folder(spark):
     table = settle(spark.range(10))
     assert table.count() == 10
     assert all(shared_folder(spark) in f for f in table.inputFiles())
+
+
+def uncommit(checkpoint, number):
+    """As if the job had died before it noted the batch as done."""
+    for name in (str(number), f".{number}.crc"):
+        os.remove(f"{checkpoint}/commits/{name}")
+
+
+def test_batches_are_merged_into_few_files(spark, tmp_path):
+    source, counts, checkpoint = (str(tmp_path / n) for n in ("in", "counts", "checkpoint"))
+    schema = spark.createDataFrame([], SCHEMA).schema
+    count = lambda b: b.groupBy("fov", "cell_num", "gene_id").agg(F.count("*").alias("n"))
+
+    def update():
+        update_counts(spark, source, schema, count, counts, checkpoint, files_per_batch=1, merge_every=3)
+        return {tuple(r) for r in read_counts(spark, counts, ["fov", "cell_num", "gene_id"]).collect()}
+
+    for _ in range(11):
+        spark.createDataFrame([(0, 1, 5), (1, 1, 6)], SCHEMA).coalesce(1).write.mode("append").parquet(source)
+    want = {(0, 1, 5, 11), (1, 1, 6, 11)}
+    assert update() == want
+    store = incremental._Store(spark, counts)
+    assert store.versions() == [5, 8] and store.parts() == [6, 7, 8, 9, 10]
+    assert [s.rsplit("/", 1)[1] for s in store.sources()] == ["upto=8", "batch=9", "batch=10"]
+    # A version whose writing was cut off does not count, and what it was made from is still there.
+    os.remove(f"{counts}/merged/upto=8/_SUCCESS")
+    assert {tuple(r) for r in read_counts(spark, counts, ["fov", "cell_num", "gene_id"]).collect()} == want
+    # The last batch is played again after a crash.
+    uncommit(checkpoint, 10)
+    assert update() == want
+
+
+def test_a_replayed_merge_counts_once(spark, tmp_path):
+    source, counts, checkpoint = (str(tmp_path / n) for n in ("in", "counts", "checkpoint"))
+    schema = spark.createDataFrame([], SCHEMA).schema
+    spark.createDataFrame([(0, 1, 5)], SCHEMA).coalesce(1).write.mode("append").parquet(source)
+    count = lambda b: b.groupBy("gene_id").agg(F.count("*").alias("n"))
+    for _ in range(2):
+        update_counts(spark, source, schema, count, counts, checkpoint, merge_every=1)
+        assert read_counts(spark, counts, ["gene_id"]).first().n == 1
+        uncommit(checkpoint, 0)
+
+
+def test_only_rows_of_the_batch_are_read(spark, tmp_path):
+    table = str(tmp_path / "mask")
+    spark.range(100).selectExpr("CAST(id % 10 AS INT) AS fov", "id").write.partitionBy("fov").parquet(table)
+    batch = spark.createDataFrame([(3, 1, 1), (5, 1, 1), (5, 2, 2)], SCHEMA)
+    rows = incremental.rows_of_tiles(spark.read.parquet(table), batch)
+    assert {r.fov for r in rows.collect()} == {3, 5} and rows.count() == 20
+    assert "PartitionFilters: [isnotnull(fov" in rows._jdf.queryExecution().executedPlan().toString()
+    assert incremental.rows_of_tiles(spark.read.parquet(table), batch.limit(0)).count() == 0
