@@ -23,8 +23,10 @@ def assign_by_mask(spots: DataFrame, mask: DataFrame, name: str = "cell_num") ->
 
 
 def global_cell_id(fov: str = "fov", label: str = "cell_num", start: int = 1, per_fov: int = 10_000) -> Column:
-    """Cell number that is unique over tiles while labels stay below ``per_fov``."""
-    return F.col(label) + F.col(fov).cast("long") * start * per_fov
+    """Cell number that is unique over tiles; a label of ``per_fov`` or more, which would meet the next tile's, is an error."""
+    number = F.col(label) + F.col(fov).cast("long") * start * per_fov
+    message = F.format_string("label %s of tile %s does not fit the cell numbers", F.col(label).cast("string"), F.col(fov).cast("string"))
+    return F.when(F.col(label) >= per_fov, F.raise_error(message).cast("long")).otherwise(number)
 
 
 def label_overflow(cells: DataFrame, per_fov: int = 10_000) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from spotweave.functions.vectors import as_col, call_score, called_channel, strongest
 from spotweave.operators.blocks import Grid, is_first_highest, over_blocks
 from spotweave.operators.codebook import binary_codes, is_control, short_rows
-from spotweave.operators.pixels import median_max, normalise_median, stack_cycles
+from spotweave.operators.pixels import crop_centre, median_max, normalise_median, stack_cycles, trim
 from spotweave.operators.ranking import exact_median
 from spotweave.session import settle
 
@@ -273,9 +273,9 @@ def pick_threshold(curve: DataFrame, limit: float = 0.05) -> DataFrame:
     return curve.agg(F.min(F.when(F.col("fdr") < limit, F.col("threshold"))).alias("threshold"))
 
 
-def signal_vectors(pixels: DataFrame, channels: Sequence[str], n_cycles: int) -> DataFrame:
-    """Signals of all cycles per pixel, every plane divided by its median maximum; written once."""
-    normal = normalise_median(pixels, channels, median_max(pixels, channels))
+def signal_vectors(pixels: DataFrame, channels: Sequence[str], n_cycles: int, medians: DataFrame | None = None) -> DataFrame:
+    """Signals of all cycles per pixel, every plane divided by its median maximum, or by the one given; written once."""
+    normal = normalise_median(pixels, channels, median_max(pixels, channels) if medians is None else medians)
     return settle(stack_cycles(normal, channels, n_cycles), "vectors")
 
 
@@ -301,13 +301,28 @@ def calibrate(
     noise_final: float = 0.005,
     limit: float = 0.05,
     block: int = 256,
+    frame: tuple[int, int] | None = None,
+    margin: int = 0,
+    crop: float = 0.0,
 ) -> DataFrame:
     """One row of decoding parameters: threshold under the false-discovery limit,
-    noise floors and the normalising median of every plane.
+    noise floors, trimming, and the normalising median of every plane.
 
-    Only the codebook and one threshold ever reach the driver.
+    Medians and the sweep of thresholds use the centre of each tile, without
+    ``crop`` of its height and width on every side; the threshold it starts
+    from uses all but ``margin`` pixels at the edges.  Both need the tile's
+    ``frame`` (height, width).  Only the codebook and one threshold ever reach the driver.
     """
-    vectors = signal_vectors(pixels, channels, n_cycles)
+    if frame is None and (margin or crop):
+        raise ValueError("trimming needs the frame")
+    inner = crop_centre(pixels, *frame, crop) if crop else pixels
+    medians = median_max(inner, channels)
+    if margin or crop:
+        medians = settle(medians, "medians")
+    vectors = signal_vectors(inner, channels, n_cycles, medians)
+    wide = vectors
+    if margin or crop:
+        wide = signal_vectors(trim(pixels, *frame, margin) if margin else pixels, channels, n_cycles, medians)
     table = code_table(codebook, n_cycles)
     peaks = decoded_peaks(decode(vectors, table, noise_final), block=block)
     planes = F.flatten(
@@ -316,11 +331,13 @@ def calibrate(
             lambda row: row["m"],
         )
     )
-    return fdr_threshold(vectors, peaks, table, noise_first, limit).select(
+    return fdr_threshold(wide, peaks, table, noise_first, limit).select(
         "threshold",
         F.lit(noise_first).alias("noise_first"),
         F.lit(noise_final).alias("noise_final"),
-        median_max(pixels, channels).agg(planes.alias("median_max")).scalar().alias("median_max"),
+        F.lit(margin).alias("trim"),
+        F.lit(float(crop)).alias("cropf"),
+        medians.agg(planes.alias("median_max")).scalar().alias("median_max"),
     )
 
 

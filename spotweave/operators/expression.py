@@ -155,6 +155,19 @@ def marker_counts(spots: DataFrame, markers: dict[str, int], cells: DataFrame) -
     )
 
 
+def marker_spots(spots: DataFrame, markers: dict[str, int], spot_id: str = "spot_id") -> DataFrame:
+    """``fov, cell_num, marker, spot_id``: every spot of a marker gene in a cell, one row each.
+
+    The long form of lists of spots per cell and marker, which have no bound on
+    their length; its counts are those of ``marker_counts``.  A gene under two
+    names gives a row for each.
+    """
+    named = F.array(*[F.struct(F.lit(name).alias("marker"), F.lit(gene).alias("gene")) for name, gene in markers.items()])
+    own = F.filter(named, lambda m: m["gene"] == F.col("gene_id"))
+    held = spots.where((F.col("cell_num") > 0) & F.col("gene_id").isin(list(markers.values())))
+    return held.select("fov", "cell_num", spot_id, F.explode(own["marker"]).alias("marker")).select("fov", "cell_num", "marker", spot_id)
+
+
 def cell_class(excite: str = "excite_count", inhib: str = "inhib_count", it: str = "it_count") -> tuple[Column, Column]:
     """Class and subclass of a cell from its marker counts; a missing count is 0."""
     e, i, t = (F.coalesce(F.col(c), F.lit(0)) for c in (excite, inhib, it))

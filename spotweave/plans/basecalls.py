@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from spotweave import workflow
 from spotweave.operators import basecall, codebook as books, pixels as px
-from spotweave.plans.inputs import BASES, CHANNELS, N_CYCLES, N_GENES, N_UNUSED
+from spotweave.plans.inputs import BASES, CHANNELS, HEIGHT, N_CYCLES, N_GENES, N_UNUSED, WIDTH
 from spotweave.plans.pixels import BLOCK, MEDIANS, PLATEAUS, SPOT_PEAKS, first_cycle_peaks, unpivoted
 from spotweave.plans.registry import Inputs, Registry, rounded
-from spotweave.session import settle
+from spotweave.session import fresh_path, settle
+from spotweave.sources import readers, sinks
 
 basecalls = Registry()
 CH = list(CHANNELS)
@@ -329,8 +330,48 @@ def picked_threshold(i: Inputs) -> DataFrame:
 )
 def decode_parameters(i: Inputs) -> DataFrame:
     params = basecall.calibrate(i.px, CH, i.codebook, N_CYCLES, NOISE_FIRST, NOISE_FINAL, block=BLOCK)
+    return rounded(with_text(params).drop("trim", "cropf"))
+
+
+def with_text(params: DataFrame) -> DataFrame:
     text = F.transform("median_max", lambda v: v.cast("decimal(10,1)").cast("string"))
-    return rounded(params.withColumn("median_max", F.array_join(text, ",")))
+    return params.withColumn("median_max", F.array_join(text, ","))
+
+
+MARGIN, CROP = 2, 0.2
+# The sweep on the centre of each tile; the threshold it starts from on the tiles without their edges.
+_TRIMMED = """,
+    tv AS MATERIALIZED (SELECT p.fov, p.r, p.c, p.cycle, p.ch_g / m.ch_g AS v0, p.ch_t / m.ch_t AS v1, p.ch_a / m.ch_a AS v2, p.ch_c / m.ch_c AS v3
+      FROM trimmed p JOIN med m USING (cycle)),
+    tsize AS (SELECT fov, r, c, sqrt(sum(v0 * v0 + v1 * v1 + v2 * v2 + v3 * v3)) AS size FROM tv GROUP BY fov, r, c),
+    tdot AS (SELECT tv.fov, tv.r, tv.c, gene_id, any_value(gene) AS gene, sum(CASE ch WHEN 0 THEN v0 WHEN 1 THEN v1 WHEN 2 THEN v2 ELSE v3 END) AS d
+      FROM tv JOIN code USING (cycle) GROUP BY tv.fov, tv.r, tv.c, gene_id)"""
+_FIRST = evidence_sql(NOISE_FIRST)
+_WINDOW = "SELECT * FROM fx_px WHERE r >= {0} AND r < {1} AND c >= {2} AND c < {3}"
+_SIDES = [round(n * part) for n in (HEIGHT, WIDTH) for part in (CROP, 1 - CROP)]
+TRIMMED_SWEEP = (
+    f"cropped AS MATERIALIZED ({_WINDOW.format(*_SIDES)}), "
+    f"trimmed AS MATERIALIZED ({_WINDOW.format(MARGIN, HEIGHT - MARGIN, MARGIN, WIDTH - MARGIN)}), "
+    + SWEEP.replace("fx_px", "cropped")
+    .replace(NORM.replace("fx_px", "cropped"), NORM.replace("fx_px", "cropped") + _TRIMMED)
+    .replace(_FIRST, _FIRST.replace("dot JOIN size", "tdot JOIN tsize"))
+)
+
+
+@basecalls.query(
+    f"""WITH {TRIMMED_SWEEP} SELECT round((SELECT min(threshold) FILTER (WHERE fdr < 0.05) FROM curve), 6) AS threshold,
+      {NOISE_FIRST}::DOUBLE AS noise_first, {NOISE_FINAL}::DOUBLE AS noise_final, {MARGIN}::INT AS trim, {CROP}::DOUBLE AS cropf,
+      (SELECT string_agg(CAST(CAST(v AS DECIMAL(10, 1)) AS VARCHAR), ',' ORDER BY cycle, k) FROM (
+        {' UNION ALL '.join(f'SELECT cycle, {k} AS k, {ch} AS v FROM med' for k, ch in enumerate(CH))}) q) AS median_max"""
+)
+def trimmed_decode_parameters(i: Inputs) -> DataFrame:
+    """Parameters from trimmed and cropped tiles, through their document."""
+    path = fresh_path(i.spark, "params")
+    params = basecall.calibrate(
+        i.px, CH, i.codebook, N_CYCLES, NOISE_FIRST, NOISE_FINAL, block=BLOCK, frame=(HEIGHT, WIDTH), margin=MARGIN, crop=CROP
+    )
+    sinks.write_params(params, path)
+    return rounded(with_text(readers.read_params(i.spark, path)))
 
 
 def calls(i: Inputs) -> DataFrame:

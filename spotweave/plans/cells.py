@@ -255,6 +255,15 @@ def marked_cells(i: Inputs) -> DataFrame:
     return expression.marker_counts(spots, {"excite": 0, "inhib": 1, "it": 2}, i.cells)
 
 
+@cells.query(
+    f"""WITH {HIT} SELECT fov, cell_num, spot_id, CASE gene_id % 3 WHEN 0 THEN 'excite' WHEN 1 THEN 'inhib' ELSE 'it' END AS marker
+    FROM hit WHERE cell_num > 0"""
+)
+def cell_marker_spots(i: Inputs) -> DataFrame:
+    spots = assign.assign_by_mask(i.spots, i.mask).withColumn("gene_id", F.col("gene_id") % 3)
+    return expression.marker_spots(spots, {"excite": 0, "inhib": 1, "it": 2})
+
+
 def classed_cells(i: Inputs) -> DataFrame:
     kind, sub = expression.cell_class()
     tiles = i.tiles.select("fov", "position")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from spotweave.schemas import TABLES
 
 SPOT_CSV = "m1 DOUBLE, m2 DOUBLE, j INT"
-PARAMS = "threshold DOUBLE, noise_first DOUBLE, noise_final DOUBLE, median_max ARRAY<DOUBLE>"
+PARAMS = "threshold DOUBLE, noise_first DOUBLE, noise_final DOUBLE, trim INT, cropf DOUBLE, median_max ARRAY<DOUBLE>"
 TILE_TEXT = "MAX_Pos\\d+_\\d+_\\d+"
 
 

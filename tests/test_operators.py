@@ -96,6 +96,23 @@ def test_border_and_called_filter(spark):
     assert ids.where(expression.called(-1)).count() == 2
 
 
+def test_label_that_meets_the_next_tile_is_an_error(spark):
+    cells = frame(spark, [(0, 9_999), (1, 0), (2, None)], "fov int, cell_num bigint")
+    assert [r.id for r in cells.select(assign.global_cell_id().alias("id")).collect()] == [9_999, 10_000, None]
+    with pytest.raises(Exception, match="label 10000 of tile 3"):
+        frame(spark, [(3, 10_000)], "fov int, cell_num bigint").select(assign.global_cell_id().alias("id")).collect()
+
+
+def test_marker_spots_agree_with_counts(spark):
+    rows = [(0, 1, 5, "a"), (0, 1, 5, "a"), (0, 1, 6, "b"), (0, 0, 5, "c"), (0, 2, None, "d"), (1, 1, 7, "e")]
+    spots = frame(spark, rows, "fov int, cell_num bigint, gene_id int, spot_id string")
+    markers = {"x": 5, "y": 6, "both": 5}
+    got = sorted(tuple(r) for r in expression.marker_spots(spots, markers).collect())
+    assert got == [(0, 1, "both", "a"), (0, 1, "both", "a"), (0, 1, "x", "a"), (0, 1, "x", "a"), (0, 1, "y", "b")]
+    counts = expression.marker_counts(spots, markers, spots.select("fov", "cell_num").distinct())
+    assert {(r.fov, r.cell_num): (r.x_count, r.y_count, r.both_count) for r in counts.collect()}[(0, 1)] == (2, 1, 2)
+
+
 # ---- cells seen twice -----------------------------------------------------------------
 
 
