@@ -86,13 +86,14 @@ def cell_gene_counts(spots: DataFrame, cells: DataFrame) -> DataFrame:
     counts = (
         spots.where(F.col("cell_num") > 0).groupBy("fov", "cell_num", "gene_id").agg(F.count(F.lit(1)).alias("n"))
     )
-    return counts.join(cells.select("fov", "cell_num"), ["fov", "cell_num"], "left_semi")
+    # Cells may be as many as counts: neither side is for the driver to hold.
+    return counts.join(cells.select("fov", "cell_num").hint("merge"), ["fov", "cell_num"], "left_semi")
 
 
 def total_expression(expr: DataFrame, cells: DataFrame) -> DataFrame:
     """Row sums of the matrix, 0 for cells without spots."""
     sums = expr.groupBy("fov", "cell_num").agg(F.sum("n").alias("total"))
-    joined = cells.join(sums, ["fov", "cell_num"], "left")
+    joined = cells.join(sums.hint("merge"), ["fov", "cell_num"], "left")
     return joined.select(*[joined[c] for c in cells.columns], F.coalesce("total", F.lit(0)).alias("total"))
 
 

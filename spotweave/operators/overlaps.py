@@ -45,7 +45,8 @@ def best_neighbour(neurons: DataFrame, half: float) -> DataFrame:
     """
     neurons = settle(neurons, "neurons")
     best = _best_at_sites(sites(neurons), half)
-    return neurons.join(best, [*PLACE, "fov"], "left").select(*neurons.columns, "neigh_exp")
+    # As many rows as cells may have: merged, so that the driver never holds them.
+    return neurons.join(best.hint("merge"), [*PLACE, "fov"], "left").select(*neurons.columns, "neigh_exp")
 
 
 def _best_at_sites(here: DataFrame, half: float) -> DataFrame:
@@ -86,7 +87,7 @@ def flag_duplicates(neurons: DataFrame, half: float) -> DataFrame:
 
 def _neighbour_count(neurons: DataFrame, shape: Shape, name: str) -> DataFrame:
     neurons = settle(neurons, "neurons")
-    counted = neurons.join(other_tile_counts(sites(neurons), shape, name), [*PLACE, "fov"], "left")
+    counted = neurons.join(other_tile_counts(sites(neurons), shape, name).hint("merge"), [*PLACE, "fov"], "left")
     return counted.select(*neurons.columns, F.coalesce(name, F.lit(0)).cast("long").alias(name))
 
 
@@ -107,8 +108,8 @@ def overlap_report(neurons: DataFrame, half: float) -> DataFrame:
     keys = [*PLACE, "fov"]
     counts = other_tile_counts(here, open_box(2 * half), "n_overlap")
     # Counts and best neighbours have one row per site, so the cells meet both at once.
-    found = counts.join(_best_at_sites(here, half), keys, "left")
-    marked = neurons.join(found, keys, "left").withColumn("n_overlap", F.coalesce("n_overlap", F.lit(0)))
+    found = counts.join(_best_at_sites(here, half).hint("merge"), keys, "left")
+    marked = neurons.join(found.hint("merge"), keys, "left").withColumn("n_overlap", F.coalesce("n_overlap", F.lit(0)))
     removed = F.count_if(F.col("neigh_exp") > F.col("total"))
     paired = F.count_if(F.col("n_overlap") > 0)
     total = F.count(F.lit(1))

@@ -23,6 +23,8 @@ def near_join(
     ``keep`` is the exact test.  Every right row goes to the 3 x 3 buckets it
     can reach and every left row only to its own, so each pair meets once.
     Apart from the test the two sides may not share column names besides ``on``.
+    The spread side is never broadcast: its size is known only before its rows
+    are repeated, and the driver would hold it whole.
     """
     wx, wy = float(reach[0]), float(reach[1])
     home = left.withColumn("_bx", F.floor(F.col(left_xy[0]) / wx)).withColumn(
@@ -41,7 +43,7 @@ def near_join(
     condition = keep
     for test in shared:
         condition = test & condition
-    joined = home.join(spread, condition, how)
+    joined = home.join(spread.hint("merge"), condition, how)
     for k in keys:
         joined = joined.drop(spread[k])
     return joined.drop("_bx", "_by")

@@ -41,7 +41,7 @@ def located(i: Inputs) -> DataFrame:
     """All spots with their cell, hyb ids after the geneseq ones."""
     spots = i.spots
     parts = [(spots.where("modality = 'geneseq'"), N_GENESEQ), (spots.where("modality = 'hyb'"), 3)]
-    return assign.assign_by_mask(expression.combine_modalities(parts), i.mask)
+    return assign.assign_by_mask(expression.combine_modalities(parts), i.mask, parts=i.mask_parts)
 
 
 def neuron_totals(i: Inputs) -> DataFrame:
@@ -74,7 +74,7 @@ def filtered_neurons(i: Inputs) -> DataFrame:
 
 @cells.query(f"WITH {HIT} SELECT spot_id, modality, fov, gene_id, cell_num FROM hit")
 def spot_cell_by_mask(i: Inputs) -> DataFrame:
-    return assign.assign_by_mask(i.spots, i.mask).select("spot_id", "modality", "fov", "gene_id", "cell_num")
+    return assign.assign_by_mask(i.spots, i.mask, parts=i.mask_parts).select("spot_id", "modality", "fov", "gene_id", "cell_num")
 
 
 @cells.query(
@@ -84,7 +84,7 @@ def spot_cell_by_mask(i: Inputs) -> DataFrame:
 def barcode_spot_cells(i: Inputs) -> DataFrame:
     """Cell of every barcode spot, local and global."""
     spots = i.bc_spots.select("spot_id", "seq").distinct().join(i.spots.select("spot_id", "fov", "lroi_x", "lroi_y").distinct(), "spot_id")
-    found = assign.assign_by_mask(spots, i.mask, "cellidbc")
+    found = assign.assign_by_mask(spots, i.mask, "cellidbc", i.mask_parts)
     own = F.when(F.col("cellidbc") > 0, assign.global_cell_id(label="cellidbc"))
     return found.select("spot_id", "seq", "cellidbc", own.alias("cell_id"))
 
@@ -251,7 +251,7 @@ CLASSED = """
 
 def marked_cells(i: Inputs) -> DataFrame:
     # Every gene counts towards one of the three markers, so that all classes occur.
-    spots = assign.assign_by_mask(i.spots, i.mask).withColumn("gene_id", F.col("gene_id") % 3)
+    spots = assign.assign_by_mask(i.spots, i.mask, parts=i.mask_parts).withColumn("gene_id", F.col("gene_id") % 3)
     return expression.marker_counts(spots, {"excite": 0, "inhib": 1, "it": 2}, i.cells)
 
 
@@ -260,7 +260,7 @@ def marked_cells(i: Inputs) -> DataFrame:
     FROM hit WHERE cell_num > 0"""
 )
 def cell_marker_spots(i: Inputs) -> DataFrame:
-    spots = assign.assign_by_mask(i.spots, i.mask).withColumn("gene_id", F.col("gene_id") % 3)
+    spots = assign.assign_by_mask(i.spots, i.mask, parts=i.mask_parts).withColumn("gene_id", F.col("gene_id") % 3)
     return expression.marker_spots(spots, {"excite": 0, "inhib": 1, "it": 2})
 
 
@@ -323,7 +323,7 @@ def final_cell_table(i: Inputs) -> DataFrame:
     FROM n GROUP BY position"""
 )
 def allocation_stats(i: Inputs) -> DataFrame:
-    spots = assign.assign_by_mask(i.spots, i.mask).join(i.tiles.select("fov", "position"), "fov")
+    spots = assign.assign_by_mask(i.spots, i.mask, parts=i.mask_parts).join(i.tiles.select("fov", "position"), "fov")
     return rounded(expression.allocation_stats(spots))
 
 

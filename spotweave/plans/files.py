@@ -377,7 +377,7 @@ def worst_tiles(i: Inputs) -> DataFrame:
 def two_matrices(i: Inputs) -> tuple[DataFrame, DataFrame]:
     cells = i.cells
     return tuple(
-        expression.cell_gene_counts(assign.assign_by_mask(spots, i.mask), cells) for spots in (i.spots, second_run(i))
+        expression.cell_gene_counts(assign.assign_by_mask(spots, i.mask, parts=i.mask_parts), cells) for spots in (i.spots, second_run(i))
     )
 
 
@@ -430,7 +430,7 @@ def incremental_counts(i: Inputs) -> DataFrame:
         i.spark,
         source,
         both.schema,
-        lambda batch: expression.cell_gene_counts(assign.assign_by_mask(batch, rows_of_tiles(mask, batch)), cells),
+        lambda batch: expression.cell_gene_counts(assign.assign_by_mask(batch, rows_of_tiles(mask, batch), parts=i.mask_parts), cells),
         counts,
         fresh_path(i.spark, "stream"),
         files_per_batch=1,
