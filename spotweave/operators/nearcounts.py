@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 TESTED = 1_000_000  # points tested at once
+LEAST_BLOCK = 1024.0  # width of a block of cells
 Widths = Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
@@ -65,7 +66,7 @@ class _Squares:
     """Weighted points sorted by square, with running sums."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray, n: np.ndarray, corner: tuple[float, float], extent: float, reach: float):
-        per_reach = int(np.clip(np.sqrt(len(x)) / 8, 1, 128))  # a few points a square
+        per_reach = int(np.clip(np.sqrt(len(x)) / 2 * reach / extent, 1, 128))  # a few points a square
         self.side = reach / per_reach
         self.many = int(extent / self.side) + 2
         self.corner = corner
@@ -131,11 +132,12 @@ def other_tile_counts(sites: DataFrame, shape: Shape, name: str) -> DataFrame:
     """``slice, x, y, fov, name``: cells of other tiles that are near a site, all near ones less those of its own tile.
 
     ``sites(slice, x, y, fov, n)`` has one row per place and tile, with its
-    number of cells.  A block is two reaches wide; with its halo it is all that
-    a task holds.  Sites with a missing coordinate are left out.
+    number of cells.  A block is four reaches wide, ``LEAST_BLOCK`` at least, so
+    that a short reach does not make a group of every few cells; with its halo
+    it is all that a task holds.  Sites with a missing coordinate are left out.
     """
     reach = shape.reach
-    block = 2 * reach
+    block = max(4 * reach, LEAST_BLOCK)
 
     def homes(axis: str):
         return F.explode(F.sequence(F.floor((F.col(axis) - reach) / block), F.floor((F.col(axis) + reach) / block)))
