@@ -187,18 +187,46 @@ def library_summary(counts: DataFrame, areas: Sequence[str], length: int = 15) -
     )
 
 
+def nearby(rows: DataFrame, seq: str, letters: DataFrame, errors: int) -> DataFrame:
+    """Rows once per text ``_text`` that differs from their sequence in at most ``errors`` positions (some texts twice).
+
+    ``letters`` has one row with the array ``_letters`` of what may stand in a place.
+    """
+    out = rows.withColumn("_text", F.col(seq))
+    for _ in range(errors):
+        spread = out.crossJoin(F.broadcast(letters)).withColumn("_at", F.explode(F.sequence(F.lit(0), F.length("_text"))))
+        own = F.substr("_text", F.col("_at"), F.lit(1))
+        spread = spread.withColumn("_letter", F.explode(F.when(F.col("_at") == 0, F.array(F.lit(""))).otherwise(F.col("_letters"))))
+        spread = spread.where((F.col("_at") == 0) | (F.col("_letter") != own))
+        changed = F.concat(F.substr("_text", F.lit(1), F.col("_at") - 1), "_letter", F.substr("_text", F.col("_at") + 1))
+        out = spread.withColumn("_text", F.when(F.col("_at") == 0, F.col("_text")).otherwise(changed)).drop("_letters", "_at", "_letter")
+    return out
+
+
 def match_library(cells: DataFrame, library: DataFrame, length: int = 15, errors: int = 1) -> DataFrame:
     """Library row of each cell barcode within ``errors`` positions; the last row wins.
 
-    Both sides are reduced to distinct sequences and meet where a segment
-    agrees, so a barcode shared by many cells or library rows is compared once.
+    Both sides meet on equal texts: the library, the smaller side, lists all
+    texts within the larger half of the errors, with the letters the cells
+    have, and the distinct barcodes those within the rest, which are
+    themselves for one error.  So no pair is measured, and the work grows with
+    the rows and not with the pairs that share a part.
     """
-    wanted = cells.select("seq").where(F.length("seq") == length).distinct()
+    long = cells.where(F.length("seq") == length)
     rows = library.where(F.length("sequence") == length).groupBy("sequence").agg(F.max("barcode_id").alias("barcode_id"))
-    left = wanted.select("seq", F.posexplode(segments("seq", errors)).alias("_nth", "_key"))
-    right = rows.select("barcode_id", "sequence", F.posexplode(segments("sequence", errors)).alias("_nth", "_key"))
-    best = left.join(right, ["_nth", "_key"]).where(hamming("seq", "sequence") <= errors).groupBy("seq").agg(F.max("barcode_id").alias("barcode_id"))
-    return cells.join(best, "seq").select(*cells.columns, "barcode_id")
+
+    def letters(df: DataFrame, seq: str) -> DataFrame:
+        return df.select(F.explode(F.array_distinct(F.split(seq, ""))).alias("_l")).agg(F.collect_set("_l").alias("_letters"))
+
+    near = nearby(rows, "sequence", letters(long, "seq"), (errors + 1) // 2)
+    best = near.groupBy("_text").agg(F.max("barcode_id").alias("barcode_id"))
+    if errors > 1:
+        texts = nearby(long.select("seq").distinct(), "seq", letters(rows, "sequence"), errors // 2)
+        best = texts.join(best.hint("merge"), "_text").groupBy("seq").agg(F.max("barcode_id").alias("barcode_id"))
+    else:
+        best = best.withColumnRenamed("_text", "seq")
+    # The texts are many times the rows the optimizer sees, so they are never broadcast.
+    return long.join(best.hint("merge"), "seq").select(*cells.columns, "barcode_id")
 
 
 def clean_list(text: str) -> Column:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spotweave.operators import assign, nearcounts, overlaps, pixels as px, registration
+from spotweave.operators import assign, barcodes, nearcounts, overlaps, pixels as px, registration
 from spotweave.operators.spatial import near_join
 from spotweave.plans.registry import Inputs
 
@@ -91,3 +91,19 @@ def test_few_spots_vote_as_images_do(reach):
     assert registration.paired(r, c, f, np.where(m > 1, np.nan, m), reach, side) is None
     assert registration.paired(r, c, f, m, 60, side) is None
     assert not registration.paired(r, c, f * 0, m, reach, side).any()
+
+
+@pytest.mark.parametrize("errors", [0, 1, 2, 3])
+def test_library_rows_meet_barcodes_on_whole_texts(spark, errors):
+    rng = np.random.default_rng(errors)
+    texts = ["".join(rng.choice(list("1234"), 6)) for _ in range(60)]
+    seqs = [*texts[:40], "12N412", "é23412", "12", "", None]
+    cells = spark.createDataFrame(list(enumerate(seqs)), "cell_id bigint, seq string")
+    books = [*texts[20:], "12X412", "123412", "123", None]
+    library = spark.createDataFrame(list(enumerate(books)), "barcode_id bigint, sequence string")
+    matched = barcodes.match_library(cells, library, 6, errors)
+    assert "_key" not in planned(matched) and "SortMergeJoin" in planned(matched)
+    whole = lambda text: text is not None and len(text) == 6
+    near = lambda a, b: sum(x != y for x, y in zip(a, b)) <= errors
+    wanted = {k: [b for b, other in enumerate(books) if whole(other) and near(seq, other)] for k, seq in enumerate(seqs) if whole(seq)}
+    assert {r.cell_id: r.barcode_id for r in matched.collect()} == {k: max(found) for k, found in wanted.items() if found}
