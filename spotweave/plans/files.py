@@ -209,7 +209,7 @@ def spot_csv_files(i: Inputs) -> DataFrame:
     path = fresh_path(i.spark, "spot-csv")
     spots = i.spots.where("modality = 'geneseq'").join(i.tiles, "fov")
     table = spots.select("tile_name", F.col("lroi_x").alias("m1"), F.col("lroi_y").alias("m2"), F.col("gene_id").alias("j"))
-    table.write.partitionBy("tile_name").csv(path, header=True)
+    sinks.write_spot_csvs(table, path)
     return readers.read_spot_csvs(i.spark, path)
 
 

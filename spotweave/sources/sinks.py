@@ -26,6 +26,15 @@ def write_tsv(df: DataFrame, path: str, order: Sequence[str | Column] | None = N
     df.write.csv(path, sep="\t", header=True)
 
 
+def write_spot_csvs(spots: DataFrame, path: str) -> None:
+    """One folder per tile: rows of a tile come together, so that it gets one file, or several of bounded size if it is large.
+
+    Tasks put their files in place themselves; the driver would take the many folders one after the other.
+    """
+    together = spots.hint("rebalance", "tile_name")
+    together.write.partitionBy("tile_name").option("mapreduce.fileoutputcommitter.algorithm.version", "2").csv(path, header=True)
+
+
 def write_matrix(expr: DataFrame, cells: DataFrame, codebook: DataFrame, path: str) -> None:
     """Cells x genes with lower-cased gene names as headers, in codebook order.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from spotweave.operators import assign, barcodes, nearcounts, overlaps, pixels as px, registration
 from spotweave.operators.spatial import near_join
 from spotweave.plans.registry import Inputs
+from spotweave.sources import readers, sinks
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -107,3 +108,12 @@ def test_library_rows_meet_barcodes_on_whole_texts(spark, errors):
     near = lambda a, b: sum(x != y for x, y in zip(a, b)) <= errors
     wanted = {k: [b for b, other in enumerate(books) if whole(other) and near(seq, other)] for k, seq in enumerate(seqs) if whole(seq)}
     assert {r.cell_id: r.barcode_id for r in matched.collect()} == {k: max(found) for k, found in wanted.items() if found}
+
+
+def test_spots_of_a_tile_are_written_to_one_file(spark, tmp_path):
+    tiles = F.concat(F.lit("MAX_Pos1_000_00"), (F.col("id") % 10).cast("string"))
+    spots = spark.range(0, 1_000, 1, 8).select(tiles.alias("tile_name"), F.col("id").cast("double").alias("m1"), F.lit(1.5).alias("m2"), F.lit(3).alias("j"))
+    sinks.write_spot_csvs(spots, str(tmp_path / "spots"))
+    assert len(list((tmp_path / "spots").glob("*/*.csv"))) == 10
+    got = readers.read_spot_csvs(spark, str(tmp_path / "spots"))
+    assert {(r.tile_name, r.lroi_x) for r in got.collect()} == {(f"MAX_Pos1_000_00{k % 10}", float(k)) for k in range(1_000)}
