@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spotweave.operators import assign, barcodes, nearcounts, overlaps, pixels as px, registration
+from spotweave.operators import assign, barcodes, blocks, nearcounts, overlaps, pixels as px, registration
 from spotweave.operators.spatial import near_join
 from spotweave.plans.registry import Inputs
 from spotweave.sources import readers, sinks
@@ -110,6 +110,21 @@ def test_library_rows_meet_barcodes_on_whole_texts(spark, errors):
     assert {r.cell_id: r.barcode_id for r in matched.collect()} == {k: max(found) for k, found in wanted.items() if found}
 
 
+def test_blocks_without_home_pixels_and_places_without_pixels_cost_nothing(spark):
+    sizes = spark.sparkContext.accumulator(0)
+    frame = spark.range(6 * 7).select(F.lit(1).alias("fov"), F.floor(F.col("id") / 7).cast("int").alias("r"), (F.col("id") % 7).cast("int").alias("c"), F.col("id").alias("v"))
+
+    def kernel(grid):
+        sizes.add(grid.array("v", 0).size)
+        return grid.kept({})
+
+    same = blocks.over_blocks(frame, ["fov"], 16, 15, kernel, frame.schema, tight=True)
+    assert sorted(map(tuple, same.collect())) == sorted(map(tuple, frame.collect()))
+    assert sizes.value == 6 * 7
+    far = np.arange(6.0).reshape(2, 3)
+    assert blocks.moved(far, 3, 0, -1.0).tolist() == blocks.moved(far, 0, -5, -1.0).tolist() == [[-1.0] * 3] * 2
+
+
 def test_spots_of_a_tile_are_written_to_one_file(spark, tmp_path):
     tiles = F.concat(F.lit("MAX_Pos1_000_00"), (F.col("id") % 10).cast("string"))
     spots = spark.range(0, 1_000, 1, 8).select(tiles.alias("tile_name"), F.col("id").cast("double").alias("m1"), F.lit(1.5).alias("m2"), F.lit(3).alias("j"))
