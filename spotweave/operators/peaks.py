@@ -5,7 +5,8 @@ least the prominence.  That is what is left when the image, lowered by the
 prominence, is raised again under the image (reconstruction).  Frames are cut
 into blocks; each block is reconstructed as an array, the levels of its border
 pixels go to the neighbouring blocks, and blocks whose border was raised are
-reconstructed again until nothing changes.  Levels only rise, so a block that
+reconstructed again until nothing changes.  Small blocks are handled many at a
+time.  Levels only rise, so a block that
 is computed twice gives the same result.
 """
 
@@ -20,34 +21,48 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from spotweave.operators.blocks import HOME, Grid, cut_blocks, swept
+from spotweave.operators.blocks import HOME, cut_blocks, swept
 from spotweave.operators.links import components
 from spotweave.operators.pixels import PLANE
 from spotweave.session import discard, settle
 
 AROUND = {-1: 1, 0: 1, 1: 1}  # the eight neighbours
 AT = ("r", "c")
+BATCH = 1 << 16  # pixels of the blocks that are reconstructed together
 
 
 def rebuilt(ceiling: np.ndarray, level: np.ndarray) -> np.ndarray:
-    """``level`` spread to neighbours as far as ``ceiling`` lets it, until nothing changes."""
-    while True:
-        higher = np.minimum(ceiling, swept(level, AROUND, np.maximum, -np.inf))
-        if (higher == level).all():
-            return level
-        level = higher
+    """``level`` of each array of a stack, spread to neighbours as far as ``ceiling`` lets it, until nothing changes."""
+    level, moving = level.copy(), np.arange(len(level))
+    while moving.size:
+        now = level[moving]
+        higher = np.minimum(ceiling[moving], swept(now, AROUND, np.maximum, -np.inf))
+        level[moving] = higher
+        moving = moving[(higher != now).any(axis=(-2, -1))]
+    return level
 
 
 def first_of_group(mask: np.ndarray) -> np.ndarray:
-    """For every pixel of the mask the first pixel, as a flat index, that it touches through others."""
-    first = np.where(mask, np.arange(mask.size).reshape(mask.shape), mask.size)
+    """For every pixel of the mask the first pixel, as a flat index in its array, that it touches through others."""
+    height, width = mask.shape[-2:]
+    first = np.where(mask, np.arange(height * width).reshape(height, width), height * width)
     while True:
-        lower = np.where(mask, swept(first, AROUND, np.minimum, mask.size), mask.size)
+        lower = np.where(mask, swept(first, AROUND, np.minimum, height * width), height * width)
         if (lower == first).all():
             return first
         first = lower
 
 
+def numbered(keys: Sequence[str], *tables: pa.Table) -> tuple[np.ndarray, int]:
+    """A number for each row of the tables, the same where the keys are, and how many numbers there are."""
+    number = np.zeros(sum(t.num_rows for t in tables), dtype=np.int64)
+    for name in keys:
+        column = pa.chunked_array([chunk for t in tables for chunk in t[name].chunks], tables[0].schema.field(name).type)
+        code = column.combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+        number = np.unique(number * (code.max(initial=0) + 1) + code, return_inverse=True)[1]
+    return number, int(number.max(initial=-1)) + 1
+
+
 def prominent_peaks(
     pixels: DataFrame,
     channels: Mapping[str, tuple[float | None, float]],
@@ -79,54 +94,75 @@ def prominent_peaks(
     border = StructType([*kinds, *whole, StructField("level", DoubleType())])
     found = StructType([*kinds, *whole, StructField("v", DoubleType()), StructField("_r", IntegerType()), StructField("_c", IntegerType())])
 
-    def reconstructed(rows: pa.Table, known: pa.Table, row: int, col: int):
-        """Image, level and known level of every channel, and the block's home pixels."""
-        grid = Grid(rows, row, col, block + 2)
-        number, level = (known[name].to_numpy() for name in ("channel", "level"))
-        place = known["r"].to_numpy() - row, known["c"].to_numpy() - col
-        for k, (ch, (threshold, prominence)) in enumerate(channels.items()):
-            image = grid.array(ch, -np.inf)
-            if threshold is not None:
-                image[image <= threshold] = -np.inf
-            before = np.full(image.shape, -np.inf)
-            own = number == k
-            before[tuple(p[own] for p in place)] = level[own]
-            ceiling = np.where(grid.present, image, before)  # a level from another block stands as it is
-            yield k, grid, image, rebuilt(ceiling, np.maximum(image - prominence, before)), before, prominence
+    side = block + 2
+    together = max(1, BATCH // block**2)
+    # As many batches as the blocks need, so that a batch stays small whatever the data.
+    batch = F.pmod(F.xxhash64(*keys), F.lit(-(-base.select(*keys).distinct().count() // together) or 1))
+
+    def reconstructed(rows: pa.Table, known: pa.Table):
+        """Image, level and known level of every channel, stacked over so many blocks of the batch as fit."""
+        number, size = numbered(keys, rows, known)
+        number, met = number[: rows.num_rows], number[rows.num_rows :]
+        channel, level = (known[name].to_numpy() for name in ("channel", "level"))
+        blocks, one = np.unique(number, return_index=True)
+        for start in range(0, len(blocks), together):
+            chunk, first = blocks[start : start + together], one[start : start + together]
+            place = np.full(size, -1)
+            place[chunk] = np.arange(len(chunk))
+            corner = [rows[name].to_numpy()[first] * block - 1 for name in ("_br", "_bc")]
+
+            def located(table: pa.Table, ours: np.ndarray, own: np.ndarray) -> tuple:
+                return own, *(table[axis].to_numpy()[ours] - low[own] for axis, low in zip(AT, corner))
+
+            def stack(dtype, fill) -> np.ndarray:
+                return np.full((len(chunk), side, side), fill, dtype)
+
+            ours, theirs = place[number] >= 0, place[met] >= 0
+            at = located(rows, ours, place[number[ours]])
+            there = located(known, theirs, place[met[theirs]])
+            present = stack(bool, False)
+            present[at] = True
+            for k, (ch, (threshold, prominence)) in enumerate(channels.items()):
+                image, before = stack(float, -np.inf), stack(float, -np.inf)
+                values = rows[ch].to_numpy()[ours].astype(float)
+                image[at] = np.where(np.isnan(values), -np.inf, values)
+                if threshold is not None:
+                    image[image <= threshold] = -np.inf
+                own = channel[theirs] == k
+                before[tuple(p[own] for p in there)] = level[theirs][own]
+                ceiling = np.where(present, image, before)  # a level from another block stands as it is
+                yield k, (first, *corner), present, image, rebuilt(ceiling, np.maximum(image - prominence, before)), before, prominence
 
     def listed(parts: list, rows: pa.Table, schema: StructType) -> pa.Table:
-        """The found pixels ``(channel, (rows, columns), extra columns)`` as a table of one plane."""
+        """The found pixels ``(channel, a row of each one's plane, columns)`` as a table."""
         target = to_arrow_schema(schema)
         tables = []
-        for k, (r, c), extra in parts:
-            columns = [np.repeat(rows[name].to_numpy()[:1], len(r)) for name in plane] + [r, c, np.full(len(r), k), *extra]
-            tables.append(pa.table([pa.array(x).cast(t) for x, t in zip(columns, target.types)], schema=target))
+        for k, row, columns in parts:
+            columns = [*(rows[name].take(pa.array(row)) for name in plane), *map(pa.array, (*columns[:2], np.full(len(row), k), *columns[2:]))]
+            tables.append(pa.table([x.cast(t) for x, t in zip(columns, target.types)], schema=target))
         return pa.concat_tables(tables) if tables else target.empty_table()
 
-    def raise_borders(key: tuple, rows: pa.Table, known: pa.Table) -> pa.Table:
-        row, col = (k.as_py() * block - 1 for k in key[-2:])
+    def raise_borders(rows: pa.Table, known: pa.Table) -> pa.Table:
         parts = []
-        if rows.num_rows:
-            for k, grid, image, level, before, _ in reconstructed(rows, known, row, col):
-                outer = grid.present.copy()
-                outer[2:-2, 2:-2] = False
-                at = np.nonzero(outer & (level > before))
-                parts.append((k, (at[0] + row, at[1] + col), [level[at]]))
+        for k, (first, row, col), present, _, level, before, _ in reconstructed(rows, known):
+            outer = present.copy()
+            outer[:, 2:-2, 2:-2] = False
+            at = np.nonzero(outer & (level > before))
+            parts.append((k, first[at[0]], [at[1] + row[at[0]], at[2] + col[at[0]], level[at]]))
         return listed(parts, rows, border)
 
-    def pick_peaks(key: tuple, rows: pa.Table, known: pa.Table) -> pa.Table:
-        row, col = (k.as_py() * block - 1 for k in key[-2:])
+    def pick_peaks(rows: pa.Table, known: pa.Table) -> pa.Table:
         parts = []
-        if rows.num_rows:
-            for k, grid, image, level, _, prominence in reconstructed(rows, known, row, col):
-                peak = grid.present & (image > -np.inf) & (level == image - prominence)
-                at = np.nonzero(peak)
-                first = np.divmod(first_of_group(peak)[at], block + 2)
-                parts.append((k, (at[0] + row, at[1] + col), [image[at], first[0] + row, first[1] + col]))
+        for k, (first, row, col), present, image, level, _, prominence in reconstructed(rows, known):
+            peak = present & (image > -np.inf) & (level == image - prominence)
+            at = np.nonzero(peak)
+            r, c = np.divmod(first_of_group(peak)[at], side)
+            row, col = row[at[0]], col[at[0]]
+            parts.append((k, first[at[0]], [at[1] + row, at[2] + col, image[at], r + row, c + col]))
         return listed(parts, rows, found)
 
     def over(blocks: DataFrame, rows: DataFrame, kernel, schema: StructType) -> DataFrame:
-        return blocks.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInArrow(kernel, schema)
+        return blocks.groupBy(batch).cogroup(rows.groupBy(batch)).applyInArrow(kernel, schema)
 
     def emptied() -> DataFrame:
         return base.sparkSession.createDataFrame([], border)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spotweave.operators import assign, barcodes, blocks, nearcounts, overlaps, pixels as px, registration
+from spotweave.operators import assign, barcodes, blocks, nearcounts, overlaps, peaks, pixels as px, registration
 from spotweave.operators.spatial import near_join
 from spotweave.plans.registry import Inputs
 from spotweave.sources import readers, sinks
@@ -110,6 +110,27 @@ def test_library_rows_meet_barcodes_on_whole_texts(spark, errors):
     assert {r.cell_id: r.barcode_id for r in matched.collect()} == {k: max(found) for k, found in wanted.items() if found}
 
 
+def test_small_blocks_are_reconstructed_many_at_a_time(spark):
+    calls = spark.sparkContext.accumulator(0)
+    plain = peaks.rebuilt
+
+    def counted(ceiling, level):
+        calls.add(1)
+        return plain(ceiling, level)
+
+    frames = spark.range(40 * 64).select(
+        (F.col("id") % 40).cast("int").alias("fov"), F.lit(1).alias("cycle"),
+        F.floor(F.col("id") / 320).cast("int").alias("r"), F.floor(F.col("id") / 40 % 8).cast("int").alias("c"),
+    ).withColumn("v", F.when(F.expr("r = fov % 8 AND c = 5 * fov % 8"), 9).otherwise(0))
+    peaks.rebuilt = counted
+    try:
+        found = peaks.prominent_peaks(frames, {"v": (None, 3.0)}, block=4).collect()
+    finally:
+        peaks.rebuilt = plain
+    assert sorted((r.fov, r.first_r, r.first_c, r.area) for r in found) == [(k, k % 8, 5 * k % 8, 1) for k in range(40)]
+    assert 0 < calls.value < 40  # 160 blocks, each of them twice at least
+
+
 def test_blocks_without_home_pixels_and_places_without_pixels_cost_nothing(spark):
     sizes = spark.sparkContext.accumulator(0)
     frame = spark.range(6 * 7).select(F.lit(1).alias("fov"), F.floor(F.col("id") / 7).cast("int").alias("r"), (F.col("id") % 7).cast("int").alias("c"), F.col("id").alias("v"))
