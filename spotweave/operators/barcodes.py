@@ -187,19 +187,19 @@ def library_summary(counts: DataFrame, areas: Sequence[str], length: int = 15) -
     )
 
 
-def nearby(rows: DataFrame, seq: str, letters: DataFrame, errors: int) -> DataFrame:
+def nearby(rows: DataFrame, seq: str, letters: Column, errors: int) -> DataFrame:
     """Rows once per text ``_text`` that differs from their sequence in at most ``errors`` positions (some texts twice).
 
-    ``letters`` has one row with the array ``_letters`` of what may stand in a place.
+    ``letters`` is an array of what may stand in a place, the same for all rows.
     """
     out = rows.withColumn("_text", F.col(seq))
     for _ in range(errors):
-        spread = out.crossJoin(F.broadcast(letters)).withColumn("_at", F.explode(F.sequence(F.lit(0), F.length("_text"))))
+        spread = out.withColumn("_at", F.explode(F.sequence(F.lit(0), F.length("_text"))))
         own = F.substr("_text", F.col("_at"), F.lit(1))
-        spread = spread.withColumn("_letter", F.explode(F.when(F.col("_at") == 0, F.array(F.lit(""))).otherwise(F.col("_letters"))))
+        spread = spread.withColumn("_letter", F.explode(F.when(F.col("_at") == 0, F.array(F.lit(""))).otherwise(letters)))
         spread = spread.where((F.col("_at") == 0) | (F.col("_letter") != own))
         changed = F.concat(F.substr("_text", F.lit(1), F.col("_at") - 1), "_letter", F.substr("_text", F.col("_at") + 1))
-        out = spread.withColumn("_text", F.when(F.col("_at") == 0, F.col("_text")).otherwise(changed)).drop("_letters", "_at", "_letter")
+        out = spread.withColumn("_text", F.when(F.col("_at") == 0, F.col("_text")).otherwise(changed)).drop("_at", "_letter")
     return out
 
 
@@ -215,8 +215,8 @@ def match_library(cells: DataFrame, library: DataFrame, length: int = 15, errors
     long = cells.where(F.length("seq") == length)
     rows = library.where(F.length("sequence") == length).groupBy("sequence").agg(F.max("barcode_id").alias("barcode_id"))
 
-    def letters(df: DataFrame, seq: str) -> DataFrame:
-        return df.select(F.explode(F.array_distinct(F.split(seq, ""))).alias("_l")).agg(F.collect_set("_l").alias("_letters"))
+    def letters(df: DataFrame, seq: str) -> Column:
+        return df.select(F.explode(F.array_distinct(F.split(seq, ""))).alias("_l")).agg(F.collect_set("_l")).scalar()
 
     near = nearby(rows, "sequence", letters(long, "seq"), (errors + 1) // 2)
     best = near.groupBy("_text").agg(F.max("barcode_id").alias("barcode_id"))
