@@ -153,3 +153,9 @@ def test_spots_of_a_tile_are_written_to_one_file(spark, tmp_path):
     assert len(list((tmp_path / "spots").glob("*/*.csv"))) == 10
     got = readers.read_spot_csvs(spark, str(tmp_path / "spots"))
     assert {(r.tile_name, r.lroi_x) for r in got.collect()} == {(f"MAX_Pos1_000_00{k % 10}", float(k)) for k in range(1_000)}
+
+
+def test_a_task_lists_the_pixels_of_few_cells(spark, tmp_path):
+    spark.range(60_000).withColumnRenamed("id", "o_orderkey").write.parquet(str(tmp_path / "orders.parquet"))
+    sizes = Inputs(spark, str(tmp_path)).mask.groupBy(F.spark_partition_id().alias("part")).count()
+    assert max(r["count"] for r in sizes.collect()) < 800_000
