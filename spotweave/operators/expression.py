@@ -98,10 +98,14 @@ def total_expression(expr: DataFrame, cells: DataFrame) -> DataFrame:
 
 
 def wide_matrix(expr: DataFrame, cells: DataFrame, gene_ids: Sequence[int], names: Sequence[str]) -> DataFrame:
-    """Cells x genes with one column per codebook gene and a row for every cell."""
-    wide = expr.groupBy("fov", "cell_num").pivot("gene_id", list(gene_ids)).agg(F.sum("n"))
-    joined = cells.select("fov", "cell_num").join(wide, ["fov", "cell_num"], "left")
-    genes = [F.coalesce(F.col(f"`{g}`"), F.lit(0)).alias(name) for g, name in zip(gene_ids, names)]
+    """Cells x genes with one column per codebook gene and a row for every cell.
+
+    A cell moves and is sorted with the genes that it has; the columns are only spread at the end.
+    """
+    summed = expr.where(F.col("gene_id").isin(list(gene_ids))).groupBy("fov", "cell_num", "gene_id").agg(F.sum("n").alias("n"))
+    counts = summed.groupBy("fov", "cell_num").agg(F.map_from_entries(F.collect_list(F.struct("gene_id", "n"))).alias("_m"))
+    joined = cells.select("fov", "cell_num").join(counts.hint("merge"), ["fov", "cell_num"], "left")
+    genes = [F.coalesce(F.try_element_at("_m", F.lit(g)), F.lit(0)).alias(name) for g, name in zip(gene_ids, names)]
     return joined.select(global_cell_id().alias("cell_id"), *genes)
 
 

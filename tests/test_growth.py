@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spotweave.operators import assign, barcodes, blocks, nearcounts, overlaps, peaks, pixels as px, registration
+from spotweave.operators import assign, barcodes, blocks, expression, nearcounts, overlaps, peaks, pixels as px, registration
 from spotweave.operators.spatial import near_join
 from spotweave.plans.registry import Inputs
 from spotweave.sources import readers, sinks
@@ -159,3 +159,13 @@ def test_a_task_lists_the_pixels_of_few_cells(spark, tmp_path):
     spark.range(60_000).withColumnRenamed("id", "o_orderkey").write.parquet(str(tmp_path / "orders.parquet"))
     sizes = Inputs(spark, str(tmp_path)).mask.groupBy(F.spark_partition_id().alias("part")).count()
     assert max(r["count"] for r in sizes.collect()) < 800_000
+
+
+def test_a_matrix_moves_the_genes_a_cell_has(spark):
+    counts = [(1, 1, 0, 2), (1, 1, 0, 3), (1, 1, 2, 1), (1, 2, 7, 4), (1, 2, None, 5), (1, 3, 1, None), (2, 1, 1, 6), (2, 9, 1, 8), (None, 1, 1, 9)]
+    expr = spark.createDataFrame(counts, "fov int, cell_num bigint, gene_id int, n bigint")
+    cells = spark.createDataFrame([(1, 1), (1, 2), (1, 3), (1, 4), (2, 1), (2, 1)], "fov int, cell_num bigint")
+    wide = expression.wide_matrix(expr, cells, range(3), ["a", "b", "c"])
+    assert "pivotfirst" not in planned(wide) and wide.columns == ["cell_id", "a", "b", "c"]
+    got = sorted(map(tuple, wide.collect()))
+    assert got == [(10_001, 5, 0, 1), (10_002, 0, 0, 0), (10_003, 0, 0, 0), (10_004, 0, 0, 0), (20_001, 0, 6, 0), (20_001, 0, 6, 0)]
