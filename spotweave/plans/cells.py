@@ -82,11 +82,16 @@ def spot_cell_by_mask(i: Inputs) -> DataFrame:
     FROM (SELECT DISTINCT spot_id, seq FROM fx_bc_spots) b JOIN (SELECT DISTINCT spot_id, fov, cell_num FROM hit) h USING (spot_id)"""
 )
 def barcode_spot_cells(i: Inputs) -> DataFrame:
-    """Cell of every barcode spot, local and global."""
-    spots = i.bc_spots.select("spot_id", "seq").distinct().join(i.spots.select("spot_id", "fov", "lroi_x", "lroi_y").distinct(), "spot_id")
-    found = assign.assign_by_mask(spots, i.mask, "cellidbc", i.mask_parts)
+    """Cell of every barcode spot, local and global.
+
+    Spots go to their cells before they meet the barcodes, so that texts move once, and both sides
+    of the join are dealt by its key before equal rows are dropped, which then moves nothing.
+    """
+    spots = i.spots.where("spot_id IS NOT NULL").select("spot_id", "fov", "lroi_x", "lroi_y")
+    found = assign.assign_by_mask(spots, i.mask, "cellidbc", i.mask_parts).repartition("spot_id").distinct()
+    barcodes = i.bc_spots.where("spot_id IS NOT NULL").select("spot_id", "seq").repartition("spot_id").distinct()
     own = F.when(F.col("cellidbc") > 0, assign.global_cell_id(label="cellidbc"))
-    return found.select("spot_id", "seq", "cellidbc", own.alias("cell_id"))
+    return barcodes.join(found.hint("merge"), "spot_id").select("spot_id", "seq", "cellidbc", own.alias("cell_id"))
 
 
 def outlined(i: Inputs) -> DataFrame:

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from spotweave.operators import assign, barcodes, blocks, expression, nearcounts, overlaps, peaks, pixels as px, registration
 from spotweave.operators.spatial import near_join
+from spotweave.plans.cells import barcode_spot_cells
 from spotweave.plans.registry import Inputs
+from spotweave.session import configured
 from spotweave.sources import readers, sinks
 
 FOLDER = "/root/testdata/sf0.001"
@@ -169,3 +171,20 @@ def test_a_matrix_moves_the_genes_a_cell_has(spark):
     assert "pivotfirst" not in planned(wide) and wide.columns == ["cell_id", "a", "b", "c"]
     got = sorted(map(tuple, wide.collect()))
     assert got == [(10_001, 5, 0, 1), (10_002, 0, 0, 0), (10_003, 0, 0, 0), (10_004, 0, 0, 0), (20_001, 0, 6, 0), (20_001, 0, 6, 0)]
+
+
+def test_barcode_texts_move_once(spark, tmp_path):
+    spark.range(1, 300).withColumnRenamed("id", "o_orderkey").write.parquet(str(tmp_path / "orders.parquet"))
+    lines = [(k, 3 * k, k % 5, k % 7 + 1, 1.0) for k in range(1, 300)] * 2 + [(None, 1, 1, 1, 1.0), (4, None, 1, 1, 1.0)]
+    columns = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_extendedprice double"
+    spark.createDataFrame(lines, columns).write.parquet(str(tmp_path / "lineitem.parquet"))
+    inputs = Inputs(spark, str(tmp_path))
+    with configured(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):  # as on tables that do not fit
+        found = barcode_spot_cells(inputs)
+        plan = planned(found)
+    assert plan.count("Exchange hashpartitioning") == 4  # labels, spots by pixel, cells and texts by spot
+    cell_of = assign.assign_by_mask(inputs.spots, inputs.mask).select("spot_id", "fov", "cell_num").distinct()
+    wanted = {r.spot_id: (r.cell_num, r.fov * 10_000 + r.cell_num if r.cell_num else None) for r in cell_of.collect() if r.spot_id is not None}
+    rows = found.collect()
+    assert len(rows) == len(wanted) == 299 and {len(r.seq) for r in rows} == {15}
+    assert {r.spot_id: (r.cellidbc, r.cell_id) for r in rows} == wanted and any(r.cell_id for r in rows)
