@@ -78,14 +78,17 @@ def neurons(cells: DataFrame, tforms: DataFrame) -> DataFrame:
     )
 
 
-def cell_gene_counts(spots: DataFrame, cells: DataFrame) -> DataFrame:
+def cell_gene_counts(spots: DataFrame, cells: DataFrame, parts: int | None = None) -> DataFrame:
     """Long cells x genes matrix ``(fov, cell_num, gene_id, n)`` over listed cells.
 
     Background and unlisted labels drop out in the join with the cell list.
+    ``parts`` deals the cells into that many partitions, in which later steps
+    per cell stay; otherwise a task's rows are as many as compress to its share of bytes.
     """
-    counts = (
-        spots.where(F.col("cell_num") > 0).groupBy("fov", "cell_num", "gene_id").agg(F.count(F.lit(1)).alias("n"))
-    )
+    held = spots.where(F.col("cell_num") > 0).select("fov", "cell_num", "gene_id")
+    if parts is not None:
+        held = held.repartition(parts, "fov", "cell_num")
+    counts = held.groupBy("fov", "cell_num", "gene_id").agg(F.count(F.lit(1)).alias("n"))
     # Cells may be as many as counts: neither side is for the driver to hold.
     return counts.join(cells.select("fov", "cell_num").hint("merge"), ["fov", "cell_num"], "left_semi")
 

@@ -47,7 +47,7 @@ def located(i: Inputs) -> DataFrame:
 def neuron_totals(i: Inputs) -> DataFrame:
     """Neurons with slice coordinates and total expression."""
     listed = i.cells
-    expr = expression.cell_gene_counts(located(i), listed)
+    expr = expression.cell_gene_counts(located(i), listed, i.count_parts)
     totals = expression.total_expression(expr, listed)
     placed = layout.to_global(totals, i.tforms, "cent_x", "cent_y", ("x", "y"))
     return placed.join(i.tforms.select("fov", "slice"), "fov").select(
@@ -195,7 +195,7 @@ def cell_gene_counts(i: Inputs) -> DataFrame:
 @cells.query(f"{CHAIN} SELECT fov, cell_num, total FROM neurons")
 def cell_totals(i: Inputs) -> DataFrame:
     listed = i.cells
-    expr = expression.cell_gene_counts(located(i), listed)
+    expr = expression.cell_gene_counts(located(i), listed, i.count_parts)
     return expression.total_expression(expr, listed.select("fov", "cell_num"))
 
 
@@ -207,7 +207,7 @@ def cell_totals(i: Inputs) -> DataFrame:
 )
 def cells_by_genes(i: Inputs) -> DataFrame:
     listed = i.cells
-    expr = expression.cell_gene_counts(located(i), listed)
+    expr = expression.cell_gene_counts(located(i), listed, i.count_parts)
     return expression.wide_matrix(expr, listed, range(114), [f"g{g}" for g in range(114)])
 
 

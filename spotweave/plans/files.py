@@ -377,7 +377,7 @@ def worst_tiles(i: Inputs) -> DataFrame:
 def two_matrices(i: Inputs) -> tuple[DataFrame, DataFrame]:
     cells = i.cells
     return tuple(
-        expression.cell_gene_counts(assign.assign_by_mask(spots, i.mask, parts=i.mask_parts), cells) for spots in (i.spots, second_run(i))
+        expression.cell_gene_counts(assign.assign_by_mask(spots, i.mask, parts=i.mask_parts), cells, i.count_parts) for spots in (i.spots, second_run(i))
     )
 
 

@@ -188,3 +188,32 @@ def test_barcode_texts_move_once(spark, tmp_path):
     rows = found.collect()
     assert len(rows) == len(wanted) == 299 and {len(r.seq) for r in rows} == {15}
     assert {r.spot_id: (r.cellidbc, r.cell_id) for r in rows} == wanted and any(r.cell_id for r in rows)
+
+
+def test_counts_stay_with_cells_dealt_into_parts(spark):
+    spots = spark.range(600).select((F.col("id") % 3).cast("int").alias("fov"), (F.col("id") % 7).alias("cell_num"), (F.col("id") % 5).cast("int").alias("gene_id"))
+    cells = spots.select("fov", "cell_num").distinct().where("cell_num <> 2")
+    plain, dealt = expression.cell_gene_counts(spots, cells), expression.cell_gene_counts(spots, cells, 13)
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, plain.collect())) and plain.count() == 3 * 5 * 5
+    totals = expression.total_expression(dealt, cells)
+    assert planned(totals).count("REPARTITION_BY_NUM") == 1 and totals.rdd.getNumPartitions() == 13
+
+
+def test_spot_pixels_are_dealt_once(spark, tmp_path):
+    spots = spark.createDataFrame([(k % 4, float(k % 9), 1.2) for k in range(90)] + [(None, 1.0, 1.0), (1, None, 1.0)], "fov int, lroi_x double, lroi_y double")
+    mask = spark.createDataFrame([(f, r, 1, 10 * f + r + 1) for f in range(3) for r in range(5)], "fov int, r int, c int, label bigint")
+    seen = []
+    plain = assign.settle
+
+    def noted(df, *args, **kwargs):
+        with configured(spark, assign.IN_PLACE):
+            seen.append(planned(df))
+        return plain(df, *args, **kwargs)
+
+    assign.settle = noted
+    try:
+        dealt = assign.assign_by_mask(spots, mask.repartition(5, "fov"), parts=5)
+    finally:
+        assign.settle = plain
+    assert seen[0].count("Exchange hashpartitioning") == 2  # the mask's own and the spot pixels'
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, assign.assign_by_mask(spots, mask).collect()))
