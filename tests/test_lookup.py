@@ -31,7 +31,7 @@ def shifted(spark, pixels):
     return px.apply_shift(pixels, shifts, 3, 4)
 
 
-@pytest.mark.parametrize("step", [flat, ranged])
+@pytest.mark.parametrize("step", [flat, ranged, shifted])
 def test_pixels_are_never_the_side_that_is_sent(spark, frames, step, monkeypatch):
     few = step(spark, frames.hint("merge"))  # as when the sizes speak against a broadcast
     assert "BuildRight" in planned(few) and "BuildLeft" not in planned(few)
