@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from spotweave.operators.blocks import HOME, Grid, moved, over_blocks
+from spotweave.operators.lookup import looked_up
+from spotweave.session import settle
 
 
 def grey_levels(image: DataFrame, plane: Sequence[str], levels: int = 256) -> DataFrame:
@@ -21,7 +23,7 @@ def grey_levels(image: DataFrame, plane: Sequence[str], levels: int = 256) -> Da
     top = image.groupBy(*plane).agg(F.max("v").alias("_top"))
     scaled = F.floor(F.greatest(F.col("v"), F.lit(0.0)) / F.col("_top") * (levels - 1))
     level = F.when(F.col("_top") > 0, scaled).otherwise(F.lit(0))  # ``greatest`` would make a null 0
-    return image.join(top, list(plane)).select(*plane, "r", "c", F.when(F.col("v").isNotNull(), level).cast("double").alias("v"))
+    return looked_up(image, top, plane).select(*plane, "r", "c", F.when(F.col("v").isNotNull(), level).cast("double").alias("v"))
 
 
 def level_ranks(image: DataFrame, plane: Sequence[str]) -> DataFrame:
@@ -40,19 +42,20 @@ def match_brightness(moving: DataFrame, template: DataFrame) -> DataFrame:
     without a template have no result.
     """
     plane = ["fov", "cycle"]
-    mine = level_ranks(moving, plane)
-    other = level_ranks(template, ["fov"]).join(mine.select(*plane).distinct(), "fov")
+    mine = settle(level_ranks(moving, plane), "ranks")
+    other = looked_up(level_ranks(template, ["fov"]), mine.select(*plane).distinct(), ["fov"])
     known = other.select(*plane, "q", F.lit(None).cast("double").alias("v"), F.struct("q", F.col("v").alias("to")).alias("at"))
     asked = mine.select(*plane, "q", "v", F.lit(None).cast(known.schema["at"].dataType).alias("at"))
-    order = Window.partitionBy(*plane).orderBy("q")
-    below = F.max("at").over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    above = F.min("at").over(order.rangeBetween(Window.currentRow, Window.unboundedFollowing))
+    # Both frames grow from an end, so that no row is added again for each row before it.
+    so_far = lambda order: Window.partitionBy(*plane).orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    below = F.max("at").over(so_far(F.col("q").asc()))
+    above = F.min("at").over(so_far(F.col("q").desc()))
     ranked = known.unionByName(asked).select(*plane, "q", "v", below.alias("lo"), above.alias("hi")).where("v IS NOT NULL")
     share = (F.col("q") - F.col("lo.q")) / (F.col("hi.q") - F.col("lo.q"))
     line = F.col("lo.to") + share * (F.col("hi.to") - F.col("lo.to"))
     value = F.when(F.col("lo").isNull(), F.col("hi.to")).when(F.col("lo.q") == F.col("hi.q"), F.col("lo.to")).otherwise(line)
     table = ranked.where("lo IS NOT NULL OR hi IS NOT NULL").select(*plane, "v", value.alias("_to"))
-    return moving.join(table, [*plane, "v"]).select(*plane, "r", "c", F.col("_to").alias("v"))
+    return looked_up(moving, table, [*plane, "v"]).select(*plane, "r", "c", F.col("_to").alias("v"))
 
 
 def gauss_weights(sigma: float, reach: int) -> list[float]:
@@ -90,4 +93,4 @@ def difference_of_gaussians(
 
     narrow = image.select(*plane, "r", "c", F.col("v").cast("double").alias("v"))
     schema = StructType([*[narrow.schema[name] for name in (*plane, "r", "c")], StructField("v", DoubleType())])
-    return over_blocks(narrow, plane, max(block, reach), reach, kernel, schema)
+    return over_blocks(narrow, plane, max(block, reach), reach, kernel, schema, stacked=True)
