@@ -423,14 +423,19 @@ def incremental_counts(i: Inputs) -> DataFrame:
     source = fresh_path(i.spark, "arriving")
     spots = i.spots
     both = expression.combine_modalities([(spots.where("modality = 'geneseq'"), 111), (spots.where("modality = 'hyb'"), 3)])
-    both.repartition(4).write.parquet(source)
-    mask, cells = i.mask, i.cells
-    counts = fresh_path(i.spark, "counts")
+    both.repartitionByRange(4, "fov").write.parquet(source)  # a file holds whole tiles, as they arrive
+    cells, counts = i.cells, fresh_path(i.spark, "counts")
+
+    def counted(batch: DataFrame) -> DataFrame:
+        near = rows_of_tiles(cells, batch)
+        mask, parts = i.mask_for(near.count())
+        return expression.cell_gene_counts(assign.assign_by_mask(batch, rows_of_tiles(mask, batch), parts=parts), near)
+
     update_counts(
         i.spark,
         source,
         both.schema,
-        lambda batch: expression.cell_gene_counts(assign.assign_by_mask(batch, rows_of_tiles(mask, batch), parts=i.mask_parts), cells),
+        counted,
         counts,
         fresh_path(i.spark, "stream"),
         files_per_batch=1,

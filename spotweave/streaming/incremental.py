@@ -117,9 +117,12 @@ def rows_of_tiles(table: DataFrame, batch: DataFrame, tile: str = "fov") -> Data
     """The rows of a large table, such as a mask, that belong to a tile of ``batch``.
 
     The span of tile numbers reaches the scan, so files and row groups of other
-    tiles are not read; only its two ends come to the driver.
+    tiles are not read; its two ends come to the driver.  The batch's tile
+    numbers are sent to all tasks, so that the table is neither sorted nor
+    moved for them, and rows that a plan puts together per tile are not put
+    together for others.
     """
     low, high = batch.agg(F.min(tile), F.max(tile)).first()
-    tiles = batch.select(tile).distinct()
+    tiles = F.broadcast(batch.select(tile).distinct())
     span = F.lit(False) if low is None else F.col(tile).between(low, high)
     return table.where(span).join(tiles, tile, "left_semi")

@@ -6,7 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from spotweave.operators import expression
-from spotweave.session import settle, shared_folder
+from spotweave.operators.assign import IN_PLACE
+from spotweave.plans.files import incremental_counts
+from spotweave.plans.registry import Inputs
+from spotweave.session import configured, settle, shared_folder
 from spotweave.streaming import incremental
 from spotweave.streaming.incremental import read_counts, update_counts
 
@@ -112,3 +115,34 @@ def test_only_rows_of_the_batch_are_read(spark, tmp_path):
     assert {r.fov for r in rows.collect()} == {3, 5} and rows.count() == 20
     assert "PartitionFilters: [isnotnull(fov" in rows._jdf.queryExecution().executedPlan().toString()
     assert incremental.rows_of_tiles(spark.read.parquet(table), batch.limit(0)).count() == 0
+
+
+def test_a_batch_lists_the_pixels_of_its_tiles_and_sorts_none(spark):
+    inputs = Inputs(spark, "/root/testdata/sf0.001")
+    batch = inputs.spots.where("fov IN (1, 3)")
+    with configured(spark, IN_PLACE):
+        rows = incremental.rows_of_tiles(inputs.mask, batch)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan
+        assert plan.index("HashAggregate(keys=[fov") < plan.index("LeftSemi")  # tiles are chosen before pixels are put together
+        assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, inputs.mask.where("fov IN (1, 3)").collect()))
+
+
+def test_arriving_files_hold_whole_tiles_and_batches_the_cells_of_theirs(spark, monkeypatch):
+    seen = {}
+
+    def noted(session, source, schema, transform, *args, **kwargs):
+        seen["source"] = source
+
+        def counted(batch):
+            out = transform(batch)
+            seen.setdefault("parts", []).append(batch.select("fov").distinct().count())
+            return out
+
+        return update_counts(session, source, schema, counted, *args, **kwargs)
+
+    monkeypatch.setitem(incremental_counts.__globals__, "update_counts", noted)
+    found = incremental_counts(Inputs(spark, "/root/testdata/sf0.001"))
+    tiles = spark.read.parquet(seen["source"]).select("fov", F.input_file_name().alias("f")).distinct()
+    assert tiles.select("f").distinct().count() > 1 and tiles.count() == tiles.select("fov").distinct().count()
+    assert sum(seen["parts"]) == tiles.count() and found.count() > 0
